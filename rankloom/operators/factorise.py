@@ -15,7 +15,7 @@ from rankloom.functions.numeric import dot, sigmoid, total
 from rankloom.functions.order import start_value
 from rankloom.operators.layout import number_rows
 from rankloom.operators.neighbours import rescale_predictions
-from rankloom.session import durable, stash
+from rankloom.session import stash, store
 
 USER, ITEM, SCALAR = 0, 1, 2
 
@@ -99,12 +99,8 @@ def _with_scalar_row(factors: DataFrame) -> DataFrame:
     return factors.unionByName(row)
 
 
-def _settle(df: DataFrame, step: int, cut_every: int) -> DataFrame:
-    return durable(df) if step % cut_every == 0 else df.persist()
-
-
 def _only_factors(state: DataFrame, latent: int) -> DataFrame:
-    return durable(state.filter(F.col("kind") != SCALAR).select("kind", "id", *factor_columns(latent)))
+    return state.filter(F.col("kind") != SCALAR).select("kind", "id", *factor_columns(latent))
 
 
 def mf_gradient(
@@ -116,7 +112,6 @@ def mf_gradient(
     tol: float = 1e-5,
     max_iterations: int = 1000,
     reg_sign: str = "reference",
-    cut_every: int = 5,
 ) -> DataFrame:
     """Full-batch gradient steps on the squared error of the rated rows.
 
@@ -127,10 +122,11 @@ def mf_gradient(
     latent = latent_of(factors)
     sign = {"reference": 1.0, "descent": -1.0}[reg_sign]
     rated = rated_mask(ratings).persist()
-    state = _with_scalar_row(factors).persist()
+    stored = store(_with_scalar_row(factors), "factors")
     error = F.col("rating") - inner_product(latent)
     last = None
-    for n in range(1, (iterations if iterations is not None else max_iterations) + 1):
+    for _ in range(iterations if iterations is not None else max_iterations):
+        state = stored.table
         rows = factor_join(rated, state).withColumn("_e", error)
         sums = _both_sides(rows, latent, F.col("_e"), F.col("_e") * F.col("_e"))
         moved = []
@@ -138,17 +134,15 @@ def mf_gradient(
             f, g = F.col(f"f{i}"), F.coalesce(f"g{i}", F.lit(0.0))
             update = f + step * (g + sign * lmd * f)
             moved.append(F.when(F.col("kind") == SCALAR, g).otherwise(update).alias(f"f{i}"))
-        fresh = _settle(state.join(sums, ["kind", "id"], "left").select("kind", "id", *moved), n, cut_every)
-        sse = fresh.agg(F.sum(F.when(F.col("kind") == SCALAR, F.col("f0")))).first()[0]
+        fresh = store(state.join(sums, ["kind", "id"], "left").select("kind", "id", *moved), "factors")
+        sse = fresh.table.filter(F.col("kind") == SCALAR).agg(F.sum("f0")).first()[0]
         if iterations is None and last is not None and abs(sse - last) / last < tol:
-            fresh.unpersist()
+            fresh.drop()
             break
-        state.unpersist()
-        state, last = fresh, sse
-    out = _only_factors(state, latent)
-    state.unpersist()
+        stored.drop()
+        stored, last = fresh, sse
     rated.unpersist()
-    return out
+    return _only_factors(stored.table, latent)
 
 
 def mf_sigmoid(
@@ -161,7 +155,6 @@ def mf_sigmoid(
     tol: float = 1e-7,
     check_every: int = 10,
     max_iterations: int = 1000,
-    cut_every: int = 5,
 ) -> DataFrame:
     """Fit ``sigmoid(u.v)`` to unit-scaled stars with Adam.
 
@@ -173,9 +166,10 @@ def mf_sigmoid(
     unit = rated_mask(ratings.withColumn("rating", scale_unit(F.col("rating")))).persist()
     cols = [f"{k}{i}" for k in ("f", "m", "s") for i in range(latent)]
     blank = [F.lit(0.0).alias(f"{k}{i}") for k in ("m", "s") for i in range(latent)]
-    state = _with_scalar_row(factors.select("kind", "id", *factor_columns(latent), *blank)).persist()
-    held, last = state, None
+    stored = store(_with_scalar_row(factors.select("kind", "id", *factor_columns(latent), *blank)), "factors")
+    last = None
     for n in range(1, (iterations if iterations is not None else max_iterations) + 1):
+        state = stored.table.select("kind", "id", *cols)
         rows = factor_join(unit, state.select("kind", "id", *factor_columns(latent)))
         rows = rows.withColumn("_p", sigmoid(inner_product(latent)))
         gap = F.col("_p") - F.col("rating")
@@ -198,19 +192,17 @@ def mf_sigmoid(
             out += [F.when(real, F.col(f"f{i}") - hop).otherwise(0.0).alias(f"f{i}")]
             out += [F.when(real, m).otherwise(0.0).alias(f"m{i}"), F.when(real, s).otherwise(0.0).alias(f"s{i}")]
         part = F.when(real, lmd * F.col("_norm")).otherwise(F.col("_sse")).alias("_loss")
-        fresh = _settle(joined.select("kind", "id", *out, part), n, cut_every)
-        loss = fresh.agg(F.sum("_loss")).first()[0]
-        held.unpersist()
-        held, state = fresh, fresh.select("kind", "id", *cols)
+        fresh = store(joined.select("kind", "id", *out, part), "factors")
+        loss = fresh.table.agg(F.sum("_loss")).first()[0]
+        stored.drop()
+        stored = fresh
         if iterations is None and last is not None and (n - 1) % check_every == 0:
             change = abs(loss - last) / last
             if 0 < change < tol:
                 break
         last = loss
-    out_factors = _only_factors(state, latent)
-    held.unpersist()
     unit.unpersist()
-    return out_factors
+    return _only_factors(stored.table, latent)
 
 
 def _batch_bounds(step: int, batch_size: int, rows: int) -> tuple[int, int]:
@@ -232,7 +224,6 @@ def mf_minibatch(
     lambda_v: float,
     batch_size: int,
     num_iterations: int,
-    cut_every: int = 5,
 ) -> DataFrame:
     """Sequential mini-batches over ratings numbered in ``pos``.
 
@@ -242,10 +233,11 @@ def mf_minibatch(
     """
     latent = latent_of(factors)
     n_rows = placed.count()
-    state = durable(factors)
+    stored = store(factors, "factors")
     decay = {USER: 1 - alpha * lambda_u, ITEM: 1 - alpha * lambda_v}
     for step in range(num_iterations):
         low, high = _batch_bounds(step, batch_size, n_rows)
+        state = stored.table
         batch = placed.filter((F.col("pos") > low) & (F.col("pos") <= high))
         rows = factor_join(batch, state).withColumn("_e", 2.0 * (inner_product(latent) - F.col("rating")))
         rows = number_rows(rows, [F.col("pos").desc()], ["user_id"], "_later_u")
@@ -278,11 +270,10 @@ def mf_minibatch(
             .alias(f"f{i}")
             for i in range(latent)
         ]
-        fresh = _settle(state.join(sums, ["kind", "id"], "left").select("kind", "id", *moved), step + 1, cut_every)
-        fresh.count()
-        state.unpersist()
-        state = fresh
-    return durable(state)
+        fresh = store(state.join(sums, ["kind", "id"], "left").select("kind", "id", *moved), "factors")
+        stored.drop()
+        stored = fresh
+    return stored.table
 
 
 def mf_minibatch_block(
@@ -293,14 +284,14 @@ def mf_minibatch_block(
     lambda_v: float,
     batch_size: int,
     num_iterations: int,
-    cut_every: int = 5,
 ) -> DataFrame:
     """Mini-batches where each id takes only the step of its last row in the batch."""
     latent = latent_of(factors)
     n_rows = placed.count()
-    state = durable(factors)
+    stored = store(factors, "factors")
     for step in range(num_iterations):
         low, high = _batch_bounds(step, batch_size, n_rows)
+        state = stored.table
         batch = placed.filter((F.col("pos") > low) & (F.col("pos") <= high))
         error = F.when(F.col("rating") != 0, F.col("rating") - inner_product(latent)).otherwise(0.0)
         rows = factor_join(batch, state).withColumn("_e", error)
@@ -324,11 +315,10 @@ def mf_minibatch_block(
             .alias(f"f{i}")
             for i in range(latent)
         ]
-        fresh = _settle(state.join(lasts, ["kind", "id"], "left").select("kind", "id", *moved), step + 1, cut_every)
-        fresh.count()
-        state.unpersist()
-        state = fresh
-    return durable(state)
+        fresh = store(state.join(lasts, ["kind", "id"], "left").select("kind", "id", *moved), "factors")
+        stored.drop()
+        stored = fresh
+    return stored.table
 
 
 def mf_predict(targets: DataFrame, factors: DataFrame, link: str = "identity", rescale: bool = True) -> DataFrame:

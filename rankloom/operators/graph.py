@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions.numeric import total
-from rankloom.session import durable, loop_partitions
+from rankloom.session import loop_partitions, store
 
 DANGLING_MODES = ("reference", "uniform")
 
@@ -122,7 +122,6 @@ def _power_loop(
     tol: float,
     max_iterations: int,
     dangling: str,
-    cut_every: int,
 ) -> DataFrame:
     """Iterate all rank columns together, one shuffle of the flows per step.
 
@@ -132,17 +131,16 @@ def _power_loop(
     if dangling not in DANGLING_MODES:
         raise ValueError(f"dangling must be one of {DANGLING_MODES}")
     keep = [c for c in state.columns if c not in ranks]
-    state = state.persist()
+    stored = store(state, "ranks")
 
     def mass_of(r: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("dangling"), F.col(r))), F.lit(0.0)).alias(f"mass_{r}")
 
-    seen = state.agg(*[mass_of(r) for r in ranks]).first()
+    seen = stored.table.agg(*[mass_of(r) for r in ranks]).first()
     gate = F.when(F.col("dangling"), 1.0).otherwise(0.0) if dangling == "reference" else F.lit(1.0)
     settled: set[str] = set()
-    step = 0
-    while step < (iterations if iterations is not None else max_iterations):
-        arrived = propagate(state, table.links, ranks)
+    for _ in range(iterations if iterations is not None else max_iterations):
+        state = stored.table.select(*keep, *ranks)
         moved = []
         for r in ranks:
             if r in settled:
@@ -151,23 +149,21 @@ def _power_loop(
             leak = damping * seen[f"mass_{r}"] / table.size
             flow = damping * F.coalesce(F.col(f"in_{r}"), F.lit(0.0))
             moved.append((flow + F.lit(leak) * gate + teleport[r]).alias(f"next_{r}"))
-        step += 1
-        fresh = state.join(arrived, "id", "left").select(*keep, *ranks, *moved)
+        arrived = propagate(state, table.links, ranks)
+        both = state.join(arrived, "id", "left").select(*keep, *ranks, *moved)
         change = [F.pow(F.col(f"next_{r}") - F.col(r), 2).alias(f"gap_{r}") for r in ranks]
-        fresh = fresh.select(*keep, *[F.col(f"next_{r}").alias(r) for r in ranks], *change)
-        fresh = durable(fresh) if step % cut_every == 0 else fresh.persist()
-        seen = fresh.agg(
+        fresh = store(both.select(*keep, *[F.col(f"next_{r}").alias(r) for r in ranks], *change), "ranks")
+        stored.drop()
+        stored = fresh
+        seen = stored.table.agg(
             *[mass_of(r) for r in ranks], *[F.sum(f"gap_{r}").alias(f"gap_{r}") for r in ranks]
         ).first()
-        state.unpersist()
-        state = fresh
         if iterations is None:
             settled |= {r for r in ranks if math.sqrt(seen[f"gap_{r}"]) <= tol}
             if len(settled) == len(ranks):
                 break
-    sums = state.agg(*[F.sum(F.abs(F.col(r))).alias(r) for r in ranks]).first()
-    out = state.select("id", *[(F.col(r) / F.lit(sums[r] or 1.0)).alias(r) for r in ranks])
-    return durable(out)
+    sums = stored.table.agg(*[F.sum(F.abs(F.col(r))).alias(r) for r in ranks]).first()
+    return stored.table.select("id", *[(F.col(r) / F.lit(sums[r] or 1.0)).alias(r) for r in ranks])
 
 
 def pagerank_global(
@@ -178,7 +174,6 @@ def pagerank_global(
     tol: float = 1e-10,
     max_iterations: int = 1000,
     dangling: str = "reference",
-    cut_every: int = 5,
     hot_links: int = 500_000,
 ) -> DataFrame:
     """``(id, rank)`` with teleport weight ``alpha``; the ranks add up to 1.
@@ -192,7 +187,7 @@ def pagerank_global(
     state = table.nodes.withColumn("rank", F.lit(1.0))
     teleport = {"rank": F.lit(alpha / table.size)}
     out = _power_loop(
-        table, state, ["rank"], 1 - alpha, teleport, iterations, tol, max_iterations, dangling, cut_every
+        table, state, ["rank"], 1 - alpha, teleport, iterations, tol, max_iterations, dangling
     )
     table.release()
     return out
@@ -213,7 +208,6 @@ def pagerank_topic(
     tol: float = 1e-10,
     max_iterations: int = 1000,
     dangling: str = "reference",
-    cut_every: int = 5,
     hot_links: int = 500_000,
 ) -> DataFrame:
     """``(id, t1, t2, ...)``: one topic-sensitive rank per column.
@@ -237,7 +231,7 @@ def pagerank_topic(
     rest = (alpha - beta) / table.size
     teleport = {topic_column(t): beta * F.col(f"start_{t}") + F.lit(rest) for t in topics}
     out = _power_loop(
-        table, state, ranks, 1 - alpha, teleport, iterations, tol, max_iterations, dangling, cut_every
+        table, state, ranks, 1 - alpha, teleport, iterations, tol, max_iterations, dangling
     )
     table.release()
     return out

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rankloom.functions.numeric import argmax, softmax, total
 from rankloom.functions.order import hash_key
 from rankloom.operators.layout import number_rows
-from rankloom.session import durable, loop_partitions, stash
+from rankloom.session import loop_partitions, stash, store
 
 
 def weight_columns(classes: int) -> list[str]:
@@ -87,7 +87,6 @@ def softmax_train(
     lmd: float = 0.01,
     tol: float = 1e-8,
     seed: int = 0,
-    cut_every: int = 5,
 ) -> SoftmaxFit:
     """One pass of ``round(n / batch_size)`` hash-shuffled batches from zero weights.
 
@@ -106,29 +105,25 @@ def softmax_train(
     parts = loop_partitions(spark, eval_features.count())
     check_rows = eval_labels.select("row_id", "cls").repartition(parts, "row_id").persist()
     check = eval_features.select("row_id", "idx", "val").repartition(parts, "row_id").persist()
-    weights = durable(zero_weights(features, classes))
-    loss = softmax_loglik(check, check_rows, weights, lmd).first()[0]
+    stored = store(zero_weights(features, classes), "weights")
+    loss = softmax_loglik(check, check_rows, stored.table, lmd).first()[0]
     trace = []
     for i in range(round(n / batch_size)):
         rate = alpha / (1 + beta * i)
         part = batch_features.filter(F.col("batch") == i).drop("batch")
         picked = batch_labels.filter(F.col("batch") == i).drop("batch")
-        moved = softmax_step(part, picked, weights, rate)
-        moved = durable(moved) if (i + 1) % cut_every == 0 else moved.persist()
-        moved_loss = softmax_loglik(check, check_rows, moved, lmd).first()[0]
+        moved = store(softmax_step(part, picked, stored.table, rate), "weights")
+        moved_loss = softmax_loglik(check, check_rows, moved.table, lmd).first()[0]
         change = abs((loss - moved_loss) / loss)
         trace.append((i, loss, change))
         if change < tol:
-            moved.unpersist()
+            moved.drop()
             break
-        moved.count()
-        weights.unpersist()
-        weights, loss = moved, moved_loss
-    out = durable(weights)
-    weights.unpersist()
+        stored.drop()
+        stored, loss = moved, moved_loss
     check.unpersist()
     check_rows.unpersist()
-    return SoftmaxFit(out, spark.createDataFrame(trace, "iter int, loss double, change double"))
+    return SoftmaxFit(stored.table, spark.createDataFrame(trace, "iter int, loss double, change double"))
 
 
 def softmax_predict(features: DataFrame, rows: DataFrame, weights: DataFrame) -> DataFrame:

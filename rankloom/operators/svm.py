@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rankloom.functions.order import hash_key, start_value
 from rankloom.operators.layout import batch_count, minibatches
 from rankloom.operators.metrics import sign_label, squared_hinge
-from rankloom.session import durable, loop_partitions, stash
+from rankloom.session import Stored, durable, loop_partitions, stash, store
 
 # Regularisation and known optimum of two public data sets.
 KNOWN_LAMBDA = {"covtype": 3631.3203125, "realsim": 7230.875}
@@ -126,13 +126,12 @@ class _Run:
 
 
 def _descend(
-    weights: DataFrame, features: DataFrame, labels: DataFrame, rows: int, batch: int, lam: float, rate: float, cut: bool
-) -> tuple[DataFrame, float]:
+    weights: DataFrame, features: DataFrame, labels: DataFrame, rows: int, batch: int, lam: float, rate: float
+) -> tuple[Stored, float]:
     """One gradient step; returns the new weights and the gradient norm."""
-    grad = svm_gradient(features, labels, weights, rows, batch, lam)
-    moved = grad.select("idx", (F.col("w") - rate * F.col("grad")).alias("w"), "grad")
-    moved = durable(moved) if cut else moved.persist()
-    norm = math.sqrt(moved.agg(F.sum(F.col("grad") * F.col("grad"))).first()[0] or 0.0)
+    grad = svm_gradient(features, labels, weights.select("idx", "w"), rows, batch, lam)
+    moved = store(grad.select("idx", (F.col("w") - rate * F.col("grad")).alias("w"), "grad"), "weights")
+    norm = math.sqrt(moved.table.agg(F.sum(F.col("grad") * F.col("grad"))).first()[0] or 0.0)
     return moved, norm
 
 
@@ -147,26 +146,25 @@ def svm_pegasos(
     test_features: DataFrame | None = None,
     test_labels: DataFrame | None = None,
     optimum: float | None = None,
-    cut_every: int = 5,
 ) -> SvmFit:
     """One random batch per epoch: the first rows of that epoch's hash order."""
     run = _Run("pegasos", features, labels, test_features, test_labels, lam, optimum)
-    weights = durable(zero_weights(run.features))
+    weights = store(zero_weights(run.features), "weights")
     for epoch in range(epochs):
         rate = learning_rate / (1 + learning_rate / 100 * epoch)
         key = hash_key(f"{seed}:{epoch}", "row_id")
         picked = run.labels.orderBy(key, "row_id").limit(batch_size).persist()
         part = run.features.join(picked.select("row_id"), "row_id", "left_semi").persist()
-        moved, norm = _descend(
-            weights.select("idx", "w"), part, picked, run.rows, batch_size, lam, rate, (epoch + 1) % cut_every == 0
-        )
-        loss = squared_hinge_loss(margins(part, picked, moved.select("idx", "w")), run.rows).first()[0]
-        scale = run.rows / batch_size
-        run.record(epoch, moved, norm * scale, loss, scale)
-        for table in (weights, part, picked):
-            table.unpersist()
+        moved, norm = _descend(weights.table, part, picked, run.rows, batch_size, lam, rate)
+        weights.drop()
         weights = moved
-    return run.finish(weights.select("idx", "w"))
+        now = weights.table.select("idx", "w")
+        loss = squared_hinge_loss(margins(part, picked, now), run.rows).first()[0]
+        scale = run.rows / batch_size
+        run.record(epoch, now, norm * scale, loss, scale)
+        part.unpersist()
+        picked.unpersist()
+    return run.finish(weights.table.select("idx", "w"))
 
 
 def svm_sgd(
@@ -181,7 +179,6 @@ def svm_sgd(
     test_features: DataFrame | None = None,
     test_labels: DataFrame | None = None,
     optimum: float | None = None,
-    cut_every: int = 5,
 ) -> SvmFit:
     """All batches of a fresh hash shuffle per epoch.
 
@@ -189,8 +186,7 @@ def svm_sgd(
     row groups and not the whole table.
     """
     run = _Run("sgd", features, labels, test_features, test_labels, lam, optimum)
-    weights = durable(zero_weights(run.features))
-    steps = 0
+    weights = store(zero_weights(run.features), "weights")
     for epoch in range(epochs):
         rate = learning_rate / (1 + learning_rate / 100 * epoch)
         cuts = minibatches(run.labels, "row_id", batch_size, f"{seed}:{epoch}", repeat_tail)
@@ -200,16 +196,14 @@ def svm_sgd(
         for b in range(batch_count(run.rows, batch_size, repeat_tail)):
             part = batch_features.filter(F.col("batch") == b).drop("batch")
             picked = batch_labels.filter(F.col("batch") == b).drop("batch")
-            steps += 1
-            moved, norm = _descend(
-                weights.select("idx", "w"), part, picked, run.rows, batch_size, lam, rate, steps % cut_every == 0
-            )
-            norms.append(norm)
-            losses.append(squared_hinge_loss(margins(part, picked, moved.select("idx", "w")), run.rows).first()[0])
-            weights.unpersist()
+            moved, norm = _descend(weights.table, part, picked, run.rows, batch_size, lam, rate)
+            weights.drop()
             weights = moved
-        run.record(epoch, weights, sum(norms), sum(losses), 1.0)
-    return run.finish(weights.select("idx", "w"))
+            scored = margins(part, picked, weights.table.select("idx", "w"))
+            norms.append(norm)
+            losses.append(squared_hinge_loss(scored, run.rows).first()[0])
+        run.record(epoch, weights.table.select("idx", "w"), sum(norms), sum(losses), 1.0)
+    return run.finish(weights.table.select("idx", "w"))
 
 
 def hessian_product(features: DataFrame, vector: DataFrame, column: str, scale: float) -> DataFrame:
@@ -228,7 +222,6 @@ def conjugate_gradient(
     tol: float = 0.1,
     max_iter: int = 100,
     start: DataFrame | None = None,
-    cut_every: int = 5,
 ) -> tuple[DataFrame, int]:
     """Solve ``H d = -grad`` with ``H = I + 2 lam / N * X' X`` over the given rows.
 
@@ -240,15 +233,16 @@ def conjugate_gradient(
         start = gradient.select("idx", start_value("idx", 0).alias("d"))
     first = hessian_product(features, start, "d", scale)
     residual = -F.col("grad") - F.col("hv")
-    state = (
+    stored = store(
         start.join(first, "idx")
         .join(gradient.select("idx", "grad"), "idx")
-        .select("idx", "d", residual.alias("r"), residual.alias("p"))
-        .persist()
+        .select("idx", "d", residual.alias("r"), residual.alias("p")),
+        "direction",
     )
-    rs_old = state.agg(F.sum(F.col("r") * F.col("r"))).first()[0]
+    rs_old = stored.table.agg(F.sum(F.col("r") * F.col("r"))).first()[0]
     done = 0
     for done in range(1, max_iter + 1):
+        state = stored.table
         product = hessian_product(features, state.select("idx", "p"), "p", scale)
         both = state.join(product, "idx").persist()
         curve = both.agg(F.sum(F.col("p") * F.col("hv"))).first()[0]
@@ -258,22 +252,21 @@ def conjugate_gradient(
         alpha = rs_old / curve
         r_new = F.col("r") - alpha * F.col("hv")
         rs_new = both.agg(F.sum(r_new * r_new)).first()[0]
-        moved = both.select(
-            "idx",
-            (F.col("d") + alpha * F.col("p")).alias("d"),
-            r_new.alias("r"),
-            (r_new + (rs_new / rs_old) * F.col("p")).alias("p"),
+        moved = store(
+            both.select(
+                "idx",
+                (F.col("d") + alpha * F.col("p")).alias("d"),
+                r_new.alias("r"),
+                (r_new + (rs_new / rs_old) * F.col("p")).alias("p"),
+            ),
+            "direction",
         )
-        moved = durable(moved) if done % cut_every == 0 else moved.persist()
-        moved.count()
         both.unpersist()
-        state.unpersist()
-        state, rs_old = moved, rs_new
+        stored.drop()
+        stored, rs_old = moved, rs_new
         if math.sqrt(rs_new) < tol:
             break
-    out = durable(state.select("idx", "d"))
-    state.unpersist()
-    return out, done
+    return stored.table.select("idx", "d"), done
 
 
 def svm_newton(
@@ -401,7 +394,7 @@ def svm_multiclass_balanced(
             F.when(sign_of(c) * F.col(f"m_{c}") < 1, 2.0 * cost_of(c)).otherwise(0.0).alias(f"c_{c}") for c in classes
         ]
         curved = scored.select("row_id", *curvature).persist()
-        for inner in range(1, cg_steps + 1):
+        for _inner in range(cg_steps):
             moved_rows = scores(state.select("idx", *[f"p_{c}" for c in classes]), "p").join(curved, "row_id")
             moved_rows = moved_rows.select(
                 "row_id", *[(F.col(f"c_{c}") * F.col(f"m_{c}")).alias(f"q_{c}") for c in classes]
@@ -418,10 +411,9 @@ def svm_multiclass_balanced(
                 *[(F.col(f"r_{c}") - step[c] * F.col(f"h_{c}")).alias(f"r_{c}") for c in classes],
                 *[f"p_{c}" for c in classes],
             )
-            fresh = durable(fresh) if inner % 5 == 0 else fresh.persist()
+            fresh = durable(fresh)
             after = _dots(fresh, "r", "r", classes)
             turn = {c: after[c] / rr[c] if step[c] else 0.0 for c in classes}
-            state.unpersist()
             both.unpersist()
             state = fresh.select(
                 "idx",

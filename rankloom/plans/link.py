@@ -78,7 +78,7 @@ QUERIES: dict[str, Query] = {
         lambda v: rounded(global_ranks(v, "uniform"), 12), sql.global_result(STEPS, "uniform")
     ),
     "pagerank_converged": Query(
-        lambda v: rounded(graph.pagerank_global(v.nodes(), v.edges()), 9), sql.global_result(80, digits=9)
+        lambda v: rounded(graph.pagerank_global(v.nodes(), v.edges()), 12), sql.CONVERGED
     ),
     "pagerank_topic": Query(lambda v: rounded(topic_ranks(v), 12), sql.topic_result(TOPIC_STEPS)),
     "pagerank_query": Query(lambda v: rounded(by_query(v), 12), sql.mixture_result("query_mix", TOPIC_STEPS)),

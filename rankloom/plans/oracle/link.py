@@ -40,12 +40,33 @@ def _global(steps: int, dangling: str = "reference", name: str = "r", out: str =
     }
 
 
-def global_result(steps: int, dangling: str = "reference", digits: int = 12) -> str:
+def global_result(steps: int, dangling: str = "reference") -> str:
     return compose(
-        ["nodes", "edges"], {**LINKS, **_global(steps, dangling)}, f"SELECT id, round(rank, {digits}) AS rank FROM ranks"
+        ["nodes", "edges"], {**LINKS, **_global(steps, dangling)}, "SELECT id, round(rank, 12) AS rank FROM ranks"
     )
 
 
+# The loop carries the norm of its last step and ends when that is small enough.
+CONVERGED = compose(
+    ["nodes", "edges"],
+    {
+        **LINKS,
+        "r(it, id, rank, gap)": """
+          SELECT 0, id, CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE) FROM nodes
+          UNION ALL
+          SELECT it + 1, id, rank, sqrt(sum(power(rank - old, 2)) OVER ()) FROM (
+            SELECT o.it, o.id, o.rank AS old,
+                   0.8 * coalesce(f.s, 0) + CASE WHEN d.id IS NULL THEN 0 ELSE 0.8 * m.mass / n.n END + 0.2 / n.n AS rank
+            FROM r o CROSS JOIN n
+            CROSS JOIN (SELECT sum(rank) AS mass FROM r JOIN d USING (id)) m
+            LEFT JOIN d ON d.id = o.id
+            LEFT JOIN (SELECT dst, sum(p * rank) AS s FROM r JOIN e ON e.src = r.id GROUP BY dst) f ON f.dst = o.id
+            WHERE o.gap > 1e-10) t""",
+    },
+    """SELECT id, round(rank / sum(rank) OVER (), 12) AS rank FROM r WHERE it = (SELECT max(it) FROM r)""",
+)
+
+
 def distance(steps: int) -> str:
     both = {**LINKS, **_global(steps), **_global(steps, "uniform", "ru", "uranks")}
     return compose(

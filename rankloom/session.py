@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +71,30 @@ def stash(df: DataFrame, name: str, sort_by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@dataclass
+class Stored:
+    """A loop's state as a written table that can be dropped once it is replaced."""
+
+    table: DataFrame
+    path: str
+
+    def drop(self) -> None:
+        spark = self.table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def store(df: DataFrame, name: str) -> Stored:
+    """Write a loop's state to the durable folder, which cuts its lineage.
+
+    Only the state (ranks, factors, weights) is written, never the data, and a
+    lost executor costs at most one step.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return Stored(df.sparkSession.read.schema(df.schema).parquet(path), path)
+
+
 def loop_partitions(spark: SparkSession, rows: int, rows_per_partition: int = 1_000_000) -> int:
     """Partitions for a table that is kept partitioned across loop steps.
 
