@@ -76,7 +76,9 @@ class Measure:
 def vector_sums(ratings: DataFrame, entity: str) -> DataFrame:
     """Sum and sum of squares of each entity's ratings."""
     return ratings.groupBy(F.col(entity).alias("id")).agg(
-        F.sum("rating").alias("s"), F.sum(F.col("rating") * F.col("rating")).alias("ss")
+        F.sum("rating").alias("s"),
+        F.sum(F.col("rating") * F.col("rating")).alias("ss"),
+        F.count(F.lit(1)).alias("n"),
     )
 
 
@@ -162,11 +164,11 @@ def _block(count: int) -> Column:
     return F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
 
 
-def _big_blocks(entries: DataFrame, count: int, total: int, piece_rows: int) -> dict[int, int]:
+def _big_blocks(heads: DataFrame, count: int, total: int, piece_rows: int) -> dict[int, int]:
     """Slices of the blocks with too many rows for one task; usually empty."""
     if total <= piece_rows:
         return {}
-    sizes = entries.groupBy(_block(count).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = heads.groupBy(_block(count).alias("g")).agg(F.sum("n").alias("n"))
     return {r["g"]: math.ceil(r["n"] / piece_rows) for r in sizes.filter(F.col("n") > piece_rows).collect()}
 
 
@@ -206,23 +208,23 @@ def nearest(
     if centred and cells is None:
         raise ValueError("centred similarity needs the number of cells")
     entity, cell = ("user_id", "item_id") if by == "user" else ("item_id", "user_id")
-    n_query, n_train = query_ids.count(), universe.count()
-    divisor = n_train if denominator == "reference" else (cells or 1)
-    formula = Measure(measure, centred, float(divisor), float(cells or 0))
-    keep = k + 1 if self_mode == "drop_top" else k
+    def heads(ratings: DataFrame, ids: DataFrame) -> DataFrame:
+        sums = vector_sums(ratings, entity)
+        return durable(ids.select("id").join(sums, "id", "left").na.fill(0.0, ["s", "ss"]).na.fill(0, ["n"]))
 
     def entries(ratings: DataFrame, ids: DataFrame) -> DataFrame:
-        return ratings.select(F.col(entity).alias("id"), F.col(cell).alias("cell"), F.col("rating").alias("x")).join(
-            ids, "id", "left_semi"
-        )
+        rows = ratings.select(F.col(entity).alias("id"), F.col(cell).alias("cell"), F.col("rating").alias("x"))
+        return rows.join(ids.select("id"), "id", "left_semi")
 
-    def heads(ratings: DataFrame, ids: DataFrame) -> DataFrame:
-        return ids.select("id").join(vector_sums(ratings, entity), "id", "left").na.fill(0.0, ["s", "ss"])
-
-    sides = [(entries(profiles, query_ids), heads(profiles, query_ids)), (entries(train, universe), heads(train, universe))]
-    totals = [s[0].count() for s in sides]
-    counts = [_blocks_of(n, t, block, piece_rows) for n, t in zip((n_query, n_train), totals)]
-    big = [_big_blocks(s[0], c, t, piece_rows) for s, c, t in zip(sides, counts, totals)]
+    tables = [heads(profiles, query_ids), heads(train, universe)]
+    sides = [(entries(profiles, tables[0]), tables[0]), (entries(train, tables[1]), tables[1])]
+    sizes = [h.agg(F.count(F.lit(1)).alias("ids"), F.sum("n").alias("rows")).first() for h in tables]
+    n_train, totals = sizes[1]["ids"], [z["rows"] or 0 for z in sizes]
+    divisor = n_train if denominator == "reference" else (cells or 1)
+    formula = Measure(measure, centred, float(divisor), float(cells or 0))
+    keep = k + 1 if self_mode == "drop_top" else k
+    counts = [_blocks_of(z["ids"], t, block, piece_rows) for z, t in zip(sizes, totals)]
+    big = [_big_blocks(h, c, t, piece_rows) for h, c, t in zip(tables, counts, totals)]
 
     def spread(df: DataFrame, side: int, is_head: bool) -> DataFrame:
         other = F.explode(F.sequence(F.lit(0), F.lit(counts[1 - side] - 1)))
@@ -231,6 +233,7 @@ def nearest(
         pieces = F.greatest(_lookup(big[0], F.col("g0")), _lookup(big[1], F.col("g1"))).cast("int")
         mine = mine.withColumn("pieces", pieces)
         if is_head:
+            mine = mine.drop("n")
             piece = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
             mine = mine.withColumn("cell", F.lit(None).cast("long")).withColumn("x", F.lit(None).cast("double"))
         else:
