@@ -120,11 +120,11 @@ def drop_neutral(ratings: DataFrame) -> DataFrame:
     return ratings.filter("rating <> 0")
 
 
-def read_targets(spark: SparkSession, path: str) -> DataFrame:
-    """``item,user`` pairs with their place in the file as ``pair_idx`` from 1.
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(line_no, value)`` from 1, in file name order and line order.
 
-    Files are read in name order; the place is exact across splits because the
-    line keys are sorted before they are numbered.
+    A line's key is its file, its split's offset and its place in the split;
+    the keys are range sorted, so no task reads the whole input.
     """
     from rankloom.operators.layout import number_rows
 
@@ -135,9 +135,22 @@ def read_targets(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_line"),
     )
     lines = lines.filter("trim(value) <> ''")
-    numbered = number_rows(lines, [F.col("_file"), F.col("_start"), F.col("_line")], name="pair_idx")
+    placed = number_rows(lines, [F.col("_file"), F.col("_start"), F.col("_line")], name="line_no")
+    return placed.select("line_no", "value")
+
+
+def read_targets(spark: SparkSession, path: str) -> DataFrame:
+    """``item,user`` pairs with their place in the file as ``pair_idx``."""
     part = F.split("value", ",")
-    return numbered.select("pair_idx", part[0].cast("long").alias("item_id"), part[1].cast("long").alias("user_id"))
+    return numbered_lines(spark, path).select(
+        F.col("line_no").alias("pair_idx"), part[0].cast("long").alias("item_id"), part[1].cast("long").alias("user_id")
+    )
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Written predictions with the target they belong to."""
+    lines = numbered_lines(spark, path)
+    return lines.select(F.col("line_no").alias("pair_idx"), F.col("value").cast("double").alias("score"))
 
 
 def read_labelled_tree(spark: SparkSession, path: str) -> DataFrame:
