@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions.numeric import total
-from rankloom.session import loop_partitions, store
+from rankloom.session import durable, loop_partitions, store
 
 DANGLING_MODES = ("reference", "uniform")
 
@@ -58,15 +58,16 @@ def topic_teleport(doc_topics: DataFrame) -> DataFrame:
 class LinkTable:
     """Graph laid out for repeated propagation.
 
-    ``links(src, salt, dst, p)`` is kept partitioned by ``(src, salt)``. A node
-    with very many links is spread over ``fan`` salts, and only such nodes send
-    their rank more than once. ``nodes(id, fan, dangling)`` is kept by ``id``.
+    ``links(src, salt, dst, p)`` is kept partitioned by its source, and by a
+    salt where a node has very many links: such a node is spread over ``fan``
+    salts and sends its rank once to each. Without such nodes there is no salt.
+    ``nodes(id, fan, dangling)`` is kept by ``id``.
     """
 
     nodes: DataFrame
     links: DataFrame
     size: int
-    parts: int
+    salted: bool
 
     def release(self) -> None:
         self.nodes.unpersist()
@@ -75,11 +76,13 @@ class LinkTable:
 
 def link_table(nodes: DataFrame, edges: DataFrame, hot_links: int = 500_000) -> LinkTable:
     spark: SparkSession = nodes.sparkSession
-    totals = edges.agg(F.count(F.lit(1)).alias("m")).first()
+    sums = durable(out_weights(edges))
+    totals = sums.agg(F.sum("links").alias("m"), F.max("links").alias("top")).first()
     size = nodes.count()
-    parts = loop_partitions(spark, max(totals["m"], size))
-    share = max(hot_links, math.ceil(totals["m"] / (4 * parts)))
-    sums = out_weights(edges).withColumn("fan", F.ceil(F.col("links") / share).cast("int"))
+    parts = loop_partitions(spark, max(totals["m"] or 0, size))
+    share = max(hot_links, math.ceil((totals["m"] or 0) / (4 * parts)))
+    salted = (totals["top"] or 0) > share
+    sums = sums.withColumn("fan", F.ceil(F.col("links") / share).cast("int"))
     table = (
         nodes.join(sums.withColumnRenamed("src", "id"), "id", "left")
         .select(
@@ -90,26 +93,24 @@ def link_table(nodes: DataFrame, edges: DataFrame, hot_links: int = 500_000) ->
         .repartition(parts, "id")
         .persist()
     )
-    links = (
-        edges.join(sums.filter("out_weight <> 0"), "src")
-        .select(
-            "src",
-            F.pmod(F.xxhash64("dst"), F.col("fan")).cast("int").alias("salt"),
-            "dst",
-            (F.col("weight") / F.col("out_weight")).alias("p"),
-        )
-        .repartition(parts, "src", "salt")
-        .persist()
+    links = edges.join(sums.filter("out_weight <> 0"), "src").select(
+        "src",
+        F.pmod(F.xxhash64("dst"), F.col("fan")).cast("int").alias("salt"),
+        "dst",
+        (F.col("weight") / F.col("out_weight")).alias("p"),
     )
-    return LinkTable(table, links, size, parts)
+    links = links.repartition(parts, "src", "salt") if salted else links.drop("salt").repartition(parts, "src")
+    return LinkTable(table, links.persist(), size, salted)
 
 
-def propagate(state: DataFrame, links: DataFrame, ranks: list[str]) -> DataFrame:
+def propagate(state: DataFrame, table: LinkTable, ranks: list[str]) -> DataFrame:
     """Sparse transpose product: rank mass that arrives at each ``dst``."""
-    salts = F.sequence(F.lit(0), F.col("fan") - 1)
-    sent = state.select(F.col("id").alias("src"), F.explode(salts).alias("salt"), *ranks)
+    keys, sent = ["src"], state.select(F.col("id").alias("src"), *ranks)
+    if table.salted:
+        salts = F.sequence(F.lit(0), F.col("fan") - 1)
+        keys, sent = ["src", "salt"], state.select(F.col("id").alias("src"), F.explode(salts).alias("salt"), *ranks)
     flows = [F.sum(F.col("p") * F.col(r)).alias(f"in_{r}") for r in ranks]
-    return sent.join(links, ["src", "salt"]).groupBy(F.col("dst").alias("id")).agg(*flows)
+    return sent.join(table.links, keys).groupBy(F.col("dst").alias("id")).agg(*flows)
 
 
 def _power_loop(
@@ -149,7 +150,7 @@ def _power_loop(
             leak = damping * seen[f"mass_{r}"] / table.size
             flow = damping * F.coalesce(F.col(f"in_{r}"), F.lit(0.0))
             moved.append((flow + F.lit(leak) * gate + teleport[r]).alias(f"next_{r}"))
-        arrived = propagate(state, table.links, ranks)
+        arrived = propagate(state, table, ranks)
         both = state.join(arrived, "id", "left").select(*keep, *ranks, *moved)
         change = [F.pow(F.col(f"next_{r}") - F.col(r), 2).alias(f"gap_{r}") for r in ranks]
         fresh = store(both.select(*keep, *[F.col(f"next_{r}").alias(r) for r in ranks], *change), "ranks")

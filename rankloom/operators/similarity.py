@@ -14,7 +14,8 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from rankloom.session import durable
 
 MEASURES = ("dot", "cosine")
 PRODUCT_CHUNK = 4_000_000
+MIN_BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -91,15 +93,41 @@ def entity_mean(ratings: DataFrame, entity: str, divisor: float) -> DataFrame:
     return vector_sums(ratings, entity).select("id", (F.col("s") / F.lit(float(divisor))).alias("mean"))
 
 
-def _block_product(a: pd.DataFrame, b: pd.DataFrame, rows: int, cols: int) -> np.ndarray:
+@dataclass
+class _Side:
+    """One side of a block: ids in descending order, their sums and sparse entries."""
+
+    ids: np.ndarray
+    s: np.ndarray
+    ss: np.ndarray
+    at: np.ndarray
+    cell: np.ndarray
+    x: np.ndarray
+
+    @classmethod
+    def of(cls, block: pa.Table, side: int) -> _Side:
+        part = block.filter(pc.equal(block["side"], side)).combine_chunks()
+        row_ids = part["id"].to_numpy()
+        rising = np.unique(row_ids)
+        row_at = len(rising) - 1 - np.searchsorted(rising, row_ids)
+        lengths = pc.fill_null(pc.list_value_length(part["cells"]), 0).to_numpy()
+        heads = part["s"].is_valid().to_numpy()
+        s, ss = np.zeros(len(rising)), np.zeros(len(rising))
+        s[row_at[heads]] = part["s"].drop_null().to_numpy()
+        ss[row_at[heads]] = part["ss"].drop_null().to_numpy()
+        cell, x = (pc.list_flatten(part[c]).to_numpy() for c in ("cells", "xs"))
+        return cls(rising[::-1], s, ss, np.repeat(row_at, lengths), cell, x)
+
+
+def _block_product(a: _Side, b: _Side) -> np.ndarray:
     """Dense block of the product of two sparse row sets sharing ``cell``."""
-    a = a.sort_values("cell", kind="stable")
-    cells, row, x = a["cell"].to_numpy(), a["at"].to_numpy(), a["x"].to_numpy()
-    first = np.searchsorted(cells, b["cell"].to_numpy(), "left")
-    hits = np.searchsorted(cells, b["cell"].to_numpy(), "right") - first
+    rows, cols = len(a.ids), len(b.ids)
+    order = np.argsort(a.cell, kind="stable")
+    cells, row, x = a.cell[order], a.at[order], a.x[order]
+    first = np.searchsorted(cells, b.cell, "left")
+    hits = np.searchsorted(cells, b.cell, "right") - first
     used = hits > 0
-    first, hits = first[used], hits[used]
-    col, y = b["at"].to_numpy()[used], b["x"].to_numpy()[used]
+    first, hits, col, y = first[used], hits[used], b.at[used], b.x[used]
     out = np.zeros(rows * cols)
     ends = np.cumsum(hits)
     start = 0
@@ -115,49 +143,56 @@ def _block_product(a: pd.DataFrame, b: pd.DataFrame, rows: int, cols: int) -> np
     return out.reshape(rows, cols)
 
 
+def _best_columns(grid: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of each row's ``keep`` greatest values; the first columns win ties."""
+    if grid.shape[1] <= keep:
+        return np.indices(grid.shape).reshape(2, -1)
+    bar = -np.partition(-grid, keep - 1, axis=1)[:, keep - 1 : keep]
+    above, level = grid > bar, grid == bar
+    room = keep - above.sum(axis=1, keepdims=True)
+    return np.nonzero(above | (level & (np.cumsum(level, axis=1) <= room)))
+
+
 def _block_neighbours(measure: Measure, keep: int, skip_self: bool):
     """Task function for one block pair: dots, then each query row's best ``keep``."""
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        side = block["side"].to_numpy()
-        heads = block["cell"].isna().to_numpy()
-        query = block[heads & (side == 0)].sort_values("id", ascending=False)
-        train = block[heads & (side == 1)].sort_values("id", ascending=False)
-        q_ids, t_ids = query["id"].to_numpy(), train["id"].to_numpy()
-        if not len(q_ids) or not len(t_ids):
-            return pd.DataFrame({"a": [], "b": [], "value": [], "whole": []})
-
-        def located(which: int, ids: np.ndarray) -> pd.DataFrame:
-            part = block.loc[~heads & (side == which), ["id", "cell", "x"]]
-            return part.assign(at=len(ids) - 1 - np.searchsorted(ids[::-1], part["id"].to_numpy()))
-
-        dots = _block_product(located(0, q_ids), located(1, t_ids), len(q_ids), len(t_ids))
-        piece = int(block["piece"].iat[0])
-        if int(block["pieces"].iat[0]) > 1:
+    def run(block: pa.Table) -> pa.Table:
+        query, train = _Side.of(block, 0), _Side.of(block, 1)
+        dots = _block_product(query, train)
+        piece, pieces = block["piece"][0].as_py(), block["pieces"][0].as_py()
+        if pieces > 1:
             # One slice of a big block: partial dots, every pair once from slice 0.
             r, c = np.nonzero(dots) if piece else np.indices(dots.shape).reshape(2, -1)
-            return pd.DataFrame({"a": q_ids[r], "b": t_ids[c], "value": dots[r, c], "whole": False})
-        stats = [query[n].to_numpy()[:, None] for n in ("s", "ss")]
-        stats += [train[n].to_numpy()[None, :] for n in ("s", "ss")]
-        sims = measure.on_arrays(dots, *stats)
-        grid = np.floor(sims * 1e9 + 0.5) / 1e9
-        if skip_self:
-            grid[q_ids[:, None] == t_ids[None, :]] = -np.inf
-        # Columns run by id descending, so a stable sort breaks ties that way.
-        c = np.argsort(-grid, axis=1, kind="stable")[:, :keep]
-        r = np.repeat(np.arange(len(q_ids)), c.shape[1])
-        c = c.ravel()
-        kept = np.isfinite(grid[r, c])
-        r, c = r[kept], c[kept]
-        return pd.DataFrame({"a": q_ids[r], "b": t_ids[c], "value": sims[r, c], "whole": True})
+            values = dots[r, c]
+        else:
+            sims = measure.on_arrays(dots, query.s[:, None], query.ss[:, None], train.s[None, :], train.ss[None, :])
+            grid = np.floor(sims * 1e9 + 0.5) / 1e9
+            if skip_self:
+                grid[query.ids[:, None] == train.ids[None, :]] = -np.inf
+            # Columns run by id descending, so the first of equal columns has the greatest id.
+            r, c = _best_columns(grid, keep)
+            kept = np.isfinite(grid[r, c])
+            r, c = r[kept], c[kept]
+            values = sims[r, c]
+        whole = np.full(len(r), pieces == 1)
+        return pa.table({"a": query.ids[r], "b": train.ids[c], "value": values, "whole": whole})
 
     return run
 
 
-def _blocks_of(n: int, rows: int, block: int, piece_rows: int) -> int:
-    """Number of blocks: at most ``block`` entities and about a quarter piece of rows each."""
+def _blocks_of(n: int, rows: int, block: int, piece_rows: int, cores: int) -> int:
+    """Number of blocks: at most ``block`` entities and about a quarter piece of rows each.
+
+    Small sides are cut as well, so that the block pairs keep all cores busy.
+    """
     size = max(1, min(block, int(piece_rows / 4 / max(1.0, rows / max(1, n)))))
-    return max(1, math.ceil(n / size))
+    lanes = min(math.ceil(math.sqrt(cores)), math.ceil(n / MIN_BLOCK))
+    return max(1, lanes, math.ceil(n / size))
+
+
+def _pair_partitions(pairs: int) -> int:
+    """About one block pair per task: a pair is much work on few bytes."""
+    return min(pairs, max(4096, pairs // 16))
 
 
 def _block(count: int) -> Column:
@@ -172,11 +207,8 @@ def _big_blocks(heads: DataFrame, count: int, total: int, piece_rows: int) -> di
     return {r["g"]: math.ceil(r["n"] / piece_rows) for r in sizes.filter(F.col("n") > piece_rows).collect()}
 
 
-def _lookup(values: dict[int, int], key: Column) -> Column:
-    if not values:
-        return F.lit(1)
-    pairs = [F.lit(v) for item in values.items() for v in item]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(1))
+def _in_blocks(big: dict[int, int], key: Column) -> Column:
+    return key.isin(list(big)) if big else F.lit(False)
 
 
 def nearest(
@@ -208,45 +240,54 @@ def nearest(
     if centred and cells is None:
         raise ValueError("centred similarity needs the number of cells")
     entity, cell = ("user_id", "item_id") if by == "user" else ("item_id", "user_id")
+
     def heads(ratings: DataFrame, ids: DataFrame) -> DataFrame:
         sums = vector_sums(ratings, entity)
         return durable(ids.select("id").join(sums, "id", "left").na.fill(0.0, ["s", "ss"]).na.fill(0, ["n"]))
 
-    def entries(ratings: DataFrame, ids: DataFrame) -> DataFrame:
-        rows = ratings.select(F.col(entity).alias("id"), F.col(cell).alias("cell"), F.col("rating").alias("x"))
-        return rows.join(ids.select("id"), "id", "left_semi")
-
     tables = [heads(profiles, query_ids), heads(train, universe)]
-    sides = [(entries(profiles, tables[0]), tables[0]), (entries(train, tables[1]), tables[1])]
     sizes = [h.agg(F.count(F.lit(1)).alias("ids"), F.sum("n").alias("rows")).first() for h in tables]
     n_train, totals = sizes[1]["ids"], [z["rows"] or 0 for z in sizes]
     divisor = n_train if denominator == "reference" else (cells or 1)
     formula = Measure(measure, centred, float(divisor), float(cells or 0))
     keep = k + 1 if self_mode == "drop_top" else k
-    counts = [_blocks_of(z["ids"], t, block, piece_rows) for z, t in zip(sizes, totals)]
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    counts = [_blocks_of(z["ids"], t, block, piece_rows, cores) for z, t in zip(sizes, totals)]
     big = [_big_blocks(h, c, t, piece_rows) for h, c, t in zip(tables, counts, totals)]
-
-    def spread(df: DataFrame, side: int, is_head: bool) -> DataFrame:
+    slices = max([1, *big[0].values(), *big[1].values()])
+
+    def packed(ratings: DataFrame, ids: DataFrame) -> DataFrame:
+        """Sparse vectors, cut into slices of cells so that none outgrows a task."""
+        entry = F.struct(F.col(cell).alias("cell"), F.col("rating").cast("double").alias("x"))
+        rows = ratings.withColumnRenamed(entity, "id").join(ids.select("id"), "id", "left_semi")
+        piece = F.pmod(F.xxhash64(cell), F.lit(slices)).cast("int") if slices > 1 else F.lit(0)
+        lists = rows.groupBy("id", piece.alias("slice")).agg(F.collect_list(entry).alias("e"))
+        return lists.select("id", "slice", F.col("e.cell").alias("cells"), F.col("e.x").alias("xs"))
+
+    def spread(ratings: DataFrame, side: int) -> DataFrame:
+        """A side's sums and vectors, once for each block of the other side."""
+        ids = tables[side]
+        sums = ids.select("id", F.lit(0).alias("slice"), "s", "ss")
+        rows = sums.unionByName(packed(ratings, ids), allowMissingColumns=True)
         other = F.explode(F.sequence(F.lit(0), F.lit(counts[1 - side] - 1)))
-        mine = df.withColumn("g0" if side == 0 else "g1", _block(counts[side]))
-        mine = mine.withColumn("g1" if side == 0 else "g0", other)
-        pieces = F.greatest(_lookup(big[0], F.col("g0")), _lookup(big[1], F.col("g1"))).cast("int")
-        mine = mine.withColumn("pieces", pieces)
-        if is_head:
-            mine = mine.drop("n")
-            piece = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-            mine = mine.withColumn("cell", F.lit(None).cast("long")).withColumn("x", F.lit(None).cast("double"))
-        else:
-            piece = F.pmod(F.xxhash64("cell"), F.col("pieces")).cast("int")
-            mine = mine.withColumn("s", F.lit(None).cast("double")).withColumn("ss", F.lit(None).cast("double"))
-        return mine.withColumn("piece", piece).select(
-            "g0", "g1", "piece", "pieces", F.lit(side).alias("side"), "id", "cell", "x", "s", "ss"
+        rows = rows.withColumn("g0" if side == 0 else "g1", _block(counts[side]))
+        rows = rows.withColumn("g1" if side == 0 else "g0", other)
+        is_big = _in_blocks(big[0], F.col("g0")) | _in_blocks(big[1], F.col("g1"))
+        return rows.select(
+            "g0", "g1",
+            F.when(is_big, F.col("slice")).otherwise(0).alias("piece"),
+            F.when(is_big, slices).otherwise(1).alias("pieces"),
+            F.lit(side).alias("side"), "id", "s", "ss", "cells", "xs",
         )
 
-    tagged = [spread(sides[s][h], s, h == 1) for s in (0, 1) for h in (0, 1)]
-    rows = tagged[0].unionByName(tagged[1]).unionByName(tagged[2]).unionByName(tagged[3])
-    found = rows.groupBy("g0", "g1", "piece").applyInPandas(
-        _block_neighbours(formula, keep, self_mode == "exclude"), "a long, b long, value double, whole boolean"
+    found = (
+        spread(profiles, 0)
+        .unionByName(spread(train, 1))
+        .repartition(_pair_partitions(counts[0] * counts[1]), "g0", "g1", "piece")
+        .groupBy("g0", "g1", "piece")
+        .applyInArrow(
+            _block_neighbours(formula, keep, self_mode == "exclude"), "a long, b long, value double, whole boolean"
+        )
     )
     split_blocks = bool(big[0] or big[1])
     if split_blocks:
@@ -254,8 +295,8 @@ def nearest(
     candidates = found.filter("whole").select("a", "b", F.col("value").alias("sim"))
     if split_blocks:
         dots = found.filter("not whole").groupBy("a", "b").agg(F.sum("value").alias("dot"))
-        left = sides[0][1].select(F.col("id").alias("a"), F.col("s").alias("s_a"), F.col("ss").alias("ss_a"))
-        right = sides[1][1].select(F.col("id").alias("b"), F.col("s").alias("s_b"), F.col("ss").alias("ss_b"))
+        left = tables[0].select(F.col("id").alias("a"), F.col("s").alias("s_a"), F.col("ss").alias("ss_a"))
+        right = tables[1].select(F.col("id").alias("b"), F.col("s").alias("s_b"), F.col("ss").alias("ss_b"))
         sim = formula.on_columns(*[F.col(c) for c in ("dot", "s_a", "ss_a", "s_b", "ss_b")])
         split = dots.join(left, "a").join(right, "b").select("a", "b", sim.alias("sim"))
         if self_mode == "exclude":

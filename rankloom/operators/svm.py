@@ -323,9 +323,9 @@ def svm_multiclass_balanced(
     features: DataFrame,
     labels: DataFrame,
     cost: float = 1.0,
-    newton_steps: int = 12,
-    cg_steps: int = 12,
-    tol: float = 1e-4,
+    newton_steps: int = 10,
+    cg_steps: int = 10,
+    tol: float = 1e-2,
 ) -> DataFrame:
     """One-vs-rest squared-hinge SVM with balanced class weights.
 
@@ -384,7 +384,7 @@ def svm_multiclass_balanced(
         down = [(-(F.col(f"w_{c}") + F.col(f"g_{c}"))).alias(f"r_{c}") for c in classes]
         state = gradient.select("idx", *start, *down)
         state = durable(state.select("*", *[F.col(f"r_{c}").alias(f"p_{c}") for c in classes]))
-        rr = _dots(state, "r", "r", classes)
+        rr = _dots(state, [("r", "r")], classes)["r", "r"]
         if not first_norm:
             first_norm = dict(rr)
         if all(math.sqrt(rr[c]) <= tol * math.sqrt(first_norm[c]) for c in classes):
@@ -402,24 +402,20 @@ def svm_multiclass_balanced(
             both = state.join(back(moved_rows, "h"), "idx").select(
                 *state.columns, *[(F.col(f"p_{c}") + F.col(f"h_{c}")).alias(f"h_{c}") for c in classes]
             )
-            both = both.persist()
-            curve = _dots(both, "p", "h", classes)
-            step = {c: rr[c] / curve[c] if rr[c] > target[c] and curve[c] > 0 else 0.0 for c in classes}
-            fresh = both.select(
+            both = durable(both)
+            dots = _dots(both, [("p", "h"), ("r", "h"), ("h", "h")], classes)
+            live = {c: rr[c] > target[c] and dots["p", "h"][c] > 0 for c in classes}
+            step = {c: rr[c] / dots["p", "h"][c] if live[c] else 0.0 for c in classes}
+            after = {
+                c: max(0.0, rr[c] - 2 * step[c] * dots["r", "h"][c] + step[c] ** 2 * dots["h", "h"][c]) for c in classes
+            }
+            turn = {c: after[c] / rr[c] if live[c] else 0.0 for c in classes}
+            left = {c: F.col(f"r_{c}") - step[c] * F.col(f"h_{c}") for c in classes}
+            state = both.select(
                 "idx",
                 *[(F.col(f"d_{c}") + step[c] * F.col(f"p_{c}")).alias(f"d_{c}") for c in classes],
-                *[(F.col(f"r_{c}") - step[c] * F.col(f"h_{c}")).alias(f"r_{c}") for c in classes],
-                *[f"p_{c}" for c in classes],
-            )
-            fresh = durable(fresh)
-            after = _dots(fresh, "r", "r", classes)
-            turn = {c: after[c] / rr[c] if step[c] else 0.0 for c in classes}
-            both.unpersist()
-            state = fresh.select(
-                "idx",
-                *[f"d_{c}" for c in classes],
-                *[f"r_{c}" for c in classes],
-                *[(F.col(f"r_{c}") + turn[c] * F.col(f"p_{c}")).alias(f"p_{c}") for c in classes],
+                *[left[c].alias(f"r_{c}") for c in classes],
+                *[(left[c] + turn[c] * F.col(f"p_{c}")).alias(f"p_{c}") for c in classes],
             )
             rr = after
             if all(rr[c] <= target[c] for c in classes):
@@ -448,9 +444,11 @@ def svm_multiclass_balanced(
     return out
 
 
-def _dots(df: DataFrame, a: str, b: str, classes: list[int]) -> dict[int, float]:
-    row = df.agg(*[F.sum(F.col(f"{a}_{c}") * F.col(f"{b}_{c}")).alias(f"s_{c}") for c in classes]).first()
-    return {c: row[f"s_{c}"] or 0.0 for c in classes}
+def _dots(df: DataFrame, pairs: list[tuple[str, str]], classes: list[int]) -> dict[tuple[str, str], dict[int, float]]:
+    """Inner products of column groups, per class, in one job."""
+    sums = [F.sum(F.col(f"{a}_{c}") * F.col(f"{b}_{c}")).alias(f"{a}{b}_{c}") for a, b in pairs for c in classes]
+    row = df.agg(*sums).first()
+    return {(a, b): {c: row[f"{a}{b}_{c}"] or 0.0 for c in classes} for a, b in pairs}
 
 
 def multiclass_predict(features: DataFrame, rows: DataFrame, weights: DataFrame) -> DataFrame:

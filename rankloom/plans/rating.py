@@ -19,26 +19,38 @@ SIDES = ("user", "item")
 MEASURES = [("dot", False), ("cosine", False), ("dot", True), ("cosine", True)]
 
 
+def train(v: Views) -> DataFrame:
+    return saved(v, "train", v.train)
+
+
+def stars(v: Views) -> DataFrame:
+    return saved(v, "stars", v.stars)
+
+
+def pairs(v: Views) -> DataFrame:
+    return saved(v, "pairs", v.pairs)
+
+
 def measure_name(measure: str, centred: bool) -> str:
     return f"centred_{measure}" if centred else measure
 
 
 def nearest(v: Views, by: str, measure: str, centred: bool, self_mode: str = "drop_top", k: int = K) -> DataFrame:
     entity = f"{by}_id"
-    wanted = v.pairs().select(F.col(entity).alias("id")).distinct()
+    wanted = pairs(v).select(F.col(entity).alias("id")).distinct()
     universe, cells = (v.users(), v.items()) if by == "user" else (v.items(), v.users())
     key = f"nearest-{by}-{measure}-{centred}-{self_mode}-{k}"
     return saved(
         v, key,
         lambda: similarity.nearest(
-            v.profiles(), v.train(), wanted, universe, by, measure, centred, k, cells.count(), self_mode=self_mode
+            train(v).filter("rating <> 0"), train(v), wanted, universe, by, measure, centred, k, cells.count(), self_mode=self_mode
         ),
     )
 
 
 def predicted(v: Views, by: str, measure: str, centred: bool, mean: str) -> DataFrame:
     near = nearest(v, by, measure, centred)
-    return neighbours.knn_predict(v.pairs(), near, v.train(), by, mean)
+    return neighbours.knn_predict(pairs(v), near, train(v), by, mean)
 
 
 def start(v: Views, scale: float = 1.0) -> DataFrame:
@@ -46,16 +58,16 @@ def start(v: Views, scale: float = 1.0) -> DataFrame:
 
 
 def gradient_factors(v: Views) -> DataFrame:
-    return saved(v, "mf-gradient", lambda: factorise.mf_gradient(v.stars(), start(v), iterations=STEPS))
+    return saved(v, "mf-gradient", lambda: factorise.mf_gradient(stars(v), start(v), iterations=STEPS))
 
 
 def sigmoid_factors(v: Views) -> DataFrame:
-    return saved(v, "mf-sigmoid", lambda: factorise.mf_sigmoid(v.stars(), start(v, 0.1), iterations=STEPS))
+    return saved(v, "mf-sigmoid", lambda: factorise.mf_sigmoid(stars(v), start(v, 0.1), iterations=STEPS))
 
 
 def _minibatch(v: Views, block: bool) -> DataFrame:
     """One pass over all ratings in four sequential batches."""
-    placed = factorise.numbered_ratings(v.stars())
+    placed = factorise.numbered_ratings(stars(v))
     size = math.ceil(placed.count() / BATCHES)
     solver = factorise.mf_minibatch_block if block else factorise.mf_minibatch
     return rounded(solver(placed, start(v), 0.005, 0.05, 0.1, size, BATCHES))
@@ -79,7 +91,7 @@ def _sizes(v: Views) -> DataFrame:
 
 
 def _group(v: Views, entity: str) -> DataFrame:
-    return v.pairs().groupBy(entity).agg(F.count(F.lit(1)).alias("targets"))
+    return pairs(v).groupBy(entity).agg(F.count(F.lit(1)).alias("targets"))
 
 
 QUERIES: dict[str, Query] = {
@@ -97,14 +109,14 @@ QUERIES: dict[str, Query] = {
         sql.SCALE_UNIT,
     ),
     "rated_mask": Query(
-        lambda v: factorise.rated_mask(v.train()).groupBy("user_id").agg(F.count(F.lit(1)).alias("rated")), sql.MASK
+        lambda v: factorise.rated_mask(train(v)).groupBy("user_id").agg(F.count(F.lit(1)).alias("rated")), sql.MASK
     ),
     "targets_by_user": Query(lambda v: _group(v, "user_id"), sql.group("user_id")),
     "targets_by_item": Query(lambda v: _group(v, "item_id"), sql.group("item_id")),
     "entity_mean": Query(
-        lambda v: rounded(similarity.entity_mean(v.train(), "user_id", v.users().count())), sql.ENTITY_MEAN
+        lambda v: rounded(similarity.entity_mean(train(v), "user_id", v.users().count())), sql.ENTITY_MEAN
     ),
-    "l2_norms": Query(lambda v: rounded(similarity.l2_norms(v.train(), "item_id")), sql.L2_NORMS),
+    "l2_norms": Query(lambda v: rounded(similarity.l2_norms(train(v), "item_id")), sql.L2_NORMS),
     **{
         f"sim_{by}_{measure_name(m, c)}": Query(
             lambda v, by=by, m=m, c=c: rounded(nearest(v, by, m, c)), sql.nearest(by, m, c, K)
@@ -117,7 +129,7 @@ QUERIES: dict[str, Query] = {
     ),
     "neighbour_rating_join": Query(
         lambda v: rounded(
-            neighbours.neighbour_ratings(v.pairs(), nearest(v, "user", "cosine", False), v.train()).select(
+            neighbours.neighbour_ratings(pairs(v), nearest(v, "user", "cosine", False), train(v)).select(
                 "item_id", "user_id", "b", "sim", "rating"
             )
         ),
@@ -139,17 +151,17 @@ QUERIES: dict[str, Query] = {
     "mf_minibatch": Query(lambda v: _minibatch(v, False), sql.mf_minibatch(LATENT, BATCHES)),
     "mf_minibatch_block": Query(lambda v: _minibatch(v, True), sql.mf_minibatch(LATENT, BATCHES, block=True)),
     "factor_join": Query(
-        lambda v: rounded(factorise.mf_predict(v.pairs(), gradient_factors(v), rescale=False)),
+        lambda v: rounded(factorise.mf_predict(pairs(v), gradient_factors(v), rescale=False)),
         sql.mf_predict(LATENT, STEPS, False),
     ),
     "mf_predict": Query(
-        lambda v: rounded(factorise.mf_predict(v.pairs(), gradient_factors(v)), 6), sql.mf_predict(LATENT, STEPS, True)
+        lambda v: rounded(factorise.mf_predict(pairs(v), gradient_factors(v)), 6), sql.mf_predict(LATENT, STEPS, True)
     ),
     "rescale_predictions": Query(
         lambda v: rounded(neighbours.rescale_predictions(predicted(v, "item", "dot", False, "mean")), 6), sql.rescaled(K)
     ),
     "masked_sse": Query(
-        lambda v: rounded(factorise.masked_sse(v.stars(), gradient_factors(v)), 4), sql.masked_sse(LATENT, STEPS)
+        lambda v: rounded(factorise.masked_sse(stars(v), gradient_factors(v)), 4), sql.masked_sse(LATENT, STEPS)
     ),
-    "mf_als": Query(lambda v: factorise.mf_als(v.stars(), v.pairs(), LATENT)),
+    "mf_als": Query(lambda v: factorise.mf_als(stars(v), pairs(v), LATENT)),
 }

@@ -26,6 +26,16 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def documents(self) -> DataFrame:
+        """Documents, shared out when their files make fewer splits than there are cores.
+
+        Cleaning text costs far more than moving it, and a big table has
+        enough splits already, so there this adds no shuffle.
+        """
+        rows = self.table("documents").select("doc_id", "text", "lang")
+        cores = self.spark.sparkContext.defaultParallelism
+        return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, "doc_id")
+
     # Graph: parts (even ids) and suppliers (odd ids). A part links to the next
     # part of the same order and to its supplier; suppliers link nowhere.
 
@@ -141,14 +151,14 @@ class Views:
         stars = F.when(lang == "en", 1).when(lang == "de", 2).when(lang == "fr", 3).otherwise(4)
         tenth = F.col("doc_id") % 10
         split = F.when(tenth < 8, "train").when(tenth == 8, "dev").otherwise("test")
-        return self.table("documents").select("doc_id", "text", stars.alias("stars"), split.alias("split"))
+        return self.documents().select("doc_id", "text", stars.alias("stars"), split.alias("split"))
 
     def stopwords(self) -> DataFrame:
         return self.spark.createDataFrame([(w,) for w in STOPWORDS], "word string")
 
     def binary_text(self) -> DataFrame:
         labels = self.table("labels").select("doc_id", "quality")
-        return self.table("documents").join(labels, "doc_id").select(
+        return self.documents().join(labels, "doc_id").select(
             "doc_id", "text", (2 * F.col("quality") - 1).alias("y")
         )
 

@@ -100,20 +100,20 @@ QUERIES: dict[str, Query] = {
         sql.TOKENIZE,
     ),
     "clean_line": Query(
-        lambda v: v.table("documents").select("doc_id", text.clean_line(F.col("text")).alias("clean")), sql.CLEAN_LINE
+        lambda v: v.documents().select("doc_id", text.clean_line(F.col("text")).alias("clean")), sql.CLEAN_LINE
     ),
     "word_tokens": Query(
-        lambda v: v.table("documents").select(
+        lambda v: v.documents().select(
             "doc_id", F.array_join(text.word_tokens(F.col("text")), " ").alias("words")
         ),
         sql.WORD_TOKENS,
     ),
     "sentence_split": Query(
-        lambda v: v.table("documents").select("doc_id", F.size(text.sentences(F.col("text"))).cast("long").alias("n")),
+        lambda v: v.documents().select("doc_id", F.size(text.sentences(F.col("text"))).cast("long").alias("n")),
         sql.SENTENCES,
     ),
     "lower_split": Query(
-        lambda v: v.table("documents").select("doc_id", F.array_join(text.lower_split(F.col("text")), " ").alias("t")),
+        lambda v: v.documents().select("doc_id", F.array_join(text.lower_split(F.col("text")), " ").alias("t")),
         sql.LOWER_SPLIT,
     ),
     "unique_tokens": Query(
