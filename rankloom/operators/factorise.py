@@ -213,7 +213,7 @@ def _batch_bounds(step: int, batch_size: int, rows: int) -> tuple[int, int]:
 def numbered_ratings(ratings: DataFrame) -> DataFrame:
     """Ratings with a position from 1, stored sorted so that a batch reads only its rows."""
     placed = number_rows(ratings, [F.col("user_id"), F.col("item_id")], name="pos")
-    return stash(placed, "ratings", sort_by="pos")
+    return stash(placed, "ratings", sort_by=["pos"])
 
 
 def mf_minibatch(

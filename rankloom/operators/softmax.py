@@ -98,10 +98,10 @@ def softmax_train(
     spark = features.sparkSession
     placed = number_rows(labels.select("row_id", "cls"), [hash_key(seed, "row_id"), F.col("row_id")], name="_pos")
     placed = placed.withColumn("batch", F.floor((F.col("_pos") - 1) / batch_size).cast("int")).drop("_pos")
-    batch_labels = stash(placed, "labels", sort_by="batch")
+    batch_labels = stash(placed, "labels", sort_by=["batch", "row_id"])
     n = batch_labels.count()
     tagged = features.select("row_id", "idx", "val").join(batch_labels.select("row_id", "batch"), "row_id")
-    batch_features = stash(tagged, "features", sort_by="batch")
+    batch_features = stash(tagged, "features", sort_by=["batch", "row_id"])
     parts = loop_partitions(spark, eval_features.count())
     check_rows = eval_labels.select("row_id", "cls").repartition(parts, "row_id").persist()
     check = eval_features.select("row_id", "idx", "val").repartition(parts, "row_id").persist()

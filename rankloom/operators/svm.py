@@ -190,8 +190,8 @@ def svm_sgd(
     for epoch in range(epochs):
         rate = learning_rate / (1 + learning_rate / 100 * epoch)
         cuts = minibatches(run.labels, "row_id", batch_size, f"{seed}:{epoch}", repeat_tail)
-        batch_labels = stash(run.labels.join(cuts, "row_id"), "labels", sort_by="batch")
-        batch_features = stash(run.features.join(cuts, "row_id"), "features", sort_by="batch")
+        batch_labels = stash(run.labels.join(cuts, "row_id"), "labels", sort_by=["batch", "row_id"])
+        batch_features = stash(run.features.join(cuts, "row_id"), "features", sort_by=["batch", "row_id"])
         norms, losses = [], []
         for b in range(batch_count(run.rows, batch_size, repeat_tail)):
             part = batch_features.filter(F.col("batch") == b).drop("batch")

@@ -75,6 +75,7 @@ def vectors(v: Views) -> DataFrame:
 def text_csv(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "csv")
     rows = v.binary_text().select(F.when(F.col("y") > 0, "pos").otherwise("neg").alias("label"), "text")
+    rows = rows.withColumn("text", text.clean_line(F.col("text")))
     writers.write_text_csv(rows, path)
     return readers.read_text_csv(v.spark, path)
 

@@ -29,7 +29,7 @@ VECTORS = compose(
     ["dense_rows"], {"r": "SELECT 'w' || row_id AS word, list_transform(v, lambda x: CAST(x AS DOUBLE)) AS v FROM dense_rows"},
     f"SELECT word, {words._texts('v')} FROM r",
 )
-TEXT_CSV = compose(["binary_text"], {}, "SELECT CASE WHEN y = 1 THEN 'pos' ELSE 'neg' END AS label, text FROM binary_text")
+TEXT_CSV = TREE
 LIBSVM = compose(
     ["review_words", "reviews"], words.doc_term_steps("CTF"),
     """SELECT CAST(r.stars AS INT) AS label, count(DISTINCT r.doc_id) AS rows, count(d.idx) AS entries,

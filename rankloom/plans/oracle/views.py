@@ -14,20 +14,26 @@ CLEAN = r"regexp_replace(lower(regexp_replace(text, '\([^)]*\)', '', 'g')), '[^a
 WORDS = f"list_filter(string_split({CLEAN}, ' '), lambda t: t <> '')"
 
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
-    "nodes": ((), "SELECT 2 * p_partkey AS id FROM part UNION ALL SELECT 2 * s_suppkey + 1 FROM supplier"),
+    "nodes": (
+        (),
+        """SELECT 3 * c_custkey AS id FROM customer UNION ALL SELECT 3 * p_partkey + 1 FROM part
+           UNION ALL SELECT 3 * s_suppkey + 2 FROM supplier""",
+    ),
     "edges": (
         (),
         """SELECT src, dst, CAST(count(*) AS DOUBLE) AS weight FROM (
-             SELECT 2 * l_partkey AS src,
-                    2 * lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS dst
-             FROM lineitem
-             UNION ALL SELECT 2 * l_partkey, 2 * l_suppkey + 1 FROM lineitem) l
-           WHERE dst IS NOT NULL GROUP BY src, dst""",
+             SELECT 3 * o_custkey AS src, 3 * l_partkey + 1 AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+             UNION ALL
+             SELECT 3 * l_partkey + 1, 3 * o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+             WHERE l_returnflag = 'R'
+             UNION ALL SELECT 3 * l_partkey + 1, 3 * l_suppkey + 2 FROM lineitem) l
+           GROUP BY src, dst""",
     ),
     "doc_topics": (
         (),
-        """SELECT 2 * p_partkey AS doc, CAST(1 + p_size % 12 AS INT) AS topic FROM part
-           UNION ALL SELECT 2 * s_suppkey + 1, CAST(1 + s_nationkey % 12 AS INT) FROM supplier""",
+        """SELECT 3 * c_custkey AS doc, CAST(1 + c_nationkey % 12 AS INT) AS topic FROM customer
+           UNION ALL SELECT 3 * p_partkey + 1, CAST(1 + p_size % 12 AS INT) FROM part
+           UNION ALL SELECT 3 * s_suppkey + 2, CAST(1 + s_nationkey % 12 AS INT) FROM supplier""",
     ),
     "sales": (
         (),
@@ -52,7 +58,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "run": (
         ("sales",),
-        """SELECT user_id, query_id, 2 * l_partkey AS doc, round(ln(sum(l_extendedprice) / 10000000), 6) AS rel
+        """SELECT user_id, query_id, 3 * l_partkey + 1 AS doc, round(ln(sum(l_extendedprice) / 10000000), 6) AS rel
            FROM sales GROUP BY user_id, query_id, l_partkey""",
     ),
     "ratings": (

@@ -36,32 +36,40 @@ class Views:
         cores = self.spark.sparkContext.defaultParallelism
         return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, "doc_id")
 
-    # Graph: parts (even ids) and suppliers (odd ids). A part links to the next
-    # part of the same order and to its supplier; suppliers link nowhere.
+    # Graph: customers (ids 3k), parts (3k + 1) and suppliers (3k + 2). A customer
+    # links to the parts bought, a part to the customers who returned it and to its
+    # suppliers; suppliers link nowhere.
 
     def nodes(self) -> DataFrame:
-        parts = self.table("part").select((F.col("p_partkey") * 2).alias("id"))
-        return parts.unionByName(self.table("supplier").select((F.col("s_suppkey") * 2 + 1).alias("id")))
+        return union_all(
+            [
+                self.table("customer").select((F.col("c_custkey") * 3).alias("id")),
+                self.table("part").select((F.col("p_partkey") * 3 + 1).alias("id")),
+                self.table("supplier").select((F.col("s_suppkey") * 3 + 2).alias("id")),
+            ]
+        )
 
     def edges(self) -> DataFrame:
-        line = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        # An order has few lines, so this window's groups are small.
-        order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
-        step = line.select(
-            (F.col("l_partkey") * 2).alias("src"), (F.lead("l_partkey").over(order) * 2).alias("dst")
-        ).filter("dst is not null")
-        supply = line.select((F.col("l_partkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst"))
-        links = step.unionByName(supply)
-        return links.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        line = self.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
+        orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+        buyer, part, supplier = F.col("o_custkey") * 3, F.col("l_partkey") * 3 + 1, F.col("l_suppkey") * 3 + 2
+        ends = [(buyer, part, F.lit(True)), (part, buyer, F.col("l_returnflag") == "R"), (part, supplier, F.lit(True))]
+        links = F.array(*[F.struct(s.alias("src"), d.alias("dst"), on.alias("on")) for s, d, on in ends])
+        rows = line.join(orders, "l_orderkey").select(F.explode(links).alias("e")).select("e.*").filter("on")
+        return rows.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
     def doc_topics(self) -> DataFrame:
-        parts = self.table("part").select(
-            (F.col("p_partkey") * 2).alias("doc"), (1 + F.col("p_size") % 12).cast("int").alias("topic")
-        )
-        suppliers = self.table("supplier").select(
-            (F.col("s_suppkey") * 2 + 1).alias("doc"), (1 + F.col("s_nationkey") % 12).cast("int").alias("topic")
+        def topics(table: str, key: str, place: int, feature: str) -> DataFrame:
+            topic = (1 + F.col(feature) % 12).cast("int")
+            return self.table(table).select((F.col(key) * 3 + place).alias("doc"), topic.alias("topic"))
+
+        return union_all(
+            [
+                topics("customer", "c_custkey", 0, "c_nationkey"),
+                topics("part", "p_partkey", 1, "p_size"),
+                topics("supplier", "s_suppkey", 2, "s_nationkey"),
+            ]
         )
-        return parts.unionByName(suppliers)
 
     # Users are nations, queries are six classes of orders.
 
@@ -100,7 +108,7 @@ class Views:
     def run(self) -> DataFrame:
         sold = self._sales().groupBy("user_id", "query_id", "l_partkey").agg(F.sum("l_extendedprice").alias("s"))
         rel = F.round(F.ln(F.col("s") / 10000000), 6)
-        return sold.select("user_id", "query_id", (F.col("l_partkey") * 2).alias("doc"), rel.alias("rel"))
+        return sold.select("user_id", "query_id", (F.col("l_partkey") * 3 + 1).alias("doc"), rel.alias("rel"))
 
     # Ratings: quantity as stars, a tenth of the orders held out.
 

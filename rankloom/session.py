@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,14 +59,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{durable_dir(spark).rstrip('/')}/rankloom/{name}-{uuid.uuid4().hex}"
 
 
-def stash(df: DataFrame, name: str, sort_by: str | None = None) -> DataFrame:
+def stash(df: DataFrame, name: str, sort_by: Sequence[str] = ()) -> DataFrame:
     """Write to the durable folder as parquet and read it back.
 
     With ``sort_by`` the files are range partitioned and sorted, so a later
-    filter on that column skips the row groups it does not need.
+    filter on the first column skips the row groups it does not need. More
+    columns let a large run of equal first values spread over many files.
     """
     if sort_by:
-        df = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -166,8 +166,9 @@ def read_vectors(spark: SparkSession, path: str, dim: int = 100) -> DataFrame:
     return rows.select(F.col("f")[0].alias("word"), F.slice("f", 2, dim).cast("array<double>").alias("v"))
 
 
-def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, schema="label string, text string", header=True, multiLine=True, escape='"')
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """``label,text`` with a header; files can be split unless texts hold line breaks."""
+    return spark.read.csv(path, schema="label string, text string", header=True, multiLine=multi_line, escape='"')
 
 
 def read_libsvm(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

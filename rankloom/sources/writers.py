@@ -64,7 +64,11 @@ def write_ratings(ratings: DataFrame, path: str) -> None:
 
 
 def write_text_csv(docs: DataFrame, path: str) -> None:
-    docs.select("label", "text").write.mode("overwrite").csv(path, header=True, escape='"', quoteAll=True)
+    writer = docs.select("label", "text").write.mode("overwrite")
+    writer.csv(
+        path, header=True, escape='"', quoteAll=True,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def write_vectors(vectors: DataFrame, path: str) -> None:
