@@ -99,8 +99,10 @@ def link_table(nodes: DataFrame, edges: DataFrame, hot_links: int = 500_000) ->
         "dst",
         (F.col("weight") / F.col("out_weight")).alias("p"),
     )
-    links = links.repartition(parts, "src", "salt") if salted else links.drop("salt").repartition(parts, "src")
-    return LinkTable(table, links.persist(), size, salted)
+    keys = ["src", "salt"] if salted else ["src"]
+    links = (links if salted else links.drop("salt")).repartition(parts, *keys).sortWithinPartitions(*keys).persist()
+    links.count()  # a step plans without shuffling or sorting the links only once they are kept
+    return LinkTable(table, links, size, salted)
 
 
 def propagate(state: DataFrame, table: LinkTable, ranks: list[str]) -> DataFrame:

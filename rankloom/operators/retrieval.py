@@ -72,21 +72,37 @@ def l1_norms(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(*LIST).agg(F.sum(F.abs(F.col(column))).alias("l1"))
 
 
-def _dirichlet_weight(seed: int):
-    """Gamma draws; their share of the list's sum is a Dirichlet draw."""
-
-    @F.pandas_udf("double")
-    def draw(shape: pd.Series, key: pd.Series) -> pd.Series:
-        # Philox is counter based: the key of the row selects its own stream.
-        streams = (np.random.Generator(np.random.Philox(key=[seed, k & 0x7FFFFFFFFFFFFFFF])) for k in key)
-        return pd.Series([g.gamma(s) for g, s in zip(streams, shape)])
-
-    return draw
+def _uniform(key: np.ndarray, draw: int) -> np.ndarray:
+    """Uniform numbers in (0, 1) that depend on the key and the draw only (splitmix64)."""
+    z = key + np.uint64((draw + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) * 2.0**-53 + 2.0**-54
+
+
+def _gamma(shape: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Gamma draws for shapes above zero: squeeze method on ``shape + 1``, scaled down."""
+    d = shape + 2.0 / 3.0
+    out, left, draw = np.zeros(len(shape)), np.arange(len(shape)), 1
+    while len(left):
+        u = [_uniform(key[left], draw + i) for i in range(3)]
+        normal = np.sqrt(-2.0 * np.log(u[0])) * np.cos(2.0 * np.pi * u[1])
+        dl = d[left]
+        v = (1.0 + normal / np.sqrt(9.0 * dl)) ** 3
+        good = (v > 0) & (np.log(u[2]) < normal**2 / 2 + dl - dl * v + dl * np.log(np.where(v > 0, v, 1.0)))
+        out[left[good]] = (dl * v)[good]
+        left, draw = left[~good], draw + 3
+    return out * _uniform(key, 0) ** (1.0 / shape)
+
+
+def _gamma_draw(shape: pd.Series, key: pd.Series) -> pd.Series:
+    """One draw per row; a row's share of its list's sum is a Dirichlet draw."""
+    return pd.Series(_gamma(shape.to_numpy(), key.to_numpy().astype(np.uint64)))
 
 
 def _coefficient(variant: str, pr: Column, rel: Column, seed: int) -> Column:
     if variant == "C00":
-        return _dirichlet_weight(seed)(rel, F.xxhash64(*LIST, "doc"))
+        return F.pandas_udf(_gamma_draw, "double")(rel, F.xxhash64(F.lit(seed), *LIST, "doc"))
     formulas = {
         "C01": lambda: pr + rel,
         "C02": lambda: F.abs(pr - rel),

@@ -31,8 +31,10 @@ def zero_weights(features: DataFrame) -> DataFrame:
 
 
 def keyed_by_row(df: DataFrame, parts: int) -> DataFrame:
-    """Keep a table partitioned by row, so margins need no further shuffle of it."""
-    return df.repartition(parts, "row_id").persist()
+    """Keep a table partitioned and sorted by row, so margins need no further shuffle of it."""
+    kept = df.repartition(parts, "row_id").sortWithinPartitions("row_id").persist()
+    kept.count()  # later plans see the layout only once the rows are kept
+    return kept
 
 
 def margins(features: DataFrame, labels: DataFrame, weights: DataFrame) -> DataFrame:

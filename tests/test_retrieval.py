@@ -49,6 +49,15 @@ def test_random_fusion_is_a_distribution_and_repeats(spark):
     assert dict(again.collect()) == pytest.approx(dict(got.select("doc", "score").collect()))
 
 
+def test_gamma_draws_have_the_right_moments():
+    import numpy as np
+
+    key = np.arange(200_000, dtype=np.uint64) * np.uint64(2654435761)
+    for shape in (0.3, 1.0):
+        x = retrieval._gamma(np.full(len(key), shape), key)
+        assert abs(x.mean() - shape) < 0.01 and abs(x.var() - shape) < 0.03
+
+
 def test_repeated_document_keeps_the_last_score(spark):
     run = spark.createDataFrame(
         [(1, 1, 5, 1, -3.0), (1, 1, 5, 2, -4.0)], "user_id int, query_id int, doc long, orig_rank int, rel double"
