@@ -15,16 +15,20 @@ STEPS, TOPIC_STEPS = 10, 5
 VARIANTS = [f"C{i:02d}" for i in range(1, 11)]
 
 
+def edges(v: Views) -> DataFrame:
+    return saved(v, "edges", v.edges)
+
+
 def global_ranks(v: Views, dangling: str = "reference") -> DataFrame:
     return saved(
         v, f"ranks-{dangling}",
-        lambda: graph.pagerank_global(v.nodes(), v.edges(), iterations=STEPS, dangling=dangling),
+        lambda: graph.pagerank_global(v.nodes(), edges(v), iterations=STEPS, dangling=dangling),
     )
 
 
 def topic_ranks(v: Views) -> DataFrame:
     return saved(
-        v, "topic-ranks", lambda: graph.pagerank_topic(v.nodes(), v.edges(), v.doc_topics(), iterations=TOPIC_STEPS)
+        v, "topic-ranks", lambda: graph.pagerank_topic(v.nodes(), edges(v), v.doc_topics(), iterations=TOPIC_STEPS)
     )
 
 
@@ -57,15 +61,15 @@ def _step_distance(v: Views) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "row_normalise_edges": Query(lambda v: rounded(graph.row_normalise_edges(v.edges())), sql.ROW_NORMALISE),
-    "dangling_nodes": Query(lambda v: graph.dangling_nodes(v.nodes(), v.edges()), sql.DANGLING),
+    "row_normalise_edges": Query(lambda v: rounded(graph.row_normalise_edges(edges(v))), sql.ROW_NORMALISE),
+    "dangling_nodes": Query(lambda v: graph.dangling_nodes(v.nodes(), edges(v)), sql.DANGLING),
     "topic_teleport": Query(lambda v: rounded(graph.topic_teleport(v.doc_topics()), 12), sql.TELEPORT),
     "topic_doc_group": Query(
         lambda v: v.doc_topics().groupBy("topic").agg(F.count(F.lit(1)).alias("docs")), sql.TOPIC_GROUP
     ),
     "spmv_join": Query(
         lambda v: rounded(
-            graph.row_normalise_edges(v.edges())
+            graph.row_normalise_edges(edges(v))
             .join(graph.topic_teleport(v.doc_topics()).groupBy(F.col("doc").alias("src")).agg(F.sum("p").alias("x")), "src")
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("p") * F.col("x")).alias("y")),
@@ -78,7 +82,7 @@ QUERIES: dict[str, Query] = {
         lambda v: rounded(global_ranks(v, "uniform"), 12), sql.global_result(STEPS, "uniform")
     ),
     "pagerank_converged": Query(
-        lambda v: rounded(graph.pagerank_global(v.nodes(), v.edges()), 12), sql.CONVERGED
+        lambda v: rounded(graph.pagerank_global(v.nodes(), edges(v)), 12), sql.CONVERGED
     ),
     "pagerank_topic": Query(lambda v: rounded(topic_ranks(v), 12), sql.topic_result(TOPIC_STEPS)),
     "pagerank_query": Query(lambda v: rounded(by_query(v), 12), sql.mixture_result("query_mix", TOPIC_STEPS)),
