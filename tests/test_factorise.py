@@ -124,3 +124,11 @@ def test_start_values_are_reproducible(spark):
     ids = spark.range(4)
     first, again = mf.start_factors(ids, ids, 3), mf.start_factors(ids.repartition(3), ids, 3)
     assert sorted(first.collect()) == sorted(again.collect())
+
+
+def test_alternating_least_squares_ranks_seen_pairs(spark):
+    rows = [(u, i, 5.0 if (u + i) % 2 else 1.0) for u in range(6) for i in range(6)]
+    table = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    got = {(r.user_id, r.item_id): r.score for r in mf.mf_als(table, table, latent=2, lmd=0.01).collect()}
+    assert len(got) == 36 and min(got.values()) == 1.0 and max(got.values()) == 5.0
+    assert all((got[u, i] > 3) == (r > 3) for u, i, r in rows)

@@ -99,3 +99,10 @@ def test_classifier_separates_clear_classes(spark):
     assert fit.predictions.filter("p_true <= 0.5").count() == 0
     losses = [r.loss for r in fit.trace.orderBy("iter").collect()]
     assert losses[-1] < losses[0]
+
+
+def test_word2vec_keeps_frequent_words(spark):
+    rows = [(i, ["red", "blue", "green", f"rare{i}"]) for i in range(6)]
+    docs_table = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    got = {r.word: len(r.v) for r in embedding.word2vec_train(docs_table, dim=5, min_count=3).collect()}
+    assert got == {"red": 5, "blue": 5, "green": 5}
