@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import chunks, file_content
+from rankloom.llm.common import file_content, text_slices
 from rankloom.llm.prescan import Slices, library_symbols
 
 
@@ -31,36 +32,107 @@ class Vocabulary:
         self.single = [self.ranks.get(bytes([i])) for i in range(256)]
         if None in self.single:
             raise ValueError("the vocabulary lacks single bytes")
-        self.pairs: dict[tuple[int, int], int] = {}
+
+    @cached_property
+    def pairs(self) -> dict[tuple[int, int], int]:
+        found = {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    self.pairs[left, right] = rank
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token: the pair of lowest rank merges first, the leftmost of equals."""
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        ids = [self.single[b] for b in piece]
-        return self._merge_long(ids) if len(ids) > 48 else self._merge_short(ids)
-
-    def _merge_short(self, ids: list[int]) -> list[int]:
-        find, far = self.pairs.get, len(self.tokens)
-        ranks = [find(pair, far) for pair in zip(ids, ids[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == far:
+                    found[left, right] = rank
+        return found
+
+    @cached_property
+    def _slots(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """Open addressing for the ranks of pairs: (keys, ranks, longest probe)."""
+        pairs = np.array(list(self.pairs), np.int64).reshape(-1, 2)
+        ranks = np.fromiter(self.pairs.values(), np.int64, len(pairs))
+        keys = pairs[:, 0] * len(self.tokens) + pairs[:, 1]
+        size = 1 << max(4, int(3 * len(keys)).bit_length())
+        held, found = np.full(size, -1), np.zeros(size, np.int64)
+        todo, probes = np.arange(len(keys)), 0
+        while len(todo):
+            at = (_slot(keys[todo], size) + probes) % size
+            free = held[at] < 0
+            held[at[free]] = keys[todo[free]]  # of several the last stays
+            placed = held[at] == keys[todo]
+            found[at[placed]] = ranks[todo[placed]]
+            todo, probes = todo[~placed], probes + 1
+        return held, found, probes
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair; the number of tokens where there is none."""
+        held, found, probes = self._slots
+        keys = left * len(self.tokens) + right
+        out = np.full(len(keys), len(self.tokens))
+        todo, at = np.arange(len(keys)), _slot(keys, len(held))
+        for _ in range(probes):
+            there = held[at]
+            same = there == keys[todo]
+            out[todo[same]] = found[at[same]]
+            on = ~same & (there >= 0)
+            todo, at = todo[on], (at[on] + 1) % len(held)
+            if not len(todo):
                 break
-            i = ranks.index(best)
-            ids[i : i + 2] = [best]
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = find((best, ids[i + 1]), far)
-            if i:
-                ranks[i - 1] = find((ids[i - 1], best), far)
-        return ids
+        return out
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of pre-tokens: the pair of lowest rank merges first, the leftmost of equals.
+
+        All pieces of moderate length make one merge a round, together.
+        """
+        out: list[bytes] = [b""] * len(pieces)
+        open_pieces = []
+        for i, piece in enumerate(pieces):
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                out[i] = _pack([whole])
+            elif len(piece) > 64:
+                out[i] = _pack(self._merge_long([self.single[b] for b in piece]))
+            else:
+                open_pieces.append(i)
+        if not open_pieces:
+            return out
+        raw = np.frombuffer(b"".join([pieces[i] for i in open_pieces]), np.uint8)
+        ids = np.array(self.single, np.int64)[raw]
+        word = np.repeat(np.arange(len(open_pieces)), [len(pieces[i]) for i in open_pieces])
+        far = len(self.tokens)
+        rank = np.full(len(ids), far)
+        inner = np.flatnonzero(word[:-1] == word[1:])
+        rank[inner] = self.pair_ranks(ids[inner], ids[inner + 1])
+        done = []
+        while len(ids):
+            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            counts = np.diff(starts, append=len(ids))
+            best = np.repeat(np.minimum.reduceat(rank, starts), counts)
+            ended = best == far
+            if ended.any():
+                done.append((word[ended], ids[ended]))
+                ids, word, rank, best = ids[~ended], word[~ended], rank[~ended], best[~ended]
+                if not len(ids):
+                    break
+            at = np.flatnonzero(rank == best)
+            at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])]
+            ids[at] = rank[at]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            at = at - np.arange(len(at))  # one token fewer for every merge before
+            ids, word = ids[keep], word[keep]
+            rank = rank[keep]
+            rank[at] = far
+            after = at[(at + 1 < len(ids)) & (word[np.minimum(at + 1, len(ids) - 1)] == word[at])]
+            before = at[(at > 0) & (word[at - 1] == word[at])] - 1
+            for place in (after, before):
+                rank[place] = self.pair_ranks(ids[place], ids[place + 1])
+        word = np.concatenate([w for w, _ in done])
+        ids = np.concatenate([x for _, x in done])
+        order = np.argsort(word, kind="stable")
+        packed = ids[order].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(word, minlength=len(open_pieces)))).tolist()
+        for i, a, b in zip(open_pieces, [0, *ends], ends):
+            out[i] = packed[a:b]
+        return out
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same order by a heap over a linked list, for pre-tokens of any length."""
@@ -83,18 +155,42 @@ class Vocabulary:
         return [x for x in ids if x >= 0]
 
 
-class Encoder(dict):
-    """Packed ids of the pre-tokens met so far, by their bytes; emptied when it is full."""
+def _slot(keys: np.ndarray, size: int) -> np.ndarray:
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(32)).astype(np.int64) & (size - 1)
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Encoder:
+    """Packed ids of the pre-tokens met of late, by their bytes.
+
+    When half of the entries are new, the older half goes, so frequent pre-tokens stay.
+    """
 
     def __init__(self, vocabulary: Vocabulary, most: int):
-        self.vocabulary, self.most = vocabulary, most
-
-    def __missing__(self, piece: bytes) -> bytes:
-        packed = np.array(self.vocabulary.merge(piece), "<u4").tobytes()
-        if len(piece) <= 256:  # the cache's size in bytes is bounded too
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = packed
+        self.vocabulary, self.half = vocabulary, most // 2
+        self.newer: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        packed = list(map(self.newer.get, pieces))
+        missed = [i for i, x in enumerate(packed) if x is None]
+        found = dict.fromkeys([pieces[i] for i in missed])
+        new = []
+        for piece in found:
+            found[piece] = self.older.get(piece)
+            if found[piece] is None:
+                new.append(piece)
+        found.update(zip(new, self.vocabulary.merge_all(new)))
+        for i in missed:
+            packed[i] = found[pieces[i]]
+        if len(self.newer) + len(found) > self.half:
+            self.older, self.newer = self.newer, {}
+        # the cache's size in bytes is bounded too
+        self.newer.update((p, x) for p, x in found.items() if len(p) <= 256)
         return packed
 
 
@@ -111,7 +207,7 @@ def _encoder(content: bytes, most: int) -> Encoder:
 
 def encode_texts(texts: list[str], encoder: Encoder, table: np.ndarray) -> list[bytes]:
     slices = Slices(texts, table)
-    packed = list(map(encoder.__getitem__, slices.pieces()))
+    packed = encoder.encode(slices.pieces())
     return [b"".join(packed[a:b]) for a, b in zip(slices.first.tolist(), slices.last.tolist())]
 
 
@@ -124,10 +220,11 @@ def token_starts(ids: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
 def decode_ids(ids: np.ndarray, starts: np.ndarray, vocabulary: Vocabulary) -> bytes:
     """Every token's bytes put at its offset; a gap or overlap of the offsets is an error."""
     lengths = vocabulary.lengths[ids]
+    starts = starts.astype(np.int64)
     if not np.array_equal(starts, np.cumsum(lengths) - lengths):
         raise ValueError("the offsets don't fit the ids")
-    total = int(lengths.sum())
-    source = np.repeat(vocabulary.places[ids] - starts, lengths) + np.arange(total)
+    source = np.repeat(vocabulary.places[ids] - starts, lengths)
+    source += np.arange(len(source))
     return vocabulary.blob[source].tobytes()
 
 
@@ -149,9 +246,8 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value, cache_entries)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in chunks([len(t) for t in texts]):
-                packed = encode_texts(texts[a:b], encoder, table.value)
+            for a, b, texts in text_slices(batch.column(1)):
+                packed = encode_texts(texts, encoder, table.value)
                 starts = [
                     token_starts(np.frombuffer(x, "<u4"), encoder.vocabulary).astype("<u4").tobytes() for x in packed
                 ]
@@ -176,17 +272,13 @@ def decode(df: DataFrame, ranks_path: str, id: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(content.value)
         for batch in batches:
-            ids, starts = batch.column(2), batch.column(3)
-            for a, b in chunks([len(x.as_buffer() or b"") for x in ids]):
+            for a, b, ids in text_slices(batch.column(2)):
+                starts = batch.column(3)[a:b].to_pylist()
                 out = [
-                    decode_ids(
-                        np.frombuffer(x.as_buffer() or b"", "<u4").astype(np.int64),
-                        np.frombuffer(s.as_buffer() or b"", "<u4").astype(np.int64),
-                        vocabulary,
-                    )
-                    for x, s in zip(ids[a:b], starts[a:b])
+                    decode_ids(np.frombuffer(x or b"", "<u4"), np.frombuffer(s or b"", "<u4"), vocabulary)
+                    for x, s in zip(ids, starts)
                 ]
-                columns = [batch.column(0)[a:b], batch.column(1)[a:b], ids[a:b], pa.array(out, pa.binary())]
+                columns = [batch.column(0)[a:b], batch.column(1)[a:b], batch.column(2)[a:b], pa.array(out, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids", "decoded"])
 
     rows = df.select(F.col(id).alias("id"), "n_tokens", "ids", "starts")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +33,12 @@ def chunks(sizes: Sequence[int], limit: int = CHUNK_CHARS) -> Iterator[tuple[int
         yield start, len(sizes)
 
 
+def text_slices(column: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int, list]]:
+    """(first row, end, values) of a text or binary column, about ``limit`` bytes at a time."""
+    for a, b in chunks(pc.binary_length(column).to_pylist(), limit):
+        yield a, b, column[a:b].to_pylist()
+
+
 def file_content(path: str, most: int = 64 << 20) -> bytes:
     """A vocabulary file, read once by the driver and broadcast; its size is checked."""
     with open(path, "rb") as source:
@@ -38,3 +46,8 @@ def file_content(path: str, most: int = 64 << 20) -> bytes:
     if len(content) > most:
         raise ValueError(f"{path} is larger than {most} bytes")
     return content
+
+
+def broadcast_if_small(rows: DataFrame, most: int) -> DataFrame:
+    """Marked for a broadcast if it has at most ``most`` rows, which are counted; else as it is."""
+    return F.broadcast(rows) if rows.count() <= most else rows

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import chunks, file_content
+from rankloom.llm.common import file_content, text_slices
 from rankloom.llm.prescan import Slices, library_symbols
 
 _MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
@@ -183,9 +183,8 @@ def frequent_pretokens(df: DataFrame, content: bytes, size: int, text: str = "te
         special = _special(_library(held.value))
         kept: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in chunks([len(t) for t in texts]):
-                low, high, length = packed_keys(Slices(_plain(texts[a:b], special)[0], table.value))
+            for _, _, texts in text_slices(batch.column(0)):
+                low, high, length = packed_keys(Slices(_plain(texts, special)[0], table.value))
                 short = length <= 16
                 ones = np.ones(int(short.sum()), np.int64)
                 chunk = _merged([(low[short], high[short], length[short], ones)], 4 * per_task)
@@ -238,9 +237,8 @@ def count_tokens(
         counter = _counter(held.value, cache_entries)
         special = _special(counter.library)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in chunks([len(t) for t in texts]):
-                parts, owners, tokens = _plain(texts[a:b], special)
+            for a, b, texts in text_slices(batch.column(1)):
+                parts, owners, tokens = _plain(texts, special)
                 slices = Slices(parts, table.value)
                 counts = tier.value.find(*packed_keys(slices))
                 missed = np.flatnonzero(counts == 0)
@@ -250,7 +248,7 @@ def count_tokens(
                 counts[missed] = [known[p] for p in pieces]
                 before = np.concatenate([[0], np.cumsum(counts)])
                 np.add.at(tokens, owners, before[slices.last] - before[slices.first])
-                n_bytes = [len(t.encode()) for t in texts[a:b]]
+                n_bytes = [len(t.encode()) for t in texts]
                 columns = [batch.column(0)[a:b], pa.array(n_bytes, pa.int64()), pa.array(tokens)]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n_bytes", "n_tokens"])
 
