@@ -95,8 +95,8 @@ def benchmark_windows(spark: SparkSession, folder: str) -> DataFrame:
 def quality_model(documents: DataFrame, labels: DataFrame) -> quality.QualityModel:
     """Fitted on labelled documents that are not held out."""
     held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False))
-    marked = labels.select("doc_id", F.col("quality").alias("label"))
-    return quality.train(documents.filter(~held_out).select("doc_id", "text").join(marked, "doc_id"))
+    marked = labels.filter(~held_out).select("doc_id", F.col("quality").alias("label"))
+    return quality.train(documents, marked)
 
 
 def document_quality(spark: SparkSession, folder: str) -> DataFrame:

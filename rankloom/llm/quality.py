@@ -12,6 +12,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,22 +26,21 @@ PARTS = 3  # a word's letters, signs and shape
 
 
 class WordParts(dict):
-    """Buckets of a word's letters, signs and shape, by its bytes; emptied when it is full."""
+    """Buckets of a word's letters, signs and shape in one number, by its bytes; emptied when it is full."""
 
     def __init__(self, buckets: int, most: int = 300_000):
         self.buckets, self.most = buckets, most
 
-    def __missing__(self, word: bytes) -> tuple[int, int, int]:
+    def __missing__(self, word: bytes) -> int:
         text = word.decode()
         letters = "".join(c for c in text if c.isalpha())
         signs = "".join(c for c in text if not c.isalnum())
         size = len(letters)
         case = "none" if not size else "upper" if letters.isupper() and size > 1 else "title" if letters[0].isupper() else "lower"
         shape = f"{case} {min(size, 8)} {any(c.isdigit() for c in text)}"
-        found = tuple(
-            zlib.crc32(part.encode()) % self.buckets
-            for part in ("w" + letters.lower(), "s" + signs[:8], "f" + shape)
-        )
+        found = 0
+        for part in ("w" + letters.lower(), "s" + signs[:8], "f" + shape):
+            found = found * self.buckets + zlib.crc32(part.encode()) % self.buckets
         if len(word) <= 128:
             if len(self) >= self.most:
                 self.clear()
@@ -57,9 +57,9 @@ def _buckets(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(bucket numbers of all words of all texts, words of each text)."""
     words = [t.encode().split() for t in texts]
     counts = np.fromiter(map(len, words), np.int64, len(words))
-    find = _parts(buckets).__getitem__
-    found = [p for some in words for p in map(find, some)]
-    return np.array(found, np.int64).reshape(-1, PARTS), counts
+    every = list(chain.from_iterable(words))
+    found = np.fromiter(map(_parts(buckets).__getitem__, every), np.int64, len(every))
+    return np.stack([found // buckets**2, found // buckets % buckets, found % buckets], axis=1), counts
 
 
 def index_vectors(buckets: int, size: int, entries: int = 6, seed: int = 7) -> np.ndarray:
@@ -171,6 +171,7 @@ def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 def train(
     df: DataFrame,
+    labels: DataFrame,
     id: str = "doc_id",
     text: str = "text",
     label: str = "label",
@@ -182,23 +183,20 @@ def train(
     epochs: int = 30,
     seed: int = 7,
 ) -> QualityModel:
-    """Fit on at most ``sample_rows`` labelled rows, those of the smallest id hashes, with their whole texts.
+    """Fit on the documents of at most ``sample_rows`` labelled ids, those of the smallest hashes, with their whole texts.
 
-    Rows with a null text or label are left out; labels are 0 or 1. Word vectors
-    are added up in tasks; the driver receives one sum a task and one pooled vector
-    a sampled row. A fifth of the sample sets the temperature only. Without rows
-    of both labels the score is the share of label 1 (0.5 without rows).
+    ``labels`` has an id and a label, 0 or 1; null ids and labels are left out, of
+    several labels of an id the greatest counts, and null texts teach nothing. Word
+    vectors are added up in tasks; the driver receives one sum a task and one pooled
+    vector a sampled row. A fifth of the sample sets the temperature only. Without
+    rows of both labels the score is the share of label 1 (0.5 without rows).
     """
-    spark = df.sparkSession
-    rows = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).select(
-        F.xxhash64(F.col(id).cast("string")).alias("h"), F.col(text).alias("text"), F.col(label).cast("int").alias("y")
-    )
-    # the bound first, on hashes alone, so that only sampled texts move
-    last = rows.select("h").orderBy("h").limit(sample_rows).agg(F.max("h").alias("h"), F.count("h").alias("n")).first()
+    marked = labels.filter(F.col(id).isNotNull() & F.col(label).isNotNull())
+    marked = marked.groupBy(F.col(id).alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
+    chosen = marked.withColumn("h", F.xxhash64(F.col("id").cast("string"))).orderBy("h", "id").limit(sample_rows)
+    rows = df.filter(F.col(text).isNotNull()).select(F.col(id).alias("id"), F.col(text).alias("text"))
+    sample = rows.join(F.broadcast(stash(chosen, "quality-ids")), "id").select("h", "y", "text")  # at most sample_rows ids
     tasks = 8
-    # where the bound is reached, the last hash goes, as rows may share it
-    within = F.col("h") <= F.lit(last["h"]) if last["n"] < sample_rows else F.col("h") < F.lit(last["h"])
-    sample = rows.filter(within)
     kept = stash(sample.repartition(tasks, "h"), "quality-sample")
     index = index_vectors(buckets, size, seed=seed)
 
@@ -210,7 +208,7 @@ def train(
         yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["sums"])
 
     vectors = np.zeros((buckets, size), np.float32)
-    for row in kept.select("text").mapInArrow(sums, "sums binary").toLocalIterator():
+    for row in kept.select("text").mapInArrow(sums, "sums binary").collect():  # one row a task
         vectors += np.frombuffer(row["sums"], np.float32).reshape(buckets, size)
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors = (index / np.linalg.norm(index, axis=1, keepdims=True) + vectors / np.maximum(norm, 1)).astype(np.float32)
