@@ -10,7 +10,7 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm.common import file_content, text_slices
@@ -229,13 +229,18 @@ def decode_ids(ids: np.ndarray, starts: np.ndarray, vocabulary: Vocabulary) -> b
 
 
 def encode(
-    df: DataFrame, ranks_path: str, id: str = "doc_id", text: str = "text", cache_entries: int = 400_000
+    df: DataFrame,
+    ranks_path: str,
+    id: str = "doc_id",
+    text: str = "text",
+    keep: tuple[Column, ...] = (),
+    cache_entries: int = 400_000,
 ) -> DataFrame:
-    """Token ids of every whole text: (id, n_tokens, ids, starts), one row for each row.
+    """Token ids of every whole text: (id, *keep, n_tokens, ids, starts), one row for each row.
 
     ``ids`` and ``starts`` (each token's byte offset) are little-endian unsigned
     32-bit integers. A null text is empty and has no tokens; null ids and repeated
-    rows stay; other columns are left out, whatever their names. No row depends on
+    rows stay; columns not named in ``keep`` are left out. No row depends on
     another, so nothing is shuffled. A worker keeps the merges of at most
     ``cache_entries`` pre-tokens.
     """
@@ -252,17 +257,19 @@ def encode(
                     token_starts(np.frombuffer(x, "<u4"), encoder.vocabulary).astype("<u4").tobytes() for x in packed
                 ]
                 counts = pa.array([len(x) // 4 for x in packed], pa.int64())
-                columns = [batch.column(0)[a:b], counts, pa.array(packed, pa.binary()), pa.array(starts, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids", "starts"])
-
-    rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    coded = rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary, starts binary")
+                rest = [batch.column(i)[a:b] for i in range(2, 2 + len(others))]
+                columns = [batch.column(0)[a:b], *rest, counts, pa.array(packed, pa.binary()), pa.array(starts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", *others, "n_tokens", "ids", "starts"])
+
+    rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *keep)
+    others = rows.columns[2:]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text"]
+    coded = rows.mapInArrow(run, ", ".join([*fields, "n_tokens long", "ids binary", "starts binary"]))
     return coded.withColumnRenamed("id", id)
 
 
-def decode(df: DataFrame, ranks_path: str, id: str = "doc_id") -> DataFrame:
-    """Bytes of encoded rows: (id, n_tokens, ids, decoded), from ``ids`` and ``starts``.
+def decode(df: DataFrame, ranks_path: str, id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Bytes of encoded rows: (id, *keep, n_tokens, ids, decoded), from ``ids`` and ``starts``.
 
     Null ids decode to nothing (empty bytes).
     """
@@ -278,10 +285,11 @@ def decode(df: DataFrame, ranks_path: str, id: str = "doc_id") -> DataFrame:
                     decode_ids(np.frombuffer(x or b"", "<u4"), np.frombuffer(s or b"", "<u4"), vocabulary)
                     for x, s in zip(ids, starts)
                 ]
-                columns = [batch.column(0)[a:b], batch.column(1)[a:b], batch.column(2)[a:b], pa.array(out, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids", "decoded"])
+                same = [c[a:b] for i, c in enumerate(batch.columns) if i != 3]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(out, pa.binary())], names)
 
-    rows = df.select(F.col(id).alias("id"), "n_tokens", "ids", "starts")
-    kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary, decoded binary")
+    rows = df.select(F.col(id).alias("id"), "n_tokens", "ids", "starts", *keep)
+    names = [*(c for c in rows.columns if c != "starts"), "decoded"]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "starts"]
+    out = rows.mapInArrow(run, ", ".join([*fields, "decoded binary"]))
     return out.withColumnRenamed("id", id)
