@@ -82,7 +82,10 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 
 def unit_bigrams(rows: DataFrame, frequent: list[bytes], endings: int) -> DataFrame:
-    """(first, second, fold, n) of neighbouring units; ``rows`` has ``text`` and ``fold`` (0 or 1)."""
+    """(pair, n) of neighbouring units; ``rows`` has ``text`` and ``fold`` (0 or 1).
+
+    A pair is ``(first * units + second) * 2 + fold``.
+    """
     sc = rows.sparkSession.sparkContext
     held_words = sc.broadcast(frequent)
     size = len(frequent) + endings + 1
@@ -102,11 +105,10 @@ def unit_bigrams(rows: DataFrame, frequent: list[bytes], endings: int) -> DataFr
                 weight = np.ones(len(inverse))
                 weight[: len(sums)] = sums
                 keys, sums = new, np.bincount(inverse, weight, len(new)).astype(np.int64)
-        out = [keys // 2 // size, keys // 2 % size, keys % 2, sums]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["first", "second", "fold", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["pair", "n"])
 
-    counted = rows.select("text", "fold").mapInArrow(run, "first long, second long, fold long, n long")
-    return counted.groupBy("first", "second", "fold").agg(F.sum("n").alias("n"))
+    counted = rows.select("text", "fold").mapInArrow(run, "pair long, n long")
+    return counted.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def exchange(first: np.ndarray, second: np.ndarray, n: np.ndarray, size: int, classes: int, sweeps: int) -> np.ndarray:
@@ -196,8 +198,8 @@ def _share(transition: np.ndarray, emission: np.ndarray, unigram: float, held: n
 def train(
     rows: DataFrame,
     counts: DataFrame,
-    unit_words: int = 3000,
-    endings: int = 512,
+    unit_words: int = 1200,
+    endings: int = 200,
     classes: int = 64,
     sweeps: int = 5,
     table_words: int = 100_000,
@@ -205,7 +207,7 @@ def train(
     """Fit on all ``rows`` (text, fold); ``counts`` are their stored word counts.
 
     The parameters bound what reaches the driver: ``table_words`` words with counts,
-    ``(unit_words + endings + 1)**2`` unit pairs and ``classes`` sums. They choose how
+    ``2 * (unit_words + endings + 1)**2`` unit pairs and ``classes`` sums. They choose how
     finely frequent words are told apart; every word has a unit, a class and its exact count.
     """
     top = counts.orderBy(F.desc("n"), "word").limit(table_words).collect()
@@ -213,11 +215,12 @@ def train(
     tokens, kinds = totals["tokens"] or 0, totals["kinds"]
     words = [bytes(r["word"]) for r in top]
     frequent = [w for w in words if w != END][:unit_words]
-    pairs = unit_bigrams(rows, frequent, endings).toPandas()
-    first, second, fold, n = (pairs[c].to_numpy(np.int64) for c in ("first", "second", "fold", "n"))
+    pairs = unit_bigrams(rows, frequent, endings).toArrow()
+    pair, n = (pairs[c].to_numpy().astype(np.int64) for c in ("pair", "n"))
+    order = np.argsort(pair)
+    pair, n = pair[order], n[order].astype(float)
     size = len(frequent) + endings + 1
-    order = np.lexsort((fold, second, first))
-    first, second, fold, n = first[order], second[order], fold[order], n[order].astype(float)
+    first, second, fold = pair // 2 // size, pair // 2 % size, pair % 2
     classes_of = exchange(first, second, n, size, classes, sweeps)
 
     # words and tokens of every class, from the counts themselves
