@@ -93,7 +93,7 @@ def unit_bigrams(rows: DataFrame, frequent: list[bytes], endings: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = Units(held_words.value, endings)
         find = units.__getitem__
-        keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        sums = np.zeros(2 * size * size, np.int64)
         for batch in batches:
             folds = batch.column(1).to_numpy(zero_copy_only=False)
             for a, b, texts in text_slices(batch.column(0)):
@@ -101,11 +101,9 @@ def unit_bigrams(rows: DataFrame, frequent: list[bytes], endings: int) -> DataFr
                 for text, fold in zip(texts, folds[a:b].tolist()):
                     unit = np.array([size - 1, *map(find, words_of(text)), size - 1], np.int64)
                     parts.append((unit[:-1] * size + unit[1:]) * 2 + fold)
-                new, inverse = np.unique(np.concatenate([keys, *parts]), return_inverse=True)
-                weight = np.ones(len(inverse))
-                weight[: len(sums)] = sums
-                keys, sums = new, np.bincount(inverse, weight, len(new)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["pair", "n"])
+                sums += np.bincount(np.concatenate(parts), minlength=len(sums))
+        full = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(sums[full])], ["pair", "n"])
 
     counted = rows.select("text", "fold").mapInArrow(run, "pair long, n long")
     return counted.groupBy("pair").agg(F.sum("n").alias("n"))
