@@ -6,8 +6,9 @@ of them, because two signatures that agree in ``matches`` of ``coordinates`` pla
 must meet in the first ``coordinates - matches + 1`` under any common order. Lists
 are worked off in two steps. First every list compares its members with one hub, so
 groups of copies fall together with one comparison a member. Then lists whose members
-are not yet in one component compare what remains, in blocks. Signatures of enough
-equal places are confirmed on the full shingle sets.
+are not yet in one component compare what remains, in blocks, and pass on only links
+that join components; two nodes that meet in several lists are compared in the first.
+Signatures of enough equal places are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -71,16 +72,21 @@ def _described(df: DataFrame, kind: str, words: int, coordinates: int) -> DataFr
     return df.mapInArrow(run, f"id {kind}, n_shingles long, d1 long, d2 long, sign array<int>, code binary")
 
 
-def _posts(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """(coordinate, value, node) under the rarest shared values that can decide."""
-    every = nodes.select("node", F.posexplode("sign").alias("coordinate", "value"))
-    shared = every.groupBy("coordinate", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = every.join(shared, ["coordinate", "value"])
+def _prefixes(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
+    """(node, tokens): the rarest shared coordinate values that can decide, rarest first.
+
+    A token holds the coordinate and the value, exactly.
+    """
+    token = F.call_function("shiftleft", F.col("coordinate").cast("long"), F.lit(32)).bitwiseOR(
+        F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+    )
+    every = nodes.select("node", F.posexplode("sign").alias("coordinate", "value")).select("node", token.alias("token"))
+    shared = every.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = every.join(shared, "token")
     # values of no other node come first in the order and need no list
-    own = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "coordinate", "value"))).alias("v"))
+    own = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("v"))
     count = F.size("v") - matches + 1
-    first = own.filter(count > 0).select("node", F.explode(F.slice("v", F.lit(1), count)).alias("v"))
-    return first.select("v.coordinate", "v.value", "node")
+    return own.filter(count > 0).select("node", F.slice("v.token", F.lit(1), count).alias("tokens"))
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, matches: int, percent: int) -> DataFrame:
@@ -103,11 +109,9 @@ def _alike(pairs: DataFrame, nodes: DataFrame, matches: int, percent: int) -> Da
     return sized.select("a", "b", "c_a", "c_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets have the similarity."""
-    kind = pairs.schema["a"].dataType.simpleString()
-    pairs = stash(pairs, "near-pairs")
-    wanted = stash(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
+def _sets(texts: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) of the documents of the given ids, stored."""
+    kind = ids.schema["id"].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,16 +119,26 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
                 sets = pa.array([s.tobytes() for s in shingle_sets(some, words)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], sets], ["id", "shingles"])
 
+    wanted = stash(ids.distinct(), "near-ids")
     needed = texts.join(broadcast_if_small(wanted, 4_000_000), "id", "left_semi")
-    sets = stash(needed.mapInArrow(make, f"id {kind}, shingles binary"), "near-sets")
+    return stash(needed.mapInArrow(make, f"id {kind}, shingles binary"), "near-sets")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs whose full shingle sets have the similarity."""
+    kind = pairs.schema["a"].dataType.simpleString()
+    pairs = stash(pairs, "near-pairs")
+    sets = _sets(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")), words)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both) and both > 0)
+            sides = zip(batch.column(2), batch.column(3))
+            keep = [_similar(*(np.frombuffer(v.as_buffer(), np.uint64) for v in both), percent) for both in sides]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def side(name: str) -> DataFrame:
@@ -166,50 +180,75 @@ def _sum(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), mixed).first())
 
 
+class _Group:
+    """Rows of one list and block pair, and the links among them that join components."""
+
+    def __init__(self, token: int, matches: int, percent: int):
+        self.token, self.matches, self.percent = token, matches, percent
+        self.columns: list[tuple] = []
+
+    def links(self) -> Iterator[tuple[int, int]]:
+        node, component, size, left, right = (np.concatenate([c[i] for c in self.columns]) for i in range(5))
+        code = np.concatenate([c[5] for c in self.columns])
+        sets = [x for c in self.columns for x in c[6]]
+        earlier = [x for c in self.columns for x in c[7]]  # a row's tokens before this list's
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while x in up:
+                x = up[x]
+            return x
+
+        rows, others = np.flatnonzero(left), np.flatnonzero(right)  # the same rows where a block meets itself
+        for start in range(0, len(rows), 64):
+            some = rows[start : start + 64]
+            n_a, n_b = size[some][:, None], size[others][None, :]
+            good = component[some][:, None] != component[others][None, :]
+            good &= 100 * np.minimum(n_a, n_b) >= self.percent * np.maximum(n_a, n_b)
+            x, y = np.nonzero(good)
+            for cut in range(0, len(x), 50_000):
+                p, q = some[x[cut : cut + 50_000]], others[y[cut : cut + 50_000]]
+                alike = (code[p] == code[q]).sum(axis=1) >= self.matches
+                for i, j in zip(p[alike].tolist(), q[alike].tolist()):
+                    a, b = root(int(component[i])), root(int(component[j]))
+                    if a != b and earlier[i].isdisjoint(earlier[j]) and _similar(sets[i], sets[j], self.percent):
+                        up[max(a, b)] = min(a, b)
+                        yield int(node[i]), int(node[j])
+
+
 def _across(mixed: DataFrame, kind: str, matches: int, percent: int) -> DataFrame:
-    """Pairs of one block pair of a list that lie in different components and agree often enough.
+    """Confirmed links between components in one block pair of a list, as many as join all that are linked there.
 
     Rows come sorted by list and block pair; a group has at most two blocks of nodes.
     """
 
-    def pairs_of(rows: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        node, component, size, code, left, right = (np.concatenate(x) for x in zip(*rows))
-        ia, ib = np.flatnonzero(left), np.flatnonzero(right)
-        for start in range(0, len(ia), 64):
-            some = ia[start : start + 64]
-            n_a, n_b = size[some][:, None], size[ib][None, :]
-            good = (component[some][:, None] != component[ib][None, :]) & (node[some][:, None] < node[ib][None, :])
-            good &= 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-            x, y = np.nonzero(good)
-            if len(x):
-                for cut in range(0, len(x), 50_000):
-                    p, q = some[x[cut : cut + 50_000]], ib[y[cut : cut + 50_000]]
-                    same = (code[p] == code[q]).sum(axis=1) >= matches
-                    if same.any():
-                        yield pa.RecordBatch.from_arrays([pa.array(node[p[same]]), pa.array(node[q[same]])], ["a", "b"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        last = None
+        group, last = None, None
+
+        def found(done: _Group | None) -> Iterator[pa.RecordBatch]:
+            links = list(done.links()) if done else []
+            if links:
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], axis=1)
-            node, component, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5, 6))
+            keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)
+            node, component, size, block = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5, 6))
             code = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(len(node), -1)
-            block = batch.column(8).to_numpy(zero_copy_only=False)
-            left, right = block == keys[:, 2], block == keys[:, 3]
+            sets = [np.frombuffer(x, np.uint64) for x in batch.column(8).to_pylist()]
+            earlier = [frozenset(t[: t.index(own)]) for t, own in zip(batch.column(9).to_pylist(), keys[:, 0].tolist())]
+            left, right = block == keys[:, 1], block == keys[:, 2]
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            edges = [0, *cuts.tolist(), len(node)]
-            for a, b in zip(edges, edges[1:]):
-                key = tuple(keys[a])
-                if key != last and held:
-                    yield from pairs_of(held)
-                    held = []
-                last = key
-                held.append(tuple(x[a:b] for x in (node, component, size, code, left, right)))
-        if held:
-            yield from pairs_of(held)
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(node)]):
+                key = tuple(keys[a].tolist())
+                if key != last:
+                    yield from found(group)
+                    group, last = _Group(key[0], matches, percent), key
+                columns = [x[a:b] for x in (node, component, size, left, right, code, sets, earlier)]
+                group.columns.append(tuple(columns))
+        yield from found(group)
 
     return mixed.mapInArrow(run, f"a {kind}, b {kind}")
 
@@ -242,33 +281,35 @@ def near_duplicates(
         F.first("sign").alias("sign"), F.first("code").alias("code"),
     )
     nodes = stash(groups, "near-nodes")
-    posts = stash(_posts(nodes, coordinates, matches), "near-posts")
+    prefixes = stash(_prefixes(nodes, coordinates, matches), "near-prefixes")
+    posts = prefixes.select("node", F.explode("tokens").alias("token"))
 
-    place = ["coordinate", "value"]
-    hubs = posts.groupBy(*place).agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    hubs = posts.groupBy("token").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     hubs = stash(hubs, "near-hubs")
-    spokes = posts.join(hubs, place).filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    spokes = posts.join(hubs, "token").filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     links = stash(_confirmed(_alike(spokes.distinct(), nodes, matches, percent), rows, words, percent), "near-links")
     found = stash(components(links), "near-components")
 
     # what is left of lists whose members, without the hub, are not all in one component
-    rest = posts.join(hubs.filter("n > 2"), place).filter("node <> hub").drop("n")
+    rest = posts.join(hubs.filter("n > 2"), "token").filter("node <> hub").drop("n")
     rest = rest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = rest.groupBy(*place).agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"))
-    split = stash(split.filter("x <> y").select(*place, "n"), "near-split")
+    split = rest.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"))
+    split = stash(split.filter("x <> y").select("token", "n"), "near-split")
+    left = stash(rest.join(split, "token").select("token", "node", "component", "n"), "near-rest")
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     block = F.pmod(F.xxhash64("node"), blocks)
     every = F.sequence(F.lit(0).cast("long"), blocks - 1)
-    blocked = rest.join(split, place).withColumn("block", block).withColumn("other", F.explode(every))
-    blocked = blocked.join(nodes.select("node", "n_shingles", "code"), "node")
-    keys = ["coordinate", "value", "low", "high"]
-    mixed = blocked.select(
-        *place, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "node", "component", "n_shingles", "code", "block",
+    blocked = left.withColumn("block", block).withColumn("other", F.explode(every))
+    described_nodes = nodes.select("node", "n_shingles", "code").join(prefixes, "node").join(
+        _sets(rows, left.select(F.col("node").alias("id")), words).withColumnRenamed("id", "node"), "node"
+    )
+    keys = ["token", "low", "high"]
+    mixed = blocked.join(described_nodes, "node").select(
+        "token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "node", "component", "n_shingles", "block", "code", "shingles", "tokens",
     )
     mixed = mixed.repartition(*keys).sortWithinPartitions(*keys)
-    late = _across(mixed, kind, matches, percent).distinct()
-    more = stash(_confirmed(late, rows, words, percent), "near-links")
+    more = stash(_across(mixed, kind, matches, percent), "near-links")
     stars = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
     final = components(stars.unionByName(more))
 
