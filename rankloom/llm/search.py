@@ -1,12 +1,12 @@
 """Exact BM25 top-k: a sharded inverted index searched with block-max pruning.
 
 Rows are dealt into shards of a stated size. A task builds the inverted index of its
-shard and then reads all queries, each with its terms' global weights, in batches.
-Within a shard a query works off its terms from the largest possible contribution
-down. Once the terms that are left cannot lift an unseen row to the k-th score, only
-rows met so far remain (the pivot); of those, rows whose score and block maxima of the
-remaining terms stay below it are passed over, and the others are scored in full.
-Weights are global, so the shards' lists merge to the exact result.
+shard and then reads all queries, each with its terms' global weights, in batches. The
+rows of a shard are ordered by length and cut into blocks; for every block the index
+has each term's largest impact. A batch of queries goes through the blocks from the
+most to the least promising one. A block is scored only for those queries whose block
+maxima reach their k-th best score so far, which rises as blocks are scored. Weights
+are global, so the shards' lists merge to the exact result.
 """
 
 from __future__ import annotations
@@ -26,84 +26,118 @@ from rankloom.session import stash
 
 K1, B = 1.2, 0.75
 DIGITS = 6  # scores are rounded before they are compared, so that sums in another order tie alike
-BLOCK = 64  # rows of a block of the index
+BLOCK = 256  # rows of a block of the index
+QUERIES = 500  # queries that go through the blocks together
 
 
 class ShardIndex:
-    """Postings of one shard: rows and impacts of every term, and the largest impact of each block and term."""
+    """Postings of one shard, by term; the impacts of frequent terms also as rows of a matrix, with block maxima."""
 
     def __init__(self, texts: list[str], mean_length: float):
+        found = [Counter(words_of(t)) for t in texts]
+        lengths = np.array([sum(f.values()) for f in found], float)
+        self.order = np.argsort(lengths, kind="stable")  # of the index's rows in the given texts
         self.rows = len(texts)
-        numbers: dict[bytes, int] = {}
-        terms, rows, counts, lengths = [], [], [], np.zeros(len(texts))
-        for row, text in enumerate(texts):
-            found = Counter(words_of(text))
-            lengths[row] = sum(found.values())
-            terms += [numbers.setdefault(w, len(numbers)) for w in found]
-            rows += [row] * len(found)
-            counts += found.values()
+        self.numbers: dict[bytes, int] = {}
+        terms, rows, counts = [], [], []
+        for row, place in enumerate(self.order.tolist()):
+            terms += [self.numbers.setdefault(w, len(self.numbers)) for w in found[place]]
+            rows += [row] * len(found[place])
+            counts += found[place].values()
         term, row, n = np.array(terms, np.int64), np.array(rows, np.int64), np.array(counts, float)
-        order = np.lexsort((row, term))
-        term, row, n = term[order], row[order], n[order]
-        self.numbers = numbers
+        by_term = np.lexsort((row, term))
+        term, row, n = term[by_term], row[by_term], n[by_term]
         self.row = row
-        self.impact = n * (K1 + 1) / (n + K1 * (1 - B + B * lengths[row] / max(mean_length, 1e-9)))
-        self.ends = np.searchsorted(term, np.arange(len(numbers) + 1))
-        self.most = np.maximum.reduceat(self.impact, self.ends[:-1]) if len(term) else np.zeros(0)
-        key = term * (self.rows // BLOCK + 1) + row // BLOCK
+        self.impact = n * (K1 + 1) / (n + K1 * (1 - B + B * lengths[self.order][row] / max(mean_length, 1e-9)))
+        self.ends = np.searchsorted(term, np.arange(len(self.numbers) + 1))
+        self.blocks = -(-self.rows // BLOCK)
+        sizes = np.diff(self.ends)
+        frequent = np.flatnonzero(sizes >= max(16, self.rows // 64))
+        frequent = frequent[np.argsort(-sizes[frequent], kind="stable")][:1000]
+        self.place = np.full(len(self.numbers), -1)
+        self.place[frequent] = np.arange(len(frequent))
+        self.exact = np.zeros((len(frequent), self.blocks * BLOCK))
+        for i, t in enumerate(frequent.tolist()):
+            span = slice(self.ends[t], self.ends[t + 1])
+            self.exact[i, self.row[span]] = self.impact[span]
+        self.matrix = self.exact.astype(np.float32)
+        self.most = self.matrix.reshape(len(frequent), self.blocks, BLOCK).max(axis=2) if self.rows else self.matrix
+        self.scored = 0  # pairs of a query and a block whose rows were scored
+
+    def _rare(self, query: np.ndarray, term: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query * rows + row, score) of all rows that hold a query's rare terms, in order."""
+        size = self.ends[term + 1] - self.ends[term]
+        at = np.repeat(self.ends[term] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        key = np.repeat(query, size) * (self.blocks * BLOCK) + self.row[at]
+        value = self.impact[at] * np.repeat(weight, size)
+        by_key = np.argsort(key, kind="stable")
+        key, value = key[by_key], value[by_key]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        self.block = (row // BLOCK)[first] if len(key) else row
-        self.block_most = np.maximum.reduceat(self.impact, first) if len(key) else self.impact
-        self.block_ends = np.searchsorted(term[first], np.arange(len(numbers) + 1)) if len(key) else self.ends
-
-    def _sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Score of every row from these terms."""
-        spans = [slice(self.ends[t], self.ends[t + 1]) for t in terms.tolist()]
-        rows = np.concatenate([self.row[s] for s in spans])
-        values = np.concatenate([self.impact[s] * w for s, w in zip(spans, weights.tolist())])
-        return np.bincount(rows, values, self.rows)
-
-    def search(self, words: list[bytes], weights: list[float], k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, rounded scores) of all rows that can be among the k best, ties included."""
-        known = [(self.numbers[w], x) for w, x in zip(words, weights) if w in self.numbers]
-        if not known:
-            return np.zeros(0, np.int64), np.zeros(0)
-        term = np.array([t for t, _ in known])
-        weight = np.array([x for _, x in known])
-        bound = weight * self.most[term]
-        order = np.lexsort((term, -bound))
-        term, weight, bound = term[order], weight[order], bound[order]
-        rest = np.append(np.cumsum(bound[::-1])[::-1], 0.0)  # what terms from each on can add
-        margin = 10.0**-DIGITS
-        total = np.zeros(self.rows)
-        done, floor = 0, 0.0
-        while done < len(term):
-            # the next terms: those that hold half of what is open, at least four
-            upto = max(done + 4, int(np.searchsorted(-rest, -rest[done] / 2)))
-            upto = min(upto, len(term))
-            total += self._sums(term[done:upto], weight[done:upto])
-            done = upto
-            if self.rows > k:
-                floor = np.partition(total, self.rows - k)[self.rows - k]
-            if rest[done] + margin < floor:
-                break  # the pivot: rows without any of the terms so far are out
-        rows = np.flatnonzero((total > 0) & (total + rest[done] + margin >= floor))
-        if done < len(term):
-            blocks = np.zeros(self.rows // BLOCK + 1)
-            for t, w in zip(term[done:].tolist(), weight[done:].tolist()):
-                span = slice(self.block_ends[t], self.block_ends[t + 1])
-                blocks[self.block[span]] += self.block_most[span] * w
-            rows = rows[total[rows] + blocks[rows // BLOCK] + margin >= floor]
-            for t, w in zip(term[done:].tolist(), weight[done:].tolist()):
-                a, b = self.ends[t], self.ends[t + 1]
-                at = a + np.searchsorted(self.row[a:b], rows)
-                hit = (at < b) & (self.row[np.minimum(at, b - 1)] == rows)
-                total[rows[hit]] += self.impact[at[hit]] * w
-        scores = np.round(total[rows], DIGITS)
-        if len(rows) > k:
-            last = np.partition(scores, len(scores) - k)[len(scores) - k]
-            rows, scores = rows[scores >= last], scores[scores >= last]
-        return rows, scores
+        return key[first], np.add.reduceat(value, first) if len(first) else value
+
+    def search(self, queries: list[list[tuple[bytes, float]]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (places, rounded scores) of all texts that can be among the k best, ties included."""
+        count, width = len(queries), self.blocks * BLOCK
+        weights = np.zeros((count, len(self.exact)))
+        rare: list[tuple[int, int, float]] = []
+        for q, words in enumerate(queries):
+            for word, weight in words:
+                term = self.numbers.get(word)
+                if term is not None:
+                    if self.place[term] >= 0:
+                        weights[q, self.place[term]] += weight
+                    else:
+                        rare.append((q, term, weight))
+        nothing = [(np.zeros(0, np.int64), np.zeros(0))] * count
+        if not self.rows or not (rare or weights.any()):
+            return nothing
+        parts = np.array(rare).reshape(-1, 3)
+        key, value = self._rare(parts[:, 0].astype(np.int64), parts[:, 1].astype(np.int64), parts[:, 2])
+        small = weights.astype(np.float32)
+        # what a block can give a query: maxima of its frequent terms, and its best row of rare ones
+        bounds = (small @ self.most).astype(float)
+        cell = key // width * self.blocks + key % width // BLOCK
+        np.maximum.at(bare := np.zeros(count * self.blocks), cell, value)
+        bounds = bounds * (1 + 1e-5) + bare.reshape(count, self.blocks)
+        by_block = np.argsort(cell % self.blocks, kind="stable")
+        starts = np.searchsorted((cell % self.blocks)[by_block], np.arange(self.blocks + 1))
+        best = np.zeros((count, k), np.float32)
+        floor = np.zeros(count)
+        kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for block in np.argsort(-bounds.sum(axis=0), kind="stable").tolist():
+            alive = np.flatnonzero((bounds[:, block] > 0) & (bounds[:, block] >= floor))
+            if not len(alive):
+                continue
+            self.scored += len(alive)
+            scores = small[alive] @ self.matrix[:, block * BLOCK : (block + 1) * BLOCK]
+            some = by_block[starts[block] : starts[block + 1]]
+            at = np.full(count, -1)
+            at[alive] = np.arange(len(alive))
+            own = at[key[some] // width]
+            scores[own[own >= 0], (key[some] % width % BLOCK)[own >= 0]] += value[some][own >= 0]
+            both = np.concatenate([best[alive], scores], axis=1)
+            best[alive] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+            # single precision and rounding are allowed for
+            floor[alive] = best[alive].min(axis=1) * (1 - 1e-4) - 2 * 10.0**-DIGITS
+            q, row = np.nonzero((scores > 0) & (scores >= floor[alive][:, None]))
+            kept.append((alive[q], block * BLOCK + row, scores[q, row]))
+        if not kept:
+            return nothing
+        query, row, rough = (np.concatenate(x) for x in zip(*kept))
+        last = rough >= floor[query]
+        query, row = query[last], row[last]
+        score = np.zeros(len(query))
+        for a in range(0, len(query), 20_000):
+            part = slice(a, a + 20_000)
+            score[part] = np.einsum("ij,ij->i", weights[query[part]], self.exact[:, row[part]].T)
+        wanted = query * width + row
+        found = np.minimum(np.searchsorted(key, wanted), max(len(key) - 1, 0))
+        if len(key):
+            score += np.where(key[found] == wanted, value[found], 0.0)
+        score = np.round(score, DIGITS)
+        by_query = np.argsort(query, kind="stable")
+        cuts = np.searchsorted(query[by_query], np.arange(count + 1)).tolist()
+        return [(self.order[row[by_query[a:b]]], score[by_query[a:b]]) for a, b in zip(cuts, cuts[1:])]
 
 
 def _term_counts(rows: DataFrame) -> DataFrame:
@@ -227,17 +261,16 @@ def bm25_top_k(
                 if index is None:
                     index, places_of = ShardIndex(texts, mean), np.concatenate(keys) if keys else numbers[:0]
                     texts, keys = [], []
-                out_query, out_rows, out_scores = [], [], []
-                column = batch.column(3 + width)
-                for i in range(a, b):
-                    asked_words = column[i].as_py()
-                    found, scores = index.search([w["word"] for w in asked_words], [w["weight"] for w in asked_words], k)
-                    if len(found):
+                for c in range(a, b, QUERIES):
+                    out_query, out_rows, out_scores = [], [], []
+                    terms = [[(w["word"], w["weight"]) for w in q] for q in batch.column(3 + width)[c : min(c + QUERIES, b)].to_pylist()]
+                    for i, (found, scores) in enumerate(index.search(terms, k), c):
                         best = np.lexsort((*places_of[found].T[::-1], -scores))[:k]
                         out_query += [i] * len(best)
                         out_rows.append(found[best])
                         out_scores.append(scores[best])
-                if out_query:
+                    if not out_query:
+                        continue
                     left_ids, right_ids = numbers[out_query], places_of[np.concatenate(out_rows)]
                     arrays = [pa.array(x) for x in (*left_ids.T.copy(), *right_ids.T.copy(), np.concatenate(out_scores))]
                     yield pa.RecordBatch.from_arrays(arrays, names)
