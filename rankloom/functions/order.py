@@ -16,10 +16,10 @@ def start_value(row: str | Column, slot: int) -> Column:
     return F.pmod(_col(row).cast("long") * 7919 + slot * 104729, F.lit(1000)) / F.lit(1000.0)
 
 
-def snap(value: Column, digits: int = 9) -> Column:
-    """Round half up on a fixed grid, so that ranking ignores summation noise."""
-    scale = float(10**digits)
-    return F.floor(value * scale + 0.5) / F.lit(scale)
+def snap(value: Column, digits: int = 10) -> Column:
+    """Round half up to significant digits, so that ranking ignores summation noise at any size of the values."""
+    scale = F.pow(F.lit(10.0), F.lit(digits - 1) - F.floor(F.log10(F.abs(value))))
+    return F.when(value == 0, 0.0).otherwise(F.floor(value * scale + 0.5) / scale)
 
 
 def _col(column: str | Column) -> Column:

@@ -8,18 +8,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.order import start_value
-from rankloom.operators.vocabulary import PADDING, UNKNOWN
-
-SOURCES = ("W2V", "Pre", "G6B")
-
-
-def word2vec_train(docs: DataFrame, tokens: str = "tokens", dim: int = 100, window: int = 5, min_count: int = 3, seed: int = 0) -> DataFrame:
-    """``(word, v)`` trained by Spark's skip-gram Word2Vec."""
+from rankloom.operators.vocabulary import PADDING, UNKNOWN, small_words
+from rankloom.session import loop_partitions
+
+
+def word2vec_train(
+    docs: DataFrame,
+    tokens: str = "tokens",
+    dim: int = 100,
+    window: int = 5,
+    min_count: int = 3,
+    seed: int = 0,
+    passes: int = 5,
+    rows_per_task: int = 50_000,
+) -> DataFrame:
+    """``(word, v)`` trained by Spark's skip-gram Word2Vec.
+
+    The documents are shared out over tasks of about ``rows_per_task`` rows; after
+    each of the ``passes`` the tasks' changes are added up.
+    """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
     trainer = Word2Vec(
-        vectorSize=dim, windowSize=window, minCount=min_count, seed=seed, maxIter=1,
+        vectorSize=dim, windowSize=window, minCount=min_count, seed=seed, maxIter=passes,
+        numPartitions=loop_partitions(docs.sparkSession, docs.count(), rows_per_task),
         inputCol=tokens, outputCol="_pooled",
     )
     vectors = trainer.fit(docs.select(tokens)).getVectors()
@@ -54,9 +67,10 @@ def pooled_documents(words: DataFrame, table: DataFrame, dim: int) -> DataFrame:
     """``(doc_id, mean, peak)``: mean and element-wise maximum of a document's word vectors.
 
     ``words`` is ``(doc_id, word, tf)``; each distinct word is read once and
-    weighted by its count, and both pools are partial aggregates.
+    weighted by its count, and both pools are partial aggregates. A table of few
+    enough words is broadcast, so a frequent word is no key of a shuffle.
     """
-    spread = words.join(table.select("word", "v"), "word").select(
+    spread = words.join(small_words(table.select("word", "v")), "word").select(
         "doc_id", "tf", *[F.col("v")[i].alias(f"e{i}") for i in range(dim)]
     )
     sums = [F.sum(F.col("tf") * F.col(f"e{i}")).alias(f"s{i}") for i in range(dim)]

@@ -15,7 +15,7 @@ from rankloom.functions.numeric import dot, sigmoid, total
 from rankloom.functions.order import start_value
 from rankloom.operators.layout import number_rows
 from rankloom.operators.neighbours import rescale_predictions
-from rankloom.session import stash, store
+from rankloom.session import cleaned, scratch, stash, store
 
 USER, ITEM, SCALAR = 0, 1, 2
 
@@ -48,8 +48,8 @@ def rated_mask(ratings: DataFrame) -> DataFrame:
     return ratings.filter("rating <> 0")
 
 
-def factor_join(pairs: DataFrame, factors: DataFrame) -> DataFrame:
-    """Pairs with user factors ``u*`` and item factors ``v*``."""
+def factor_join(pairs: DataFrame, factors: DataFrame, how: str = "inner") -> DataFrame:
+    """Pairs with user factors ``u*`` and item factors ``v*``; ``how='left'`` keeps pairs without factors."""
     n = latent_of(factors)
     users = factors.filter(F.col("kind") == USER).select(
         F.col("id").alias("user_id"), *[F.col(f"f{i}").alias(f"u{i}") for i in range(n)]
@@ -57,7 +57,7 @@ def factor_join(pairs: DataFrame, factors: DataFrame) -> DataFrame:
     items = factors.filter(F.col("kind") == ITEM).select(
         F.col("id").alias("item_id"), *[F.col(f"f{i}").alias(f"v{i}") for i in range(n)]
     )
-    return pairs.join(users, "user_id").join(items, "item_id")
+    return pairs.join(users, "user_id", how).join(items, "item_id", how)
 
 
 def inner_product(latent: int) -> Column:
@@ -103,6 +103,7 @@ def _only_factors(state: DataFrame, latent: int) -> DataFrame:
     return state.filter(F.col("kind") != SCALAR).select("kind", "id", *factor_columns(latent))
 
 
+@cleaned
 def mf_gradient(
     ratings: DataFrame,
     factors: DataFrame,
@@ -145,6 +146,7 @@ def mf_gradient(
     return _only_factors(stored.table, latent)
 
 
+@cleaned
 def mf_sigmoid(
     ratings: DataFrame,
     factors: DataFrame,
@@ -216,6 +218,7 @@ def numbered_ratings(ratings: DataFrame) -> DataFrame:
     return stash(placed, "ratings", sort_by=["pos"])
 
 
+@cleaned
 def mf_minibatch(
     placed: DataFrame,
     factors: DataFrame,
@@ -276,6 +279,7 @@ def mf_minibatch(
     return stored.table
 
 
+@cleaned
 def mf_minibatch_block(
     placed: DataFrame,
     factors: DataFrame,
@@ -321,19 +325,26 @@ def mf_minibatch_block(
     return stored.table
 
 
+NEUTRAL = 3.0  # Fixed value: the middle of the stars, for a target about which nothing is known.
+
+
 def mf_predict(targets: DataFrame, factors: DataFrame, link: str = "identity", rescale: bool = True) -> DataFrame:
-    """``(item_id, user_id, score)`` for target pairs, stretched to 1..5."""
+    """``(item_id, user_id, score)`` for every target pair, stretched to 1..5.
+
+    A pair whose user or item has no factors gets the neutral score 3; it takes
+    no part in the stretching, and without it the score is null.
+    """
     score = inner_product(latent_of(factors))
     score = sigmoid(score) if link == "sigmoid" else score
     pairs = targets.select("item_id", "user_id").distinct()
-    scored = factor_join(pairs, factors).select("item_id", "user_id", score.alias("score"))
-    return rescale_predictions(scored) if rescale else scored
+    scored = factor_join(pairs, factors, "left").select("item_id", "user_id", score.alias("score"))
+    return rescale_predictions(scored).fillna(NEUTRAL, ["score"]) if rescale else scored
 
 
 def mf_als(
     ratings: DataFrame, targets: DataFrame, latent: int = 10, lmd: float = 0.2, iterations: int = 10, seed: int = 0
 ) -> DataFrame:
-    """The same predictions with Spark's alternating least squares as the solver."""
+    """The same predictions with Spark's alternating least squares as the solver; unknown users and items get 3."""
     from pyspark.ml.recommendation import ALS
 
     als = ALS(
@@ -342,5 +353,6 @@ def mf_als(
     )
     model = als.fit(ratings.select("user_id", "item_id", "rating"))
     pairs = targets.select("item_id", "user_id").distinct()
-    scored = model.transform(pairs).select("item_id", "user_id", F.col("prediction").cast("double").alias("score"))
-    return rescale_predictions(scored)
+    score = F.nanvl(F.col("prediction").cast("double"), F.lit(None).cast("double")).alias("score")
+    scored = model.transform(pairs).select("item_id", "user_id", score)
+    return rescale_predictions(scored).fillna(NEUTRAL, ["score"])

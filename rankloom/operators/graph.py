@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions.numeric import total
-from rankloom.session import durable, loop_partitions, store
+from rankloom.session import cleaned, durable, loop_partitions, shuffle_width, stash, store
 
 DANGLING_MODES = ("reference", "uniform")
+MOST_TOPICS = 200  # Bound on the rank columns of one loop.
 
 
 def check_weights(alpha: float, beta: float = 0.0) -> None:
@@ -68,6 +69,7 @@ class LinkTable:
     links: DataFrame
     size: int
     salted: bool
+    parts: int
 
     def release(self) -> None:
         self.nodes.unpersist()
@@ -102,7 +104,7 @@ def link_table(nodes: DataFrame, edges: DataFrame, hot_links: int = 500_000) ->
     keys = ["src", "salt"] if salted else ["src"]
     links = (links if salted else links.drop("salt")).repartition(parts, *keys).sortWithinPartitions(*keys).persist()
     links.count()  # a step plans without shuffling or sorting the links only once they are kept
-    return LinkTable(table, links, size, salted)
+    return LinkTable(table, links, size, salted, parts)
 
 
 def propagate(state: DataFrame, table: LinkTable, ranks: list[str]) -> DataFrame:
@@ -126,24 +128,31 @@ def _power_loop(
     max_iterations: int,
     dangling: str,
 ) -> DataFrame:
-    """Iterate all rank columns together, one shuffle of the flows per step.
-
-    The only values that reach the driver are, per column, the dangling mass
-    and the squared change of the step.
+    """Iterate all rank columns together; a step shuffles the flows once and the state once.
+
+    The state is written in every step, which cuts its lineage, and kept
+    partitioned by ``id`` beside the links, which are partitioned the same way by
+    their source; so neither of the step's two joins moves the links or the state.
+    The only values that reach the driver are, per column, the dangling mass and
+    the squared change of the step. Ranks that do not settle within
+    ``max_iterations`` are an error.
     """
     if dangling not in DANGLING_MODES:
         raise ValueError(f"dangling must be one of {DANGLING_MODES}")
+    spark = state.sparkSession
     keep = [c for c in state.columns if c not in ranks]
+    parts = table.parts
     stored = store(state, "ranks")
+    now = _by_id(stored.table, parts)
 
     def mass_of(r: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("dangling"), F.col(r))), F.lit(0.0)).alias(f"mass_{r}")
 
-    seen = stored.table.agg(*[mass_of(r) for r in ranks]).first()
+    seen = now.agg(*[mass_of(r) for r in ranks]).first()
     gate = F.when(F.col("dangling"), 1.0).otherwise(0.0) if dangling == "reference" else F.lit(1.0)
     settled: set[str] = set()
     for _ in range(iterations if iterations is not None else max_iterations):
-        state = stored.table.select(*keep, *ranks)
+        state = now.select(*keep, *ranks)
         moved = []
         for r in ranks:
             if r in settled:
@@ -155,20 +164,35 @@ def _power_loop(
         arrived = propagate(state, table, ranks)
         both = state.join(arrived, "id", "left").select(*keep, *ranks, *moved)
         change = [F.pow(F.col(f"next_{r}") - F.col(r), 2).alias(f"gap_{r}") for r in ranks]
-        fresh = store(both.select(*keep, *[F.col(f"next_{r}").alias(r) for r in ranks], *change), "ranks")
+        with shuffle_width(spark, parts):
+            fresh = store(both.select(*keep, *[F.col(f"next_{r}").alias(r) for r in ranks], *change), "ranks")
+        now.unpersist()
+        now = _by_id(fresh.table, parts)
         stored.drop()
         stored = fresh
-        seen = stored.table.agg(
-            *[mass_of(r) for r in ranks], *[F.sum(f"gap_{r}").alias(f"gap_{r}") for r in ranks]
-        ).first()
+        sums = [mass_of(r) for r in ranks] + [F.sum(f"gap_{r}").alias(f"gap_{r}") for r in ranks]
+        seen = now.agg(*sums).first()
         if iterations is None:
             settled |= {r for r in ranks if math.sqrt(seen[f"gap_{r}"]) <= tol}
             if len(settled) == len(ranks):
                 break
-    sums = stored.table.agg(*[F.sum(F.abs(F.col(r))).alias(r) for r in ranks]).first()
-    return stored.table.select("id", *[(F.col(r) / F.lit(sums[r] or 1.0)).alias(r) for r in ranks])
+    else:
+        if iterations is None:
+            raise RuntimeError(f"ranks did not settle within {max_iterations} steps")
+    sums = now.agg(*[F.sum(F.abs(F.col(r))).alias(r) for r in ranks]).first()
+    out = stash(now.select("id", *[(F.col(r) / F.lit(sums[r] or 1.0)).alias(r) for r in ranks]), "ranks")
+    now.unpersist()
+    return out
+
+
+def _by_id(state: DataFrame, parts: int) -> DataFrame:
+    """Keep a table partitioned by id, so that joins on it need no shuffle of it."""
+    kept = state.repartition(parts, "id").persist()
+    kept.count()  # later plans see the layout only once the rows are kept
+    return kept
 
 
+@cleaned
 def pagerank_global(
     nodes: DataFrame,
     edges: DataFrame,
@@ -200,6 +224,7 @@ def topic_column(topic: int) -> str:
     return f"t{topic}"
 
 
+@cleaned
 def pagerank_topic(
     nodes: DataFrame,
     edges: DataFrame,
@@ -219,7 +244,10 @@ def pagerank_topic(
     split into ``beta`` for the topic's documents and the rest for all nodes.
     """
     check_weights(alpha, beta)
-    sizes = {r["topic"]: r["n"] for r in doc_topics.groupBy("topic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = doc_topics.groupBy("topic").agg(F.count(F.lit(1)).alias("n")).limit(MOST_TOPICS + 1).collect()
+    if len(found) > MOST_TOPICS:
+        raise ValueError(f"more than {MOST_TOPICS} topics: one rank column each would not do, pass them in parts")
+    sizes = {r["topic"]: r["n"] for r in found}
     topics = sorted(sizes) if topics is None else topics
     ranks = [topic_column(t) for t in topics]
     member = doc_topics.groupBy(F.col("doc").alias("id")).agg(

@@ -51,9 +51,10 @@ def prediction_order(targets: DataFrame, predictions: DataFrame) -> DataFrame:
 
 
 def rescale_predictions(predictions: DataFrame, low: float = 1.0, high: float = 5.0) -> DataFrame:
-    """Stretch the scores of all predictions to ``[low, high]``."""
-    ends = predictions.agg(F.min("score").alias("lo"), F.max("score").alias("hi")).first()
+    """Stretch the scores of all predictions to ``[low, high]``; null and NaN scores are not counted and become null."""
+    score = F.when(~F.isnan("score"), F.col("score"))
+    ends = predictions.agg(F.min(score).alias("lo"), F.max(score).alias("hi")).first()
     if ends["lo"] is None or ends["hi"] == ends["lo"]:
-        return predictions.withColumn("score", F.lit(low))
-    unit = (F.col("score") - ends["lo"]) / F.lit(ends["hi"] - ends["lo"])
+        return predictions.withColumn("score", F.when(score.isNotNull(), F.lit(low)))
+    unit = (score - ends["lo"]) / F.lit(ends["hi"] - ends["lo"])
     return predictions.withColumn("score", unit * (high - low) + low)

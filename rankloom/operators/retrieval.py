@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rankloom.functions.numeric import geometric_mean, harmonic_mean
 from rankloom.functions.order import snap
 from rankloom.operators.layout import number_rows
+from rankloom.session import scratch, stash
 
 LIST = ["user_id", "query_id"]
 FLOOR = 1e-10  # Fixed value: stands in for a zero or invalid normalised score.
@@ -133,11 +134,16 @@ def fuse_ws(scored: DataFrame, p_weight: float = 0.999, s_weight: float = 0.001)
 
 
 def fuse_cm(scored: DataFrame, variant: str = "C07", seed: int = 0) -> DataFrame:
-    """Relevance scaled to [0, 1] plus a coefficient of both scaled scores."""
-    units = list_minmax(scored, ["rank", "rel"])
-    raw = _coefficient(variant, F.abs(F.col("rank_unit")), F.abs(F.col("rel_unit")), seed)
-    mixed = list_l1(units.withColumn("_raw", raw), "_raw", "_share")
-    return mixed.select(*scored.columns, (F.col("rel_unit") + F.col("_share")).alias("score"))
+    """Relevance scaled to [0, 1] plus a coefficient of both scaled scores.
+
+    The scored run and its units are each read twice, as rows and as sums of
+    their lists, so they are stored once.
+    """
+    with scratch(scored.sparkSession) as own:
+        units = stash(list_minmax(stash(scored, "scored"), ["rank", "rel"]), "units")
+        raw = _coefficient(variant, F.abs(F.col("rank_unit")), F.abs(F.col("rel_unit")), seed)
+        mixed = list_l1(stash(units.withColumn("_raw", raw), "mixed"), "_raw", "_share")
+        return own.keep(mixed.select(*scored.columns, (F.col("rel_unit") + F.col("_share")).alias("score")))
 
 
 def fuse(scored: DataFrame, method: str, variant: str = "C07", **weights: float) -> DataFrame:
@@ -150,11 +156,12 @@ def fuse(scored: DataFrame, method: str, variant: str = "C07", **weights: float)
     raise ValueError("method must be NS, WS or CM")
 
 
-def rank_run(fused: DataFrame, digits: int = 9) -> DataFrame:
+def rank_run(fused: DataFrame, digits: int = 10) -> DataFrame:
     """Positions from 1 in each list by score; equal scores by document text, descending.
 
-    Scores are compared on a grid of ``digits`` decimals, so summation noise
-    does not decide the order.
+    Scores are compared by their first ``digits`` significant digits, so
+    summation noise does not decide the order and the size of the scores does
+    not matter.
     """
     rows = fused.withColumn("_snap", snap(F.col("score"), digits))
     order = [F.col("_snap").desc(), F.col("doc").cast("string").desc()]
@@ -164,6 +171,16 @@ def rank_run(fused: DataFrame, digits: int = 9) -> DataFrame:
 def retrieve(
     run: DataFrame, ranks: DataFrame, method: str = "WS", variant: str = "C07", **weights: float
 ) -> DataFrame:
-    """Ranked lists ``(user_id, query_id, doc, position, score)`` for a run and link ranks."""
+    """Ranked lists ``(user_id, query_id, doc, position, score)`` for a run and link ranks.
+
+    A document that a list repeats counts once: its last row in the order of
+    ``orig_rank`` if the run has it, else the row of the greatest relevance.
+    """
+    if "orig_rank" in run.columns:
+        run = single_docs(run)
+    else:
+        run = run.groupBy(*LIST, "doc").agg(F.max("rel").alias("rel"))
+    if "id" not in ranks.columns:
+        ranks = ranks.groupBy(*LIST, "doc").agg(F.max("rank").alias("rank"))
     scored = run_score_join(run, ranks)
     return rank_run(fuse(scored, method, variant, **weights)).select(*LIST, "doc", "position", "score")

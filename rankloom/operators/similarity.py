@@ -1,31 +1,26 @@
 """Similarity of users or items and exact nearest neighbours.
 
 Ratings are ``(user_id, item_id, rating)``, already centred on the neutral
-score. The similarity matrix is a sparse product of profile rows and train
-rows; it is multiplied block by block and only each block's best candidates
-leave the task, so co-rating pairs are never shuffled. A block sees all its
-entities, including those without a common rating, so zero and negative
-similarities take their exact place.
+score. Entities that share a rated cell are found by a join on the cell; their
+products are added up before and after the shuffle. For all other pairs the
+similarity is a product of one number of each side, so the best of them are the
+head of one of three orders of the whole universe, and nothing is computed for
+pairs that cannot be among the nearest.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.order import snap
 from rankloom.operators.layout import top_per_group
-from rankloom.session import durable
+from rankloom.session import cleaned, durable, stash
 
 MEASURES = ("dot", "cosine")
-PRODUCT_CHUNK = 4_000_000
-MIN_BLOCK = 256
+NOISE = 1e-13  # A similarity below this share of its greatest possible size is zero.
 
 
 @dataclass(frozen=True)
@@ -45,34 +40,38 @@ class Measure:
         if self.kind not in MEASURES:
             raise ValueError(f"measure must be one of {MEASURES}")
 
-    def apply(self, dot, sum_a, sq_a, sum_b, sq_b, sqrt, positive, ratio):
-        """The formula for either numpy arrays or Spark columns."""
+    def norm(self, total: Column, square: Column) -> Column:
+        """Length of a vector from its sums."""
+        if not self.centred:
+            return F.sqrt(square)
+        mean = total / F.lit(self.divisor)
+        return F.sqrt(F.greatest(square - 2.0 * mean * total + self.cells * mean * mean, F.lit(0.0)))
+
+    def similarity(self, dot: Column, sum_a: Column, sq_a: Column, sum_b: Column, sq_b: Column) -> tuple[Column, Column]:
+        """(similarity, the same to ten digits, zero if it is noise), the latter for comparisons."""
         if self.centred:
-            mean_a, mean_b = sum_a / self.divisor, sum_b / self.divisor
+            mean_a, mean_b = sum_a / F.lit(self.divisor), sum_b / F.lit(self.divisor)
             dot = dot - mean_b * sum_a - mean_a * sum_b + self.cells * mean_a * mean_b
-            sq_a = positive(sq_a - 2.0 * mean_a * sum_a + self.cells * mean_a * mean_a)
-            sq_b = positive(sq_b - 2.0 * mean_b * sum_b + self.cells * mean_b * mean_b)
-        if self.kind == "dot":
-            return dot
-        return ratio(dot, sqrt(sq_a) * sqrt(sq_b))
-
-    def on_arrays(self, dot, sum_a, sq_a, sum_b, sq_b) -> np.ndarray:
-        def ratio(top, bottom):
-            return np.divide(top, bottom, out=np.zeros_like(top), where=bottom != 0)
-
-        def positive(value):
-            return np.maximum(value, 0.0)
-
-        return self.apply(dot, sum_a, sq_a, sum_b, sq_b, np.sqrt, positive, ratio)
-
-    def on_columns(self, dot, sum_a, sq_a, sum_b, sq_b) -> Column:
-        def ratio(top, bottom):
-            return F.when(bottom != 0, top / F.nullif(bottom, F.lit(0.0))).otherwise(0.0)
+        sizes = self.norm(sum_a, sq_a) * self.norm(sum_b, sq_b)
+        if self.kind == "cosine":
+            dot, bound = F.when(sizes != 0, dot / F.nullif(sizes, F.lit(0.0))).otherwise(0.0), F.lit(1.0)
+        else:
+            bound = sizes
+        return dot, F.when(F.abs(dot) <= NOISE * bound, 0.0).otherwise(snap(dot))
 
-        def positive(value):
-            return F.greatest(value, F.lit(0.0))
+    def share(self, total: Column, square: Column) -> Column:
+        """What an entity contributes to its similarity with an entity it shares no cell with."""
+        if not self.centred:
+            return F.lit(0.0)
+        if self.kind == "dot":
+            return total.cast("double")
+        size = self.norm(total, square)
+        return F.when(size != 0, total / F.nullif(size, F.lit(0.0))).otherwise(0.0)
 
-        return self.apply(dot, sum_a, sq_a, sum_b, sq_b, F.sqrt, positive, ratio)
+    @property
+    def factor(self) -> float:
+        """Similarity of entities without a common cell, over the product of their shares."""
+        return self.cells / self.divisor**2 - 2.0 / self.divisor if self.centred else 0.0
 
 
 def vector_sums(ratings: DataFrame, entity: str) -> DataFrame:
@@ -93,124 +92,58 @@ def entity_mean(ratings: DataFrame, entity: str, divisor: float) -> DataFrame:
     return vector_sums(ratings, entity).select("id", (F.col("s") / F.lit(float(divisor))).alias("mean"))
 
 
-@dataclass
-class _Side:
-    """One side of a block: ids in descending order, their sums and sparse entries."""
-
-    ids: np.ndarray
-    s: np.ndarray
-    ss: np.ndarray
-    at: np.ndarray
-    cell: np.ndarray
-    x: np.ndarray
-
-    @classmethod
-    def of(cls, block: pa.Table, side: int) -> _Side:
-        part = block.filter(pc.equal(block["side"], side)).combine_chunks()
-        row_ids = part["id"].to_numpy()
-        rising = np.unique(row_ids)
-        row_at = len(rising) - 1 - np.searchsorted(rising, row_ids)
-        lengths = pc.fill_null(pc.list_value_length(part["cells"]), 0).to_numpy()
-        heads = part["s"].is_valid().to_numpy()
-        s, ss = np.zeros(len(rising)), np.zeros(len(rising))
-        s[row_at[heads]] = part["s"].drop_null().to_numpy()
-        ss[row_at[heads]] = part["ss"].drop_null().to_numpy()
-        cell, x = (pc.list_flatten(part[c]).to_numpy() for c in ("cells", "xs"))
-        return cls(rising[::-1], s, ss, np.repeat(row_at, lengths), cell, x)
-
-
-def _block_product(a: _Side, b: _Side) -> np.ndarray:
-    """Dense block of the product of two sparse row sets sharing ``cell``."""
-    rows, cols = len(a.ids), len(b.ids)
-    order = np.argsort(a.cell, kind="stable")
-    cells, row, x = a.cell[order], a.at[order], a.x[order]
-    first = np.searchsorted(cells, b.cell, "left")
-    hits = np.searchsorted(cells, b.cell, "right") - first
-    used = hits > 0
-    first, hits, col, y = first[used], hits[used], b.at[used], b.x[used]
-    out = np.zeros(rows * cols)
-    ends = np.cumsum(hits)
-    start = 0
-    while start < len(hits):
-        base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + PRODUCT_CHUNK, "right")))
-        n = hits[start:stop]
-        entry = np.repeat(np.arange(start, stop), n)
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        match = first[entry] + within
-        out += np.bincount(row[match] * cols + col[entry], x[match] * y[entry], minlength=rows * cols)
-        start = stop
-    return out.reshape(rows, cols)
-
-
-def _best_columns(grid: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and columns of each row's ``keep`` greatest values; the first columns win ties."""
-    if grid.shape[1] <= keep:
-        return np.indices(grid.shape).reshape(2, -1)
-    bar = -np.partition(-grid, keep - 1, axis=1)[:, keep - 1 : keep]
-    above, level = grid > bar, grid == bar
-    room = keep - above.sum(axis=1, keepdims=True)
-    return np.nonzero(above | (level & (np.cumsum(level, axis=1) <= room)))
-
-
-def _block_neighbours(measure: Measure, keep: int, skip_self: bool):
-    """Task function for one block pair: dots, then each query row's best ``keep``."""
-
-    def run(block: pa.Table) -> pa.Table:
-        query, train = _Side.of(block, 0), _Side.of(block, 1)
-        dots = _block_product(query, train)
-        piece, pieces = block["piece"][0].as_py(), block["pieces"][0].as_py()
-        if pieces > 1:
-            # One slice of a big block: partial dots, every pair once from slice 0.
-            r, c = np.nonzero(dots) if piece else np.indices(dots.shape).reshape(2, -1)
-            values = dots[r, c]
-        else:
-            sims = measure.on_arrays(dots, query.s[:, None], query.ss[:, None], train.s[None, :], train.ss[None, :])
-            grid = np.floor(sims * 1e9 + 0.5) / 1e9
-            if skip_self:
-                grid[query.ids[:, None] == train.ids[None, :]] = -np.inf
-            # Columns run by id descending, so the first of equal columns has the greatest id.
-            r, c = _best_columns(grid, keep)
-            kept = np.isfinite(grid[r, c])
-            r, c = r[kept], c[kept]
-            values = sims[r, c]
-        whole = np.full(len(r), pieces == 1)
-        return pa.table({"a": query.ids[r], "b": train.ids[c], "value": values, "whole": whole})
-
-    return run
-
-
-def _blocks_of(n: int, rows: int, block: int, piece_rows: int, cores: int) -> int:
-    """Number of blocks: at most ``block`` entities and about a quarter piece of rows each.
+def _heads(universe: DataFrame, formula: Measure, size: int) -> DataFrame:
+    """The first ``size`` entities in each of three orders: ``(way, pos, b, s_b, ss_b)``.
 
-    Small sides are cut as well, so that the block pairs keep all cores busy.
+    Entities of no common cell come by descending share for a positive factor
+    (way 1), by ascending share for a negative one (-1), and by id for none (0).
     """
-    size = max(1, min(block, int(piece_rows / 4 / max(1.0, rows / max(1, n)))))
-    lanes = min(math.ceil(math.sqrt(cores)), math.ceil(n / MIN_BLOCK))
-    return max(1, lanes, math.ceil(n / size))
-
-
-def _pair_partitions(pairs: int) -> int:
-    """About one block pair per task: a pair is much work on few bytes."""
-    return min(pairs, max(4096, pairs // 16))
-
-
-def _block(count: int) -> Column:
-    return F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
-
-
-def _big_blocks(heads: DataFrame, count: int, total: int, piece_rows: int) -> dict[int, int]:
-    """Slices of the blocks with too many rows for one task; usually empty."""
-    if total <= piece_rows:
-        return {}
-    sizes = heads.groupBy(_block(count).alias("g")).agg(F.sum("n").alias("n"))
-    return {r["g"]: math.ceil(r["n"] / piece_rows) for r in sizes.filter(F.col("n") > piece_rows).collect()}
-
-
-def _in_blocks(big: dict[int, int], key: Column) -> Column:
-    return key.isin(list(big)) if big else F.lit(False)
-
+    share = snap(formula.share(F.col("s_b"), F.col("ss_b")))
+    out = None
+    for way in (1, 0, -1) if formula.centred else (0,):
+        order = [(way * share).desc(), F.col("b").desc()]
+        first = universe.orderBy(*order).limit(size)
+        placed = first.withColumn("pos", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+        placed = placed.select(F.lit(way).alias("way"), "pos", "b", "s_b", "ss_b")
+        out = placed if out is None else out.unionByName(placed)
+    return durable(out)
+
+
+def _unrelated(
+    queries: DataFrame, pairs: DataFrame, universe: DataFrame, formula: Measure, keep: int, skip_self: bool, head: int
+) -> DataFrame:
+    """``(a, s_a, ss_a, b, s_b, ss_b)``: each query's best ``keep`` entities that it shares no cell with.
 
+    They are the first places of the query's order that no entity with a common
+    cell takes. Queries whose head is too short get a longer one.
+    """
+    size, total, found = max(head, 1), universe.count(), None
+    todo = queries
+    while True:
+        size = min(size, total)
+        heads = _heads(universe, formula, size)
+        places = F.broadcast(heads.select("way", "pos", "b")) if size <= 100_000 else heads.select("way", "pos", "b")
+        taken = pairs.select("a", "b")
+        if skip_self:
+            taken = taken.unionByName(todo.select("a", F.col("a").alias("b")))
+        met = taken.join(places, "b").join(todo.select("a", "way"), ["a", "way"])
+        used = met.groupBy("a").agg(F.collect_set("pos").alias("used"))  # at most ``size`` places
+        rows = todo.join(used, "a", "left").withColumn("used", F.coalesce("used", F.array().cast("array<int>")))
+        free = F.slice(F.array_except(F.sequence(F.lit(1), F.size("used") + keep), "used"), 1, keep)
+        rows = durable(rows.withColumn("free", F.sort_array(free)).withColumn("last", F.element_at("free", -1)))
+        done = rows if size >= total else rows.filter(F.col("last") <= size)
+        chosen = done.select("a", "s_a", "ss_a", "way", F.explode("free").alias("pos")).join(heads, ["way", "pos"])
+        chosen = chosen.select("a", "s_a", "ss_a", "b", "s_b", "ss_b")
+        found = chosen if found is None else found.unionByName(chosen)
+        if size >= total:
+            return found
+        todo = rows.filter(F.col("last") > size).select(*queries.columns)
+        if todo.isEmpty():
+            return found
+        size *= 8
+
+
+@cleaned
 def nearest(
     profiles: DataFrame,
     train: DataFrame,
@@ -223,15 +156,16 @@ def nearest(
     cells: int | None = None,
     denominator: str = "reference",
     self_mode: str = "drop_top",
-    block: int = 2048,
-    piece_rows: int = 4_000_000,
+    head: int | None = None,
 ) -> DataFrame:
     """``(a, b, sim, rank)``: the ``k`` nearest train entities of each query entity.
 
     ``query_ids`` and ``universe`` have one column ``id``. ``cells`` is the
     length of the vectors, needed when ``centred``. ``self_mode='drop_top'``
     drops the best of ``k + 1`` candidates, ``'exclude'`` the entity itself.
-    Equal similarities are ordered by id, descending.
+    Similarities are compared by ten significant digits; equal ones are ordered
+    by id, descending. ``head`` is the first length of the heads for entities
+    without a common cell; it changes no result.
     """
     if by not in ("user", "item"):
         raise ValueError("by must be user or item")
@@ -241,68 +175,37 @@ def nearest(
         raise ValueError("centred similarity needs the number of cells")
     entity, cell = ("user_id", "item_id") if by == "user" else ("item_id", "user_id")
 
-    def heads(ratings: DataFrame, ids: DataFrame) -> DataFrame:
-        sums = vector_sums(ratings, entity)
-        return durable(ids.select("id").join(sums, "id", "left").na.fill(0.0, ["s", "ss"]).na.fill(0, ["n"]))
+    def side(ratings: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+        sums = vector_sums(ratings, entity).select("id", "s", "ss")
+        rows = ids.select("id").distinct().join(sums, "id", "left").na.fill(0.0, ["s", "ss"])
+        return durable(rows.select(F.col("id").alias(name), F.col("s").alias(f"s_{name}"), F.col("ss").alias(f"ss_{name}")))
 
-    tables = [heads(profiles, query_ids), heads(train, universe)]
-    sizes = [h.agg(F.count(F.lit(1)).alias("ids"), F.sum("n").alias("rows")).first() for h in tables]
-    n_train, totals = sizes[1]["ids"], [z["rows"] or 0 for z in sizes]
-    divisor = n_train if denominator == "reference" else (cells or 1)
-    formula = Measure(measure, centred, float(divisor), float(cells or 0))
+    queries, others = side(profiles, query_ids, "a"), side(train, universe, "b")
+    divisor = others.count() if denominator == "reference" else (cells or 1)
+    formula = Measure(measure, centred, float(divisor or 1), float(cells or 0))
     keep = k + 1 if self_mode == "drop_top" else k
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    counts = [_blocks_of(z["ids"], t, block, piece_rows, cores) for z, t in zip(sizes, totals)]
-    big = [_big_blocks(h, c, t, piece_rows) for h, c, t in zip(tables, counts, totals)]
-    slices = max([1, *big[0].values(), *big[1].values()])
-
-    def packed(ratings: DataFrame, ids: DataFrame) -> DataFrame:
-        """Sparse vectors, cut into slices of cells so that none outgrows a task."""
-        entry = F.struct(F.col(cell).alias("cell"), F.col("rating").cast("double").alias("x"))
-        rows = ratings.withColumnRenamed(entity, "id").join(ids.select("id"), "id", "left_semi")
-        piece = F.pmod(F.xxhash64(cell), F.lit(slices)).cast("int") if slices > 1 else F.lit(0)
-        lists = rows.groupBy("id", piece.alias("slice")).agg(F.collect_list(entry).alias("e"))
-        return lists.select("id", "slice", F.col("e.cell").alias("cells"), F.col("e.x").alias("xs"))
-
-    def spread(ratings: DataFrame, side: int) -> DataFrame:
-        """A side's sums and vectors, once for each block of the other side."""
-        ids = tables[side]
-        sums = ids.select("id", F.lit(0).alias("slice"), "s", "ss")
-        rows = sums.unionByName(packed(ratings, ids), allowMissingColumns=True)
-        other = F.explode(F.sequence(F.lit(0), F.lit(counts[1 - side] - 1)))
-        rows = rows.withColumn("g0" if side == 0 else "g1", _block(counts[side]))
-        rows = rows.withColumn("g1" if side == 0 else "g0", other)
-        is_big = _in_blocks(big[0], F.col("g0")) | _in_blocks(big[1], F.col("g1"))
-        return rows.select(
-            "g0", "g1",
-            F.when(is_big, F.col("slice")).otherwise(0).alias("piece"),
-            F.when(is_big, slices).otherwise(1).alias("pieces"),
-            F.lit(side).alias("side"), "id", "s", "ss", "cells", "xs",
-        )
-
-    found = (
-        spread(profiles, 0)
-        .unionByName(spread(train, 1))
-        .repartition(_pair_partitions(counts[0] * counts[1]), "g0", "g1", "piece")
-        .groupBy("g0", "g1", "piece")
-        .applyInArrow(
-            _block_neighbours(formula, keep, self_mode == "exclude"), "a long, b long, value double, whole boolean"
-        )
+    skip_self = self_mode == "exclude"
+
+    # entities that share a cell; their sums travel with the ratings, which saves two joins of the pairs
+    mine = profiles.select(F.col(entity).alias("a"), cell, F.col("rating").cast("double").alias("x")).join(queries, "a")
+    theirs = train.select(F.col(entity).alias("b"), cell, F.col("rating").cast("double").alias("y")).join(others, "b")
+    met = mine.join(theirs, cell).groupBy("a", "b").agg(
+        F.sum(F.col("x") * F.col("y")).alias("dot"), *[F.max(c).alias(c) for c in ("s_a", "ss_a", "s_b", "ss_b")]
     )
-    split_blocks = bool(big[0] or big[1])
-    if split_blocks:
-        found = durable(found)  # read twice below
-    candidates = found.filter("whole").select("a", "b", F.col("value").alias("sim"))
-    if split_blocks:
-        dots = found.filter("not whole").groupBy("a", "b").agg(F.sum("value").alias("dot"))
-        left = tables[0].select(F.col("id").alias("a"), F.col("s").alias("s_a"), F.col("ss").alias("ss_a"))
-        right = tables[1].select(F.col("id").alias("b"), F.col("s").alias("s_b"), F.col("ss").alias("ss_b"))
-        sim = formula.on_columns(*[F.col(c) for c in ("dot", "s_a", "ss_a", "s_b", "ss_b")])
-        split = dots.join(left, "a").join(right, "b").select("a", "b", sim.alias("sim"))
-        if self_mode == "exclude":
-            split = split.filter("a <> b")
-        candidates = candidates.unionByName(split)
-    best = top_per_group(candidates, ["a"], [snap(F.col("sim")).desc(), F.col("b").desc()], keep, ["b"], "rank")
+
+    def rated(rows: DataFrame, dot: Column) -> DataFrame:
+        sim, key = formula.similarity(dot, *[F.col(c) for c in ("s_a", "ss_a", "s_b", "ss_b")])
+        return rows.select("a", "b", sim.alias("sim"), key.alias("_key"))
+
+    pairs = stash(rated(met, F.col("dot")), "pairs")
+    order = [F.col("_key").desc(), F.col("b").desc()]
+    related = pairs.filter("a <> b") if skip_self else pairs
+    related = top_per_group(related, ["a"], order, keep, ["b"], "rank").drop("rank")
+    push = F.lit(formula.factor) * formula.share(F.col("s_a"), F.col("ss_a"))
+    queries = queries.withColumn("way", F.signum(push).cast("int") if centred else F.lit(0))
+    unrelated = _unrelated(queries, pairs, others, formula, keep, skip_self, head or max(256, 4 * keep))
+    candidates = related.unionByName(rated(unrelated, F.lit(0.0)))
+    best = top_per_group(candidates, ["a"], order, keep, ["b"], "rank")
     if self_mode == "drop_top":
         best = best.filter("rank > 1").withColumn("rank", F.col("rank") - 1)
     return best.select("a", "b", "sim", "rank")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rankloom.functions.numeric import argmax, softmax, total
 from rankloom.functions.order import hash_key
 from rankloom.operators.layout import number_rows
-from rankloom.session import loop_partitions, stash, store
+from rankloom.session import cleaned, loop_partitions, stash, store
 
 
 def weight_columns(classes: int) -> list[str]:
@@ -75,6 +75,7 @@ class SoftmaxFit:
     trace: DataFrame
 
 
+@cleaned
 def softmax_train(
     features: DataFrame,
     labels: DataFrame,
@@ -87,12 +88,15 @@ def softmax_train(
     lmd: float = 0.01,
     tol: float = 1e-8,
     seed: int = 0,
+    check_every: int = 1,
 ) -> SoftmaxFit:
     """One pass of ``round(n / batch_size)`` hash-shuffled batches from zero weights.
 
     A step that changes the evaluation loss by less than ``tol`` (relative) ends
     the pass and is not applied. Batches are stored sorted, so a step reads its
-    own row groups.
+    own row groups. The loss reads all evaluation rows, so one pass costs
+    ``n / batch_size / check_every`` scans of them: on large tables take a batch
+    that grows with ``n``, or look at every ``check_every``-th step only.
     """
     beta = alpha / 1000 if beta is None else beta
     spark = features.sparkSession
@@ -113,6 +117,10 @@ def softmax_train(
         part = batch_features.filter(F.col("batch") == i).drop("batch")
         picked = batch_labels.filter(F.col("batch") == i).drop("batch")
         moved = store(softmax_step(part, picked, stored.table, rate), "weights")
+        if (i + 1) % check_every:
+            stored.drop()
+            stored = moved
+            continue
         moved_loss = softmax_loglik(check, check_rows, moved.table, lmd).first()[0]
         change = abs((loss - moved_loss) / loss)
         trace.append((i, loss, change))

@@ -9,19 +9,17 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.order import hash_key, start_value
-from rankloom.operators.layout import batch_count, minibatches
+from rankloom.operators.layout import batch_count, minibatches, number_rows
 from rankloom.operators.metrics import sign_label, squared_hinge
-from rankloom.session import Stored, durable, loop_partitions, stash, store
-
-# Regularisation and known optimum of two public data sets.
-KNOWN_LAMBDA = {"covtype": 3631.3203125, "realsim": 7230.875}
-KNOWN_OPTIMUM = {"covtype": 2541.664519, "realsim": 669.664812}
+from rankloom.session import Stored, cleaned, durable, loop_partitions, scratch, stash, store
 
+MOST_CLASSES = 200  # Bound on the columns of a one-vs-rest model.
 TRACE_SCHEMA = "method string, iter int, grad_norm double, loss double, objective double, rel double, acc double"
 
 
@@ -121,7 +119,7 @@ class _Run:
         self.trace.append((self.method, epoch, grad, loss, objective, rel, acc))
 
     def finish(self, weights: DataFrame) -> SvmFit:
-        out = durable(weights)
+        out = durable(weights)  # the loop's own tables go with it
         for table in (self.features, self.labels, *(self.test or ())):
             table.unpersist()
         return SvmFit(out, self.spark.createDataFrame(self.trace, TRACE_SCHEMA))
@@ -137,6 +135,12 @@ def _descend(
     return moved, norm
 
 
+def epoch_start(seed: int, epoch: int, rows: int) -> int:
+    """Rows before an epoch's batch: the first 32 bits of the md5 of ``seed:epoch``, modulo the rows."""
+    return int(md5(f"{seed}:{epoch}".encode()).hexdigest()[:8], 16) % max(rows, 1)
+
+
+@cleaned
 def svm_pegasos(
     features: DataFrame,
     labels: DataFrame,
@@ -149,14 +153,24 @@ def svm_pegasos(
     test_labels: DataFrame | None = None,
     optimum: float | None = None,
 ) -> SvmFit:
-    """One random batch per epoch: the first rows of that epoch's hash order."""
+    """One random batch per epoch: neighbouring rows of a fixed hash order, from a place drawn for the epoch.
+
+    Rows are numbered once and stored in that order, so an epoch reads the row
+    groups of its batch. Beyond the last row a batch goes on with the first.
+    """
     run = _Run("pegasos", features, labels, test_features, test_labels, lam, optimum)
+    placed = number_rows(run.labels, [hash_key(seed, "row_id"), F.col("row_id")], name="pos")
+    placed = stash(placed, "labels", sort_by=["pos"])
+    cells = stash(run.features.join(placed.select("row_id", "pos"), "row_id"), "features", sort_by=["pos", "row_id"])
     weights = store(zero_weights(run.features), "weights")
     for epoch in range(epochs):
         rate = learning_rate / (1 + learning_rate / 100 * epoch)
-        key = hash_key(f"{seed}:{epoch}", "row_id")
-        picked = run.labels.orderBy(key, "row_id").limit(batch_size).persist()
-        part = run.features.join(picked.select("row_id"), "row_id", "left_semi").persist()
+        start = epoch_start(seed, epoch, run.rows)
+        inside = ((F.col("pos") > start) & (F.col("pos") <= start + batch_size)) | (
+            F.col("pos") <= start + batch_size - run.rows
+        )
+        picked = placed.filter(inside).drop("pos").persist()
+        part = cells.filter(inside).drop("pos").persist()
         moved, norm = _descend(weights.table, part, picked, run.rows, batch_size, lam, rate)
         weights.drop()
         weights = moved
@@ -169,6 +183,7 @@ def svm_pegasos(
     return run.finish(weights.table.select("idx", "w"))
 
 
+@cleaned
 def svm_sgd(
     features: DataFrame,
     labels: DataFrame,
@@ -191,19 +206,22 @@ def svm_sgd(
     weights = store(zero_weights(run.features), "weights")
     for epoch in range(epochs):
         rate = learning_rate / (1 + learning_rate / 100 * epoch)
-        cuts = minibatches(run.labels, "row_id", batch_size, f"{seed}:{epoch}", repeat_tail)
-        batch_labels = stash(run.labels.join(cuts, "row_id"), "labels", sort_by=["batch", "row_id"])
-        batch_features = stash(run.features.join(cuts, "row_id"), "features", sort_by=["batch", "row_id"])
         norms, losses = [], []
-        for b in range(batch_count(run.rows, batch_size, repeat_tail)):
-            part = batch_features.filter(F.col("batch") == b).drop("batch")
-            picked = batch_labels.filter(F.col("batch") == b).drop("batch")
-            moved, norm = _descend(weights.table, part, picked, run.rows, batch_size, lam, rate)
-            weights.drop()
-            weights = moved
-            scored = margins(part, picked, weights.table.select("idx", "w"))
-            norms.append(norm)
-            losses.append(squared_hinge_loss(scored, run.rows).first()[0])
+        with scratch(run.spark) as own:  # the epoch's order of the data goes with the epoch
+            cuts = minibatches(run.labels, "row_id", batch_size, f"{seed}:{epoch}", repeat_tail)
+            batch_labels = stash(run.labels.join(cuts, "row_id"), "labels", sort_by=["batch", "row_id"])
+            batch_features = stash(run.features.join(cuts, "row_id"), "features", sort_by=["batch", "row_id"])
+            for b in range(batch_count(run.rows, batch_size, repeat_tail)):
+                part = batch_features.filter(F.col("batch") == b).drop("batch")
+                picked = batch_labels.filter(F.col("batch") == b).drop("batch")
+                moved, norm = _descend(weights.table, part, picked, run.rows, batch_size, lam, rate)
+                weights.drop()
+                weights = moved
+                scored = margins(part, picked, weights.table.select("idx", "w"))
+                norms.append(norm)
+                losses.append(squared_hinge_loss(scored, run.rows).first()[0])
+            last = own.keep(weights.table)
+        weights = Stored(last, weights.path)
         run.record(epoch, weights.table.select("idx", "w"), sum(norms), sum(losses), 1.0)
     return run.finish(weights.table.select("idx", "w"))
 
@@ -216,6 +234,7 @@ def hessian_product(features: DataFrame, vector: DataFrame, column: str, scale:
     return vector.join(back, "idx", "left").select("idx", hv.alias("hv"))
 
 
+@cleaned
 def conjugate_gradient(
     features: DataFrame,
     gradient: DataFrame,
@@ -271,6 +290,7 @@ def conjugate_gradient(
     return stored.table.select("idx", "d"), done
 
 
+@cleaned
 def svm_newton(
     features: DataFrame,
     labels: DataFrame,
@@ -291,16 +311,17 @@ def svm_newton(
     run = _Run("newton", features, labels, test_features, test_labels, lam, optimum)
     weights = durable(zero_weights(run.features))
     for epoch in range(epochs):
-        gradient = durable(svm_gradient(run.features, run.labels, weights, run.rows, 1, lam))
-        norm = math.sqrt(gradient.agg(F.sum(F.col("grad") * F.col("grad"))).first()[0])
-        rows = run.features
-        if refresh_active:
-            live = active_set(margins(run.features, run.labels, weights)).select("row_id")
-            rows = run.features.join(live, "row_id", "left_semi").persist()
-        step, _ = conjugate_gradient(rows, gradient, run.rows, lam, cg_tol, cg_iterations)
-        weights = durable(weights.join(step, "idx").select("idx", (F.col("w") + F.col("d")).alias("w")))
-        if refresh_active:
-            rows.unpersist()
+        with scratch(run.spark) as own:
+            gradient = durable(svm_gradient(run.features, run.labels, weights, run.rows, 1, lam))
+            norm = math.sqrt(gradient.agg(F.sum(F.col("grad") * F.col("grad"))).first()[0])
+            rows = run.features
+            if refresh_active:
+                live = active_set(margins(run.features, run.labels, weights)).select("row_id")
+                rows = run.features.join(live, "row_id", "left_semi").persist()
+            step, _ = conjugate_gradient(rows, gradient, run.rows, lam, cg_tol, cg_iterations)
+            weights = own.keep(weights.join(step, "idx").select("idx", (F.col("w") + F.col("d")).alias("w")))
+            if refresh_active:
+                rows.unpersist()
         loss = squared_hinge_loss(margins(run.features, run.labels, weights), run.rows).first()[0]
         run.record(epoch, weights, norm, loss, 1.0)
     return run.finish(weights)
@@ -311,7 +332,10 @@ def svm_newton(
 
 def class_weights(labels: DataFrame, cls: str = "cls") -> dict[int, float]:
     """Balanced weight ``n / (classes * n_c)`` of each class."""
-    counts = {r[cls]: r["n"] for r in labels.groupBy(cls).agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = labels.groupBy(cls).agg(F.count(F.lit(1)).alias("n")).limit(MOST_CLASSES + 1).collect()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes: one model column each would not do")
+    counts = {r[cls]: r["n"] for r in found}
     n = sum(counts.values())
     return {c: n / (len(counts) * k) for c, k in sorted(counts.items())}
 
@@ -321,11 +345,12 @@ def _bias_column(features: DataFrame, labels: DataFrame) -> DataFrame:
     return features.unionByName(labels.select("row_id", F.lit(-1).alias("idx"), F.lit(1.0).alias("val")))
 
 
+@cleaned
 def svm_multiclass_balanced(
     features: DataFrame,
     labels: DataFrame,
     cost: float = 1.0,
-    newton_steps: int = 10,
+    newton_steps: int = 50,
     cg_steps: int = 10,
     tol: float = 1e-2,
 ) -> DataFrame:
@@ -335,8 +360,10 @@ def svm_multiclass_balanced(
     sum c * max(0, 1 - y m)^2`` with ``c`` the class weight for its own rows
     and ``cost`` for the others; the bias is a feature of value 1, index -1.
     All classes run in the same jobs, one column each, by truncated Newton
-    steps that are halved until every class's objective falls. Returns the
-    wide table ``(idx, w_<class>...)``.
+    steps that are halved until every class's objective falls. They end when every
+    class's gradient is ``tol`` of its first one; otherwise, after
+    ``newton_steps``, that is an error. Returns the wide table
+    ``(idx, w_<class>...)``.
     """
     balance = class_weights(labels)
     classes = list(balance)
@@ -373,7 +400,7 @@ def svm_multiclass_balanced(
     scored = scored_rows(weights)
     value = losses(scored, weights)
     first_norm: dict[int, float] = {}
-    for _ in range(newton_steps):
+    for _ in range(newton_steps + 1):
         slope = [
             F.when(
                 sign_of(c) * F.col(f"m_{c}") < 1, 2.0 * cost_of(c) * (F.col(f"m_{c}") - sign_of(c))
@@ -440,7 +467,9 @@ def svm_multiclass_balanced(
             pace.update({c: pace[c] / 2 if _halving < 8 else 0.0 for c in worse})
         scored.unpersist()
         weights, scored, value = tried, tried_rows, tried_value
-    out = durable(weights)
+    else:
+        raise RuntimeError(f"the model did not converge within {newton_steps} steps")
+    out = weights
     for table in (rows, known, scored):
         table.unpersist()
     return out

@@ -15,9 +15,12 @@ UNKNOWN, PADDING = "<unk>", "<pad>"
 BROADCAST_WORDS = 100_000  # Size bound under which a vocabulary is broadcast.
 
 
-def _within_bound(words: DataFrame, bound: int) -> DataFrame:
-    """Broadcast hint for a word list that holds at most ``bound`` rows."""
-    return F.broadcast(words) if bound <= BROADCAST_WORDS else words
+def small_words(words: DataFrame) -> DataFrame:
+    """Broadcast hint for a word list that has few enough rows, which are counted; else the list as it is.
+
+    The count stops at the bound, and a stored list is counted from its footers.
+    """
+    return F.broadcast(words) if words.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS else words
 
 
 def token_rows(docs: DataFrame, tokens: Column, *keep: str) -> DataFrame:
@@ -48,8 +51,13 @@ def class_document_freq(words: DataFrame, cls: str = "stars") -> DataFrame:
 
 
 def most_common(counts: DataFrame, k: int, name: str = "rank") -> DataFrame:
-    """The ``k`` most frequent words; equal counts in word order."""
-    return top_per_group(counts, [], [F.col("cnt").desc(), F.col("word").asc()], k, ["word"], name)
+    """The ``k`` most frequent words; equal counts in word order.
+
+    Every task cuts its words to ``k`` before they meet, and only those ``k`` are numbered.
+    """
+    order = [F.col("cnt").desc(), F.col("word").asc()]
+    best = counts.orderBy(*order).limit(k)
+    return best.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
 
 
 def top_vocab(counts: DataFrame, size: int = 10_000, first: int = 2) -> DataFrame:
@@ -66,13 +74,13 @@ def build_vocab(counts: DataFrame, min_freq: int = 3, size: int = 10_000) -> Dat
     return special.unionByName(words)
 
 
-def encode_pad(tokens: DataFrame, docs: DataFrame, vocab: DataFrame, length: int = 1000, size: int = 10_000) -> DataFrame:
+def encode_pad(tokens: DataFrame, docs: DataFrame, vocab: DataFrame, length: int = 1000) -> DataFrame:
     """``(doc_id, codes)``: word indexes, 0 for unknown, cut or filled with 1 to ``length``.
 
     Tokens beyond ``length`` are cut before anything is collected, so a
     document's group has at most ``length`` rows.
     """
-    known = _within_bound(vocab.select("word", "idx"), size + 2)
+    known = small_words(vocab.select("word", "idx"))
     used = tokens.filter(F.col("pos") < length).join(known, "word", "left")
     coded = used.groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct("pos", F.coalesce("idx", F.lit(0)).alias("idx")))).alias("_c")
@@ -81,8 +89,8 @@ def encode_pad(tokens: DataFrame, docs: DataFrame, vocab: DataFrame, length: int
     return docs.select("doc_id").join(coded, "doc_id", "left").select("doc_id", pad(codes, length).alias("codes"))
 
 
-def ngram_counts(docs: DataFrame, tokens: Column, sizes: tuple[int, ...] = (3, 4, 5), min_docs: int = 3) -> DataFrame:
-    """``(n, gram, docs, cnt)`` of token runs found in at least ``min_docs`` documents."""
+def ngram_counts(docs: DataFrame, tokens: Column, sizes: tuple[int, ...] = (3, 4, 5)) -> DataFrame:
+    """``(n, gram, docs, cnt)`` of all token runs."""
     runs = F.array(
         *[F.struct(F.lit(n).alias("n"), token_windows(F.col("_t"), n).alias("grams")) for n in sizes]
     )
@@ -92,8 +100,7 @@ def ngram_counts(docs: DataFrame, tokens: Column, sizes: tuple[int, ...] = (3, 4
         .select("doc_id", F.col("r.n").alias("n"), F.explode("r.grams").alias("gram"))
     )
     per_doc = grams.groupBy("doc_id", "n", "gram").agg(F.count(F.lit(1)).alias("tf"))
-    totals = per_doc.groupBy("n", "gram").agg(F.count(F.lit(1)).alias("docs"), F.sum("tf").alias("cnt"))
-    return totals.filter(F.col("docs") >= min_docs)
+    return per_doc.groupBy("n", "gram").agg(F.count(F.lit(1)).alias("docs"), F.sum("tf").alias("cnt"))
 
 
 # ------------------------------------------------------------ feature selection
@@ -131,11 +138,11 @@ def select_features(words: DataFrame, scheme: str, k: int = 2000, cls: str = "st
     return top_features(words, scheme, k)
 
 
-def doc_term(words: DataFrame, features: DataFrame, scheme: str, bound: int = 10_000) -> DataFrame:
+def doc_term(words: DataFrame, features: DataFrame, scheme: str) -> DataFrame:
     """Document-term rows ``(row_id, idx, val)`` of the selected words.
 
     Counts for the token scheme, 1 for the document schemes.
     """
     val = F.col("tf").cast("double") if scheme == "CTF" else F.lit(1.0)
-    joined = words.join(_within_bound(features, bound), "word")
+    joined = words.join(small_words(features), "word")
     return joined.select(F.col("doc_id").alias("row_id"), "idx", val.alias("val"))

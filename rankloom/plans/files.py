@@ -81,16 +81,13 @@ def text_csv(v: Views) -> DataFrame:
 
 
 def libsvm(v: Views) -> DataFrame:
-    """Sizes per label of the star features after a round trip."""
+    """Labels and features of the star classifier after a round trip, a row for each feature."""
     path = scratch_path(v.spark, "libsvm")
     rows = v.reviews().select(F.col("doc_id").alias("row_id"), F.col("stars").alias("label"))
     writers.write_libsvm(rows, words.doc_term(v, "CTF"), path)
     labels, features = readers.read_libsvm(v.spark, path)
     joined = labels.join(features, "row_id", "left")
-    return joined.groupBy(F.col("label").cast("int").alias("label")).agg(
-        F.countDistinct("row_id").alias("rows"), F.count("idx").alias("entries"),
-        F.sum("idx").alias("idx_sum"), F.sum("val").cast("long").alias("val_sum"),
-    )
+    return joined.select(F.col("label").cast("int").alias("label"), "idx", F.col("val").cast("long").alias("val"))
 
 
 def reviews(v: Views) -> DataFrame:

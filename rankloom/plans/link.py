@@ -11,7 +11,6 @@ from rankloom.plans.oracle import link as sql
 from rankloom.plans.registry import Query, rounded, saved
 from rankloom.plans.views import Views
 
-STEPS, TOPIC_STEPS = 10, 5
 VARIANTS = [f"C{i:02d}" for i in range(1, 11)]
 
 
@@ -22,13 +21,13 @@ def edges(v: Views) -> DataFrame:
 def global_ranks(v: Views, dangling: str = "reference") -> DataFrame:
     return saved(
         v, f"ranks-{dangling}",
-        lambda: graph.pagerank_global(v.nodes(), edges(v), iterations=STEPS, dangling=dangling),
+        lambda: graph.pagerank_global(v.nodes(), edges(v), dangling=dangling),
     )
 
 
 def topic_ranks(v: Views) -> DataFrame:
     return saved(
-        v, "topic-ranks", lambda: graph.pagerank_topic(v.nodes(), edges(v), v.doc_topics(), iterations=TOPIC_STEPS)
+        v, "topic-ranks", lambda: graph.pagerank_topic(v.nodes(), edges(v), v.doc_topics())
     )
 
 
@@ -47,7 +46,7 @@ def scored(v: Views) -> DataFrame:
 def _fused(variant: str) -> Query:
     return Query(
         lambda v: rounded(retrieval.fuse_cm(scored(v), variant).select("user_id", "query_id", "doc", "score")),
-        sql.fuse_cm(variant, STEPS),
+        sql.fuse_cm(variant),
     )
 
 
@@ -55,6 +54,19 @@ def _random_fusion(v: Views) -> DataFrame:
     return retrieval.fuse_cm(scored(v), "C00").select("user_id", "query_id", "doc", "score")
 
 
+def _topic_docs(v: Views) -> DataFrame:
+    """Members of each topic, one row each so that no group is held by one task, and their number."""
+    sizes = v.doc_topics().groupBy("topic").agg(F.count(F.lit(1)).alias("docs"))
+    return v.doc_topics().select("topic", "doc").distinct().join(sizes, "topic")
+
+
+def _repeats(v: Views) -> DataFrame:
+    """The run with every third document a second time, later and less relevant."""
+    run = v.run()
+    again = run.filter("doc % 3 = 1 AND doc % 2 = 0").withColumn("rel", F.col("rel") - 0.5)
+    return run.withColumn("orig_rank", F.lit(1)).unionByName(again.withColumn("orig_rank", F.lit(2)))
+
+
 def _step_distance(v: Views) -> DataFrame:
     """Distance between the two ways of handling dangling mass."""
     return rounded(l2_distance(global_ranks(v), global_ranks(v, "uniform"), "id", "rank"), 12)
@@ -64,9 +76,7 @@ QUERIES: dict[str, Query] = {
     "row_normalise_edges": Query(lambda v: rounded(graph.row_normalise_edges(edges(v))), sql.ROW_NORMALISE),
     "dangling_nodes": Query(lambda v: graph.dangling_nodes(v.nodes(), edges(v)), sql.DANGLING),
     "topic_teleport": Query(lambda v: rounded(graph.topic_teleport(v.doc_topics()), 12), sql.TELEPORT),
-    "topic_doc_group": Query(
-        lambda v: v.doc_topics().groupBy("topic").agg(F.count(F.lit(1)).alias("docs")), sql.TOPIC_GROUP
-    ),
+    "topic_doc_group": Query(_topic_docs, sql.TOPIC_GROUP),
     "spmv_join": Query(
         lambda v: rounded(
             graph.row_normalise_edges(edges(v))
@@ -77,24 +87,22 @@ QUERIES: dict[str, Query] = {
         ),
         sql.SPMV,
     ),
-    "pagerank_global": Query(lambda v: rounded(global_ranks(v), 12), sql.global_result(STEPS)),
+    "pagerank_global": Query(lambda v: rounded(global_ranks(v), 12), sql.global_result()),
     "pagerank_global_uniform": Query(
-        lambda v: rounded(global_ranks(v, "uniform"), 12), sql.global_result(STEPS, "uniform")
-    ),
-    "pagerank_converged": Query(
-        lambda v: rounded(graph.pagerank_global(v.nodes(), edges(v)), 12), sql.CONVERGED
+        lambda v: rounded(global_ranks(v, "uniform"), 12), sql.global_result("uniform")
     ),
-    "pagerank_topic": Query(lambda v: rounded(topic_ranks(v), 12), sql.topic_result(TOPIC_STEPS)),
-    "pagerank_query": Query(lambda v: rounded(by_query(v), 12), sql.mixture_result("query_mix", TOPIC_STEPS)),
-    "pagerank_personal": Query(lambda v: rounded(personal(v), 12), sql.mixture_result("user_mix", TOPIC_STEPS)),
-    "l2_distance": Query(_step_distance, sql.distance(STEPS)),
+    "pagerank_converged": Query(lambda v: rounded(global_ranks(v), 12), sql.global_result()),
+    "pagerank_topic": Query(lambda v: rounded(topic_ranks(v), 12), sql.topic_result()),
+    "pagerank_query": Query(lambda v: rounded(by_query(v), 12), sql.mixture_result("query_mix")),
+    "pagerank_personal": Query(lambda v: rounded(personal(v), 12), sql.mixture_result("user_mix")),
+    "l2_distance": Query(_step_distance, sql.distance()),
     "run_score_join": Query(
-        lambda v: rounded(scored(v).select("user_id", "query_id", "doc", "rel", "rank"), 12), sql.scored_result(STEPS)
+        lambda v: rounded(scored(v).select("user_id", "query_id", "doc", "rel", "rank"), 12), sql.scored_result()
     ),
     "score_range": Query(
-        lambda v: rounded(retrieval.score_range(scored(v), ["rank", "rel"]), 12), sql.score_range(STEPS)
+        lambda v: rounded(retrieval.score_range(scored(v), ["rank", "rel"]), 12), sql.score_range()
     ),
-    "l1_norms": Query(lambda v: rounded(retrieval.l1_norms(scored(v), "rel"), 6), sql.l1_norms(STEPS)),
+    "l1_norms": Query(lambda v: rounded(retrieval.l1_norms(scored(v), "rel"), 6), sql.l1_norms()),
     "list_minmax": Query(
         lambda v: rounded(
             retrieval.list_minmax(scored(v), ["rank", "rel"]).select(
@@ -102,35 +110,38 @@ QUERIES: dict[str, Query] = {
             ),
             9,
         ),
-        sql.list_minmax(STEPS),
+        sql.list_minmax(),
     ),
     "list_l1": Query(
         lambda v: rounded(
             retrieval.list_l1(scored(v), "rank", "share").select("user_id", "query_id", "doc", "share"), 9
         ),
-        sql.list_l1(STEPS),
+        sql.list_l1(),
     ),
     "fuse_ns": Query(
         lambda v: rounded(retrieval.fuse_ns(scored(v)).select("user_id", "query_id", "doc", "score"), 12),
-        sql.fuse_ns(STEPS),
+        sql.fuse_ns(),
     ),
     "fuse_ws": Query(
         lambda v: rounded(retrieval.fuse_ws(scored(v)).select("user_id", "query_id", "doc", "score"), 9),
-        sql.fuse_ws(STEPS),
+        sql.fuse_ws(),
     ),
     **{f"fuse_cm_{c.lower()}": _fused(c) for c in VARIANTS},
     "fuse_cm_c00": Query(_random_fusion),
     "rank_run": Query(
         lambda v: retrieval.rank_run(retrieval.fuse_ws(scored(v))).select("user_id", "query_id", "doc", "position"),
-        sql.ranked("global", "WS", STEPS, with_score=False),
+        sql.ranked("global", "WS", with_score=False),
     ),
     "retrieve": Query(
-        lambda v: rounded(retrieval.retrieve(v.run(), personal(v), "WS")), sql.ranked("user_mix", "WS", TOPIC_STEPS)
+        lambda v: rounded(retrieval.retrieve(v.run(), personal(v), "WS")), sql.ranked("user_mix", "WS")
+    ),
+    "retrieve_repeats": Query(
+        lambda v: rounded(retrieval.retrieve(_repeats(v), personal(v), "WS")), sql.ranked("user_mix", "WS", repeats=True)
     ),
     "retrieve_query_cm": Query(
-        lambda v: rounded(retrieval.retrieve(v.run(), by_query(v), "CM")), sql.ranked("query_mix", "CM", TOPIC_STEPS)
+        lambda v: rounded(retrieval.retrieve(v.run(), by_query(v), "CM")), sql.ranked("query_mix", "CM")
     ),
     "retrieve_global_ns": Query(
-        lambda v: rounded(retrieval.retrieve(v.run(), global_ranks(v), "NS")), sql.ranked("global", "NS", STEPS)
+        lambda v: rounded(retrieval.retrieve(v.run(), global_ranks(v), "NS")), sql.ranked("global", "NS")
     ),
 }

@@ -65,9 +65,12 @@ def _objective(v: Views) -> DataFrame:
     return rounded(svm.squared_hinge_loss(rows, n).withColumn("objective", F.lit(value)), 6)
 
 
-def _trace(v: Views) -> DataFrame:
-    fits = [newton(v).trace, pegasos(v).trace, sgd(v).trace]
-    return fits[0].unionByName(fits[1]).unionByName(fits[2])
+def _trace(fit: svm.SvmFit) -> DataFrame:
+    rows = fit.trace
+    return rows.select(
+        "method", "iter", F.round("grad_norm", 5).alias("grad_norm"), F.round("loss", 6).alias("loss"),
+        F.round("objective", 5).alias("objective"), "rel", F.round("acc", 9).alias("acc"),
+    )
 
 
 def _multiclass(v: Views) -> DataFrame:
@@ -87,8 +90,8 @@ def star_labels(v: Views, split: str) -> DataFrame:
     return rows.select(F.col("doc_id").alias("row_id"), F.col("stars").alias("cls"))
 
 
-def star_features(v: Views) -> DataFrame:
-    return saved(v, "star-features", lambda: words.doc_term(v, "DF"))
+def star_features(v: Views, scheme: str = "DF") -> DataFrame:
+    return saved(v, f"star-features-{scheme}", lambda: words.doc_term(v, scheme))
 
 
 def eval_labels(v: Views) -> DataFrame:
@@ -100,15 +103,15 @@ def eval_labels(v: Views) -> DataFrame:
     return saved(v, "star-eval", build)
 
 
-def star_weights(v: Views) -> DataFrame:
+def star_weights(v: Views, scheme: str = "DF") -> DataFrame:
     def build() -> DataFrame:
         train, held = star_labels(v, "train"), eval_labels(v)
-        rows = star_features(v).join(train.select("row_id"), "row_id", "left_semi")
+        rows = star_features(v, scheme).join(train.select("row_id"), "row_id", "left_semi")
         return softmax.softmax_train(
             rows, train, rows.join(held.select("row_id"), "row_id", "left_semi"), held, batch_size=SOFTMAX_BATCH
         ).weights
 
-    return saved(v, "star-weights", build)
+    return saved(v, f"star-weights-{scheme}", build)
 
 
 def star_guess(v: Views, split: str = "dev") -> DataFrame:
@@ -137,9 +140,16 @@ QUERIES: dict[str, Query] = {
     "svm_pegasos": Query(lambda v: rounded(pegasos(v).weights, 6), sql.pegasos(**PEGASOS)),
     "svm_sgd": Query(lambda v: rounded(sgd(v).weights, 6), sql.sgd(**SGD)),
     "svm_newton": Query(lambda v: rounded(newton(v).weights, 6), sql.newton(NEWTON["epochs"], NEWTON["cg_iterations"])),
-    "svm_trace": Query(_trace),
+    "svm_trace_pegasos": Query(lambda v: _trace(pegasos(v)), sql.pegasos_trace(**PEGASOS)),
+    "svm_trace_sgd": Query(lambda v: _trace(sgd(v)), sql.sgd_trace(**SGD)),
+    "svm_trace": Query(lambda v: _trace(newton(v)), sql.newton_trace(NEWTON["epochs"], NEWTON["cg_iterations"])),
     "svm_multiclass_balanced": Query(_multiclass),
     "softmax_train": Query(lambda v: rounded(star_weights(v)), sql.softmax("weights")),
+    "softmax_train_ctf": Query(lambda v: rounded(star_weights(v, "CTF")), sql.softmax("weights", "CTF")),
+    "softmax_train_bal": Query(lambda v: rounded(star_weights(v, "BAL")), sql.softmax("weights", "BAL")),
+    "best_epoch": Query(
+        lambda v: rounded(metrics.best_epoch(newton(v).trace), 6), sql.best_epoch(NEWTON["epochs"], NEWTON["cg_iterations"])
+    ),
     "softmax_predict": Query(lambda v: rounded(star_guess(v).select("row_id", "hard", "soft"), 6), sql.softmax("predict")),
     "softmax_loglik": Query(
         lambda v: rounded(softmax.softmax_loglik(star_features(v), eval_labels(v), star_weights(v)), 6),

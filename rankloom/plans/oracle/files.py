@@ -32,9 +32,8 @@ VECTORS = compose(
 TEXT_CSV = TREE
 LIBSVM = compose(
     ["review_words", "reviews"], words.doc_term_steps("CTF"),
-    """SELECT CAST(r.stars AS INT) AS label, count(DISTINCT r.doc_id) AS rows, count(d.idx) AS entries,
-              CAST(sum(d.idx) AS BIGINT) AS idx_sum, CAST(sum(d.val) AS BIGINT) AS val_sum
-       FROM reviews r LEFT JOIN doc_term d ON d.row_id = r.doc_id GROUP BY 1""",
+    """SELECT CAST(r.stars AS INT) AS label, d.idx, CAST(d.val AS BIGINT) AS val
+       FROM reviews r LEFT JOIN doc_term d ON d.row_id = r.doc_id""",
 )
 REVIEWS = compose(
     ["reviews"], {},

@@ -80,6 +80,12 @@ CG = compose(
 
 
 def newton(epochs: int, iterations: int) -> str:
+    return compose(
+        ["feat"], _newton_steps(epochs, iterations), f"SELECT CAST(idx AS INT) AS idx, round(w, 6) + 0.0 AS w FROM w{epochs}"
+    )
+
+
+def _newton_steps(epochs: int, iterations: int) -> dict[str, str]:
     steps = {**TRAIN, "w0": "SELECT DISTINCT idx, CAST(0 AS DOUBLE) AS w FROM ft"}
     for e in range(epochs):
         steps[f"m{e}"] = f"SELECT row_id, any_value(y) AS y, sum(val * w) AS m FROM ft JOIN w{e} USING (idx) GROUP BY 1"
@@ -88,7 +94,7 @@ def newton(epochs: int, iterations: int) -> str:
             USING (idx)"""
         steps |= _conjugate(f"c{e}", f"g{e}", "ft", iterations)
         steps[f"w{e + 1}"] = f"SELECT idx, w + d AS w FROM w{e} JOIN c{e}_{iterations} USING (idx)"
-    return compose(["feat"], steps, f"SELECT CAST(idx AS INT) AS idx, round(w, 6) + 0.0 AS w FROM w{epochs}")
+    return steps
 
 
 def _descent(batch: int, steps: str, epoch: str) -> dict[str, str]:
@@ -116,28 +122,124 @@ def pegasos(epochs: int, batch_size: int) -> str:
         ["feat"],
         {
             **TRAIN,
-            "rowsteps": f"""SELECT step, row_id FROM (
-                SELECT step, row_id, row_number() OVER (PARTITION BY step ORDER BY md5('0:' || step || ':' || row_id), row_id) AS rn
-                FROM rows CROSS JOIN (SELECT unnest(range({epochs})) AS step) s) t WHERE rn <= {batch_size}""",
+            **_pegasos_rows(epochs, batch_size),
             **_descent(batch_size, str(epochs), "w.it"),
         },
         FINAL_WEIGHTS,
     )
 
 
+def _pegasos_rows(epochs: int, batch_size: int) -> dict[str, str]:
+    return {
+        "spots": "SELECT row_id, row_number() OVER (ORDER BY md5('0:' || row_id), row_id) AS pos, count(*) OVER () AS k FROM rows",
+        "rowsteps": f"""SELECT step, row_id FROM (
+            SELECT step, row_id, pos, k, CAST('0x' || substr(md5('0:' || step), 1, 8) AS BIGINT) % k AS start
+            FROM spots CROSS JOIN (SELECT unnest(range({epochs})) AS step) s) t
+            WHERE pos > start AND pos <= start + {batch_size} OR pos <= start + {batch_size} - k""",
+    }
+
+
+def _sgd_rows(epochs: int, batch_size: int) -> dict[str, str]:
+    return {
+        "size": "SELECT count(*) AS k FROM rows",
+        "nb": f"SELECT k // {batch_size} + CASE WHEN k % {batch_size} <> 0 THEN 2 ELSE 1 END AS nb FROM size",
+        "placed": f"""SELECT e, row_id, (row_number() OVER (PARTITION BY e ORDER BY md5('0:' || e || ':' || row_id), row_id) - 1)
+                        // {batch_size} AS b
+                      FROM rows CROSS JOIN (SELECT unnest(range({epochs})) AS e) s""",
+        "rowsteps": f"""SELECT e * nb + b AS step, row_id FROM placed CROSS JOIN nb
+            UNION ALL SELECT e * nb + b + 1, row_id FROM placed CROSS JOIN nb CROSS JOIN size
+            WHERE k % {batch_size} <> 0 AND b = k // {batch_size}""",
+    }
+
+
+TEST_ROWS = {"fe": "SELECT row_id, y, idx, val FROM feat WHERE is_test"}
+
+
+def _measured(method: str, states: str, epochs: str) -> dict[str, str]:
+    """Trace rows from ``states(e, idx, w)`` after each epoch and ``epochs(e, grad_norm, loss, scale)``."""
+    return {
+        **TEST_ROWS,
+        "states": states,
+        "epochs": epochs,
+        "norms": "SELECT e, sum(w * w) AS ww FROM states GROUP BY e",
+        "hits": """SELECT e, avg(CASE WHEN (m > 0) = (y = 1) THEN 1.0 ELSE 0.0 END) AS acc FROM (
+            SELECT e, row_id, any_value(y) AS y, sum(val * w) AS m FROM fe JOIN states USING (idx) GROUP BY e, row_id) t GROUP BY e""",
+        "trace": f"""SELECT '{method}' AS method, CAST(e AS INT) AS iter, grad_norm, loss,
+            ww / 2 + {LAM} * loss * scale AS objective, CAST(NULL AS DOUBLE) AS rel, acc
+            FROM epochs JOIN norms USING (e) JOIN hits USING (e)""",
+    }
+
+
+_TRACE_ROWS = """SELECT method, iter, round(grad_norm, 5) AS grad_norm, round(loss, 6) AS loss, round(objective, 5) AS objective,
+    rel, round(acc, 9) AS acc FROM trace"""
+_STEP_LOSS = """SELECT step, sum(power(greatest(0, 1 - y * m), 2)) / any_value(n.n) AS loss FROM (
+    SELECT r.step, r.row_id, any_value(ft.y) AS y, sum(ft.val * w.w) AS m FROM rowsteps r JOIN ft USING (row_id)
+    JOIN w ON w.idx = ft.idx AND w.it = r.step + 1 GROUP BY r.step, r.row_id) t CROSS JOIN n GROUP BY step"""
+
+
+def _step_norms(epoch: str) -> str:
+    return f"""SELECT a.it AS step, sqrt(sum(power((a.w - b.w) * (1 + {RATE} / 100 * ({epoch})) / {RATE}, 2))) AS norm
+        FROM w a JOIN w b ON b.idx = a.idx AND b.it = a.it + 1 GROUP BY a.it"""
+
+
+def pegasos_trace(epochs: int, batch_size: int) -> str:
+    steps = {
+        **TRAIN, **_pegasos_rows(epochs, batch_size), **_descent(batch_size, str(epochs), "w.it"),
+        "losses": _STEP_LOSS, "moves": _step_norms("a.it"),
+        **_measured(
+            "pegasos", "SELECT it - 1 AS e, idx, w FROM w WHERE it > 0",
+            f"""SELECT step AS e, norm * n.n / {batch_size} AS grad_norm, loss, n.n / {batch_size} AS scale
+                FROM moves JOIN losses USING (step) CROSS JOIN n""",
+        ),
+    }
+    return compose(["feat"], steps, _TRACE_ROWS)
+
+
+def sgd_trace(epochs: int, batch_size: int) -> str:
+    per = "(SELECT nb FROM nb)"
+    steps = {
+        **TRAIN, **_sgd_rows(epochs, batch_size), **_descent(batch_size, f"{epochs} * {per}", f"w.it // {per}"),
+        "losses": _STEP_LOSS, "moves": _step_norms(f"a.it // {per}"),
+        **_measured(
+            "sgd", f"SELECT it // {per} - 1 AS e, idx, w FROM w WHERE it > 0 AND it % {per} = 0",
+            f"""SELECT step // {per} AS e, sum(norm) AS grad_norm, sum(coalesce(loss, 0)) AS loss, 1.0 AS scale
+                FROM moves LEFT JOIN losses USING (step) GROUP BY 1""",
+        ),
+    }
+    return compose(["feat"], steps, _TRACE_ROWS)
+
+
+def newton_trace(epochs: int, iterations: int) -> str:
+    return compose(["feat"], _newton_trace(epochs, iterations), _TRACE_ROWS)
+
+
+def best_epoch(epochs: int, iterations: int) -> str:
+    return compose(
+        ["feat"], _newton_trace(epochs, iterations),
+        "SELECT iter, round(loss, 6) AS loss FROM trace ORDER BY trace.loss, iter LIMIT 1",
+    )
+
+
+def _newton_trace(epochs: int, iterations: int) -> dict[str, str]:
+    states = " UNION ALL ".join(f"SELECT {e} AS e, idx, w FROM w{e + 1}" for e in range(epochs))
+    norms = " UNION ALL ".join(f"SELECT {e} AS e, sqrt(sum(grad * grad)) AS grad_norm FROM g{e}" for e in range(epochs))
+    return {
+        **_newton_steps(epochs, iterations),
+        "norms_g": norms,
+        "after": states,
+        "losses": """SELECT e, sum(power(greatest(0, 1 - y * m), 2)) / any_value(n.n) AS loss FROM (
+            SELECT e, row_id, any_value(y) AS y, sum(val * w) AS m FROM ft JOIN after USING (idx) GROUP BY e, row_id) t
+            CROSS JOIN n GROUP BY e""",
+        **_measured("newton", "SELECT * FROM after", "SELECT e, grad_norm, loss, 1.0 AS scale FROM norms_g JOIN losses USING (e)"),
+    }
+
+
 def sgd(epochs: int, batch_size: int) -> str:
     return compose(
         ["feat"],
         {
             **TRAIN,
-            "size": "SELECT count(*) AS k FROM rows",
-            "nb": f"SELECT k // {batch_size} + CASE WHEN k % {batch_size} <> 0 THEN 2 ELSE 1 END AS nb FROM size",
-            "placed": f"""SELECT e, row_id, (row_number() OVER (PARTITION BY e ORDER BY md5('0:' || e || ':' || row_id), row_id) - 1)
-                            // {batch_size} AS b
-                          FROM rows CROSS JOIN (SELECT unnest(range({epochs})) AS e) s""",
-            "rowsteps": f"""SELECT e * nb + b AS step, row_id FROM placed CROSS JOIN nb
-                UNION ALL SELECT e * nb + b + 1, row_id FROM placed CROSS JOIN nb CROSS JOIN size
-                WHERE k % {batch_size} <> 0 AND b = k // {batch_size}""",
+            **_sgd_rows(epochs, batch_size),
             **_descent(batch_size, f"{epochs} * (SELECT nb FROM nb)", "w.it // (SELECT nb FROM nb)"),
         },
         FINAL_WEIGHTS,
@@ -158,13 +260,13 @@ def _chances(rows: str, weights: str) -> str:
                    (SELECT row_id, {sums} FROM doc_term JOIN {weights} USING (idx) GROUP BY 1) s USING (row_id)) t"""
 
 
-def softmax(result: str) -> str:
+def softmax(result: str, scheme: str = "DF") -> str:
     ws = ", ".join(f"w{c}" for c in CLASSES)
     pulls = ", ".join(f"sum(f.val * (CASE WHEN r.cls = {c} THEN 1 ELSE 0 END - r.p{c})) AS g{c}" for c in CLASSES)
     moved = ", ".join(f"w.w{c} + 0.0025 / (1 + 0.0025 / 1000 * w.it) * coalesce(g.g{c}, 0)" for c in CLASSES)
     batch = "(SELECT row_id, cls FROM placed_rows WHERE batch = (SELECT max(it) FROM w))"
     steps = {
-        **doc_term_steps("DF"),
+        **doc_term_steps(scheme),
         "lab": "SELECT doc_id AS row_id, stars AS cls, split FROM reviews",
         "placed_rows": """SELECT row_id, cls, (row_number() OVER (ORDER BY md5('0:' || row_id), row_id) - 1) // 256 AS batch
                           FROM lab WHERE split = 'train'""",

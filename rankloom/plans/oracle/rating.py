@@ -17,7 +17,7 @@ ENTITIES = compose(
        UNION ALL SELECT 'item', count(DISTINCT item_id) FROM ratings""",
 )
 SCALE_UNIT = compose(["ratings"], {}, "SELECT user_id, item_id, fold, (rating - 1) / 4.0 AS unit FROM ratings")
-MASK = compose(["train"], {}, "SELECT user_id, count(*) AS rated FROM train WHERE rating <> 0 GROUP BY 1")
+MASK = compose(["train"], {}, "SELECT user_id, item_id FROM train WHERE rating <> 0")
 ENTITY_MEAN = compose(
     ["train", "users"], {},
     """SELECT user_id AS id, round(sum(rating) / (SELECT count(*) FROM users), 9) + 0.0 AS mean FROM train GROUP BY 1""",
@@ -26,7 +26,10 @@ L2_NORMS = compose(["train"], {}, "SELECT item_id AS id, round(sqrt(sum(rating *
 
 
 def group(entity: str) -> str:
-    return compose(["pairs"], {}, f"SELECT {entity}, count(*) AS targets FROM pairs GROUP BY 1")
+    return compose(
+        ["pairs"], {},
+        f"SELECT p.*, s.targets FROM pairs p JOIN (SELECT {entity}, count(*) AS targets FROM pairs GROUP BY 1) s USING ({entity})",
+    )
 
 
 def _sums(name: str, entity: str) -> str:
@@ -42,10 +45,10 @@ def _near(by: str, measure: str, centred: bool, k: int, self_mode: str = "drop_t
         dot = f"({dot} - {nu} * a.s - {mu} * b.s + z.m * {mu} * {nu})"
         sa = f"greatest(a.ss - 2.0 * {mu} * a.s + z.m * {mu} * {mu}, 0)"
         sb = f"greatest(b.ss - 2.0 * {nu} * b.s + z.m * {nu} * {nu}, 0)"
-    sim = dot
+    sim, norm = dot, f"(sqrt({sa}) * sqrt({sb}))"
+    bound = norm
     if measure == "cosine":
-        norm = f"(sqrt({sa}) * sqrt({sb}))"
-        sim = f"CASE WHEN {norm} = 0 THEN 0 ELSE {dot} / {norm} END"
+        sim, bound = f"CASE WHEN {norm} = 0 THEN 0 ELSE {dot} / {norm} END", "1"
     skip, rank = ("", "rn - 1") if self_mode == "drop_top" else ("WHERE a.id <> b.id", "rn")
     limit = f"rn > 1 AND rn <= {k + 1}" if self_mode == "drop_top" else f"rn <= {k}"
     return {
@@ -57,11 +60,12 @@ def _near(by: str, measure: str, centred: bool, k: int, self_mode: str = "drop_t
         "b": f"SELECT u.id, coalesce(s, 0) AS s, coalesce(ss, 0) AS ss FROM {mine} u LEFT JOIN bsum USING (id)",
         "x": f"""SELECT p.{entity} AS a, t.{entity} AS b, sum(p.rating * t.rating) AS dot
                  FROM profiles p JOIN train t ON p.{cell} = t.{cell} GROUP BY 1, 2""",
-        "sims": f"""SELECT a.id AS a, b.id AS b, {sim} AS sim FROM z CROSS JOIN a CROSS JOIN b
+        "sims": f"""SELECT a.id AS a, b.id AS b, {sim} AS sim, {bound} AS bound FROM z CROSS JOIN a CROSS JOIN b
                     LEFT JOIN x ON x.a = a.id AND x.b = b.id {skip}""",
         "near": f"""SELECT a, b, sim, CAST({rank} AS INT) AS rank FROM (
-                      SELECT *, row_number() OVER (PARTITION BY a ORDER BY floor(sim * 1e9 + 0.5) / 1e9 DESC, b DESC) AS rn
-                      FROM sims) t WHERE {limit}""",
+                      SELECT *, row_number() OVER (PARTITION BY a ORDER BY
+                        CASE WHEN abs(sim) <= 1e-13 * bound THEN 0 ELSE floor(sim * grid + 0.5) / grid END DESC, b DESC) AS rn
+                      FROM (SELECT *, power(10, 9 - floor(log10(nullif(abs(sim), 0)))) AS grid FROM sims) s) t WHERE {limit}""",
     }
 
 
@@ -191,6 +195,22 @@ def mf_gradient(latent: int, steps: int) -> str:
 
 
 def mf_sigmoid(latent: int, steps: int) -> str:
+    return compose(FACTOR_VIEWS, _sigmoid_steps(latent, steps), _factor_result(latent))
+
+
+def mf_predict_sigmoid(latent: int, steps: int) -> str:
+    return compose(
+        [*FACTOR_VIEWS, "pairs"],
+        {
+            **_sigmoid_steps(latent, steps),
+            "pred": f"""SELECT item_id, user_id, 1 / (1 + exp(-dot)) AS score
+                FROM ({_pairs_with_factors('pairs', latent, 'factors')}) t""",
+        },
+        f"SELECT item_id, user_id, round({RESCALE}, 6) + 0.0 AS score FROM pred",
+    )
+
+
+def _sigmoid_steps(latent: int, steps: int) -> dict[str, str]:
     norm = "sqrt(" + " + ".join(f"f.f{i} * f.f{i}" for i in range(latent)) + ")"
 
     def grad(i: int) -> str:
@@ -207,9 +227,7 @@ def mf_sigmoid(latent: int, steps: int) -> str:
     keep = ", ".join(f"f.{k}{i}" for k in "fms" for i in range(latent))
     slope = "2 * (1 / (1 + exp(-dot)) - rating) * (1 / (1 + exp(-dot))) * (1 - 1 / (1 + exp(-dot)))"
     zeros = ", ".join(f"CAST(0 AS DOUBLE) AS {k}{i}" for k in "ms" for i in range(latent))
-    return compose(
-        FACTOR_VIEWS,
-        {
+    return {
             "rated": "SELECT user_id, item_id, (rating - 1) / 4.0 AS rating FROM stars WHERE rating <> 1",
             f"f(it, kind, id, {_cols(latent)}, {_cols(latent, 'm')}, {_cols(latent, 's')})": f"""
               SELECT 0, kind, id, {_cols(latent)}, {zeros} FROM ({_start(latent, 0.1)}) s
@@ -220,9 +238,7 @@ def mf_sigmoid(latent: int, steps: int) -> str:
                   LEFT JOIN ({_slopes("rated", latent, slope)}) g ON g.kind = f.kind AND g.id = f.id
                   WHERE f.it < {steps}) x) y""",
             "factors": f"SELECT kind, id, {_cols(latent)} FROM f WHERE it = {steps}",
-        },
-        _factor_result(latent),
-    )
+    }
 
 
 def mf_minibatch(latent: int, batches: int, block: bool = False) -> str:

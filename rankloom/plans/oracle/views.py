@@ -69,11 +69,11 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "train": (
         ("ratings",),
-        "SELECT user_id, item_id, CAST(sum(rating - 3) AS DOUBLE) AS rating FROM ratings WHERE fold < 8 GROUP BY 1, 2",
+        "SELECT user_id, item_id, CAST(sum(rating - 3) AS DOUBLE) AS rating FROM ratings WHERE fold < 9 GROUP BY 1, 2",
     ),
     "stars": (
         ("ratings",),
-        "SELECT user_id, item_id, CAST(sum(rating) AS DOUBLE) AS rating FROM ratings WHERE fold < 8 GROUP BY 1, 2",
+        "SELECT user_id, item_id, CAST(sum(rating) AS DOUBLE) AS rating FROM ratings WHERE fold < 9 GROUP BY 1, 2",
     ),
     "profiles": (("train",), "SELECT * FROM train WHERE rating <> 0"),
     "pairs": (("ratings",), "SELECT DISTINCT item_id, user_id FROM ratings WHERE fold = 9"),

@@ -8,12 +8,14 @@ from rankloom.plans.views import DIM
 TOKENIZE = compose(["reviews"], {}, f"SELECT doc_id, array_to_string({TOKENS}, ' ') AS tokens FROM reviews")
 CLEAN_LINE = f"SELECT doc_id, {CLEAN} AS clean FROM documents"
 WORD_TOKENS = f"SELECT doc_id, array_to_string({WORDS}, ' ') AS words FROM documents"
-SENTENCES = """SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[.!?]+'), lambda s: trim(s) <> '')) AS n
-               FROM documents"""
+SENTENCES = """SELECT doc_id, array_to_string(list_filter(list_transform(regexp_split_to_array(text, '[.!?]+'), lambda s: trim(s)),
+                 lambda s: s <> ''), ' | ') AS sentences FROM documents"""
 LOWER_SPLIT = f"""SELECT doc_id, array_to_string(
                     list_filter(regexp_split_to_array(lower(text), '[{SPACE}]+'), lambda t: t <> ''), ' ') AS t
                   FROM documents"""
-UNIQUE = compose(["reviews"], {}, f"SELECT doc_id, len(list_distinct({TOKENS})) AS n FROM reviews")
+UNIQUE = compose(
+    ["reviews"], {}, f"SELECT doc_id, array_to_string(list_sort(list_distinct({TOKENS})), ' ') AS words FROM reviews"
+)
 CLASSES = compose(["reviews"], {}, "SELECT doc_id, CAST(stars - 1 AS INT) AS cls FROM reviews")
 DOC_WORDS = compose(["review_words"], {}, "SELECT doc_id, word, tf FROM review_words")
 TERM_BINARY = compose(["review_words"], {}, "SELECT doc_id, word, CAST(1 AS INT) AS tf FROM review_words")
@@ -102,8 +104,7 @@ NGRAMS = compose(
         "grams": """SELECT doc_id, n, array_to_string(w[i + 1 : i + n], ' ') AS gram
                     FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM w, (VALUES (3), (4), (5)) k(n)) t""",
     },
-    """SELECT n, gram, count(DISTINCT doc_id) AS docs, count(*) AS cnt FROM grams GROUP BY 1, 2
-       HAVING count(DISTINCT doc_id) >= 3""",
+    "SELECT n, gram, count(DISTINCT doc_id) AS docs, count(*) AS cnt FROM grams GROUP BY 1, 2",
 )
 HOLDOUT_STEPS = {
     "placed": """SELECT doc_id, stars, row_number() OVER (ORDER BY md5('7:' || doc_id), doc_id) AS pos
@@ -145,6 +146,11 @@ def _texts(col: str) -> str:
 
 
 VECTOR_JOIN = compose(["binary_tokens", "dense_rows"], VECTORS, f"SELECT word, idx, {_texts('v')} FROM joined")
+EMBEDDING_SKIP = compose(
+    ["binary_tokens", "dense_rows"], VECTORS,
+    f"""SELECT word, idx, {_texts('v')} FROM tab WHERE idx < 2 OR idx IN (SELECT row_id + 2 FROM dense_rows)""",
+)
+W2V_WORDS = compose(["binary_tokens"], VOCAB, "SELECT word FROM wc WHERE cnt >= 3")
 EMBEDDING = compose(["binary_tokens", "dense_rows"], VECTORS, f"SELECT word, idx, {_texts('v')} FROM tab")
 POOLED = compose(
     ["binary_tokens", "dense_rows"],

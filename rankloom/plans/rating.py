@@ -16,6 +16,12 @@ from rankloom.sources import readers
 
 K, LATENT, STEPS, BATCHES = 10, 4, 2, 4
 SIDES = ("user", "item")
+MORE_K = (100, 500)
+GRID = [  # the published combinations
+    (by, m, c, mean)
+    for by in SIDES
+    for m, c, mean in (("dot", False, "mean"), ("cosine", False, "weight"), ("dot", True, "mean"), ("cosine", True, "weight"))
+]
 MEASURES = [("dot", False), ("cosine", False), ("dot", True), ("cosine", True)]
 
 
@@ -48,8 +54,8 @@ def nearest(v: Views, by: str, measure: str, centred: bool, self_mode: str = "dr
     )
 
 
-def predicted(v: Views, by: str, measure: str, centred: bool, mean: str) -> DataFrame:
-    near = nearest(v, by, measure, centred)
+def predicted(v: Views, by: str, measure: str, centred: bool, mean: str, k: int = K) -> DataFrame:
+    near = nearest(v, by, measure, centred, k=k)
     return neighbours.knn_predict(pairs(v), near, train(v), by, mean)
 
 
@@ -91,7 +97,8 @@ def _sizes(v: Views) -> DataFrame:
 
 
 def _group(v: Views, entity: str) -> DataFrame:
-    return pairs(v).groupBy(entity).agg(F.count(F.lit(1)).alias("targets"))
+    """Targets of each user or item, one row each, and their number."""
+    return pairs(v).join(pairs(v).groupBy(entity).agg(F.count(F.lit(1)).alias("targets")), entity)
 
 
 QUERIES: dict[str, Query] = {
@@ -109,7 +116,7 @@ QUERIES: dict[str, Query] = {
         sql.SCALE_UNIT,
     ),
     "rated_mask": Query(
-        lambda v: factorise.rated_mask(train(v)).groupBy("user_id").agg(F.count(F.lit(1)).alias("rated")), sql.MASK
+        lambda v: factorise.rated_mask(train(v)).select("user_id", "item_id"), sql.MASK
     ),
     "targets_by_user": Query(lambda v: _group(v, "user_id"), sql.group("user_id")),
     "targets_by_item": Query(lambda v: _group(v, "item_id"), sql.group("item_id")),
@@ -144,6 +151,14 @@ QUERIES: dict[str, Query] = {
         for m, c in MEASURES
         for mean in neighbours.MEANS
     },
+    **{
+        f"knn_{by}_predict_{measure_name(m, c)}_{mean}_k{k}": Query(
+            lambda v, by=by, m=m, c=c, mean=mean, k=k: rounded(predicted(v, by, m, c, mean, k), 6),
+            sql.predicted(by, m, c, mean, k),
+        )
+        for k in MORE_K
+        for by, m, c, mean in GRID
+    },
     "rmse": Query(_scored_rmse, sql.rmse(K)),
     "prediction_order_join": Query(_in_order, sql.in_order(K)),
     "mf_gradient": Query(lambda v: rounded(gradient_factors(v)), sql.mf_gradient(LATENT, STEPS)),
@@ -160,6 +175,10 @@ QUERIES: dict[str, Query] = {
     "rescale_predictions": Query(
         lambda v: rounded(neighbours.rescale_predictions(predicted(v, "item", "dot", False, "mean")), 6), sql.rescaled(K)
     ),
+    "mf_predict_sigmoid": Query(
+        lambda v: rounded(factorise.mf_predict(pairs(v), sigmoid_factors(v), "sigmoid"), 6),
+        sql.mf_predict_sigmoid(LATENT, STEPS),
+    ),
     "masked_sse": Query(
         lambda v: rounded(factorise.masked_sse(stars(v), gradient_factors(v)), 4), sql.masked_sse(LATENT, STEPS)
     ),

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from rankloom.plans.views import Views
-from rankloom.session import durable
+from rankloom.session import Stored, lasting, scratch
 
 Build = Callable[[Views], DataFrame]
-_SAVED: dict[tuple[str, str, str], DataFrame] = {}
+_SAVED: dict[tuple[str, str, str], Stored] = {}
 
 
 @dataclass(frozen=True)
@@ -29,12 +29,15 @@ def saved(views: Views, key: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Compute a shared table once per application and folder, and reuse the stored rows."""
     name = (views.spark.sparkContext.applicationId, views.folder, key)
     if name not in _SAVED:
-        _SAVED[name] = durable(build())
-    return _SAVED[name]
+        with scratch(views.spark):
+            _SAVED[name] = lasting(build(), key)
+    return _SAVED[name].table
 
 
 def forget() -> None:
-    """Drop the shared tables, so that a query is timed with all its work."""
+    """Delete the shared tables, so that a query is timed with all its work."""
+    for stored in _SAVED.values():
+        stored.drop()
     _SAVED.clear()
 
 

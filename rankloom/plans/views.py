@@ -124,12 +124,12 @@ class Views:
         )
 
     def train(self) -> DataFrame:
-        rows = self.ratings().filter("fold < 8")
+        rows = self.ratings().filter("fold < 9")
         return rows.groupBy("user_id", "item_id").agg(F.sum(F.col("rating") - 3).cast("double").alias("rating"))
 
     def stars(self) -> DataFrame:
         """Training stars without the offset, repeats added up."""
-        rows = self.ratings().filter("fold < 8")
+        rows = self.ratings().filter("fold < 9")
         return rows.groupBy("user_id", "item_id").agg(F.sum("rating").cast("double").alias("rating"))
 
     def profiles(self) -> DataFrame:

@@ -91,7 +91,11 @@ def _quality(v: Views) -> DataFrame:
 
 def _word2vec(v: Views) -> DataFrame:
     docs = v.binary_text().select("doc_id", text.word_tokens(F.col("text")).alias("tokens"))
-    return embedding.word2vec_train(docs).select("word", F.size("v").alias("dim"))
+    return embedding.word2vec_train(docs)
+
+
+def _skipped(v: Views) -> DataFrame:
+    return _vector_text(embedding.embedding_table(vocab(v), vectors(v), DIM, missing="skip"), "v")
 
 
 QUERIES: dict[str, Query] = {
@@ -109,7 +113,7 @@ QUERIES: dict[str, Query] = {
         sql.WORD_TOKENS,
     ),
     "sentence_split": Query(
-        lambda v: v.documents().select("doc_id", F.size(text.sentences(F.col("text"))).cast("long").alias("n")),
+        lambda v: v.documents().select("doc_id", F.array_join(text.sentences(F.col("text")), " | ").alias("sentences")),
         sql.SENTENCES,
     ),
     "lower_split": Query(
@@ -118,7 +122,8 @@ QUERIES: dict[str, Query] = {
     ),
     "unique_tokens": Query(
         lambda v: v.reviews().select(
-            "doc_id", F.size(F.array_distinct(text.review_tokens(F.col("text")))).cast("long").alias("n")
+            "doc_id",
+            F.array_join(F.array_sort(F.array_distinct(text.review_tokens(F.col("text")))), " ").alias("words"),
         ),
         sql.UNIQUE,
     ),
@@ -166,10 +171,11 @@ QUERIES: dict[str, Query] = {
         lambda v: _vector_text(embedding.vector_join(vocab(v).select("word", "idx"), vectors(v), DIM), "v"), sql.VECTOR_JOIN
     ),
     "embedding_table": Query(lambda v: _vector_text(table(v), "v"), sql.EMBEDDING),
+    "embedding_table_skip": Query(_skipped, sql.EMBEDDING_SKIP),
     "pooled_documents": Query(
         lambda v: _vector_text(embedding.pooled_documents(line_words(v), table(v), DIM), "mean", "peak"), sql.POOLED
     ),
     "text_classify": Query(_quality),
-    "best_epoch": Query(lambda v: metrics.best_epoch(classified(v).trace)),
     "word2vec_train": Query(_word2vec),
+    "word2vec_words": Query(lambda v: _word2vec(v).select("word"), sql.W2V_WORDS),
 }

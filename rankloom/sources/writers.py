@@ -40,8 +40,12 @@ def write_run(ranked: DataFrame, path: str, run_id: str = "rankloom") -> None:
 
 
 def write_run_dir(run: DataFrame, path: str) -> None:
-    """One folder per list holding ``<user>-<query>.results.txt`` style run lines."""
-    lines = run.select(
+    """One folder per list holding ``<user>-<query>.results.txt`` style run lines.
+
+    Rows are range partitioned by list and document first, so that a task opens
+    files for few lists and a big list is shared out.
+    """
+    lines = run.repartitionByRange("user_id", "query_id", "doc").select(
         F.concat_ws("-", _text("user_id"), _text("query_id")).alias("list"),
         _line(F.lit(0), F.lit("Q0"), "doc", "orig_rank", "rel", F.lit("search")),
     )
