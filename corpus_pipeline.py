@@ -21,29 +21,24 @@ QUALITY_FLOOR = 0.5
 LANGUAGE_FLOOR = 0.5
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents of the given ids."""
-    return docs.select(*COLUMNS).join(ids, "doc_id", "left_semi")
-
-
-def _others(docs: DataFrame) -> list:
-    return [F.col(c) for c in COLUMNS if c not in ("doc_id", "text")]
+def _others(docs: DataFrame) -> tuple:
+    return tuple(F.col(c) for c in COLUMNS if c not in ("doc_id", "text"))
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier gives at least an even chance of being good."""
     model = plans.quality_model(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, keep=(F.col("text").alias("whole"), *_others(docs)))
-    return scored.filter(F.col("score") >= QUALITY_FLOOR).withColumnRenamed("whole", "text").select(*COLUMNS)
+    scored = quality.score(docs, model, keep=_others(docs), keep_text=True)
+    return scored.filter(F.col("score") >= QUALITY_FLOOR).select(*COLUMNS)
 
 
 def filter_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents most of which is in one known language; those without a letter go."""
     held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False))
     model = language.train(docs.filter(~held_out).select("text", "lang"))
-    found = language.predict(docs, model, keep=(F.col("text").alias("whole"), *_others(docs)))
+    found = language.predict(docs, model, keep=_others(docs), keep_text=True)
     known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_FLOOR)
-    return found.filter(known).withColumnRenamed("whole", "text").select(*COLUMNS)
+    return found.filter(known).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +59,8 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, decoded_equal): token ids, proven by decoding them."""
     ranks = plans.vocabulary_path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(docs, ranks, keep=(F.col("lang"), F.col("source"), F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("digest")))
+    digest = F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("digest")
+    coded = bpe.encode(docs, ranks, keep=(F.col("lang"), F.col("source"), digest), cache_entries=200_000)
     decoded = bpe.decode(coded, ranks, keep=("lang", "source", "digest"))
     return decoded.select(
         "doc_id", "lang", "source", "n_tokens", "ids", (F.md5("decoded") == F.col("digest")).alias("decoded_equal")

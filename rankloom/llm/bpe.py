@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 
@@ -33,21 +34,26 @@ class Vocabulary:
         if None in self.single:
             raise ValueError("the vocabulary lacks single bytes")
 
-    @cached_property
-    def pairs(self) -> dict[tuple[int, int], int]:
-        found = {}
+    def _pair_rows(self) -> np.ndarray:
+        """(left, right, rank) of all pairs of tokens that make a token."""
+        find, found = self.ranks.get, array("q")
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
-                left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
+                left, right = find(token[:cut]), find(token[cut:])
                 if left is not None and right is not None:
-                    found[left, right] = rank
-        return found
+                    found.extend((left, right, rank))
+        return np.array(found, np.int64).reshape(-1, 3)
+
+    @cached_property
+    def pairs(self) -> dict[tuple[int, int], int]:
+        """Ranks of pairs, needed for very long pre-tokens only."""
+        return {(a, b): r for a, b, r in self._pair_rows().tolist()}
 
     @cached_property
     def _slots(self) -> tuple[np.ndarray, np.ndarray, int]:
         """Open addressing for the ranks of pairs: (keys, ranks, longest probe)."""
-        pairs = np.array(list(self.pairs), np.int64).reshape(-1, 2)
-        ranks = np.fromiter(self.pairs.values(), np.int64, len(pairs))
+        pairs = self._pair_rows()
+        ranks = pairs[:, 2]
         keys = pairs[:, 0] * len(self.tokens) + pairs[:, 1]
         size = 1 << max(4, int(3 * len(keys)).bit_length())
         held, found = np.full(size, -1), np.zeros(size, np.int64)

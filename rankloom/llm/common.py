@@ -35,7 +35,7 @@ def chunks(sizes: Sequence[int], limit: int = CHUNK_CHARS) -> Iterator[tuple[int
 
 def text_slices(column: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int, list]]:
     """(first row, end, values) of a text or binary column, about ``limit`` bytes at a time."""
-    for a, b in chunks(pc.binary_length(column).to_pylist(), limit):
+    for a, b in chunks(pc.fill_null(pc.binary_length(column), 0).to_pylist(), limit):
         yield a, b, column[a:b].to_pylist()
 
 

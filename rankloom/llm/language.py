@@ -173,11 +173,12 @@ def predict(
     id: str = "doc_id",
     text: str = "text",
     keep: tuple[Column, ...] = (),
+    keep_text: bool = False,
     rounds: int = 12,
     penalty: float = 1.0,
     most_in_text: int = 4,
 ) -> DataFrame:
-    """(id, *keep, lang_pred, score, languages, shares) of every whole text, one row for each row.
+    """(id, text if wanted, *keep, lang_pred, score, languages, shares) of every whole text, one row for each row.
 
     ``lang_pred`` has the largest share of the chosen set, the smaller name of equal
     ones; ``score`` is that share. Null texts, texts without a letter, and a model
@@ -186,14 +187,15 @@ def predict(
     stay; columns not named in ``keep`` are left out.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
-    kept = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *keep)
-    others = kept.columns[2:]
+    kept = df.select(F.col(id).alias("id"), F.col(text).alias("text"), *keep)
+    others = ["text"] * keep_text + kept.columns[2:]
+    places = [1] * keep_text + list(range(2, len(kept.columns)))  # of the columns that pass through
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = held.value.languages
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1)):
-                shares = mixtures(texts, held.value, rounds, penalty, most_in_text)
+                shares = mixtures([t or "" for t in texts], held.value, rounds, penalty, most_in_text)
                 if not names:
                     shares = np.zeros((b - a, 1))
                 top = shares.argmax(axis=1)
@@ -202,7 +204,7 @@ def predict(
                 sets = [sorted(np.flatnonzero(row).tolist(), key=lambda j, r=row: -r[j]) for row in shares]
                 columns = [
                     batch.column(0)[a:b],
-                    *[batch.column(i)[a:b] for i in range(2, 2 + len(others))],
+                    *[batch.column(i)[a:b] for i in places],
                     pa.array(best, pa.string()),
                     pa.array(np.clip(score, 0.0, 1.0)),
                     pa.array([[names[j] for j in s] for s in sets], pa.list_(pa.string())),
@@ -210,6 +212,6 @@ def predict(
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["id", *others, "lang_pred", "score", "languages", "shares"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "text"]
+    fields = [f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in ["id", *others]]
     schema = ", ".join([*fields, "lang_pred string", "score double", "languages array<string>", "shares array<double>"])
     return kept.mapInArrow(run, schema).withColumnRenamed("id", id)

@@ -240,25 +240,31 @@ def train(
 
 
 def score(
-    df: DataFrame, model: QualityModel, id: str = "doc_id", text: str = "text", keep: tuple[Column, ...] = ()
+    df: DataFrame,
+    model: QualityModel,
+    id: str = "doc_id",
+    text: str = "text",
+    keep: tuple[Column, ...] = (),
+    keep_text: bool = False,
 ) -> DataFrame:
-    """(id, *keep, score) of every whole text, one row for each row; a null text is empty.
+    """(id, text if wanted, *keep, score) of every whole text, one row for each row; a null text is empty.
 
     The score is the calibrated probability of label 1. An empty text has the
     features of no words and a score like any other. Null ids and repeated rows
     stay; columns not named in ``keep`` are left out, whatever their names.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
-    kept = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *keep)
-    others = kept.columns[2:]
+    kept = df.select(F.col(id).alias("id"), F.col(text).alias("text"), *keep)
+    others = ["text"] * keep_text + kept.columns[2:]
+    places = [1] * keep_text + list(range(2, len(kept.columns)))  # of the columns that pass through
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1)):
-                p = m.probabilities(pooled(texts, m.buckets, m.vectors))
-                rest = [batch.column(i)[a:b] for i in range(2, 2 + len(others))]
+                p = m.probabilities(pooled([t or "" for t in texts], m.buckets, m.vectors))
+                rest = [batch.column(i)[a:b] for i in places]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *rest, pa.array(p)], ["id", *others, "score"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "text"]
+    fields = [f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in ["id", *others]]
     return kept.mapInArrow(run, ", ".join([*fields, "score double"])).withColumnRenamed("id", id)
