@@ -187,7 +187,7 @@ def train(
 
     ``labels`` has an id and a label, 0 or 1; null ids and labels are left out, of
     several labels of an id the greatest counts, and null texts teach nothing. Word
-    vectors are added up in tasks; the driver receives one sum a task and one pooled
+    vectors are added up in eight tasks; the driver receives one sum a task and one pooled
     vector a sampled row. A fifth of the sample sets the temperature only. Without
     rows of both labels the score is the share of label 1 (0.5 without rows).
     """
@@ -208,7 +208,8 @@ def train(
         yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["sums"])
 
     vectors = np.zeros((buckets, size), np.float32)
-    for row in kept.select("text").mapInArrow(sums, "sums binary").collect():  # one row a task
+    # few tasks, however many files the sample has: each sends a whole table of sums
+    for row in kept.select("text").coalesce(tasks).mapInArrow(sums, "sums binary").collect():
         vectors += np.frombuffer(row["sums"], np.float32).reshape(buckets, size)
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors = (index / np.linalg.norm(index, axis=1, keepdims=True) + vectors / np.maximum(norm, 1)).astype(np.float32)
