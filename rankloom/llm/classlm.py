@@ -11,21 +11,27 @@ where ``n`` is its training count and ``G`` holds the class transition, the clas
 emission total and the share of the unigram model, all of bounded size. So a task
 scores classes by itself, and only the counts of words outside a broadcast table of
 frequent words are looked up by a join.
+
+With ``min_count`` every word of so many tokens is a unit. The exchange of the most
+frequent words and the endings on the driver is then the start only: further sweeps
+are joins and aggregations over the table of unit pairs, in which each unit moves by
+its own counts of neighbouring classes, and only the class table reaches the driver.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import text_slices
+from rankloom.llm.common import broadcast_if_small, text_slices
 from rankloom.session import stash
 
 END = b"\n"  # the token that ends each text; no word holds white space
@@ -109,6 +115,170 @@ def unit_bigrams(rows: DataFrame, frequent: list[bytes], endings: int) -> DataFr
     return counted.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
+class Keys(dict):
+    """Numbers of words for joins: 62 bits of the md5, moved so that ``key % endings`` is the ending. The end of texts is -1."""
+
+    def __init__(self, endings: int, most: int = 200_000):
+        super().__init__()
+        self.endings, self.most = endings, most
+        self[END] = -1
+
+    def __missing__(self, word: bytes) -> int:
+        high = int.from_bytes(hashlib.md5(word, usedforsecurity=False).digest()[:8], "little") >> 2
+        key = high // self.endings * self.endings + zlib.crc32(word[-3:]) % self.endings
+        if len(word) <= 64:
+            if len(self) > self.most:
+                self.clear()
+                self[END] = -1
+            self[word] = key
+        return key
+
+
+def keyed(counts: DataFrame, endings: int) -> DataFrame:
+    """(word, n, key) of all counted words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = Keys(endings).__getitem__
+        for batch in batches:
+            keys = pa.array(list(map(find, batch.column(0).to_pylist())), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], ["word", "n", "key"])
+
+    return counts.select("word", "n").mapInArrow(run, "word binary, n long, key long")
+
+
+def key_bigrams(rows: DataFrame, endings: int, most: int = 2_000_000) -> DataFrame:
+    """(first, second, fold, n) of neighbouring words by their keys, added up inside runs of ``most`` tokens of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = Keys(endings)
+        numbers: dict[bytes, int] = {}
+        parts, held = [], 0
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            pair, n = np.unique(np.concatenate(parts), return_counts=True)
+            key = np.fromiter(map(keys.__getitem__, numbers), np.int64, len(numbers))
+            columns = [key[pair >> 32], key[(pair >> 1) & 0x7FFFFFFF], pair & 1, n]
+            for a in range(0, len(pair), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 100_000]) for x in columns], ["first", "second", "fold", "n"])
+
+        def number(word: bytes) -> int:
+            return numbers.setdefault(word, len(numbers))
+
+        for batch in batches:
+            folds = batch.column(1).to_numpy(zero_copy_only=False)
+            for a, b, texts in text_slices(batch.column(0)):
+                for text, fold in zip(texts, folds[a:b].tolist()):
+                    own = np.array([number(END), *map(number, words_of(text)), number(END)], np.int64)
+                    parts.append((own[:-1] << 32) | (own[1:] << 1) | fold)
+                    held += len(own)
+                if held > most:
+                    yield from packed()
+                    parts, held = [], 0
+                    if len(numbers) > 200_000:
+                        numbers.clear()
+        if parts:
+            yield from packed()
+
+    return rows.select("text", "fold").mapInArrow(run, "first long, second long, fold long, n long")
+
+
+def unit_pairs(rows: DataFrame, units: DataFrame, endings: int) -> DataFrame:
+    """(first, second, n0, n) of neighbouring units, in fold 0 and in all; a word that is no unit stands as -2 less its ending."""
+    pairs = key_bigrams(rows, endings)
+    for side in ("first", "second"):
+        own = units.select(F.col("key").alias(side), F.lit(True).alias(f"{side}_is"))
+        pairs = pairs.join(broadcast_if_small(own, 2_000_000), side, "left")
+        ending = F.when(F.col(side) < 0, F.col(side)).otherwise(-2 - F.col(side) % endings)
+        pairs = pairs.withColumn(side, F.when(F.col(f"{side}_is"), F.col(side)).otherwise(ending)).drop(f"{side}_is")
+    first_fold = F.sum(F.when(F.col("fold") == 0, F.col("n")).otherwise(0)).alias("n0")
+    return pairs.groupBy("first", "second").agg(first_fold, F.sum("n").alias("n"))
+
+
+def contexts(pairs: DataFrame, of: DataFrame, classes: int) -> DataFrame:
+    """(unit, c, cells): each unit's class and counts of the classes after it, before it (from ``classes`` on) and of itself after itself (the last cell)."""
+    known = broadcast_if_small(of, 2_000_000)
+    after = pairs.filter("first != second").join(known.select(F.col("unit").alias("second"), F.col("c").alias("cell")), "second")
+    before = pairs.filter("first != second").join(known.select(F.col("unit").alias("first"), (F.col("c") + classes).alias("cell")), "first")
+    loops = pairs.filter("first = second").select(F.col("first").alias("unit"), F.lit(2 * classes).cast("long").alias("cell"), "n")
+    cells = after.select(F.col("first").alias("unit"), "cell", "n")
+    cells = cells.unionByName(before.select(F.col("second").alias("unit"), "cell", "n")).unionByName(loops)
+    cells = cells.groupBy("unit", "cell").agg(F.sum("n").alias("n"))
+    lists = cells.groupBy("unit").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
+    return lists.join(known, "unit").select("unit", "c", "cells")
+
+
+def class_table(found: DataFrame, classes: int) -> np.ndarray:
+    """Counts of neighbouring classes from ``contexts``: what comes after the units of each class."""
+    cells = found.select("c", F.explode("cells").alias("x")).select("c", "x.cell", "x.n")
+    to = F.when(F.col("cell") == 2 * classes, F.col("c")).otherwise(F.col("cell")).alias("to")
+    sums = cells.filter((F.col("cell") < classes) | (F.col("cell") == 2 * classes)).groupBy("c", to).agg(F.sum("n").alias("n"))
+    table = np.zeros((classes, classes))
+    for r in sums.collect():
+        table[r["c"], r["to"]] = r["n"]
+    return table
+
+
+def _h(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
+def likelihood(table: np.ndarray) -> float:
+    return float(_h(table).sum() - _h(table.sum(axis=0)).sum() - _h(table.sum(axis=1)).sum())
+
+
+def best_class(table: np.ndarray, own: int, right: np.ndarray, left: np.ndarray, loop: float) -> int:
+    """Class that raises the likelihood most for one unit, all others staying; the last class takes no unit."""
+    table = table.copy()
+    table[own] -= right
+    table[:, own] -= left
+    table[own, own] -= loop
+    rows, columns = table.sum(axis=1) + left, table.sum(axis=0) + right
+    to, of = np.flatnonzero(right), np.flatnonzero(left)
+    gain = (_h(table[:, to] + right[to]) - _h(table[:, to])).sum(axis=1)
+    gain += (_h(table[of] + left[of, None]) - _h(table[of])).sum(axis=0)
+    cells = table.diagonal()
+    gain += _h(cells + right + left + loop) - _h(cells + right) - _h(cells + left) + _h(cells)
+    gain -= _h(rows + right.sum() + loop) - _h(rows) + _h(columns + left.sum() + loop) - _h(columns)
+    gain[-1] = -np.inf
+    best = int(np.argmax(gain))
+    return best if gain[best] > gain[own] + 1e-9 else own
+
+
+def moved(found: DataFrame, table: np.ndarray, half: int) -> DataFrame:
+    """(unit, c): the units of one half go to their best classes, the others and the end of texts stay."""
+    held = found.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = held.value
+        classes = len(table)
+        for batch in batches:
+            out = batch.column(1).to_numpy().copy()
+            lists = batch.column(2)
+            ends = lists.offsets.to_numpy()
+            cell, n = (lists.values.field(i).to_numpy() for i in (0, 1))
+            for i, unit in enumerate(batch.column(0).to_pylist()):
+                if unit != -1 and (unit ^ (unit >> 20)) & 1 == half:
+                    sums = np.bincount(cell[ends[i] : ends[i + 1]], n[ends[i] : ends[i + 1]], 2 * classes + 1)
+                    out[i] = best_class(table, int(out[i]), sums[:classes], sums[classes:-1], sums[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], ["unit", "c"])
+
+    return found.mapInArrow(run, "unit long, c long")
+
+
+def spread_exchange(pairs: DataFrame, of: DataFrame, classes: int, sweeps: int) -> DataFrame:
+    """(unit, c) after sweeps in which each half of the units moves at once; one that lowers the likelihood is undone and ends it."""
+    best, value = of, -np.inf
+    for step in range(2 * sweeps + 1):
+        found = stash(contexts(pairs, of, classes), "lm-contexts")
+        table = class_table(found, classes)
+        if likelihood(table) < value:
+            break
+        best, value = of, likelihood(table)
+        if step < 2 * sweeps:
+            of = stash(moved(found, table, step % 2), "lm-classes")
+    return best
+
+
 def exchange(first: np.ndarray, second: np.ndarray, n: np.ndarray, size: int, classes: int, sweeps: int) -> np.ndarray:
     """Class of each unit; the last unit (the end of texts) is a class of its own, the last class.
 
@@ -147,7 +317,8 @@ def exchange(first: np.ndarray, second: np.ndarray, n: np.ndarray, size: int, cl
             table[own] -= right
             table[:, own] -= left
             table[own, own] -= loop
-            rows, columns = table.sum(axis=1), table.sum(axis=0)
+            # what comes before the unit is in its own rows whatever its class, what comes after it in its columns
+            rows, columns = table.sum(axis=1) + left, table.sum(axis=0) + right
             gain = (h(table + right) - h(table)).sum(axis=1) + (h(table + left[:, None]) - h(table)).sum(axis=0)
             # the cell of a class with itself takes both sides and the unit's own pairs
             own_cells = table.diagonal()
@@ -179,6 +350,8 @@ class ClassModel:
     log_g: np.ndarray
     tokens: int
     kinds: int
+    table_classes: np.ndarray | None = None  # with ``min_count``: of the frequent words,
+    word_classes: DataFrame | None = None  # and (unit, c) of every unit, -2 less an ending among them
 
 
 def _share(transition: np.ndarray, emission: np.ndarray, unigram: float, held: np.ndarray) -> float:
@@ -196,23 +369,33 @@ def _share(transition: np.ndarray, emission: np.ndarray, unigram: float, held: n
 def train(
     rows: DataFrame,
     counts: DataFrame,
-    unit_words: int = 1200,
-    endings: int = 200,
+    unit_words: int = 3000,
+    endings: int = 512,
     classes: int = 64,
     sweeps: int = 5,
     table_words: int = 100_000,
+    min_count: int | None = None,
+    spread_sweeps: int = 2,
+    start_words: int = 1200,
 ) -> ClassModel:
     """Fit on all ``rows`` (text, fold); ``counts`` are their stored word counts.
 
     The parameters bound what reaches the driver: ``table_words`` words with counts,
     ``2 * (unit_words + endings + 1)**2`` unit pairs and ``classes`` sums. They choose how
     finely frequent words are told apart; every word has a unit, a class and its exact count.
+    With ``min_count`` every word of so many tokens is a unit; the ``start_words`` most
+    frequent ones and the endings are the start of ``spread_sweeps`` sweeps over all of them.
     """
     top = counts.orderBy(F.desc("n"), "word").limit(table_words).collect()
     totals = counts.agg(F.sum("n").alias("tokens"), F.count("n").alias("kinds")).first()
     tokens, kinds = totals["tokens"] or 0, totals["kinds"]
     words = [bytes(r["word"]) for r in top]
     frequent = [w for w in words if w != END][:unit_words]
+    if min_count is not None:
+        kept = {bytes(r["word"]) for r in top if r["n"] >= min_count}
+        frequent, most = [w for w in frequent[:start_words] if w in kept], len(top)
+        del top, words, kept
+        return _train_all(rows, counts, most, int(tokens), int(kinds), frequent, endings, classes, sweeps, min_count, spread_sweeps)
     pairs = unit_bigrams(rows, frequent, endings).toArrow()
     pair, n = (pairs[c].to_numpy().astype(np.int64) for c in ("pair", "n"))
     order = np.argsort(pair)
@@ -238,25 +421,96 @@ def train(
     by_class = {r["c"]: r for r in sums.groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()}
     class_n = np.array([by_class[c]["n"] if c in by_class else 0 for c in range(classes)], float)
     class_v = np.array([by_class[c]["v"] if c in by_class else 0 for c in range(classes)], float)
-    emission = 1.0 / (class_n + 0.5 * (class_v + 1))
-    unigram = 1.0 / (tokens + 0.5 * (kinds + 1))
-    prior = (class_n + 0.5) / (class_n + 0.5).sum()
 
-    def transitions(where: np.ndarray) -> np.ndarray:
+    def joint(where: np.ndarray) -> np.ndarray:
         table = np.zeros((classes, classes))
         np.add.at(table, (classes_of[first[where]], classes_of[second[where]]), n[where])
-        return (table + prior) / (table.sum(axis=1, keepdims=True) + 1), table
+        return table
 
-    fitted, _ = transitions(fold == 0)
-    _, held = transitions(fold == 1)
-    weight = _share(fitted, emission, unigram, held)
-    final, _ = transitions(fold >= 0)
-    log_g = np.log10(weight * final * emission[None, :] + (1 - weight) * unigram)
+    log_g = _log_g(joint(fold == 0), joint(fold == 1), class_n, class_v, tokens, kinds)
     return ClassModel(
         frequent, endings, classes_of, words, np.array([r["n"] for r in top], np.int64), log_g, int(tokens), int(kinds)
     )
 
 
+def _log_g(fold0: np.ndarray, fold1: np.ndarray, class_n: np.ndarray, class_v: np.ndarray, tokens: int, kinds: int) -> np.ndarray:
+    """log10 of G from the class tables of both folds and the tokens and words of every class."""
+    emission = 1.0 / (class_n + 0.5 * (class_v + 1))
+    unigram = 1.0 / (tokens + 0.5 * (kinds + 1))
+    prior = (class_n + 0.5) / (class_n + 0.5).sum()
+
+    def transitions(table: np.ndarray) -> np.ndarray:
+        return (table + prior) / (table.sum(axis=1, keepdims=True) + 1)
+
+    weight = _share(transitions(fold0), emission, unigram, fold1)
+    return np.log10(weight * transitions(fold0 + fold1) * emission[None, :] + (1 - weight) * unigram)
+
+
+def _ending(key: Column, endings: int) -> Column:
+    """Unit of a word that is no unit itself, or of the end of texts."""
+    return F.when(key < 0, key).otherwise(-2 - key % endings)
+
+
+def _train_all(
+    rows: DataFrame, counts: DataFrame, most: int, tokens: int, kinds: int, frequent: list[bytes],
+    endings: int, classes: int, sweeps: int, min_count: int, spread_sweeps: int,
+) -> ClassModel:
+    """``train`` with a unit for every word of ``min_count`` tokens."""
+    spark = counts.sparkSession
+    words = stash(keyed(counts, endings), "lm-keys")
+    units = words.filter((F.col("n") >= min_count) & (F.col("key") >= 0)).select("key")
+    pairs = stash(unit_pairs(rows, units, endings), "lm-pairs")
+
+    # the start: the most frequent words and the endings, exchanged on the driver
+    find = Keys(endings)
+    size = len(frequent) + endings + 1
+    start = [(find[w], i) for i, w in enumerate(frequent)]
+    start += [(-2 - e, len(frequent) + e) for e in range(endings)] + [(-1, size - 1)]
+    start = F.broadcast(spark.createDataFrame(start, "unit long, place long"))
+    seeds = pairs
+    for side in ("first", "second"):
+        seeds = seeds.join(start.select(F.col("unit").alias(side), F.col("place").alias(f"{side}_place")), side, "left")
+        rest = len(frequent) + F.col(side) % endings
+        seeds = seeds.withColumn(f"{side}_place", F.coalesce(f"{side}_place", rest))
+    seeds = seeds.groupBy((F.col("first_place") * size + F.col("second_place")).alias("pair")).agg(F.sum("n").alias("n")).toArrow()
+    pair, n = (seeds[c].to_numpy().astype(np.int64) for c in ("pair", "n"))
+    order = np.argsort(pair)
+    pair, n = pair[order], n[order].astype(float)
+    classes_of = exchange(pair // size, pair % size, n, size, classes, sweeps)
+
+    of_place = F.broadcast(spark.createDataFrame(list(enumerate(classes_of.tolist())), "place long, c long"))
+    others = start.filter("unit < 0").select("unit")
+    of = units.select(F.col("key").alias("unit")).unionByName(others).join(start, "unit", "left")
+    of = of.withColumn("place", F.coalesce("place", len(frequent) + F.col("unit") % endings))
+    of = stash(of.join(of_place, "place").select("unit", "c"), "lm-classes")
+    moved_of = spread_exchange(pairs, of, classes, spread_sweeps)
+    # a unit without a pair keeps its first class
+    of = of.withColumnRenamed("c", "c0").join(moved_of, "unit", "left").select("unit", F.coalesce("c", "c0").alias("c"))
+    of = stash(of, "lm-classes")
+
+    known = broadcast_if_small(of, 2_000_000)
+    sides = pairs
+    for side, c in (("first", "a"), ("second", "b")):
+        sides = sides.join(known.select(F.col("unit").alias(side), F.col("c").alias(c)), side)
+    folds = np.zeros((2, classes, classes))
+    for r in sides.groupBy("a", "b").agg(F.sum("n0").alias("n0"), F.sum("n").alias("n")).collect():
+        folds[0, r["a"], r["b"]], folds[1, r["a"], r["b"]] = r["n0"], r["n"] - r["n0"]
+    unit = F.when(F.col("n") >= min_count, F.col("key")).otherwise(_ending(F.col("key"), endings))
+    placed = words.withColumn("unit", unit).join(known, "unit")
+    class_n, class_v = np.zeros(classes), np.zeros(classes)
+    for r in placed.groupBy("c").agg(F.sum("n").alias("n"), F.count("n").alias("v")).collect():
+        class_n[r["c"]], class_v[r["c"]] = r["n"], r["v"]
+
+    table_rows = placed.select("word", "n", "c").orderBy(F.desc("n"), "word").limit(most).toArrow()
+    table_words, table_n, table_c = (table_rows[c].to_pylist() for c in ("word", "n", "c"))
+    by_ending = {r["unit"]: r["c"] for r in of.filter("unit < 0").collect()}
+    ends = np.array([by_ending[-2 - e] for e in range(endings)] + [by_ending[-1]], np.int64)
+    log_g = _log_g(folds[0], folds[1], class_n, class_v, tokens, kinds)
+    return ClassModel(
+        [], endings, ends, table_words, np.array(table_n, np.int64), log_g, tokens, kinds, np.array(table_c, np.int64), of
+    )
+
+
 class _Table(dict):
     """Place of a word in the broadcast table; others give minus one less their unit."""
 
@@ -278,7 +532,8 @@ def score(
     often as they went in; null ids stay; other columns are left out.
     """
     sc = df.sparkSession.sparkContext
-    held = sc.broadcast(model)
+    of, endings = model.word_classes, model.endings
+    held = sc.broadcast(replace(model, word_classes=None))
     rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -290,14 +545,17 @@ def score(
         end_place = table.get(END, -1 - end_unit)
         unit_of = np.fromiter(map(table.units.__getitem__, m.table_words), np.int64, len(m.table_words))
         class_of = m.classes[unit_of] if len(unit_of) else unit_of
+        spread = m.table_classes is not None
+        if spread:
+            class_of, key = m.table_classes, Keys(m.endings)
         logs = np.log10(m.table_counts + 0.5)
 
         def packed(out: list[tuple]) -> pa.RecordBatch:
-            ids, docs, words, times, known, tokens, sums, links = zip(*out)
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            arrays = [pa.array(x, k) for x, k in zip((docs, words, times, known, tokens, sums, links), kinds)]
+            ids, *columns = zip(*out)
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
+            arrays = [pa.array(x, k) for x, k in zip(columns, kinds)]
             return pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), *arrays],
-                                              ["id", "doc", "word", "times", "known", "tokens", "sum_log", "sum_g"])
+                                              ["id", "doc", "word", "times", "known", "tokens", "sum_log", "sum_g", "a", "b"])
 
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1)):
@@ -311,12 +569,21 @@ def score(
                     classes[0] = m.classes[end_unit]
                     classes[1:][seen] = class_of[place[seen]]
                     classes[1:][~seen] = m.classes[-1 - place[~seen]]
-                    g = float(m.log_g[classes[:-1], classes[1:]].sum())
-                    out.append((one, doc, None, 1, int(seen.sum()), len(place), float(logs[place[seen]].sum()), g))
+                    links = m.log_g[classes[:-1], classes[1:]]
+                    if spread and not seen[:-1].all():
+                        # links of words outside the table wait for their classes; a known class is -1 less its number
+                        at = -1 - classes
+                        unseen = np.flatnonzero(~seen[:-1])
+                        at[unseen + 1] = [key[words[i]] for i in unseen.tolist()]
+                        wait = (at[:-1] >= 0) | (at[1:] >= 0)
+                        links = links[~wait]
+                        both = Counter(zip(at[:-1][wait].tolist(), at[1:][wait].tolist()))
+                        out += [(one, doc, None, k, 0, 0, 0.0, 0.0, x, y) for (x, y), k in both.items()]
+                    out.append((one, doc, None, 1, int(seen.sum()), len(place), float(logs[place[seen]].sum()), float(links.sum()), None, None))
                     rare = Counter(words[i] for i in np.flatnonzero(~seen[:-1]).tolist())
                     if not seen[-1]:
                         rare[END] += 1
-                    out += [(one, doc, w, k, 0, 0, 0.0, 0.0) for w, k in rare.items()]
+                    out += [(one, doc, w, k, 0, 0, 0.0, 0.0, None, None) for w, k in rare.items()]
                     if len(out) > 50_000:
                         yield packed(out)
                         out = []
@@ -326,7 +593,7 @@ def score(
     # the text's hash tells repeated ids with other texts apart
     coded = rows.withColumn("doc", F.xxhash64("text")).mapInArrow(
         run,
-        f"id {kind}, doc long, word binary, times long, known long, tokens long, sum_log double, sum_g double",
+        f"id {kind}, doc long, word binary, times long, known long, tokens long, sum_log double, sum_g double, a long, b long",
     )
     coded = stash(coded, "lm-parts")
     rare = coded.filter("word IS NOT NULL").select("id", "doc", "word", "times")
@@ -335,7 +602,9 @@ def score(
         F.when(F.col("n").isNull(), 0).otherwise(F.col("times")).alias("known"), F.lit(0).cast("long").alias("tokens"),
         (F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("sum_log"), F.lit(0.0).alias("sum_g"),
     )
-    whole = coded.filter("word IS NULL").select("id", "doc", F.col("times").alias("rows"), "known", "tokens", "sum_log", "sum_g")
+    whole = coded.filter("word IS NULL AND a IS NULL").select("id", "doc", F.col("times").alias("rows"), "known", "tokens", "sum_log", "sum_g")
+    if of is not None:
+        whole = whole.unionByName(_waiting_links(coded, of, endings, model.log_g))
     sums = whole.unionByName(looked).groupBy("id", "doc").agg(
         *[F.sum(c).alias(c) for c in ("rows", "known", "tokens", "sum_log", "sum_g")]
     )
@@ -352,3 +621,24 @@ def score(
         (log + g).alias("score"),
         F.pow(F.lit(10.0), -(log + g) / tokens).alias("perplexity"),
     )
+
+
+def _waiting_links(coded: DataFrame, of: DataFrame, endings: int, log_g: np.ndarray) -> DataFrame:
+    """Sums of the links whose words are outside the broadcast table, by joins with the classes of all units."""
+    spark = coded.sparkSession
+    links = coded.filter("a IS NOT NULL").select("id", "doc", "times", "a", "b")
+    ends = F.broadcast(of.filter("unit < -1"))
+    known = broadcast_if_small(of.filter("unit >= 0"), 2_000_000)
+    for side in ("a", "b"):
+        own = known.select(F.col("unit").alias(side), F.col("c").alias("own"))
+        rest = ends.select(F.col("unit").alias("end"), F.col("c").alias("rest"))
+        links = links.join(own, side, "left").withColumn("end", -2 - F.col(side) % endings).join(rest, "end", "left")
+        number = F.when(F.col(side) < 0, -1 - F.col(side)).otherwise(F.coalesce("own", "rest"))
+        links = links.withColumn(side, number).drop("own", "rest", "end")
+    cells = [(int(i), int(j), float(log_g[i, j])) for i, j in np.ndindex(*log_g.shape)]
+    links = links.join(F.broadcast(spark.createDataFrame(cells, "a long, b long, g double")), ["a", "b"])
+    zero = F.lit(0).cast("long")
+    return links.select(
+        "id", "doc", zero.alias("rows"), zero.alias("known"), zero.alias("tokens"),
+        F.lit(0.0).alias("sum_log"), (F.col("times") * F.col("g")).alias("sum_g"),
+    )

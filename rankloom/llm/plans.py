@@ -66,7 +66,7 @@ def brown_lm(spark: SparkSession, folder: str) -> DataFrame:
     fold = F.coalesce((id_remainder("doc_id", 10) >= 5).cast("long"), F.lit(0))
     training = documents.filter(~held_out).select(F.coalesce("text", F.lit("")).alias("text"), fold.alias("fold"))
     counts = stash(classlm.word_counts(training), "lm-counts")
-    model = classlm.train(training, counts)
+    model = classlm.train(training, counts, min_count=5)
     scored = classlm.score(documents, model, counts)
     return scored.select(
         "doc_id",

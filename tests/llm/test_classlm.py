@@ -104,3 +104,48 @@ def test_nothing_to_learn(spark):
     out = classlm.score(documents(spark, odd_rows()), model, counts).collect()
     assert len(out) == len(odd_rows()) and all(r["n_known"] == 0 and math.isfinite(r["score"]) for r in out)
     assert classlm.score(documents(spark, []), model, counts).count() == 0
+
+
+def test_every_counted_word_has_its_own_class(spark):
+    """Words below the most frequent ones, with one ending among them, are classed by their contexts."""
+    rows = []
+    for i in range(400):
+        rows.append((i, f"the n{i % 40}zzz runs", "en") if i % 2 else (i, f"they v{i % 40}zzz it", "en"))
+    rows += [(400 + i, f"the n{i % 3}yyy runs" if i % 2 else f"they v{i % 3}yyy it", "en") for i in range(120)]
+    parameters = dict(unit_words=10, endings=4, classes=12, table_words=10, min_count=5, spread_sweeps=3)
+    model, counts = fitted(spark, rows, **parameters)
+    of = {r["unit"]: r["c"] for r in model.word_classes.collect()}
+    key = classlm.Keys(4)
+    nouns = {of[key[f"n{i}zzz".encode()]] for i in range(1, 40, 2)}
+    verbs = {of[key[f"v{i}zzz".encode()]] for i in range(0, 40, 2)}
+    assert nouns.isdisjoint(verbs), (nouns, verbs)
+    # scores by the formula, with words inside and outside the broadcast table, and unseen ones
+    n_of = {bytes(r["word"]): r["n"] for r in counts.collect()}
+    more = [*rows, (900, "the n1zzz v2zzz new newer the n3zzz", "en"), *odd_rows()]
+    for r in classlm.score(documents(spark, more), model, counts).collect():
+        text = [t for i, t, _ in more if i == r["doc_id"]][0]
+        tokens = [*classlm.words_of(text or ""), classlm.END]
+        keys = [key[w] for w in [classlm.END, *tokens]]
+        classes = [of[k] if k in of else of[-2 - k % 4] for k in keys]
+        want = sum(math.log10(n_of.get(w, 0) + 0.5) for w in tokens) + sum(model.log_g[a, b] for a, b in zip(classes, classes[1:]))
+        assert r["score"] == pytest.approx(want, abs=1e-6)
+
+
+def test_best_class_by_the_likelihood():
+    draw = np.random.default_rng(3)
+    size, classes = 12, 4
+    counts = draw.integers(0, 6, (size, size)).astype(float)
+    of = np.append(draw.integers(0, classes - 1, size - 1), classes - 1)
+
+    def table(of):
+        out = np.zeros((classes, classes))
+        np.add.at(out, (of[:, None].repeat(size, 1), of[None].repeat(size, 0)), counts)
+        return out
+
+    for unit in range(size - 1):
+        others = np.arange(size) != unit
+        right = np.bincount(of[others], counts[unit, others], classes)
+        left = np.bincount(of[others], counts[others, unit], classes)
+        got = classlm.best_class(table(of), of[unit], right, left, counts[unit, unit])
+        values = [classlm.likelihood(table(np.where(np.arange(size) == unit, c, of))) for c in range(classes - 1)]
+        assert values[got] == pytest.approx(max(values))
