@@ -1,8 +1,9 @@
 """Benchmark passages inside documents, by fingerprints of item-sized windows.
 
-A window of a document has as many words as a benchmark item. Windows that put one of
-the item's shingles in its place are fingerprinted: every other window that could be
-similar shares no shingle in place with the item and is reached through one that does.
+A window of a document has as many words as a benchmark item. Windows of every start
+that hold a shingle of an item of their length, in whatever place, are looked at; those
+whose known shingles weigh too little for the similarity with any such item are left
+out before fingerprinting, which loses none.
 Fingerprints are SimHashes over weighted shingles. They are indexed by blocks of bits:
 two fingerprints within the radius differ in at most ``radius // blocks`` bits in some
 block, so entries for all block values that near find every pair. The candidates are
@@ -77,6 +78,7 @@ def contaminated(
     item_text: str = "text",
     similarity: float = 0.8,
     radius: int = RADIUS,
+    copy: str | None = None,
 ) -> DataFrame:
     """(id, item, start, words, similarity): the best window of each document for each item it leaks.
 
@@ -87,6 +89,7 @@ def contaminated(
     windows the first counts. Null and empty texts leak nothing, empty items are never
     found; null ids and ids repeated with other texts are told apart by the text, and
     repeated rows give one result. Other columns are left out, whatever their names.
+    ``copy`` names a further column for the text's hash, ``xxhash64``.
     """
     items = benchmark.select(F.col(item).alias("item"), _words(F.col(item_text)).alias("w"))
     items = items.withColumn("length", F.size("w")).filter("length > 0").distinct()
@@ -94,6 +97,8 @@ def contaminated(
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # 1 to 5
     if not sizes:
         empty = df.select(F.col(id), F.lit(None).cast(items.schema["item"].dataType).alias(item)).limit(0)
+        if copy:
+            empty = empty.withColumn(copy, F.lit(0).cast("long"))
         return empty.select("*", *[F.lit(0).cast(t).alias(c) for c, t in (("start", "int"), ("words", "int"), ("similarity", "double"))])
 
     def shingled(rows: DataFrame, size: Column) -> DataFrame:
@@ -101,10 +106,15 @@ def contaminated(
         return rows.withColumn("shingles", every)
 
     made = stash(shingled(items, F.col("k")), "bench-shingles")
-    anchors = made.select("length", "k", F.posexplode("shingles").alias("offset", "shingle")).distinct()
+    anchors = made.select("length", "k", F.explode("shingles").alias("shingle")).distinct()
     weights = made.select("item", F.explode(F.array_distinct("shingles")).alias("shingle")).distinct()
     weights = stash(weights.groupBy("shingle").agg((1.0 / F.count(F.lit(1))).alias("weight")), "bench-weights")
     weights = broadcast_if_small(weights, 2_000_000)
+    # the least weight of a window's shingles among the items' that an item of its length needs
+    needs = made.select("item", "length", F.explode(F.array_distinct("shingles")).alias("shingle")).join(weights, "shingle")
+    needs = needs.groupBy("item", "length").agg(F.sum("weight").alias("total"))
+    needs = needs.groupBy("length").agg((F.min("total") * similarity - 1e-6).alias("needed"))
+    anchors = anchors.join(weights, "shingle").join(F.broadcast(needs), "length")
     anchors = broadcast_if_small(stash(anchors, "bench-anchors"), 2_000_000)
 
     # every place of every document against the items' shingles
@@ -116,9 +126,16 @@ def contaminated(
     hits = places[0]
     for other in places[1:]:
         hits = hits.unionByName(other)
-    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("offset"), F.col("n") - F.col("length")))
-    starts = hits.join(anchors, ["shingle", "k"]).select("id", "copy", "length", "k", start.alias("start"))
-    starts = stash(starts.distinct(), "bench-starts")
+    # all starts whose window holds the shingle; a document shorter than the item is one window
+    last = F.greatest(F.lit(0), F.col("n") - F.col("length"))
+    first = F.least(F.greatest(F.lit(0), F.col("at") + F.col("k") - F.col("length")), last)
+    met = hits.join(anchors, ["shingle", "k"])
+    met = met.withColumn("start", F.explode(F.sequence(first, F.least(F.col("at"), last))))
+    window = ["id", "copy", "length", "k", "start"]
+    # a shingle counts once in a window, and so do repeated rows
+    single = met.groupBy(*window, "shingle").agg(F.first("weight").alias("weight"), F.first("needed").alias("needed"))
+    starts = single.groupBy(*window).agg(F.sum("weight").alias("known"), F.first("needed").alias("needed"))
+    starts = stash(starts.filter(F.col("known") >= F.col("needed")).select(*window), "bench-starts")
 
     # the windows' shingles, from the documents that have any
     wanted = broadcast_if_small(stash(starts.select("id", "copy").distinct(), "bench-docs"), 2_000_000)
@@ -164,6 +181,7 @@ def contaminated(
     return best.select(
         F.col("id").alias(id),
         F.col("item").alias(item),
+        *([F.col("copy").alias(copy)] if copy else []),
         (-F.col("b.col2")).alias("start"),
         "words",
         F.col("b.similarity").alias("similarity"),

@@ -111,3 +111,15 @@ def test_plan_has_no_python(spark, case):
     found = decontaminate.contaminated(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_reordered_passages_are_found(spark):
+    """An item with its halves exchanged: the similar window starts far from where a shingle in its place would put it."""
+    a, b = [f"a{i}" for i in range(24)], [f"b{i}" for i in range(24)]
+    items = [(1, " ".join(a + b)), (2, " ".join(f"c{i}" for i in range(30)))]
+    filler = [f"f{i}" for i in range(80)]
+    rows = [(1, " ".join(filler + b + a + filler), "en"), (2, " ".join(b + a + filler), "en"), (3, " ".join(filler + b + a), "en")]
+    out = decontaminate.contaminated(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"), copy="hash").collect()
+    want = brute(rows, items)
+    assert len(want) == 3 and {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"]) for r in out} == want
+    assert all(isinstance(r["hash"], int) for r in out)
