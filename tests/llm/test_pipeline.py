@@ -58,3 +58,14 @@ def test_empty_tables(spark, tmp_path):
     ):
         spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_leaks_with_null_and_repeated_ids(spark, tmp_path):
+    leak = " ".join(f"leak{i}" for i in range(40))
+    rows = [(None, leak, "en", "s", 1), (None, "a clean text", "en", "s", 1), (5, leak + " more", "en", "s", 1), (5, "another clean text", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(0, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = corpus_pipeline.drop_benchmark_passages(spark, docs.union(docs.limit(0)), str(tmp_path)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in left) == [("5", "another clean text"), ("None", "a clean text")]
+    odd = spark.createDataFrame([(6, None, "en", "s", 1), (None, None, "en", "s", 1)], docs.schema)
+    assert corpus_pipeline.drop_benchmark_passages(spark, odd, str(tmp_path)).count() == 2
