@@ -12,9 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import bpe, classlm, decontaminate, language, neardup, quality, search, tokencount, urls, warc
+from rankloom.llm import (
+    bpe, classlm, decontaminate, language, licences, merkle, neardup, quality, search, tokencount, urls, warc, whiten,
+)
 from rankloom.llm.common import id_remainder, table
-from rankloom.session import stash
+from rankloom.session import cleaned, stash
 
 
 @dataclass(frozen=True)
@@ -112,6 +114,40 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten.whiten(table(spark, folder, "embeddings"))
+
+
+@cleaned
+def _manifest_digests(documents: DataFrame) -> DataFrame:
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    changed = [F.try_add("n_chars", F.lit(1)) if f == "n_chars" else F.col(f) for f in fields]
+    whole = merkle.digest_of([F.col(f) for f in fields])
+    claim = F.when(id_remainder("doc_id", 7) == 0, merkle.digest_of(changed)).otherwise(whole)
+    found = merkle.manifest(documents, fields, claim=claim)
+    root = merkle.folded(F.col("claim"), F.col("sides"), F.col("siblings"))
+    proofs = found.select("doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), root.alias("folded_root"))
+    return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return _manifest_digests(table(spark, folder, "documents"))
+
+
+def licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.first").alias("first_word"),
+        F.array_max("places.first").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct("places.label")), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 QUERIES: dict[str, TextQuery] = {
     "op1_warc_revisits": TextQuery(warc_revisits, warc.page_captures_sql()),
     "op2_byte_bpe": TextQuery(byte_bpe),
@@ -123,4 +159,7 @@ QUERIES: dict[str, TextQuery] = {
     "op8_benchmark_windows": TextQuery(benchmark_windows),
     "op9_document_quality": TextQuery(document_quality),
     "op10_token_counts": TextQuery(token_counts),
+    "op11_polarised_whitening": TextQuery(whitened_embeddings),
+    "op12_merkle_manifest": TextQuery(merkle_manifest, merkle.manifest_sql()),
+    "op13_licence_templates": TextQuery(licence_scan, licences.scan_sql()),
 }
