@@ -117,7 +117,7 @@ def test_spans_and_long_texts(spark):
     found = licences.scan(documents(spark, [(1, long, "en"), (2, TEXTS[2], "en")])).collect()
     by_id = {r["doc_id"]: r for r in found}
     assert [(m["template"], m["first"], m["last"]) for m in by_id[1]["matches"]] == [("mit-notice", 300_000, 300_004)]
-    assert [(m["template"], m["first"], m["last"]) for m in by_id[2]["matches"]] == [("apache-notice", 7, 13), ("cc-notice", 0, 6)]
+    assert [(m["template"], m["first"], m["last"]) for m in by_id[2]["matches"]] == [("apache-notice", 7, 14), ("cc-notice", 0, 6)]
 
 
 def test_sql_is_the_same(spark, monkeypatch, tmp_path):
