@@ -303,22 +303,22 @@ def scan_sql(templates: Mapping[str, tuple[str, str]] = TEMPLATES, phrases: Mapp
 with patterns(label, mandatory, pattern) as (values {wordings}),
 phrases(label, phrase) as (values {phrase}),
 texts as (
-    select row_number() over () as at, doc_id,
+    select row_number() over () as nr, doc_id,
         regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
     from documents),
 lines as (select *, ' ' || array_to_string(words, ' ') || ' ' as line from texts),
 base as (
-    select at, label, len(phrase) as mandatory,
+    select nr, label, len(phrase) as mandatory,
         unnest(list_filter(range(len(words)), lambda i: words[i + 1 : i + len(phrase)] = phrase)) as first
     from lines, phrases where line like '% ' || array_to_string(phrase, ' ') || ' %'),
 found as (
-    select at, label, mandatory from base
+    select nr, label, mandatory from base
     union all
-    select at, label, mandatory from lines, patterns where regexp_matches(line, pattern)),
-bases as (select at, count(*) as n_base, min(first) as first_word, max(first) as last_word, list_sort(list_distinct(list(label))) as labels from base group by at),
-all_labels as (select at, list_sort(list_distinct(list(label))) as labels, max(mandatory) as longest from found group by at)
+    select nr, label, mandatory from lines, patterns where regexp_matches(line, pattern)),
+bases as (select nr, count(*) as n_base, min(first) as first_word, max(first) as last_word, list_sort(list_distinct(list(label))) as labels from base group by nr),
+all_labels as (select nr, list_sort(list_distinct(list(label))) as labels, max(mandatory) as longest from found group by nr)
 select doc_id, len(words) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
     coalesce(array_to_string(b.labels, ','), '') as base_labels, coalesce(array_to_string(a.labels, ','), '') as labels,
     1.0::double - 1.0::double / (1 + coalesce(longest, 0)) as score
-from lines left join bases b using (at) left join all_labels a using (at)
+from lines left join bases b using (nr) left join all_labels a using (nr)
 """
