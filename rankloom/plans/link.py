@@ -91,7 +91,6 @@ QUERIES: dict[str, Query] = {
     "pagerank_global_uniform": Query(
         lambda v: rounded(global_ranks(v, "uniform"), 12), sql.global_result("uniform")
     ),
-    "pagerank_converged": Query(lambda v: rounded(global_ranks(v), 12), sql.global_result()),
     "pagerank_topic": Query(lambda v: rounded(topic_ranks(v), 12), sql.topic_result()),
     "pagerank_query": Query(lambda v: rounded(by_query(v), 12), sql.mixture_result("query_mix")),
     "pagerank_personal": Query(lambda v: rounded(personal(v), 12), sql.mixture_result("user_mix")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from rankloom.plans.oracle import link, margin, rating, words
 from rankloom.plans.oracle.views import CLEAN, compose
 
-K, STEPS = 10, 10
+K = 10
 EDGES = compose(["edges"], {}, "SELECT src, dst, weight FROM edges")
 DOC_TOPICS = compose(["doc_topics"], {}, "SELECT doc, topic FROM doc_topics")
 MIXTURE = compose(
@@ -44,8 +44,8 @@ STOPWORDS = compose(
     ["review_words", "reviews"], {},
     "SELECT word FROM review_words GROUP BY word HAVING count(*) * 10 > (SELECT count(*) FROM reviews)",
 )
-SCORES = link.global_result(STEPS)
-RANKED = link.ranked("global", "WS", STEPS)
+SCORES = link.global_result()
+RANKED = link.ranked("global", "WS")
 PREDICTIONS = (
     "SELECT pair_idx, score FROM (" + rating.in_order(K) + ") t"
 )

@@ -50,6 +50,8 @@ def _global(dangling: str = "reference", name: str = "r", out: str = "ranks") ->
 
 
 def global_result(dangling: str = "reference") -> str:
+    if dangling not in ("reference", "uniform"):
+        raise ValueError("unknown handling of dangling nodes")
     return compose(["nodes", "edges"], {**LINKS, **_global(dangling)}, "SELECT id, round(rank, 12) AS rank FROM ranks")
 
 

@@ -70,7 +70,7 @@ def test_vocabulary_and_codes(spark):
 
 
 def test_ngrams(spark):
-    got = vocabulary.ngram_counts(docs(spark), text.word_tokens(F.col("text")), (2,), 1).collect()
+    got = vocabulary.ngram_counts(docs(spark), text.word_tokens(F.col("text")), (2,)).collect()
     assert {r.gram: (r.docs, r.cnt) for r in got} == {
         "a a": (1, 2), "a b": (1, 1), "b c": (1, 1), "c c": (1, 1), "c d": (1, 1)
     }
