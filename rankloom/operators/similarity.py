@@ -1,21 +1,29 @@
 """Similarity of users or items and exact nearest neighbours.
 
-Ratings are ``(user_id, item_id, rating)``, already centred on the neutral
-score. Entities that share a rated cell are found by a join on the cell; their
-products are added up before and after the shuffle. For all other pairs the
-similarity is a product of one number of each side, so the best of them are the
-head of one of three orders of the whole universe, and nothing is computed for
-pairs that cannot be among the nearest.
+Ratings are ``(user_id, item_id, rating)``, already centred on the neutral score. The
+entities to search are dealt into packs of bounded size, long vectors first; a pack holds
+posting lists, the raters of each cell. Each block of query entities stays in one task
+and meets the packs one after another: the products with all entities of a pack are the
+sums over the posting lists of the query's cells, entities without a common cell among
+them. A pack is left out for a query if the largest rating of each list bounds what it
+can add below the query's k-th neighbour so far. Pairs are never stored; a task keeps
+``k`` neighbours a query and one pack.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from rankloom.functions.order import snap
 from rankloom.operators.layout import top_per_group
 from rankloom.session import cleaned, durable, stash
 
@@ -40,40 +48,28 @@ class Measure:
         if self.kind not in MEASURES:
             raise ValueError(f"measure must be one of {MEASURES}")
 
-    def norm(self, total: Column, square: Column) -> Column:
-        """Length of a vector from its sums."""
+    def norm(self, total: np.ndarray, square: np.ndarray) -> np.ndarray:
+        """Length of vectors from their sums."""
         if not self.centred:
-            return F.sqrt(square)
-        mean = total / F.lit(self.divisor)
-        return F.sqrt(F.greatest(square - 2.0 * mean * total + self.cells * mean * mean, F.lit(0.0)))
-
-    def similarity(self, dot: Column, sum_a: Column, sq_a: Column, sum_b: Column, sq_b: Column) -> tuple[Column, Column]:
-        """(similarity, the same to ten digits, zero if it is noise), the latter for comparisons."""
-        if self.centred:
-            mean_a, mean_b = sum_a / F.lit(self.divisor), sum_b / F.lit(self.divisor)
-            dot = dot - mean_b * sum_a - mean_a * sum_b + self.cells * mean_a * mean_b
-        sizes = self.norm(sum_a, sq_a) * self.norm(sum_b, sq_b)
-        if self.kind == "cosine":
-            dot, bound = F.when(sizes != 0, dot / F.nullif(sizes, F.lit(0.0))).otherwise(0.0), F.lit(1.0)
-        else:
-            bound = sizes
-        return dot, F.when(F.abs(dot) <= NOISE * bound, 0.0).otherwise(snap(dot))
-
-    def share(self, total: Column, square: Column) -> Column:
-        """What an entity contributes to its similarity with an entity it shares no cell with."""
-        if not self.centred:
-            return F.lit(0.0)
-        if self.kind == "dot":
-            return total.cast("double")
-        size = self.norm(total, square)
-        return F.when(size != 0, total / F.nullif(size, F.lit(0.0))).otherwise(0.0)
+            return np.sqrt(square)
+        mean = total / self.divisor
+        return np.sqrt(np.maximum(square - 2.0 * mean * total + self.cells * mean * mean, 0.0))
 
     @property
     def factor(self) -> float:
-        """Similarity of entities without a common cell, over the product of their shares."""
+        """What centring adds to a product, over the product of the sums."""
         return self.cells / self.divisor**2 - 2.0 / self.divisor if self.centred else 0.0
 
 
+def _snapped(value: np.ndarray, digits: int = 10) -> np.ndarray:
+    """Rounded half up to significant digits, so that ranking ignores summation noise at any size of the values."""
+    out = np.zeros_like(value)
+    some = value != 0
+    scale = np.power(10.0, digits - 1 - np.floor(np.log10(np.abs(value[some]))))
+    out[some] = np.floor(value[some] * scale + 0.5) / scale
+    return out
+
+
 def vector_sums(ratings: DataFrame, entity: str) -> DataFrame:
     """Sum and sum of squares of each entity's ratings."""
     return ratings.groupBy(F.col(entity).alias("id")).agg(
@@ -92,55 +88,174 @@ def entity_mean(ratings: DataFrame, entity: str, divisor: float) -> DataFrame:
     return vector_sums(ratings, entity).select("id", (F.col("s") / F.lit(float(divisor))).alias("mean"))
 
 
-def _heads(universe: DataFrame, formula: Measure, size: int) -> DataFrame:
-    """The first ``size`` entities in each of three orders: ``(way, pos, b, s_b, ss_b)``.
-
-    Entities of no common cell come by descending share for a positive factor
-    (way 1), by ascending share for a negative one (-1), and by id for none (0).
+class Vectors:
+    """Entities with their sums and ratings, put together from the rows of a pack; postings by cell where wanted."""
+
+    def __init__(self, rows: list[tuple], formula: Measure):
+        def column(kind: int, at: int, dtype: type) -> np.ndarray:
+            return np.frombuffer(b"".join(r[at] for r in rows if r[0] == kind), dtype)
+
+        ids, total, square = column(0, 1, np.int64), column(0, 2, np.float64), column(0, 3, np.float64)
+        order = np.argsort(ids)
+        self.ids, self.total = ids[order], total[order]
+        self.size = formula.norm(self.total, square[order])
+        entity, self.cell, self.value = column(1, 1, np.int64), column(1, 2, np.int64), column(1, 3, np.float64)
+        self.place = np.searchsorted(self.ids, entity)
+
+    def by_entity(self) -> Vectors:
+        order = np.lexsort((self.cell, self.place))
+        self.cell, self.value, self.place = self.cell[order], self.value[order], self.place[order]
+        self.ends = np.searchsorted(self.place, np.arange(len(self.ids) + 1))
+        return self
+
+    def by_cell(self, formula: Measure) -> Vectors:
+        order = np.argsort(self.cell, kind="stable")
+        self.cell, self.value, self.place = self.cell[order], self.value[order], self.place[order]
+        self.cells, self.starts = np.unique(self.cell, return_index=True)
+        self.stops = np.append(self.starts[1:], len(self.cell))
+        scale = 1.0
+        if formula.kind == "cosine":
+            with np.errstate(divide="ignore"):
+                scale = np.where(self.size > 0, 1.0 / self.size, 0.0)
+            size = np.abs(self.value) * scale[self.place]
+        else:
+            size = np.abs(self.value)
+        self.most = np.maximum.reduceat(size, self.starts) if len(size) else size
+        share = self.total * scale
+        self.shares = (share.min(initial=0.0), share.max(initial=0.0))
+        return self
+
+
+class Search:
+    """The nearest entities so far of each query of a block."""
+
+    def __init__(self, queries: Vectors, formula: Measure, keep: int, skip_self: bool):
+        self.queries, self.formula, self.keep, self.skip_self = queries, formula, keep, skip_self
+        none = np.zeros(0), np.zeros(0, np.int64), np.zeros(0)
+        self.best = [none] * len(queries.ids)  # (key, id, similarity), best first
+        self.skipped = 0
+
+    def _bounds(self, pack: Vectors, known: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """No entity of the pack can be more similar to a query than this."""
+        q = self.queries
+        most = pack.most[slots] if len(pack.most) else np.zeros(len(slots))
+        added = np.append(np.where(known, np.abs(q.value) * most, 0.0).cumsum(), 0.0)
+        sums = added[q.ends[1:] - 1] - added[q.ends[:-1] - 1]
+        push = self.formula.factor * q.total
+        sums = sums + np.maximum(push * pack.shares[0], push * pack.shares[1])
+        if self.formula.kind == "cosine":
+            sums = np.where(q.size > 0, sums / np.where(q.size > 0, q.size, 1.0), 0.0)
+        noise = NOISE * (1.0 if self.formula.kind == "cosine" else q.size * pack.size.max(initial=0.0))
+        return sums + np.abs(sums) * 1e-9 + 1e-12 * (1.0 + added[:-1].max(initial=0.0)) + noise
+
+    def meet(self, pack: Vectors) -> None:
+        """Compare all queries with all entities of the pack that can still be among their nearest."""
+        q, formula, keep = self.queries, self.formula, self.keep
+        if not len(pack.ids):
+            return
+        slots = np.minimum(np.searchsorted(pack.cells, q.cell), max(len(pack.cells) - 1, 0))
+        known = pack.cells[slots] == q.cell if len(pack.cells) else np.zeros(len(q.cell), bool)
+        bounds = self._bounds(pack, known, slots)
+        selves = np.searchsorted(pack.ids, q.ids) if self.skip_self else None
+        for i in range(len(q.ids)):
+            keys, ids, sims = self.best[i]
+            full = len(keys) == keep
+            if full and bounds[i] < keys[-1]:
+                self.skipped += 1
+                continue
+            mine = slice(q.ends[i], q.ends[i + 1])
+            mine = np.flatnonzero(known[mine]) + q.ends[i]
+            starts = pack.starts[slots[mine]]
+            lengths = pack.stops[slots[mine]] - starts
+            at = np.arange(lengths.sum()) + np.repeat(starts - np.append(0, lengths.cumsum()[:-1]), lengths) if len(mine) else starts
+            dot = np.bincount(pack.place[at], pack.value[at] * np.repeat(q.value[mine], lengths), len(pack.ids))
+            if formula.centred:
+                dot = dot + formula.factor * q.total[i] * pack.total
+            sizes = q.size[i] * pack.size
+            if formula.kind == "cosine":
+                dot = np.divide(dot, sizes, out=np.zeros(len(dot)), where=sizes != 0)
+                sizes = 1.0
+            key = np.where(np.abs(dot) <= NOISE * sizes, 0.0, dot)
+            if selves is not None and selves[i] < len(pack.ids) and pack.ids[selves[i]] == q.ids[i]:
+                key[selves[i]] = -np.inf
+            if full:
+                least = keys[-1]
+            else:
+                wanted = min(keep, len(key))
+                least = np.partition(key, len(key) - wanted)[len(key) - wanted]
+            near = np.flatnonzero((key >= least - abs(least) * 1e-8 if np.isfinite(least) else key > -np.inf) & (key > -np.inf))
+            if not len(near):
+                continue
+            keys = np.concatenate([keys, _snapped(key[near])])
+            ids = np.concatenate([ids, pack.ids[near]])
+            sims = np.concatenate([sims, dot[near]])
+            order = np.lexsort((-ids, -keys))[:keep]
+            self.best[i] = keys[order], ids[order], sims[order]
+
+    def found(self) -> pa.RecordBatch:
+        counts = [len(b[0]) for b in self.best]
+        columns = [np.concatenate([b[k] for b in self.best]) if self.best else np.zeros(0) for k in range(3)]
+        rank = np.concatenate([np.arange(1, n + 1, dtype=np.int32) for n in [0, *counts]])
+        arrays = [np.repeat(self.queries.ids, counts), columns[1].astype(np.int64), columns[2], columns[0], rank]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["a", "b", "sim", "_key", "rank"])
+
+
+def _packed(entities: DataFrame, ratings: DataFrame) -> DataFrame:
+    """(no, kind, x, y, z): entities (kind 0: ids, sums, squares) and ratings (kind 1: ids, cells, values) of each number, as arrays.
+
+    ``entities`` is (no, id, s, ss), ``ratings`` (id, cell, v). A row holds at most as many entries as an Arrow batch.
     """
-    share = snap(formula.share(F.col("s_b"), F.col("ss_b")))
-    out = None
-    for way in (1, 0, -1) if formula.centred else (0,):
-        order = [(way * share).desc(), F.col("b").desc()]
-        first = universe.orderBy(*order).limit(size)
-        placed = first.withColumn("pos", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
-        placed = placed.select(F.lit(way).alias("way"), "pos", "b", "s_b", "ss_b")
-        out = placed if out is None else out.unionByName(placed)
-    return durable(out)
-
-
-def _unrelated(
-    queries: DataFrame, pairs: DataFrame, universe: DataFrame, formula: Measure, keep: int, skip_self: bool, head: int
-) -> DataFrame:
-    """``(a, s_a, ss_a, b, s_b, ss_b)``: each query's best ``keep`` entities that it shares no cell with.
+    rows = ratings.join(entities.select("id", "no"), "id").select(
+        "no", F.lit(1).alias("kind"), F.col("id"), F.col("cell"), F.lit(0.0).alias("y"), F.col("v").alias("z")
+    )
+    zero = F.lit(0).cast("long").alias("cell")
+    rows = rows.unionByName(
+        entities.select("no", F.lit(0).alias("kind"), "id", zero, F.col("s").alias("y"), F.col("ss").alias("z"))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            no, kind, ids, cell, y, z = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            cuts = np.flatnonzero((np.diff(no) != 0) | (np.diff(kind) != 0)) + 1
+            out = []
+            for part in np.split(np.arange(len(no)), cuts):
+                if len(part):
+                    middle = cell if kind[part[0]] else y
+                    out.append((int(no[part[0]]), int(kind[part[0]]), *(v[part].tobytes() for v in (ids, middle, z))))
+            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            arrays = [pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
+            yield pa.RecordBatch.from_arrays(arrays, ["no", "kind", "x", "y", "z"])
+
+    sorted_rows = rows.repartition("no").sortWithinPartitions("no", "kind")
+    return sorted_rows.mapInArrow(run, "no int, kind int, x binary, y binary, z binary")
+
+
+def _dealt(others: DataFrame, formula: Measure, entities: int, ratings: int) -> tuple[DataFrame, int]:
+    """Number each entity's pack, longer vectors in earlier packs; a pack has about so many entities or ratings.
 
-    They are the first places of the query's order that no entity with a common
-    cell takes. Queries whose head is too short get a longer one.
+    Only the loads of some hundred steps of length reach the driver.
     """
-    size, total, found = max(head, 1), universe.count(), None
-    todo = queries
-    while True:
-        size = min(size, total)
-        heads = _heads(universe, formula, size)
-        places = F.broadcast(heads.select("way", "pos", "b")) if size <= 100_000 else heads.select("way", "pos", "b")
-        taken = pairs.select("a", "b")
-        if skip_self:
-            taken = taken.unionByName(todo.select("a", F.col("a").alias("b")))
-        met = taken.join(places, "b").join(todo.select("a", "way"), ["a", "way"])
-        used = met.groupBy("a").agg(F.collect_set("pos").alias("used"))  # at most ``size`` places
-        rows = todo.join(used, "a", "left").withColumn("used", F.coalesce("used", F.array().cast("array<int>")))
-        free = F.slice(F.array_except(F.sequence(F.lit(1), F.size("used") + keep), "used"), 1, keep)
-        rows = durable(rows.withColumn("free", F.sort_array(free)).withColumn("last", F.element_at("free", -1)))
-        done = rows if size >= total else rows.filter(F.col("last") <= size)
-        chosen = done.select("a", "s_a", "ss_a", "way", F.explode("free").alias("pos")).join(heads, ["way", "pos"])
-        chosen = chosen.select("a", "s_a", "ss_a", "b", "s_b", "ss_b")
-        found = chosen if found is None else found.unionByName(chosen)
-        if size >= total:
-            return found
-        todo = rows.filter(F.col("last") > size).select(*queries.columns)
-        if todo.isEmpty():
-            return found
-        size *= 8
+    mean = F.col("s") / F.lit(formula.divisor)
+    square = F.col("ss") - 2.0 * mean * F.col("s") + F.lit(formula.cells) * mean * mean if formula.centred else F.col("ss")
+    step = F.floor(F.log2(1.0 + F.greatest(square, F.lit(0.0))) * 2).cast("int")
+    placed = others.withColumn("step", step)
+    load = F.sum(F.lit(1.0 / entities) + F.col("n") / F.lit(float(ratings)))
+    loads = placed.groupBy("step").agg(load.alias("load")).orderBy(F.desc("step")).collect()
+    first, room, ways = 0, 0.0, []
+    for row in loads:
+        if row["load"] > 1.0:  # packs of its own, by the hash of the id
+            first += room > 0
+            count, room = math.ceil(row["load"]), 0.0
+            ways.append((row["step"], first, count))
+            first += count
+        else:
+            if room + row["load"] > 1.0:
+                first, room = first + 1, 0.0
+            ways.append((row["step"], first, 1))
+            room += row["load"]
+    table = F.broadcast(others.sparkSession.createDataFrame(ways, "step int, first int, count int"))
+    no = (F.col("first") + F.pmod(F.xxhash64("id"), F.col("count"))).cast("int")
+    return placed.join(table, "step").withColumn("no", no).drop("step", "first", "count"), first + 1
 
 
 @cleaned
@@ -156,7 +271,9 @@ def nearest(
     cells: int | None = None,
     denominator: str = "reference",
     self_mode: str = "drop_top",
-    head: int | None = None,
+    block_queries: int = 2048,
+    pack_entities: int = 16_384,
+    pack_ratings: int = 1_000_000,
 ) -> DataFrame:
     """``(a, b, sim, rank)``: the ``k`` nearest train entities of each query entity.
 
@@ -164,48 +281,73 @@ def nearest(
     length of the vectors, needed when ``centred``. ``self_mode='drop_top'``
     drops the best of ``k + 1`` candidates, ``'exclude'`` the entity itself.
     Similarities are compared by ten significant digits; equal ones are ordered
-    by id, descending. ``head`` is the first length of the heads for entities
-    without a common cell; it changes no result.
+    by id, descending. Ids are whole numbers; null ids and ratings do not count.
+    The last three parameters bound what a task holds and change no result.
     """
     if by not in ("user", "item"):
         raise ValueError("by must be user or item")
     if self_mode not in ("drop_top", "exclude") or denominator not in ("reference", "pearson"):
         raise ValueError("unknown self_mode or denominator")
+    if measure not in MEASURES:
+        raise ValueError(f"measure must be one of {MEASURES}")
     if centred and cells is None:
         raise ValueError("centred similarity needs the number of cells")
     entity, cell = ("user_id", "item_id") if by == "user" else ("item_id", "user_id")
+    if not all(isinstance(df.schema[c].dataType, IntegralType) for df in (profiles, train) for c in (entity, cell)):
+        raise TypeError("ids must be whole numbers")
+
+    def side(ratings: DataFrame, ids: DataFrame) -> DataFrame:
+        rows = ids.select(F.col("id").cast("long").alias("id")).filter("id IS NOT NULL").distinct()
+        sums = vector_sums(ratings.filter(F.col(entity).isNotNull() & F.col("rating").isNotNull()), entity)
+        return durable(rows.join(sums, "id", "left").select("id", *[F.coalesce(c, F.lit(0)).cast(t).alias(c) for c, t in (("s", "double"), ("ss", "double"), ("n", "long"))]))
 
-    def side(ratings: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-        sums = vector_sums(ratings, entity).select("id", "s", "ss")
-        rows = ids.select("id").distinct().join(sums, "id", "left").na.fill(0.0, ["s", "ss"])
-        return durable(rows.select(F.col("id").alias(name), F.col("s").alias(f"s_{name}"), F.col("ss").alias(f"ss_{name}")))
+    def cells_of(ratings: DataFrame) -> DataFrame:
+        rows = ratings.filter((F.col("rating") != 0) & F.col(cell).isNotNull())
+        return rows.select(*[F.col(c).cast("long").alias(n) for c, n in ((entity, "id"), (cell, "cell"))], F.col("rating").cast("double").alias("v"))
 
-    queries, others = side(profiles, query_ids, "a"), side(train, universe, "b")
+    queries, others = side(profiles, query_ids), side(train, universe)
+    asked = queries.agg(F.count("id").alias("n"), F.coalesce(F.sum("n"), F.lit(0)).alias("ratings")).first()
     divisor = others.count() if denominator == "reference" else (cells or 1)
     formula = Measure(measure, centred, float(divisor or 1), float(cells or 0))
     keep = k + 1 if self_mode == "drop_top" else k
     skip_self = self_mode == "exclude"
 
-    # entities that share a cell; their sums travel with the ratings, which saves two joins of the pairs
-    mine = profiles.select(F.col(entity).alias("a"), cell, F.col("rating").cast("double").alias("x")).join(queries, "a")
-    theirs = train.select(F.col(entity).alias("b"), cell, F.col("rating").cast("double").alias("y")).join(others, "b")
-    met = mine.join(theirs, cell).groupBy("a", "b").agg(
-        F.sum(F.col("x") * F.col("y")).alias("dot"), *[F.max(c).alias(c) for c in ("s_a", "ss_a", "s_b", "ss_b")]
-    )
-
-    def rated(rows: DataFrame, dot: Column) -> DataFrame:
-        sim, key = formula.similarity(dot, *[F.col(c) for c in ("s_a", "ss_a", "s_b", "ss_b")])
-        return rows.select("a", "b", sim.alias("sim"), key.alias("_key"))
-
-    pairs = stash(rated(met, F.col("dot")), "pairs")
-    order = [F.col("_key").desc(), F.col("b").desc()]
-    related = pairs.filter("a <> b") if skip_self else pairs
-    related = top_per_group(related, ["a"], order, keep, ["b"], "rank").drop("rank")
-    push = F.lit(formula.factor) * formula.share(F.col("s_a"), F.col("ss_a"))
-    queries = queries.withColumn("way", F.signum(push).cast("int") if centred else F.lit(0))
-    unrelated = _unrelated(queries, pairs, others, formula, keep, skip_self, head or max(256, 4 * keep))
-    candidates = related.unionByName(rated(unrelated, F.lit(0.0)))
-    best = top_per_group(candidates, ["a"], order, keep, ["b"], "rank")
+    # blocks of queries, dealt by hash; a task holds one, with its neighbours so far
+    spark = train.sparkSession
+    tasks = spark.sparkContext.defaultParallelism
+    room = max(1, min(block_queries, 4_000_000 // keep))
+    blocks = max(math.ceil(asked["n"] / room), math.ceil(asked["ratings"] / (2 * pack_ratings)), min(tasks, math.ceil(asked["n"] / 64)), 1)
+    mine = queries.withColumn("no", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    placed, packs = _dealt(others, formula, pack_entities, pack_ratings)
+    parts = min(packs, max(1, math.ceil(tasks / blocks)))  # few queries: their packs are shared by more tasks
+    asking = stash(_packed(mine, cells_of(profiles)), "near-queries")
+    asking = asking.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(-1).alias("pack"), F.col("no").alias("block"), "kind", "x", "y", "z")
+    known = stash(_packed(placed, cells_of(train)), "near-packs")
+    known = known.select(F.col("no").alias("pack"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod("no", F.lit(parts)).alias("part"), "kind", "x", "y", "z")
+    met = asking.unionByName(known).withColumn("slot", (F.col("block") * parts + F.col("part")).cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
+        search, mine = None, None
+        for (slot, pack), group in groupby(rows, key=itemgetter(0, 1)):
+            if slot != mine:
+                if search is not None:
+                    yield search.found()
+                search, mine = None, slot
+            vectors = Vectors([r[2:] for r in group], formula)
+            if pack < 0:
+                search = Search(vectors.by_entity(), formula, keep, skip_self)
+            elif search is not None:  # a block without queries has none
+                search.meet(vectors.by_cell(formula))
+        if search is not None:
+            yield search.found()
+
+    ordered = met.repartitionById(blocks * parts, F.col("slot")).sortWithinPartitions("slot", "pack", "kind")
+    ordered = ordered.select("slot", "pack", "kind", "x", "y", "z")
+    best = ordered.mapInArrow(run, "a long, b long, sim double, _key double, rank int")
+    if parts > 1:
+        order = [F.col("_key").desc(), F.col("b").desc()]
+        best = top_per_group(stash(best.drop("rank"), "near-parts"), ["a"], order, keep, ["b"], "rank")
     if self_mode == "drop_top":
         best = best.filter("rank > 1").withColumn("rank", F.col("rank") - 1)
     return best.select("a", "b", "sim", "rank")

@@ -4,6 +4,7 @@ import pytest
 from rankloom.operators import neighbours, similarity
 
 USERS, ITEMS = 17, 11
+LIMITS = [{}, {"block_queries": 2, "pack_entities": 3, "pack_ratings": 9}]
 
 
 def ratings_matrix(seed=3):
@@ -50,7 +51,7 @@ def collected(df):
 @pytest.mark.parametrize("by", ["user", "item"])
 @pytest.mark.parametrize("kind", similarity.MEASURES)
 @pytest.mark.parametrize("centred", [False, True])
-@pytest.mark.parametrize("limits", [{}, {"head": 1}])
+@pytest.mark.parametrize("limits", LIMITS)
 def test_nearest_matches_the_dense_product(spark, by, kind, centred, limits):
     m = ratings_matrix()
     dense = m if by == "user" else m.T
@@ -66,7 +67,7 @@ def test_nearest_matches_the_dense_product(spark, by, kind, centred, limits):
         assert np.allclose([s for _, s in got[a]], [s for _, s in expected[a]], atol=1e-9)
 
 
-@pytest.mark.parametrize("limits", [{}, {"head": 1}])
+@pytest.mark.parametrize("limits", LIMITS)
 def test_exclude_drops_the_entity_itself(spark, limits):
     m = ratings_matrix()
     got = similarity.nearest(
@@ -78,6 +79,63 @@ def test_exclude_drops_the_entity_itself(spark, limits):
     }
 
 
+@pytest.mark.parametrize("kind", similarity.MEASURES)
+@pytest.mark.parametrize("centred", [False, True])
+def test_bounds_hold_and_skip_packs(kind, centred):
+    """No similarity in a pack is above its bound, and packs of short vectors are left out once k longer ones are known."""
+    rng = np.random.default_rng(8)
+    m = rng.integers(-2, 3, (60, 12)) * (rng.random((60, 12)) < 0.4) * np.repeat([3.0, 0.1], [20, 40])[:, None]
+    formula = similarity.Measure(kind, centred, 60.0, 12.0)
+
+    def pack(places):
+        ids = np.array(places, np.int64)
+        u, c = np.nonzero(m[ids])
+        entities = (0, ids.tobytes(), m[ids].sum(axis=1).tobytes(), (m[ids] ** 2).sum(axis=1).tobytes())
+        return similarity.Vectors([entities, (1, ids[u].tobytes(), c.astype(np.int64).tobytes(), m[ids][u, c].tobytes())], formula)
+
+    search = similarity.Search(pack(range(60)).by_entity(), formula, 3, False)
+    parts = [list(range(0, 20)), list(range(20, 40)), list(range(40, 60))]
+    shifted = m - m.sum(axis=1, keepdims=True) / 60.0 if centred else m
+    sims = shifted @ shifted.T
+    if kind == "cosine":
+        norms = np.linalg.norm(shifted, axis=1)
+        sims = np.divide(sims, np.outer(norms, norms), out=np.zeros_like(sims), where=np.outer(norms, norms) > 0)
+    for part in parts:
+        there = pack(part).by_cell(formula)
+        q = search.queries
+        slots = np.minimum(np.searchsorted(there.cells, q.cell), len(there.cells) - 1)
+        bounds = search._bounds(there, there.cells[slots] == q.cell, slots)
+        assert (sims[:, part].max(axis=1) <= bounds + 1e-12).all()
+        search.meet(there)
+    if kind == "dot":
+        assert search.skipped > 30
+
+
+def test_no_pairs_are_stored(spark, monkeypatch):
+    """What a search stores grows with entities and ratings, not with pairs."""
+    m = np.ones((200, 4))  # every user shares every cell with all others
+    stored = []
+    whole = similarity.stash
+    monkeypatch.setattr(similarity, "stash", lambda df, name, *a: stored.append(whole(df, name, *a)) or stored[-1])
+    got = similarity.nearest(long(spark, m), long(spark, m), ids(spark, range(200)), ids(spark, range(200)), k=2, block_queries=50)
+    assert got.count() == 400
+    assert len(stored) == 2  # packs of queries and of entities
+
+
+def test_ids_must_be_numbers(spark):
+    text = spark.createDataFrame([("a", 1, 1.0)], "user_id string, item_id long, rating double")
+    with pytest.raises(TypeError):
+        similarity.nearest(text, text, ids(spark, [1]), ids(spark, [1]))
+
+
+def test_nothing_to_search(spark):
+    none = long(spark, np.zeros((2, 2)))
+    assert similarity.nearest(none, none, ids(spark, []), ids(spark, [1])).count() == 0
+    assert similarity.nearest(none, none, ids(spark, [1]), ids(spark, [])).count() == 0
+    got = similarity.nearest(none, none, ids(spark, [1, 2]), ids(spark, [1, 2, 3]), k=2).collect()
+    assert sorted((r.a, r.b, r.sim, r["rank"]) for r in got) == [(a, b, 0.0, r) for a in (1, 2) for b, r in ((1, 2), (2, 1))]
+
+
 def test_heavier_user_is_dropped_first_under_dot(spark):
     m = np.zeros((3, 4))
     m[0, :2] = 1
