@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.order import start_value
+from rankloom.operators.cbow import cbow_train
 from rankloom.operators.vocabulary import PADDING, UNKNOWN, small_words
 from rankloom.session import loop_partitions
 
@@ -21,12 +22,20 @@ def word2vec_train(
     seed: int = 0,
     passes: int = 5,
     rows_per_task: int = 50_000,
+    method: str = "cbow",
+    key: str = "doc_id",
 ) -> DataFrame:
-    """``(word, v)`` trained by Spark's skip-gram Word2Vec.
+    """``(word, v)`` of all words of at least ``min_count`` tokens.
 
-    The documents are shared out over tasks of about ``rows_per_task`` rows; after
-    each of the ``passes`` the tasks' changes are added up.
+    ``method='cbow'`` predicts a word from the mean of those around it, see
+    :func:`cbow.cbow_train`. ``'skipgram'`` is Spark's Word2Vec: the documents are shared
+    out over tasks of about ``rows_per_task`` rows, and after each of the ``passes`` the
+    tasks' changes are added up.
     """
+    if method not in ("cbow", "skipgram"):
+        raise ValueError("method must be cbow or skipgram")
+    if method == "cbow":
+        return cbow_train(docs, tokens, key, dim, window, min_count, seed, passes).vectors
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 

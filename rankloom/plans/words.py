@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions import text
 from rankloom.functions.numeric import star_class
-from rankloom.operators import embedding, layout, metrics, vocabulary
+from rankloom.operators import cbow, embedding, layout, metrics, vocabulary
 from rankloom.plans.oracle import words as sql
 from rankloom.plans.registry import Query, rounded, saved
 from rankloom.plans.views import DIM, Views
@@ -89,9 +89,12 @@ def _quality(v: Views) -> DataFrame:
     )
 
 
+def _token_lists(v: Views) -> DataFrame:
+    return v.binary_text().select("doc_id", text.word_tokens(F.col("text")).alias("tokens"))
+
+
 def _word2vec(v: Views) -> DataFrame:
-    docs = v.binary_text().select("doc_id", text.word_tokens(F.col("text")).alias("tokens"))
-    return embedding.word2vec_train(docs)
+    return saved(v, "word-vectors", lambda: embedding.word2vec_train(_token_lists(v)))
 
 
 def _skipped(v: Views) -> DataFrame:
@@ -177,5 +180,7 @@ QUERIES: dict[str, Query] = {
     ),
     "text_classify": Query(_quality),
     "word2vec_train": Query(_word2vec),
+    "word2vec_loss": Query(lambda v: rounded(cbow.cbow_train(_token_lists(v)).trace, 6)),
+    "word2vec_skipgram": Query(lambda v: embedding.word2vec_train(_token_lists(v), method="skipgram")),
     "word2vec_words": Query(lambda v: _word2vec(v).select("word"), sql.W2V_WORDS),
 }
