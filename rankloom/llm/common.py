@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -12,6 +14,16 @@ from pyspark.sql import functions as F
 CHUNK_CHARS = 1_000_000
 
 
+def fresh_worker() -> None:
+    """Free what earlier tasks have left in a reused Python worker: caches of other operators and unused Arrow memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its memory
+        pass
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

@@ -60,13 +60,20 @@ def _block(fingerprint: Column, number: Column) -> Column:
 
 
 def _weighted(rows: DataFrame, keys: list[str], weights: DataFrame) -> DataFrame:
-    """Rows (keys, shingles) with their different shingles weighted, summed and fingerprinted."""
+    """Rows (keys, shingles) with their different shingles weighted (null: in no item), summed and fingerprinted.
+
+    In the fingerprint a shingle of no item weighs what the row's others do in the mean.
+    """
     single = rows.select(*keys, F.explode(F.array_distinct("shingles")).alias("shingle"))
-    known = single.join(weights, "shingle", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
+    known = single.join(weights, "shingle", "left")
     # a window holds as many shingles as its item at most
-    lists = known.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("shingle", "weight"))).alias("weighted"))
-    total = F.aggregate("weighted", F.lit(0.0), lambda s, x: s + x["weight"])
-    return lists.select(*keys, "weighted", total.alias("total"), _fingerprint(F.col("weighted")).alias("fingerprint"))
+    lists = known.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("shingle", "weight"))).alias("weighted"),
+        F.coalesce(F.sum("weight"), F.lit(0.0)).alias("total"), F.coalesce(F.avg("weight"), F.lit(1.0)).alias("mean"),
+        F.count(F.lit(1)).alias("n"), F.count("weight").alias("n_known"),
+    )
+    filled = F.transform("weighted", lambda x: F.struct(x["shingle"].alias("shingle"), F.coalesce(x["weight"], F.col("mean")).alias("weight")))
+    return lists.select(*keys, "weighted", "total", "mean", (F.col("n") - F.col("n_known")).alias("strange"), _fingerprint(filled).alias("fingerprint"))
 
 
 def contaminated(
@@ -83,8 +90,10 @@ def contaminated(
     """(id, item, start, words, similarity): the best window of each document for each item it leaks.
 
     Shingles have five words (all words of a shorter item) and weigh 1 over the number
-    of items that hold them, 1 if none does; the similarity of a window and an item is
-    the weight of their common shingles over that of all of theirs. ``start`` counts
+    of different item texts that hold them; one that no item holds weighs as much as the
+    item's own in the mean, so an edit costs a templated item no more than another one.
+    The similarity of a window and an item is the weight of their common shingles over
+    that of all of theirs. ``start`` counts
     words from 0; a document shorter than the item is one window. Of equally similar
     windows the first counts. Null and empty texts leak nothing, empty items are never
     found; null ids and ids repeated with other texts are told apart by the text, and
@@ -107,7 +116,7 @@ def contaminated(
 
     made = stash(shingled(items, F.col("k")), "bench-shingles")
     anchors = made.select("length", "k", F.explode("shingles").alias("shingle")).distinct()
-    weights = made.select("item", F.explode(F.array_distinct("shingles")).alias("shingle")).distinct()
+    weights = made.select("w", "shingles").distinct().select(F.explode(F.array_distinct("shingles")).alias("shingle"))
     weights = stash(weights.groupBy("shingle").agg((1.0 / F.count(F.lit(1))).alias("weight")), "bench-weights")
     weights = broadcast_if_small(weights, 2_000_000)
     # the least weight of a window's shingles among the items' that an item of its length needs
@@ -174,7 +183,8 @@ def contaminated(
     theirs = F.transform("i.weighted", lambda x: x["shingle"])
     common = F.filter("w.weighted", lambda x: F.array_contains(theirs, x["shingle"]))
     shared = F.aggregate(common, F.lit(0.0), lambda s, x: s + x["weight"])
-    value = F.round(shared / (F.col("w.total") + F.col("i.total") - shared), 9)
+    strange = F.col("w.strange") * F.col("i.mean")
+    value = F.round(shared / (F.col("w.total") + strange + F.col("i.total") - shared), 9)
     rated = pairs.select("c.id", "c.copy", "c.item", "c.start", F.col("c.length").alias("words"), value.alias("similarity"))
     rated = rated.filter(F.col("similarity") >= similarity)
     best = rated.groupBy("id", "copy", "item", "words").agg(F.max(F.struct("similarity", -F.col("start"))).alias("b"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import text_slices
+from rankloom.llm.common import fresh_worker, text_slices
 
 UNKNOWN = "und"
 
@@ -137,8 +137,12 @@ def _proportions(
     return share, np.add.reduceat(weight * np.log(mixed), first)
 
 
-def mixtures(texts: list[str], model: LanguageModel, rounds: int, penalty: float, most: int) -> np.ndarray:
-    """Proportions (text, language) in the chosen language set; rows without letters are zero."""
+def mixtures(texts: list[str], model: LanguageModel, rounds: int, penalty: float) -> np.ndarray:
+    """Proportions (text, language) in the chosen language set; rows without letters are zero.
+
+    Sets grow by the languages of the largest shares. They end where the penalty of one
+    more language is above all that the likelihood of the set of all languages leaves to gain.
+    """
     count = len(model.languages)
     out = np.zeros((len(texts), count))
     owner, bucket = trigrams(texts, model.buckets)
@@ -151,15 +155,18 @@ def mixtures(texts: list[str], model: LanguageModel, rounds: int, penalty: float
     likelihood = model.probabilities[:, bucket].T.astype(np.float64)
     weight = weight.astype(np.float64)
     everything = np.ones((len(present), count))
-    share, _ = _proportions(likelihood, weight, first, owner, everything, rounds)
+    share, most = _proportions(likelihood, weight, first, owner, everything, rounds)
     order = np.argsort(-share, axis=1, kind="stable")  # equal shares: the smaller name first
     cost = penalty * np.log(np.maximum(np.add.reduceat(weight, first), 2.0))
     best = np.full(len(present), -np.inf)
     chosen = np.zeros_like(share)
     allowed = np.zeros_like(share)
-    for size in range(1, min(most, count) + 1):
+    for size in range(1, count + 1):
+        if size > 1 and (most - size * cost < best).all():
+            break
         np.put_along_axis(allowed, order[:, size - 1 : size], 1.0, axis=1)
         fitted, value = _proportions(likelihood, weight, first, owner, allowed, 1 if size == 1 else rounds)
+        most = np.maximum(most, value)
         value = value - size * cost
         better = value > best
         chosen[better], best[better] = fitted[better], value[better]
@@ -176,15 +183,13 @@ def predict(
     keep_text: bool = False,
     rounds: int = 12,
     penalty: float = 1.0,
-    most_in_text: int = 4,
 ) -> DataFrame:
     """(id, text if wanted, *keep, lang_pred, score, languages, shares) of every whole text, one row for each row.
 
     ``lang_pred`` has the largest share of the chosen set, the smaller name of equal
     ones; ``score`` is that share. Null texts, texts without a letter, and a model
-    without languages give ``und`` with score 0 and an empty set. Up to
-    ``most_in_text`` languages can make up a text's set. Null ids and repeated rows
-    stay; columns not named in ``keep`` are left out.
+    without languages give ``und`` with score 0 and an empty set. The penalty alone
+    bounds a text's set of languages. Null ids and repeated rows stay; columns not named in ``keep`` are left out.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
     kept = df.select(F.col(id).alias("id"), F.col(text).alias("text"), *keep)
@@ -192,10 +197,11 @@ def predict(
     places = [1] * keep_text + list(range(2, len(kept.columns)))  # of the columns that pass through
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
         names = held.value.languages
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1)):
-                shares = mixtures([t or "" for t in texts], held.value, rounds, penalty, most_in_text)
+                shares = mixtures([t or "" for t in texts], held.value, rounds, penalty)
                 if not names:
                     shares = np.zeros((b - a, 1))
                 top = shares.argmax(axis=1)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import broadcast_if_small, text_slices
+from rankloom.llm.common import broadcast_if_small, fresh_worker, text_slices
 from rankloom.llm.words import mix, shingle_sets
 from rankloom.session import stash
 
@@ -48,6 +48,7 @@ def _described(df: DataFrame, kind: str, words: int, coordinates: int) -> DataFr
     """(id, n_shingles, digest of the set, signature, one byte of each coordinate), a row for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1)):
                 sets = shingle_sets(texts, words)
@@ -66,10 +67,11 @@ def _described(df: DataFrame, kind: str, words: int, coordinates: int) -> DataFr
                     pa.array(other.view(np.int64)),
                     pa.ListArray.from_arrays(offsets, flat),
                     pa.array([row.tobytes() for row in signs.astype(np.uint8)], pa.binary()),
+                    batch.column(2)[a:b],
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n_shingles", "d1", "d2", "sign", "code"])
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n_shingles", "d1", "d2", "sign", "code", "copy"])
 
-    return df.mapInArrow(run, f"id {kind}, n_shingles long, d1 long, d2 long, sign array<int>, code binary")
+    return df.mapInArrow(run, f"id {kind}, n_shingles long, d1 long, d2 long, sign array<int>, code binary, copy long")
 
 
 def _prefixes(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -261,20 +263,23 @@ def near_duplicates(
     percent: int = 80,
     coordinates: int = COORDINATES,
     matches: int = MATCHES,
-    keep: tuple[Column, ...] = (),
+    copy: str | None = None,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept, *keep), one row for each row.
+    """(id, n_shingles, component_id, kept), one row for each row.
 
     Documents are linked if their sets of different ``words``-word shingles share at
     least ``percent`` in a hundred of their union; ``component_id`` is the smallest id
     that links reach. Texts of fewer words are one shingle; null and empty texts have
-    none and are linked with nothing. Rows of one id count as one document. A null id
-    is linked with nothing, has a null component and stays. Columns not named in
-    ``keep`` are left out, whatever their names. Ids are integers.
+    none and are linked with nothing. Rows of one id and different texts are told apart
+    by their texts, each with the component of its own text; ``copy`` names a further
+    column for the text's hash, ``xxhash64``, which tells them apart. A null id is
+    linked with nothing, has a null component and stays. Other columns are left out,
+    whatever their names. Ids are integers.
     """
     rows = df.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = "bigint"
-    described = stash(_described(rows, kind, words, coordinates), "near-described")
+    hashed = rows.withColumn("copy", F.xxhash64(F.col("text"))) if copy else rows.withColumn("copy", F.lit(None).cast("long"))
+    described = stash(_described(hashed, kind, words, coordinates), "near-described")
     known = described.filter("n_shingles > 0 AND id IS NOT NULL")
     groups = known.groupBy("d1", "d2").agg(
         F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"),
@@ -315,11 +320,11 @@ def near_duplicates(
 
     members = nodes.join(final, "node", "left").filter("copies > 1 OR component IS NOT NULL")
     members = members.select("d1", "d2", F.coalesce("component", "node").alias("component_id"))
-    if keep:
-        raise ValueError("carry other columns by a join on the id")
-    out = described.select("id", "n_shingles", "d1", "d2").join(stash(members, "near-members"), ["d1", "d2"], "left")
+    out = described.select("id", "n_shingles", "d1", "d2", "copy").join(stash(members, "near-members"), ["d1", "d2"], "left")
     linked = (F.col("n_shingles") > 0) & F.col("id").isNotNull()
     component = F.when(linked, F.coalesce("component_id", "id")).otherwise(F.col("id"))
     return out.select(
-        F.col("id").alias(id), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")
+        F.col("id").alias(id), "n_shingles", component.alias("component_id"),
+        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        *([F.col("copy").alias(copy)] if copy else []),
     )

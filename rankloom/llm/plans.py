@@ -16,16 +16,22 @@ from rankloom.llm import (
     bpe, classlm, decontaminate, language, licences, merkle, neardup, quality, search, tokencount, urls, warc, whiten,
 )
 from rankloom.llm.common import id_remainder, table
-from rankloom.session import cleaned, stash
+from rankloom.session import scratch, stash
 
 
 @dataclass(frozen=True)
 class TextQuery:
+    """A query; its result is stored, and all that was stored on the way to it is deleted, unless ``build`` sees to that."""
+
     build: Callable[[SparkSession, str], DataFrame]
     sql: str | None = None
+    tidy: bool = False
 
     def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
-        return self.build(spark, folder)
+        if self.tidy:
+            return self.build(spark, folder)
+        with scratch(spark) as own:
+            return own.keep(self.build(spark, folder))
 
 
 def vocabulary_path(name: str) -> str:
@@ -118,7 +124,6 @@ def whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return whiten.whiten(table(spark, folder, "embeddings"))
 
 
-@cleaned
 def _manifest_digests(documents: DataFrame) -> DataFrame:
     fields = ("doc_id", "source", "lang", "n_chars", "text")
     changed = [F.try_add("n_chars", F.lit(1)) if f == "n_chars" else F.col(f) for f in fields]
@@ -159,7 +164,7 @@ QUERIES: dict[str, TextQuery] = {
     "op8_benchmark_windows": TextQuery(benchmark_windows),
     "op9_document_quality": TextQuery(document_quality),
     "op10_token_counts": TextQuery(token_counts),
-    "op11_polarised_whitening": TextQuery(whitened_embeddings),
+    "op11_polarised_whitening": TextQuery(whitened_embeddings, tidy=True),
     "op12_merkle_manifest": TextQuery(merkle_manifest, merkle.manifest_sql()),
     "op13_licence_templates": TextQuery(licence_scan, licences.scan_sql()),
 }

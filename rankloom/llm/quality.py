@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import text_slices
+from rankloom.llm.common import fresh_worker, text_slices
 from rankloom.session import stash
 
 PARTS = 3  # a word's letters, signs and shape
@@ -201,6 +201,7 @@ def train(
     index = index_vectors(buckets, size, seed=seed)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
         total = np.zeros((buckets, size))
         for batch in batches:
             for _, _, texts in text_slices(batch.column(0)):
@@ -260,6 +261,7 @@ def score(
     places = [1] * keep_text + list(range(2, len(kept.columns)))  # of the columns that pass through
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
         m = held.value
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1)):

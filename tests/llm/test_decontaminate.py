@@ -21,13 +21,14 @@ def shingles(w):
 def brute(rows, items, least=0.8):
     """Best window of every start, for every document and item."""
     items = {i: words(t) for i, t in items if words(t)}
-    df = Counter(g for w in items.values() for g in shingles(w))
-    weight = lambda g: 1 / df[g] if g in df else 1.0
+    df = Counter(g for w in {tuple(w) for w in items.values()} for g in shingles(list(w)))
     out = {}
     for doc, text, _ in rows:
         w = words(text)
         for item, own in items.items():
             want = shingles(own)
+            mean = sum(1 / df[g] for g in want) / len(want)
+            weight = lambda g, mean=mean: 1 / df[g] if g in df else mean
             for start in range(max(len(w) - len(own), 0) + 1):
                 part = w[start : start + len(own)]
                 size = min(5, len(own))
@@ -123,3 +124,39 @@ def test_reordered_passages_are_found(spark):
     want = brute(rows, items)
     assert len(want) == 3 and {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"]) for r in out} == want
     assert all(isinstance(r["hash"], int) for r in out)
+
+
+def test_copies_of_an_item_do_not_hide_its_near_copies(spark):
+    words_of_item = [f"a{i}" for i in range(59)]
+    edited = words_of_item[:]
+    edited[20] = "other"
+    for copies in (1, 2, 10):
+        items = [(i, " ".join(words_of_item)) for i in range(copies)] + [(99, " ".join(f"c{i}" for i in range(59)))]
+        benchmark = spark.createDataFrame(items, "item_id long, text string")
+        out = decontaminate.contaminated(documents(spark, [(1, " ".join(["x"] * 9 + edited), "en")]), benchmark).collect()
+        assert sorted((r["item_id"], r["similarity"], r["start"]) for r in out) == [(i, round(50 / 60, 9), 9) for i in range(copies)]
+
+
+def test_templated_items(spark):
+    """Items that differ in a few words: edited copies are found as the exact weights say, shared wording weighing less."""
+    draw = random.Random(8)
+    frame = [f"t{i}" for i in range(50)]
+    items = []
+    for i in range(10):
+        own = frame[:]
+        own[10:14] = [f"own{i}x{k}" for k in range(4)]
+        items.append((i, " ".join(own)))
+    items.append((50, " ".join(f"alone{i}" for i in range(50))))
+    rows = []
+    for i in range(60):
+        copy = words(items[i % 10][1])
+        for place in draw.sample([*range(9), *range(20, 50)], draw.choice([1, 1, 2])):
+            copy[place] = f"new{i}"
+        rows.append((i, " ".join([f"f{i}"] * 5 + copy + ["end"] * 5), "en"))
+    out = decontaminate.contaminated(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in out}
+    want = {k: v[0] for k, v in brute(rows, items).items()}
+    assert all(want[k] == pytest.approx(v, abs=1e-6) for k, v in got.items())
+    found = sum(k in got for k in want) / len(want)
+    assert len(want) > 30 and found >= 0.99, found
+    assert {d for d, _ in got} == {d for d, _ in want}

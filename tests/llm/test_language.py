@@ -72,3 +72,59 @@ def test_em_raises_the_likelihood(model):
     share, best = language._proportions(likelihood, weight.astype(float), first, zero, np.ones((1, 3)), 200)
     grid = [(a / 50, b / 50, 1 - a / 50 - b / 50) for a in range(51) for b in range(51 - a)]
     assert max(float(weight @ np.log(np.maximum(likelihood @ np.array(g), 1e-300))) for g in grid) <= best[0] + 1e-6
+
+
+MANY = {f"l{i}": [f"{a}{b}{c}" for c in "xyz"] for i, (a, b) in enumerate(["ka", "to", "mi", "ru", "se", "po", "gu"])}
+
+
+def test_a_text_of_more_than_four_languages(spark):
+    """Only the penalty bounds the set."""
+    draw = random.Random(3)
+
+    def of(lang, count):
+        return " ".join("".join(draw.choices(MANY[lang], k=3)) for _ in range(count))
+
+    model = language.train(documents(spark, [(i, of(lang, 60), lang) for i, lang in enumerate(list(MANY) * 10)]))
+    six = list(MANY)[:6]
+    rows = [(1, " ".join(of(lang, 40) for lang in six), None), (2, of("l6", 30), None)]
+    out = {r["doc_id"]: r for r in language.predict(documents(spark, rows), model).collect()}
+    assert sorted(out[1]["languages"]) == six and all(0.1 < s < 0.25 for s in out[1]["shares"])
+    assert out[2]["languages"] == ["l6"]
+
+
+def brute_set(text, model, penalty=1.0):
+    """The best penalised set of all sets of languages, by long EM, with the shares in it."""
+    from itertools import combinations
+
+    owner, bucket = language.trigrams([text], model.buckets)
+    key, weight = np.unique(bucket, return_counts=True)
+    likelihood, weight = model.probabilities[:, key].T.astype(float), weight.astype(float)
+    best = (-math.inf, None, None)
+    for size in range(1, len(model.languages) + 1):
+        for chosen in combinations(range(len(model.languages)), size):
+            share = np.zeros(len(model.languages))
+            share[list(chosen)] = 1 / size
+            for _ in range(400):
+                mixed = likelihood * share
+                share = (mixed * (weight / mixed.sum(axis=1))[:, None]).sum(axis=0) / weight.sum()
+            value = float(weight @ np.log(likelihood @ share)) - penalty * size * math.log(max(weight.sum(), 2))
+            if value > best[0]:
+                best = (value, [model.languages[i] for i in chosen], share)
+    return best
+
+
+def test_sets_and_shares_by_brute_force(spark, model):
+    parts = [("aa",), ("bb",), ("cc",), ("aa", "bb"), ("bb", "cc"), ("aa", "bb", "cc")]
+    rows = [(i, " ".join(text_of(lang, 50 + 10 * k, 40 + i + k) for k, lang in enumerate(langs)), None) for i, langs in enumerate(parts)]
+    for r in language.predict(documents(spark, rows), model).collect():
+        _, names, share = brute_set(rows[r["doc_id"]][1], model)
+        assert sorted(r["languages"]) == names
+        assert r["lang_pred"] == model.languages[int(share.argmax())]
+        assert r["score"] == pytest.approx(share.max(), abs=0.02)
+
+
+def test_equal_shares_go_to_the_smaller_name():
+    same = np.full((2, 64), 1 / 64, np.float32)
+    model = language.LanguageModel(["a", "b"], same, 64)
+    share = language.mixtures(["some text"], model, 12, 1.0)
+    assert share.argmax(axis=1).tolist() == [0]

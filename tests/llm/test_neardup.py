@@ -95,3 +95,12 @@ def test_shingle_hashes_tell_sets_apart():
     sets = [tuple(s.tolist()) for s in words.shingle_sets(texts, 4)]
     assert sets[0] == sets[1] and len(sets[0]) == 2 and sets[2] == sets[3] != sets[4]
     assert sets[5] == sets[6] == () and sets[7] != sets[8]
+
+
+def test_repeated_ids_are_told_apart_by_their_texts(spark):
+    a, b = (" ".join(f"{k}{i}" for i in range(30)) for k in "ab")
+    rows = [(1, a, ""), (5, a, ""), (5, b, ""), (9, b, ""), (9, b, ""), (None, a, "")]
+    out = neardup.near_duplicates(documents(spark, rows), copy="hash").collect()
+    got = sorted((str(r["doc_id"]), r["component_id"], r["kept"]) for r in out)
+    assert got == [("1", 1, True), ("5", 1, False), ("5", 5, True), ("9", 5, False), ("9", 5, False), ("None", None, True)]
+    assert len({r["hash"] for r in out}) == 2

@@ -69,3 +69,42 @@ def test_leaks_with_null_and_repeated_ids(spark, tmp_path):
     assert sorted((str(r["doc_id"]), r["text"]) for r in left) == [("5", "another clean text"), ("None", "a clean text")]
     odd = spark.createDataFrame([(6, None, "en", "s", 1), (None, None, "en", "s", 1)], docs.schema)
     assert corpus_pipeline.drop_benchmark_passages(spark, odd, str(tmp_path)).count() == 2
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_repeated_ids_lose_no_text(spark, tmp_path):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(30)) for k in "abc")
+    rows = [(1, a), (5, a), (5, b), (9, b), (7, c), (7, c), (7, c + " more"), (None, a), (8, None), (8, None), (3, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()
+    got = sorted((str(r["doc_id"]), r["text"] or "-") for r in left)
+    assert [g for g in got if g[0] != "7"] == sorted([("1", a), ("5", b), ("None", a), ("8", "-"), ("3", "-")])
+    assert len([g for g in got if g[0] == "7"]) == 1  # c or its near copy
+
+
+def test_nothing_is_left_behind(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from rankloom.session import durable_dir, scratch
+
+    text = "the cat and the dog went to the old house by the river and they were glad of it all day long"
+    rows = [(i, f"{text} in year {i} " + " ".join(f"w{i}x{j}" for j in range(40)), "en", "s", 1) for i in range(20)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(0, rows[7][1])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    place = spark._jvm.org.apache.hadoop.fs.Path(durable_dir(spark) + "/rankloom")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def names():
+        return {s.getPath().getName() for s in files.listStatus(place)} if files.exists(place) else set()
+
+    before = names()
+    with scratch(spark):
+        assert corpus_pipeline.run(spark, str(tmp_path)).filter(F.col("doc_id") == 3).count() == 1
+        assert len(names() - before) == 1
+    for name in ("op3_language_mixture", "op7_minhash_join", "op8_benchmark_windows", "op9_document_quality", "op10_token_counts", "op12_merkle_manifest"):
+        before = names()
+        out = plans.QUERIES[name](spark, str(tmp_path))
+        assert out.count() >= 1 and len(names() - before) == 1, name
