@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rankloom.llm import bpe, decontaminate, language, neardup, plans, quality
 from rankloom.llm.common import broadcast_if_small, id_remainder, table
-from rankloom.session import stash
+from rankloom.session import scratch, stash
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 QUALITY_FLOOR = 0.5
@@ -42,11 +42,26 @@ def filter_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that similar shingles of five words link, the one of the smallest id."""
-    found = neardup.near_duplicates(docs, words=5, percent=80)
-    gone = stash(found.filter(~F.col("kept")).select("doc_id").distinct(), "pipeline-copies")
-    left = docs.select(*COLUMNS).join(broadcast_if_small(gone, 4_000_000), "doc_id", "left_anti")
-    return left.dropDuplicates(["doc_id", "text"])
+    """One document of each group that similar shingles of five words link, the one of the smallest id.
+
+    Rows of one id are told apart by their texts, null and empty ones being the same; of
+    repeated rows one stays. Rows with a null id all stay.
+    """
+    found = neardup.near_duplicates(docs, words=5, percent=80, copy="copy").filter("doc_id IS NOT NULL")
+    # one row for each id and text, with its group: texts without words are groups of their own
+    group = F.when(F.col("n_shingles") > 0, F.col("component_id"))
+    rows = found.groupBy("doc_id", "copy").agg(F.max(group).alias("group"), F.count(F.lit(1)).alias("n"))
+    rows = stash(rows, "pipeline-groups")
+    first = rows.filter("`group` IS NOT NULL").groupBy("group").agg(F.min(F.struct("doc_id", "copy")).alias("first"), F.count(F.lit(1)).alias("m"))
+    first = first.filter("m > 1").select("group", "first.*")
+    later = rows.join(first.select("group", F.struct("doc_id", "copy").alias("first")), "group")
+    gone = stash(later.filter(F.struct("doc_id", "copy") != F.col("first")).select("doc_id", "copy"), "pipeline-copies")
+    again = stash(rows.filter("n > 1").select("doc_id", "copy"), "pipeline-repeats")
+    coded = docs.select(*COLUMNS, F.xxhash64(F.coalesce("text", F.lit(""))).alias("copy"))
+    left = coded.join(broadcast_if_small(gone, 4_000_000), ["doc_id", "copy"], "left_anti")
+    once = left.join(broadcast_if_small(again, 4_000_000), ["doc_id", "copy"], "left_anti")
+    repeated = left.join(broadcast_if_small(again, 4_000_000), ["doc_id", "copy"], "left_semi")
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "copy"])).select(*COLUMNS)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,8 +95,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last stage, over the whole of ``documents``."""
+    """Rows of the last stage, over the whole of ``documents``; what the stages store on the way is deleted."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stash(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
-    return docs
+    with scratch(spark) as whole:
+        for _, stage in STAGES[:-1]:
+            with scratch(spark) as own:
+                docs = own.keep(stage(spark, docs, sf_dir))
+        return whole.keep(STAGES[-1][1](spark, docs, sf_dir))
