@@ -1,23 +1,25 @@
 """Matrix factorisation on rating rows.
 
 Ratings are ``(user_id, item_id, rating)``. Factors of users (kind 0) and
-items (kind 1) share one table ``(kind, id, f0, f1, ...)``, so a training step
-is one pass over the ratings and one aggregation for both sides. Only rating
-rows are touched, never the user x item matrix.
+items (kind 1) share one table ``(kind, id, f0, f1, ...)``. The full-batch solvers
+keep the ratings in a grid of blocks (``grid``), through which the factors are sent.
+Only rating rows are touched, never the user x item matrix.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.functions.numeric import dot, sigmoid, total
+from rankloom.functions.numeric import dot, sigmoid
 from rankloom.functions.order import start_value
+from rankloom.operators import grid
 from rankloom.operators.layout import number_rows
 from rankloom.operators.neighbours import rescale_predictions
 from rankloom.session import cleaned, scratch, stash, store
 
-USER, ITEM, SCALAR = 0, 1, 2
+USER, ITEM = grid.USER, grid.ITEM
 
 
 def factor_columns(latent: int) -> list[str]:
@@ -72,37 +74,6 @@ def masked_sse(ratings: DataFrame, factors: DataFrame, link: str = "identity") -
     return joined.agg(F.sum(F.pow(F.col("rating") - score, 2)).alias("sse"))
 
 
-def _both_sides(rows: DataFrame, latent: int, slope: Column, error: Column) -> DataFrame:
-    """Sums of ``slope * other side`` per user and item, and of ``error`` in one scalar row."""
-    zeros = [F.lit(0.0).alias(f"g{i}") for i in range(1, latent)]
-
-    def record(kind: int, key: Column, values: list[Column]) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), key.cast("long").alias("id"), *values)
-
-    records = F.array(
-        record(USER, F.col("user_id"), [(slope * F.col(f"v{i}")).alias(f"g{i}") for i in range(latent)]),
-        record(ITEM, F.col("item_id"), [(slope * F.col(f"u{i}")).alias(f"g{i}") for i in range(latent)]),
-        record(SCALAR, F.lit(0), [error.alias("g0"), *zeros]),
-    )
-    return (
-        rows.select(F.explode(records).alias("r"))
-        .select("r.*")
-        .groupBy("kind", "id")
-        .agg(*[F.sum(f"g{i}").alias(f"g{i}") for i in range(latent)])
-    )
-
-
-def _with_scalar_row(factors: DataFrame) -> DataFrame:
-    """Add the row that carries a step's error next to the factors."""
-    values = [F.lit(0.0).alias(c) for c in factors.columns if c not in ("kind", "id")]
-    row = factors.sparkSession.range(1).select(F.lit(SCALAR).alias("kind"), F.col("id"), *values)
-    return factors.unionByName(row)
-
-
-def _only_factors(state: DataFrame, latent: int) -> DataFrame:
-    return state.filter(F.col("kind") != SCALAR).select("kind", "id", *factor_columns(latent))
-
-
 @cleaned
 def mf_gradient(
     ratings: DataFrame,
@@ -122,28 +93,30 @@ def mf_gradient(
     """
     latent = latent_of(factors)
     sign = {"reference": 1.0, "descent": -1.0}[reg_sign]
-    rated = rated_mask(ratings).persist()
-    stored = store(_with_scalar_row(factors), "factors")
-    error = F.col("rating") - inner_product(latent)
-    last = None
+
+    def slopes(score: np.ndarray, rating: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        error = rating - score
+        return error, error * error
+
+    def update(f: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, float]:
+        return f + step * (sums + sign * lmd * f), 0.0
+
+    made = grid.build(rated_mask(ratings), factors)
+    stored = store(grid.pack(factors, factor_columns(latent), made.blocks), "factors")
+    last, settled = None, iterations is not None
     for _ in range(iterations if iterations is not None else max_iterations):
-        state = stored.table
-        rows = factor_join(rated, state).withColumn("_e", error)
-        sums = _both_sides(rows, latent, F.col("_e"), F.col("_e") * F.col("_e"))
-        moved = []
-        for i in range(latent):
-            f, g = F.col(f"f{i}"), F.coalesce(f"g{i}", F.lit(0.0))
-            update = f + step * (g + sign * lmd * f)
-            moved.append(F.when(F.col("kind") == SCALAR, g).otherwise(update).alias(f"f{i}"))
-        fresh = store(state.join(sums, ["kind", "id"], "left").select("kind", "id", *moved), "factors")
-        sse = fresh.table.filter(F.col("kind") == SCALAR).agg(F.sum("f0")).first()[0]
-        if iterations is None and last is not None and abs(sse - last) / last < tol:
+        fresh = grid.step(made, stored.table, latent, latent, slopes, update)
+        sse = fresh.table.agg(F.sum("loss")).first()[0] or 0.0
+        if iterations is None and last is not None and (not last or abs(sse - last) / last < tol):
             fresh.drop()
+            settled = True
             break
         stored.drop()
         stored, last = fresh, sse
-    rated.unpersist()
-    return _only_factors(stored.table, latent)
+    made.close()
+    if not settled:
+        raise RuntimeError(f"the error has not settled within {max_iterations} steps")
+    return grid.unpack(stored.table, factor_columns(latent), latent)
 
 
 @cleaned
@@ -165,46 +138,46 @@ def mf_sigmoid(
     """
     latent = latent_of(factors)
     beta1, beta2, eps = 0.9, 0.999, 1e-8  # Fixed values: Adam's usual constants.
-    unit = rated_mask(ratings.withColumn("rating", scale_unit(F.col("rating")))).persist()
-    cols = [f"{k}{i}" for k in ("f", "m", "s") for i in range(latent)]
-    blank = [F.lit(0.0).alias(f"{k}{i}") for k in ("m", "s") for i in range(latent)]
-    stored = store(_with_scalar_row(factors.select("kind", "id", *factor_columns(latent), *blank)), "factors")
-    last = None
+
+    def slopes(score: np.ndarray, rating: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        guess = 1.0 / (1.0 + np.exp(-score))
+        gap = guess - rating
+        return 2.0 * gap * guess * (1.0 - guess), gap * gap
+
+    def adam(n: int) -> grid.Update:
+        def update(values: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, float]:
+            f, m, s = np.split(values, 3, axis=1)
+            norm = np.sqrt((f * f).sum(axis=1, keepdims=True))
+            pull = np.divide(lmd * f, norm, out=np.zeros_like(f), where=norm > 0)
+            slope = sums + pull + weight_decay * f
+            m, s = beta1 * m + (1 - beta1) * slope, beta2 * s + (1 - beta2) * slope * slope
+            f = f - learning_rate * (m / (1 - beta1**n)) / (np.sqrt(s / (1 - beta2**n)) + eps)
+            return np.concatenate([f, m, s], axis=1), float(lmd * norm.sum())
+
+        return update
+
+    unit = rated_mask(ratings.withColumn("rating", scale_unit(F.col("rating"))))
+    made = grid.build(unit, factors)
+    columns = [f"{k}{i}" for k in ("f", "m", "s") for i in range(latent)]
+    blank = [F.lit(0.0).alias(c) for c in columns[latent:]]
+    start = factors.select("kind", "id", *factor_columns(latent), *blank)
+    stored = store(grid.pack(start, columns, made.blocks), "factors")
+    last, settled = None, iterations is not None
     for n in range(1, (iterations if iterations is not None else max_iterations) + 1):
-        state = stored.table.select("kind", "id", *cols)
-        rows = factor_join(unit, state.select("kind", "id", *factor_columns(latent)))
-        rows = rows.withColumn("_p", sigmoid(inner_product(latent)))
-        gap = F.col("_p") - F.col("rating")
-        slope = 2.0 * gap * F.col("_p") * (1.0 - F.col("_p"))
-        sums = _both_sides(rows, latent, slope, gap * gap)
-        real = F.col("kind") != SCALAR
-        norm = F.sqrt(total([F.col(f"f{i}") * F.col(f"f{i}") for i in range(latent)]))
-        joined = state.join(sums, ["kind", "id"], "left").withColumn("_norm", norm)
-        moved = []
-        for i in range(latent):
-            f = F.col(f"f{i}")
-            pull = F.when(F.col("_norm") > 0, lmd * f / F.nullif("_norm", F.lit(0.0))).otherwise(0.0)
-            moved.append((F.coalesce(f"g{i}", F.lit(0.0)) + pull + weight_decay * f).alias(f"d{i}"))
-        joined = joined.select("kind", "id", *cols, "_norm", F.coalesce("g0", F.lit(0.0)).alias("_sse"), *moved)
-        out = []
-        for i in range(latent):
-            m = beta1 * F.col(f"m{i}") + (1 - beta1) * F.col(f"d{i}")
-            s = beta2 * F.col(f"s{i}") + (1 - beta2) * F.col(f"d{i}") * F.col(f"d{i}")
-            hop = learning_rate * (m / (1 - beta1**n)) / (F.sqrt(s / (1 - beta2**n)) + eps)
-            out += [F.when(real, F.col(f"f{i}") - hop).otherwise(0.0).alias(f"f{i}")]
-            out += [F.when(real, m).otherwise(0.0).alias(f"m{i}"), F.when(real, s).otherwise(0.0).alias(f"s{i}")]
-        part = F.when(real, lmd * F.col("_norm")).otherwise(F.col("_sse")).alias("_loss")
-        fresh = store(joined.select("kind", "id", *out, part), "factors")
-        loss = fresh.table.agg(F.sum("_loss")).first()[0]
+        fresh = grid.step(made, stored.table, latent, 3 * latent, slopes, adam(n))
+        loss = fresh.table.agg(F.sum("loss")).first()[0] or 0.0
         stored.drop()
         stored = fresh
         if iterations is None and last is not None and (n - 1) % check_every == 0:
-            change = abs(loss - last) / last
-            if 0 < change < tol:
+            change = abs(loss - last) / last if last else 0.0
+            if 0 < change < tol or not last:
+                settled = True
                 break
         last = loss
-    unit.unpersist()
-    return _only_factors(stored.table, latent)
+    made.close()
+    if not settled:
+        raise RuntimeError(f"the loss has not settled within {max_iterations} steps")
+    return grid.unpack(stored.table, factor_columns(latent), 3 * latent)
 
 
 def _batch_bounds(step: int, batch_size: int, rows: int) -> tuple[int, int]:

@@ -132,3 +132,62 @@ def test_alternating_least_squares_ranks_seen_pairs(spark):
     got = {(r.user_id, r.item_id): r.score for r in mf.mf_als(table, table, latent=2, lmd=0.01).collect()}
     assert len(got) == 36 and min(got.values()) == 1.0 and max(got.values()) == 5.0
     assert all((got[u, i] > 3) == (r > 3) for u, i, r in rows)
+
+
+def random_ratings(spark, users=40, items=25, count=400, seed=5):
+    rng = np.random.default_rng(seed)
+    cells = rng.choice(users * items, count, replace=False)
+    return spark.createDataFrame([(int(c // items), int(c % items), float(rng.integers(1, 6))) for c in cells], "user_id long, item_id long, rating double")
+
+
+def test_grid_of_many_blocks_gives_the_same(spark, monkeypatch):
+    """Blocks, cells and rows of any size change nothing but the order of sums."""
+    rated = random_ratings(spark)
+    ids = [spark.range(n).toDF("id") for n in (40, 26)]
+    start = mf.start_factors(*ids, 3, 0.3)
+    whole = mf.grid.build
+
+    def solved(solver, **sizes):
+        monkeypatch.setattr(mf.grid, "build", lambda *a: whole(*a, **sizes))
+        return {(r[0], r[1]): tuple(r[2:]) for r in solver(rated, start, iterations=3).collect()}
+
+    for solver in (mf.mf_gradient, mf.mf_sigmoid):
+        one, many = solved(solver), solved(solver, block_rows=7, cell_ratings=20, row_ratings=5)
+        assert set(one) == set(many) and len(one) == 66
+        assert all(np.allclose(one[k], many[k], rtol=1e-9, atol=1e-12) for k in one)
+
+
+def test_a_step_does_not_move_ratings(spark):
+    """With broadcasts off, what a step exchanges are blocks of factors, never the cells."""
+    rated = random_ratings(spark)
+    start = mf.start_factors(spark.range(40).toDF("id"), spark.range(25).toDF("id"), 3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = mf.grid.build(rated, start, block_rows=10)
+        state = mf.grid.pack(start, mf.factor_columns(3), made.blocks)
+        sums = mf.grid.cell_sums(made, state, 3, 3, lambda score, rating: (rating - score, score))
+        plan = sums._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.split("\n")
+    above = lines[: next(i for i, line in enumerate(lines) if "InMemoryTableScan" in line)]
+    # from the cells' scan up to the first join there is no exchange
+    joins = [i for i, line in enumerate(above) if "Join" in line]
+    assert joins and not any("Exchange" in line for line in above[joins[-1] :])
+    made.close()
+
+
+def test_unsettled_error_is_an_error(spark):
+    rated = random_ratings(spark)
+    start = mf.start_factors(spark.range(40).toDF("id"), spark.range(25).toDF("id"), 2)
+    for solver in (mf.mf_gradient, mf.mf_sigmoid):
+        with pytest.raises(RuntimeError):
+            solver(rated, start, tol=0.0, max_iterations=2)
+
+
+def test_no_ratings(spark):
+    none = random_ratings(spark).limit(0)
+    start = mf.start_factors(spark.range(3).toDF("id"), spark.range(2).toDF("id"), 2, 0.5)
+    kept = {(r[0], r[1]): tuple(r[2:]) for r in mf.mf_gradient(none, start, lmd=0.0).collect()}
+    assert kept == {(r[0], r[1]): tuple(r[2:]) for r in start.collect()}
