@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import file_content, text_slices
+from rankloom.llm.common import file_content, text_slices, tidy_task
 from rankloom.llm.prescan import Slices, library_symbols
 
 
@@ -254,6 +254,7 @@ def encode(
     content = spark.sparkContext.broadcast(file_content(ranks_path))
     table = spark.sparkContext.broadcast(library_symbols())
 
+    @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value, cache_entries)
         for batch in batches:
@@ -282,6 +283,7 @@ def decode(df: DataFrame, ranks_path: str, id: str = "doc_id", keep: tuple[str,
     spark = df.sparkSession
     content = spark.sparkContext.broadcast(file_content(ranks_path))
 
+    @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(content.value)
         for batch in batches:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,6 +25,18 @@ def fresh_worker() -> None:
         pass
 
 
+def tidy_task(run: Callable) -> Callable:
+    """A task that leaves a small worker behind, whatever stage comes next."""
+
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
+        yield from run(batches)
+        fresh_worker()
+
+    return tidied
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import fresh_worker, text_slices
+from rankloom.llm.common import text_slices, tidy_task
 
 UNKNOWN = "und"
 
@@ -86,6 +86,7 @@ def train(
     or language, and texts without a letter, teach nothing.
     """
 
+    @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -196,8 +197,8 @@ def predict(
     others = ["text"] * keep_text + kept.columns[2:]
     places = [1] * keep_text + list(range(2, len(kept.columns)))  # of the columns that pass through
 
+    @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_worker()
         names = held.value.languages
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1)):

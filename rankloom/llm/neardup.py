@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import broadcast_if_small, fresh_worker, text_slices
+from rankloom.llm.common import broadcast_if_small, chunks, text_slices, tidy_task
 from rankloom.llm.words import mix, shingle_sets
 from rankloom.session import stash
 
@@ -47,8 +48,8 @@ def signature(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
 def _described(df: DataFrame, kind: str, words: int, coordinates: int) -> DataFrame:
     """(id, n_shingles, digest of the set, signature, one byte of each coordinate), a row for each row."""
 
+    @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_worker()
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1)):
                 sets = shingle_sets(texts, words)
@@ -100,6 +101,7 @@ def _alike(pairs: DataFrame, nodes: DataFrame, matches: int, percent: int) -> Da
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     sized = both.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
+    @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -224,6 +226,7 @@ def _across(mixed: DataFrame, kind: str, matches: int, percent: int) -> DataFram
     Rows come sorted by list and block pair; a group has at most two blocks of nodes.
     """
 
+    @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, last = None, None
 
@@ -233,9 +236,7 @@ def _across(mixed: DataFrame, kind: str, matches: int, percent: int) -> DataFram
                 a, b = zip(*links)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _parts(batches, 8):
             keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)
             node, component, size, block = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5, 6))
             code = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(len(node), -1)
@@ -255,6 +256,13 @@ def _across(mixed: DataFrame, kind: str, matches: int, percent: int) -> DataFram
     return mixed.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _parts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut where their ``at``-th column, sets as bytes, reaches a megabyte."""
+    for batch in batches:
+        for a, b in chunks(pc.binary_length(batch.column(at)).to_pylist()):
+            yield batch.slice(a, b - a)
+
+
 def near_duplicates(
     df: DataFrame,
     id: str = "doc_id",

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import fresh_worker, text_slices
+from rankloom.llm.common import text_slices, tidy_task
 from rankloom.session import stash
 
 PARTS = 3  # a word's letters, signs and shape
@@ -28,7 +28,7 @@ PARTS = 3  # a word's letters, signs and shape
 class WordParts(dict):
     """Buckets of a word's letters, signs and shape in one number, by its bytes; emptied when it is full."""
 
-    def __init__(self, buckets: int, most: int = 300_000):
+    def __init__(self, buckets: int, most: int = 150_000):
         self.buckets, self.most = buckets, most
 
     def __missing__(self, word: bytes) -> int:
@@ -200,8 +200,8 @@ def train(
     kept = stash(sample.repartition(tasks, "h"), "quality-sample")
     index = index_vectors(buckets, size, seed=seed)
 
+    @tidy_task
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_worker()
         total = np.zeros((buckets, size))
         for batch in batches:
             for _, _, texts in text_slices(batch.column(0)):
@@ -215,6 +215,7 @@ def train(
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors = (index / np.linalg.norm(index, axis=1, keepdims=True) + vectors / np.maximum(norm, 1)).astype(np.float32)
 
+    @tidy_task
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in text_slices(batch.column(2)):
@@ -260,8 +261,8 @@ def score(
     others = ["text"] * keep_text + kept.columns[2:]
     places = [1] * keep_text + list(range(2, len(kept.columns)))  # of the columns that pass through
 
+    @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_worker()
         m = held.value
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1)):
