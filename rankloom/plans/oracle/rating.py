@@ -194,6 +194,24 @@ def mf_gradient(latent: int, steps: int) -> str:
     return compose(FACTOR_VIEWS, _gradient_steps(latent, steps), _factor_result(latent))
 
 
+def mf_gradient_settled(latent: int, step: float, tol: float) -> str:
+    """Steps until the relative change of the error falls below ``tol``; a state carries the error before it."""
+    moved = ", ".join(f"f.f{i} + {step} * (coalesce(g.g{i}, 0) + 0.2 * f.f{i})" for i in range(latent))
+    error = f"SELECT sum(power(rating - dot, 2)) AS sse FROM ({_pairs_with_factors('rated', latent)}) t"
+    steps = {
+        "rated": "SELECT * FROM stars WHERE rating <> 0",
+        f"f(it, kind, id, {_cols(latent)}, last)": f"""
+          SELECT 0, kind, id, {_cols(latent)}, CAST(NULL AS DOUBLE) FROM ({_start(latent)}) s
+          UNION ALL
+          SELECT f.it + 1, f.kind, f.id, {moved}, e.sse FROM f
+          LEFT JOIN ({_slopes("rated", latent, "(rating - dot)")}) g ON g.kind = f.kind AND g.id = f.id
+          CROSS JOIN ({error}) e
+          WHERE f.last IS NULL OR abs(e.sse - f.last) / f.last >= {tol}""",
+        "factors": f"SELECT kind, id, {_cols(latent)} FROM f WHERE it = (SELECT max(it) FROM f)",
+    }
+    return compose(FACTOR_VIEWS, steps, _factor_result(latent))
+
+
 def mf_sigmoid(latent: int, steps: int) -> str:
     return compose(FACTOR_VIEWS, _sigmoid_steps(latent, steps), _factor_result(latent))
 

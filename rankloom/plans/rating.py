@@ -15,6 +15,7 @@ from rankloom.plans.views import Views
 from rankloom.sources import readers
 
 K, LATENT, STEPS, BATCHES = 10, 4, 2, 4
+PACE, SETTLED = 0.002, 0.01
 SIDES = ("user", "item")
 MORE_K = (100, 500)
 GRID = [  # the published combinations
@@ -162,6 +163,10 @@ QUERIES: dict[str, Query] = {
     "rmse": Query(_scored_rmse, sql.rmse(K)),
     "prediction_order_join": Query(_in_order, sql.in_order(K)),
     "mf_gradient": Query(lambda v: rounded(gradient_factors(v)), sql.mf_gradient(LATENT, STEPS)),
+    "mf_gradient_settled": Query(
+        lambda v: rounded(factorise.mf_gradient(stars(v), start(v), step=PACE, tol=SETTLED)),
+        sql.mf_gradient_settled(LATENT, PACE, SETTLED),
+    ),
     "mf_sigmoid": Query(lambda v: rounded(sigmoid_factors(v)), sql.mf_sigmoid(LATENT, STEPS)),
     "mf_minibatch": Query(lambda v: _minibatch(v, False), sql.mf_minibatch(LATENT, BATCHES)),
     "mf_minibatch_block": Query(lambda v: _minibatch(v, True), sql.mf_minibatch(LATENT, BATCHES, block=True)),
