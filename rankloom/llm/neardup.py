@@ -28,6 +28,7 @@ from rankloom.session import stash
 COORDINATES = 64
 MATCHES = 38  # a pair of similarity 0.8 has fewer equal places with a probability of 3 in 100,000
 BLOCK = 1024
+SLICE = 250_000  # bytes of texts at a time; their words take about a hundred times as much
 
 
 def _multipliers(coordinates: int) -> np.ndarray:
@@ -51,7 +52,7 @@ def _described(df: DataFrame, kind: str, words: int, coordinates: int) -> DataFr
     @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(1)):
+            for a, b, texts in text_slices(batch.column(1), SLICE):
                 sets = shingle_sets(texts, words)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 signs = np.zeros((b - a, coordinates), np.uint32)
@@ -117,9 +118,10 @@ def _sets(texts: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """(id, shingles) of the documents of the given ids, stored."""
     kind = ids.schema["id"].dataType.simpleString()
 
+    @tidy_task
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, some in text_slices(batch.column(1)):
+            for a, b, some in text_slices(batch.column(1), SLICE):
                 sets = pa.array([s.tobytes() for s in shingle_sets(some, words)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], sets], ["id", "shingles"])
 
@@ -139,6 +141,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     pairs = stash(pairs, "near-pairs")
     sets = _sets(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")), words)
 
+    @tidy_task
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = zip(batch.column(2), batch.column(3))
