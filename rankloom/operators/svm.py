@@ -1,21 +1,27 @@
 """Squared-hinge linear SVM: gradients, three solvers and their traces.
 
 Features are ``(row_id, idx, val)``, labels ``(row_id, y)`` with y of +1 or -1,
-weights ``(idx, w)``. A step is a margin per row and one sum per feature; only
-scalars reach the driver.
+weights ``(idx, w)``. SGD, Newton and conjugate gradients keep models of up to
+``rowblocks.MOST_FEATURES`` features as an array, which goes to blocks of rows that stay
+where they are. Larger models, and Pegasos, take joins: a margin per row and one sum
+per feature, of which only scalars reach the driver.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.order import hash_key, start_value
-from rankloom.operators.layout import batch_count, minibatches, number_rows
+from rankloom.operators import rowblocks
+from rankloom.operators.layout import number_rows
 from rankloom.operators.metrics import sign_label, squared_hinge
 from rankloom.session import Stored, cleaned, durable, loop_partitions, scratch, stash, store
 
@@ -125,6 +131,48 @@ class _Run:
         return SvmFit(out, self.spark.createDataFrame(self.trace, TRACE_SCHEMA))
 
 
+class _BlockRun:
+    """Rows kept in blocks for a solver's loop, and its trace."""
+
+    def __init__(self, method, features, labels, test_features, test_labels, lam, optimum, ids, block_rows=None, seed=0):
+        self.features, self.method, self.lam, self.optimum = features, method, lam, optimum
+        self.blocks = rowblocks.build(features, labels, ids, block_rows, seed)
+        self.rows, self.size = self.blocks.rows, len(ids)
+        self.test = None if test_features is None else rowblocks.build(test_features, test_labels, ids)
+        self.trace: list[tuple] = []
+
+    def slope(self, w: np.ndarray) -> tuple[np.ndarray, float]:
+        """``X_I' (X_I w - y_I)`` over the active rows, and the loss, in one pass."""
+
+        def part(rows: rowblocks.Rows) -> np.ndarray:
+            margin = rows.dot(w)
+            return np.append(*_pull(rows, margin))
+
+        sums = self.blocks.total(part, self.size + 1)
+        return sums[:-1], float(sums[-1]) / max(self.rows, 1)
+
+    def record(self, epoch: int, w: np.ndarray, grad: float, loss: float) -> None:
+        objective = float(w @ w) / 2 + self.lam * loss
+        rel = (objective - self.optimum) / self.optimum if self.optimum else None
+        acc = None
+        if self.test is not None and self.test.rows:
+            hits = self.test.total(lambda rows: np.array([((rows.dot(w) > 0) == (rows.y == 1)).sum()], float), 1)
+            acc = float(hits[0]) / self.test.rows
+        self.trace.append((self.method, epoch, grad, loss, objective, rel, acc))
+
+    def finish(self, w: np.ndarray) -> SvmFit:
+        out = durable(self.blocks.frame(w, "w", self.features))
+        for held in (self.blocks, self.test):
+            if held is not None:
+                held.close()
+        return SvmFit(out, out.sparkSession.createDataFrame(self.trace, TRACE_SCHEMA))
+
+
+def _pull(rows: rowblocks.Rows, margin: np.ndarray) -> tuple[np.ndarray, float]:
+    gap = np.maximum(1 - rows.y * margin, 0)
+    return rows.back(np.where(gap > 0, margin - rows.y, 0.0)), float((gap**2).sum())
+
+
 def _descend(
     weights: DataFrame, features: DataFrame, labels: DataFrame, rows: int, batch: int, lam: float, rate: float
 ) -> tuple[Stored, float]:
@@ -183,6 +231,13 @@ def svm_pegasos(
     return run.finish(weights.table.select("idx", "w"))
 
 
+def epoch_order(seed: int, epoch: int, rows: int, block_rows: int) -> list[int]:
+    """Numbers of the blocks in the order of an epoch: by the md5 of ``seed:epoch:block``, a short last block last."""
+    full = rows // block_rows
+    order = sorted(range(full), key=lambda b: (md5(f"{seed}:{epoch}:block{b}".encode()).hexdigest(), b))
+    return order + ([full] if rows % block_rows else [])
+
+
 @cleaned
 def svm_sgd(
     features: DataFrame,
@@ -196,32 +251,98 @@ def svm_sgd(
     test_features: DataFrame | None = None,
     test_labels: DataFrame | None = None,
     optimum: float | None = None,
+    block_batches: int = 16,
 ) -> SvmFit:
-    """All batches of a fresh hash shuffle per epoch.
+    """All batches of a fresh shuffle per epoch.
 
-    An epoch's features are stored sorted by batch, so a step reads its own
-    row groups and not the whole table.
+    Rows are dealt once, by hash, into blocks of ``block_batches`` batches. An epoch
+    permutes the blocks (:func:`epoch_order`) and the rows inside each block (by the md5
+    of ``seed:epoch:row_id``), so no row is written after the start. The batches of a
+    block follow one another in one task. A short last batch comes twice; when
+    ``batch_size`` divides the rows there is an empty one.
     """
-    run = _Run("sgd", features, labels, test_features, test_labels, lam, optimum)
+    ids = rowblocks.feature_ids(features)
+    block_rows = batch_size * block_batches
+    tables = (features, labels, test_features, test_labels, lam, optimum)
+    if ids is None:
+        return _sgd_by_joins(tables, epochs, batch_size, learning_rate, seed, repeat_tail, block_rows)
+    run = _BlockRun("sgd", *tables, ids, block_rows, seed)
+    w = np.zeros(run.size)
+    for epoch in range(epochs):
+        rate = learning_rate / (1 + learning_rate / 100 * epoch)
+        order = epoch_order(seed, epoch, run.rows, block_rows)
+        norm = loss = 0.0
+        for turn, block in enumerate(order):
+            again = repeat_tail and turn == len(order) - 1
+            w, some_norm, some_loss = _block_steps(run, w, block, f"{seed}:{epoch}", batch_size, rate, again)
+            norm, loss = norm + some_norm, loss + some_loss
+        if repeat_tail and run.rows % batch_size == 0:
+            grad = w / batch_size  # the empty batch
+            w, norm = w - rate * grad, norm + float(np.sqrt(grad @ grad))
+        run.record(epoch, w, norm, loss)
+    return run.finish(w)
+
+
+def _block_steps(
+    run: _BlockRun, w: np.ndarray, block: int, shuffle: str, batch_size: int, rate: float, again: bool
+) -> tuple[np.ndarray, float, float]:
+    """New weights, and sums of gradient norms and losses, after the batches of one block; ``again`` repeats a short one."""
+    total, size, lam = run.rows, run.size, run.lam
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in rowblocks.unpacked(batches, size):
+            now, norm, loss = w, 0.0, 0.0
+            keys = [(md5(f"{shuffle}:{name}".encode()).hexdigest(), name) for name in rows.names]
+            order = np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
+            cuts = [order[a : a + batch_size] for a in range(0, len(order), batch_size)]
+            if again and len(cuts[-1]) < batch_size:
+                cuts.append(cuts[-1])
+            for cut in cuts:
+                part = rows.take(cut)
+                pull, _ = _pull(part, part.dot(now))
+                grad = now / batch_size + 2.0 * lam / total * pull
+                now = now - rate * grad
+                norm += float(np.sqrt(grad @ grad))
+                loss += _pull(part, part.dot(now))[1] / total
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([now.tobytes()], pa.binary()), pa.array([norm]), pa.array([loss])], ["w", "norm", "loss"]
+            )
+
+    one = run.blocks.stored.table.filter(F.col("block") == block)
+    found = one.mapInArrow(steps, "w binary, norm double, loss double").first()
+    return np.frombuffer(found["w"]), found["norm"], found["loss"]
+
+
+def _sgd_by_joins(tables, epochs, batch_size, learning_rate, seed, repeat_tail, block_rows) -> SvmFit:
+    """The same steps for a model too large for an array: the batch's rows are joined with the stored features of its block."""
+    run = _Run("sgd", *tables)
+    placed = number_rows(run.labels, [hash_key(seed, "row_id"), F.col("row_id")], name="pos")
+    placed = placed.select("row_id", "y", F.floor((F.col("pos") - 1) / block_rows).cast("int").alias("block"))
+    placed = stash(placed, "labels", sort_by=["block", "row_id"])
+    cells = stash(run.features.join(placed.select("row_id", "block"), "row_id"), "features", sort_by=["block", "row_id"])
     weights = store(zero_weights(run.features), "weights")
     for epoch in range(epochs):
         rate = learning_rate / (1 + learning_rate / 100 * epoch)
         norms, losses = [], []
-        with scratch(run.spark) as own:  # the epoch's order of the data goes with the epoch
-            cuts = minibatches(run.labels, "row_id", batch_size, f"{seed}:{epoch}", repeat_tail)
-            batch_labels = stash(run.labels.join(cuts, "row_id"), "labels", sort_by=["batch", "row_id"])
-            batch_features = stash(run.features.join(cuts, "row_id"), "features", sort_by=["batch", "row_id"])
-            for b in range(batch_count(run.rows, batch_size, repeat_tail)):
-                part = batch_features.filter(F.col("batch") == b).drop("batch")
-                picked = batch_labels.filter(F.col("batch") == b).drop("batch")
-                moved, norm = _descend(weights.table, part, picked, run.rows, batch_size, lam, rate)
+        order = epoch_order(seed, epoch, run.rows, block_rows)
+        for turn, block in enumerate(order):
+            # the window sees one block, which has at most block_rows rows
+            in_block = Window.orderBy(hash_key(f"{seed}:{epoch}", "row_id"), F.col("row_id").cast("string"))
+            batch = F.floor((F.row_number().over(in_block) - 1) / batch_size)
+            own = placed.filter(F.col("block") == block).withColumn("batch", batch).persist()
+            held = min(block_rows, run.rows - block * block_rows)
+            numbers = list(range(-(-held // batch_size)))
+            if repeat_tail and turn == len(order) - 1:
+                numbers.append(numbers[-1] + (run.rows % batch_size == 0))
+            for b in numbers:
+                picked = own.filter(F.col("batch") == b).select("row_id", "y")
+                part = cells.filter(F.col("block") == block).drop("block").join(picked.select("row_id"), "row_id", "left_semi")
+                moved, norm = _descend(weights.table, part, picked, run.rows, batch_size, run.lam, rate)
                 weights.drop()
                 weights = moved
-                scored = margins(part, picked, weights.table.select("idx", "w"))
                 norms.append(norm)
-                losses.append(squared_hinge_loss(scored, run.rows).first()[0])
-            last = own.keep(weights.table)
-        weights = Stored(last, weights.path)
+                losses.append(squared_hinge_loss(margins(part, picked, weights.table.select("idx", "w")), run.rows).first()[0])
+            own.unpersist()
         run.record(epoch, weights.table.select("idx", "w"), sum(norms), sum(losses), 1.0)
     return run.finish(weights.table.select("idx", "w"))
 
@@ -234,6 +355,25 @@ def hessian_product(features: DataFrame, vector: DataFrame, column: str, scale:
     return vector.join(back, "idx", "left").select("idx", hv.alias("hv"))
 
 
+def _solve(
+    product: Callable[[np.ndarray], np.ndarray], d: np.ndarray, gradient: np.ndarray, tol: float, max_iter: int
+) -> tuple[np.ndarray, int]:
+    """``H d = -gradient`` by conjugate gradients from ``d``, with ``product`` giving ``H p``; also the iterations."""
+    p = r = -gradient - product(d)
+    rr, done = float(r @ r), 0
+    for done in range(1, max_iter + 1):
+        hp = product(p)
+        curve = float(p @ hp)
+        if not curve:
+            break
+        d, r = d + rr / curve * p, r - rr / curve * hp
+        rr, before = float(r @ r), rr
+        p = r + rr / before * p
+        if math.sqrt(rr) < tol:
+            break
+    return d, done
+
+
 @cleaned
 def conjugate_gradient(
     features: DataFrame,
@@ -246,12 +386,22 @@ def conjugate_gradient(
 ) -> tuple[DataFrame, int]:
     """Solve ``H d = -grad`` with ``H = I + 2 lam / N * X' X`` over the given rows.
 
-    Returns ``(idx, d)`` and the number of iterations. The direction, residual
-    and solution are columns of one table; the driver sees their dot products.
+    Returns ``(idx, d)`` and the number of iterations. A step is one pass over blocks of
+    rows. For a model too large for an array, direction, residual and solution are columns
+    of one table and the driver sees their dot products.
     """
     scale = 2.0 * lam / total_rows
     if start is None:
         start = gradient.select("idx", start_value("idx", 0).alias("d"))
+    ids = rowblocks.feature_ids(gradient)
+    if ids is not None:
+        labels = features.select("row_id").distinct().withColumn("y", F.lit(0.0))
+        blocks = rowblocks.build(features, labels, ids)
+        first = blocks.values(start, "d"), blocks.values(gradient, "grad")
+        solution, done = _solve(lambda p: p + scale * blocks.total(lambda rows: rows.back(rows.dot(p)), len(p)), *first, tol, max_iter)
+        result = durable(blocks.frame(solution, "d", gradient))
+        blocks.close()
+        return result, done
     first = hessian_product(features, start, "d", scale)
     residual = -F.col("grad") - F.col("hv")
     stored = store(
@@ -308,17 +458,46 @@ def svm_newton(
     The Hessian uses the active rows at ``w = 0``, which are all rows, unless
     ``refresh_active`` takes those of the current weights.
     """
-    run = _Run("newton", features, labels, test_features, test_labels, lam, optimum)
+    ids = rowblocks.feature_ids(features)
+    tables = (features, labels, test_features, test_labels, lam, optimum)
+    if ids is None:
+        return _newton_by_joins(tables, epochs, refresh_active, cg_tol, cg_iterations)
+    run = _BlockRun("newton", *tables, ids)
+    scale = 2.0 * lam / max(run.rows, 1)
+    w = np.zeros(run.size)
+    start = ids * 7919 % 1000 / 1000.0  # as start_value
+    pull, _ = run.slope(w)
+    for epoch in range(epochs):
+        gradient = w + scale * pull
+        at = w if refresh_active else None
+
+        def product(p: np.ndarray, at: np.ndarray | None = at) -> np.ndarray:
+            def part(rows: rowblocks.Rows) -> np.ndarray:
+                dots = rows.dot(p)
+                return rows.back(dots if at is None else np.where(1 - rows.y * rows.dot(at) > 0, dots, 0.0))
+
+            return p + scale * run.blocks.total(part, len(p))
+
+        step, _ = _solve(product, start, gradient, cg_tol, cg_iterations)
+        w = w + step
+        pull, loss = run.slope(w)  # its sums are those of the next gradient
+        run.record(epoch, w, float(np.sqrt(gradient @ gradient)), loss)
+    return run.finish(w)
+
+
+def _newton_by_joins(tables, epochs, refresh_active, cg_tol, cg_iterations) -> SvmFit:
+    """The same steps for a model too large for an array."""
+    run = _Run("newton", *tables)
     weights = durable(zero_weights(run.features))
     for epoch in range(epochs):
         with scratch(run.spark) as own:
-            gradient = durable(svm_gradient(run.features, run.labels, weights, run.rows, 1, lam))
+            gradient = durable(svm_gradient(run.features, run.labels, weights, run.rows, 1, run.lam))
             norm = math.sqrt(gradient.agg(F.sum(F.col("grad") * F.col("grad"))).first()[0])
             rows = run.features
             if refresh_active:
                 live = active_set(margins(run.features, run.labels, weights)).select("row_id")
                 rows = run.features.join(live, "row_id", "left_semi").persist()
-            step, _ = conjugate_gradient(rows, gradient, run.rows, lam, cg_tol, cg_iterations)
+            step, _ = conjugate_gradient(rows, gradient, run.rows, run.lam, cg_tol, cg_iterations)
             weights = own.keep(weights.join(step, "idx").select("idx", (F.col("w") + F.col("d")).alias("w")))
             if refresh_active:
                 rows.unpersist()

@@ -14,8 +14,10 @@ from rankloom.plans.views import Views
 
 LAM, RATE = 100.0, 0.001
 PEGASOS = {"epochs": 3, "batch_size": 100}
-SGD = {"epochs": 2, "batch_size": 150}
+SGD = {"epochs": 20, "batch_size": 150, "block_batches": 2}
 NEWTON = {"epochs": 2, "cg_tol": 0.0, "cg_iterations": 3}
+NEWTON_SETTLED = {"epochs": 51, "cg_tol": 0.1}
+CG_SETTLED = {"tol": 0.1, "max_iter": 100}
 SOFTMAX_BATCH, EVAL_SEED = 256, 7
 
 
@@ -58,6 +60,12 @@ def _cg(v: Views) -> DataFrame:
     return rounded(step, 6)
 
 
+def _cg_settled(v: Views) -> DataFrame:
+    n = v.dense_labels().count()
+    step, done = svm.conjugate_gradient(v.dense_features(), gradient(v), n, LAM, **CG_SETTLED)
+    return rounded(step, 6).withColumn("iterations", F.lit(done))
+
+
 def _objective(v: Views) -> DataFrame:
     rows = saved(v, "svm-scored", lambda: scored(v))
     n = rows.count()
@@ -137,12 +145,14 @@ QUERIES: dict[str, Query] = {
         lambda v: layout.minibatches(v.dense_labels().select("row_id"), "row_id", 150, 0), sql.batches(150)
     ),
     "conjugate_gradient": Query(_cg, sql.CG),
+    "conjugate_gradient_settled": Query(_cg_settled, sql.settled_cg(CG_SETTLED["tol"], CG_SETTLED["max_iter"])),
     "svm_pegasos": Query(lambda v: rounded(pegasos(v).weights, 6), sql.pegasos(**PEGASOS)),
     "svm_sgd": Query(lambda v: rounded(sgd(v).weights, 6), sql.sgd(**SGD)),
     "svm_newton": Query(lambda v: rounded(newton(v).weights, 6), sql.newton(NEWTON["epochs"], NEWTON["cg_iterations"])),
     "svm_trace_pegasos": Query(lambda v: _trace(pegasos(v)), sql.pegasos_trace(**PEGASOS)),
     "svm_trace_sgd": Query(lambda v: _trace(sgd(v)), sql.sgd_trace(**SGD)),
     "svm_trace": Query(lambda v: _trace(newton(v)), sql.newton_trace(NEWTON["epochs"], NEWTON["cg_iterations"])),
+    "svm_newton_settled": Query(lambda v: _trace(svm.svm_newton(*_train(v), LAM, **NEWTON_SETTLED, **_test(v)))),
     "svm_multiclass_balanced": Query(_multiclass),
     "softmax_train": Query(lambda v: rounded(star_weights(v)), sql.softmax("weights")),
     "softmax_train_ctf": Query(lambda v: rounded(star_weights(v, "CTF")), sql.softmax("weights", "CTF")),

@@ -79,6 +79,34 @@ CG = compose(
 )
 
 
+def settled_cg(tol: float, most: int) -> str:
+    """Conjugate gradient to its stop rule; every row has the number of iterations."""
+    steps = {
+        **GRADIENT_STEP,
+        "n": "SELECT CAST(count(*) AS DOUBLE) AS n FROM scored",
+        "c_s": "SELECT idx, ((idx * 7919) % 1000) / 1000.0::DOUBLE AS d FROM g",
+        **_hessian("c_h", "c_s", "d", "feat"),
+        "c(it, idx, d, r, p, rr)": f"""
+          SELECT 0, idx, d, -grad - hv, -grad - hv, sum(power(grad + hv, 2)) OVER ()
+          FROM c_s JOIN c_h USING (idx) JOIN g USING (idx)
+          UNION ALL
+          SELECT it, idx, d, r, r + after / rr * p, after FROM (
+            SELECT it, idx, d, r, p, rr, sum(r * r) OVER () AS after FROM (
+              SELECT it + 1 AS it, idx, d + rr / curve * p AS d, r - rr / curve * hv AS r, p, rr FROM (
+                SELECT c.*, c.p + 2 * {LAM} / n.n * coalesce(h.s, 0) AS hv,
+                       sum(c.p * (c.p + 2 * {LAM} / n.n * coalesce(h.s, 0))) OVER () AS curve
+                FROM c CROSS JOIN n LEFT JOIN (
+                  SELECT f.idx, sum(f.val * o.dot) AS s FROM feat f JOIN (
+                    SELECT row_id, sum(val * p) AS dot FROM feat JOIN c USING (idx) GROUP BY 1) o USING (row_id)
+                  GROUP BY 1) h USING (idx)
+                WHERE c.it < {most} AND (c.it = 0 OR sqrt(c.rr) >= {tol})) t1) t2) t3""",
+    }
+    return compose(
+        ["feat"], steps,
+        "SELECT CAST(idx AS INT) AS idx, round(d, 6) + 0.0 AS d, it AS iterations FROM c WHERE it = (SELECT max(it) FROM c)",
+    )
+
+
 def newton(epochs: int, iterations: int) -> str:
     return compose(
         ["feat"], _newton_steps(epochs, iterations), f"SELECT CAST(idx AS INT) AS idx, round(w, 6) + 0.0 AS w FROM w{epochs}"
@@ -139,13 +167,16 @@ def _pegasos_rows(epochs: int, batch_size: int) -> dict[str, str]:
     }
 
 
-def _sgd_rows(epochs: int, batch_size: int) -> dict[str, str]:
+def _sgd_rows(epochs: int, batch_size: int, block_batches: int) -> dict[str, str]:
     return {
         "size": "SELECT count(*) AS k FROM rows",
         "nb": f"SELECT k // {batch_size} + CASE WHEN k % {batch_size} <> 0 THEN 2 ELSE 1 END AS nb FROM size",
-        "placed": f"""SELECT e, row_id, (row_number() OVER (PARTITION BY e ORDER BY md5('0:' || e || ':' || row_id), row_id) - 1)
-                        // {batch_size} AS b
-                      FROM rows CROSS JOIN (SELECT unnest(range({epochs})) AS e) s""",
+        "dealt": f"""SELECT row_id, (row_number() OVER (ORDER BY md5('0:' || row_id), row_id) - 1) // {batch_size * block_batches} AS blk
+                     FROM rows""",
+        "placed": f"""SELECT e, row_id, (row_number() OVER (
+                          PARTITION BY e ORDER BY blk = k // {batch_size * block_batches}, md5('0:' || e || ':block' || blk), blk,
+                          md5('0:' || e || ':' || row_id), row_id) - 1) // {batch_size} AS b
+                      FROM dealt CROSS JOIN size CROSS JOIN (SELECT unnest(range({epochs})) AS e) s""",
         "rowsteps": f"""SELECT e * nb + b AS step, row_id FROM placed CROSS JOIN nb
             UNION ALL SELECT e * nb + b + 1, row_id FROM placed CROSS JOIN nb CROSS JOIN size
             WHERE k % {batch_size} <> 0 AND b = k // {batch_size}""",
@@ -195,10 +226,10 @@ def pegasos_trace(epochs: int, batch_size: int) -> str:
     return compose(["feat"], steps, _TRACE_ROWS)
 
 
-def sgd_trace(epochs: int, batch_size: int) -> str:
+def sgd_trace(epochs: int, batch_size: int, block_batches: int) -> str:
     per = "(SELECT nb FROM nb)"
     steps = {
-        **TRAIN, **_sgd_rows(epochs, batch_size), **_descent(batch_size, f"{epochs} * {per}", f"w.it // {per}"),
+        **TRAIN, **_sgd_rows(epochs, batch_size, block_batches), **_descent(batch_size, f"{epochs} * {per}", f"w.it // {per}"),
         "losses": _STEP_LOSS, "moves": _step_norms(f"a.it // {per}"),
         **_measured(
             "sgd", f"SELECT it // {per} - 1 AS e, idx, w FROM w WHERE it > 0 AND it % {per} = 0",
@@ -234,12 +265,12 @@ def _newton_trace(epochs: int, iterations: int) -> dict[str, str]:
     }
 
 
-def sgd(epochs: int, batch_size: int) -> str:
+def sgd(epochs: int, batch_size: int, block_batches: int) -> str:
     return compose(
         ["feat"],
         {
             **TRAIN,
-            **_sgd_rows(epochs, batch_size),
+            **_sgd_rows(epochs, batch_size, block_batches),
             **_descent(batch_size, f"{epochs} * (SELECT nb FROM nb)", "w.it // (SELECT nb FROM nb)"),
         },
         FINAL_WEIGHTS,

@@ -1,7 +1,9 @@
+import hashlib
+
 import numpy as np
 import pytest
 
-from rankloom.operators import svm
+from rankloom.operators import layout, rowblocks, svm
 
 N, M = 13, 4
 
@@ -38,7 +40,9 @@ def test_gradient(spark):
     assert np.allclose(vector(got, "grad"), gradient(x, y, w, N, 3, 7.0))
 
 
-def test_conjugate_gradient_solves_the_system(spark):
+@pytest.mark.parametrize("most", [1000, 0])
+def test_conjugate_gradient_solves_the_system(spark, monkeypatch, most):
+    monkeypatch.setattr(rowblocks, "MOST_FEATURES", most)  # an array, or joins
     x, y = data()
     feats, labels = tables(spark, x, y)
     grad = svm.svm_gradient(feats, labels, svm.zero_weights(feats), N, 1, 7.0)
@@ -48,8 +52,9 @@ def test_conjugate_gradient_solves_the_system(spark):
     assert rounds <= M + 2
 
 
-@pytest.mark.parametrize("refresh", [False, True])
-def test_newton_trace(spark, refresh):
+@pytest.mark.parametrize("refresh, most", [(False, 1000), (True, 1000), (True, 0)])
+def test_newton_trace(spark, monkeypatch, refresh, most):
+    monkeypatch.setattr(rowblocks, "MOST_FEATURES", most)
     x, y = data()
     feats, labels = tables(spark, x, y)
     fit = svm.svm_newton(feats, labels, 7.0, epochs=3, refresh_active=refresh, cg_tol=1e-9, test_features=feats, test_labels=labels, optimum=2.0)
@@ -67,25 +72,90 @@ def test_newton_trace(spark, refresh):
     assert last.acc == pytest.approx(np.mean(np.where(x @ w > 0, 1, -1) == y))
 
 
-def test_sgd_uses_every_batch_and_repeats_the_tail(spark):
-    from rankloom.operators.layout import minibatches
+def sgd_order(seed, epoch, n, block_rows):
+    """Row ids of an epoch: blocks of the hash order permuted, a short one last, and the rows in each block permuted."""
+    digest = lambda x: hashlib.md5(x.encode()).hexdigest()
+    order = sorted(range(n), key=lambda r: digest(f"{seed}:{r}"))
+    blocks = [order[a : a + block_rows] for a in range(0, n, block_rows)]
+    full = [b for b in range(len(blocks)) if len(blocks[b]) == block_rows]
+    turns = sorted(full, key=lambda b: digest(f"{seed}:{epoch}:block{b}")) + [b for b in range(len(blocks)) if b not in full]
+    return [r for b in turns for r in sorted(blocks[b], key=lambda r: digest(f"{seed}:{epoch}:{r}"))]
 
-    x, y = data()
+
+@pytest.mark.parametrize("n, block_batches, most", [(13, 1, 1000), (13, 2, 1000), (10, 1, 1000), (13, 16, 1000), (13, 1, 0)])
+def test_sgd_uses_every_batch_and_repeats_the_tail(spark, monkeypatch, n, block_batches, most):
+    """13 rows: 5, 5, 3 and the short batch again; 10 rows: 5, 5 and an empty batch. Arrays and joins agree."""
+    monkeypatch.setattr(rowblocks, "MOST_FEATURES", most)
+    x, y = (v[:n] for v in data())
     feats, labels = tables(spark, x, y)
-    fit = svm.svm_sgd(feats, labels, 7.0, epochs=2, batch_size=5, learning_rate=0.1, seed=3)
-    w = np.zeros(M)
+    parts = dict(epochs=2, batch_size=5, learning_rate=0.1, seed=3, block_batches=block_batches)
+    fit = svm.svm_sgd(feats, labels, 7.0, **parts, test_features=feats, test_labels=labels)
+    w, norms, losses = np.zeros(M), [], []
     for epoch in range(2):
-        cuts = minibatches(labels, "row_id", 5, f"3:{epoch}").collect()
-        for b in range(4):  # 13 rows: 5, 5, 3 and the short batch again
-            rows = [r.row_id for r in cuts if r.batch == b]
-            assert len(rows) == (5 if b < 2 else 3)
-            w = w - 0.1 / (1 + 0.001 * epoch) * gradient(x[rows], y[rows], w, N, 5, 7.0)
+        order = sgd_order(3, epoch, n, 5 * block_batches)
+        cuts = [order[:5], order[5:10], order[10:], order[10:]][: 4 if n == 13 else 3]
+        norms.append(0.0), losses.append(0.0)
+        for rows in cuts:
+            g = gradient(x[rows], y[rows], w, n, 5, 7.0)
+            w = w - 0.1 / (1 + 0.001 * epoch) * g
+            norms[-1] += np.sqrt(g @ g)
+            losses[-1] += (np.maximum(0, 1 - y[rows] * (x[rows] @ w)) ** 2).sum() / n
     assert np.allclose(vector(fit.weights), w, atol=1e-10)
+    trace = fit.trace.orderBy("iter").collect()
+    assert np.allclose([r.grad_norm for r in trace], norms) and np.allclose([r.loss for r in trace], losses)
+    assert trace[-1].objective == pytest.approx(w @ w / 2 + 7.0 * losses[-1])
+    assert trace[-1].acc == pytest.approx(np.mean(np.where(x @ w > 0, 1, -1) == y))
 
 
-def test_pegasos_takes_one_batch_per_epoch(spark):
-    import hashlib
+def test_sgd_writes_rows_once(spark, monkeypatch):
+    """What is stored does not depend on the number of epochs."""
+    x, y = data()
+    feats, labels = tables(spark, x, y)
+    written = []
+    for module in (rowblocks, svm, layout):
+        for name in ("store", "stash", "durable"):
+            if hasattr(module, name):
+                monkeypatch.setattr(module, name, lambda *a, _old=getattr(module, name), **k: (written.append(1), _old(*a, **k))[1])
+    counts = []
+    for epochs in (1, 4):
+        written.clear()
+        svm.svm_sgd(feats, labels, 7.0, epochs=epochs, batch_size=5, block_batches=1)
+        counts.append(len(written))
+    assert counts[0] == counts[1]
+
+
+def test_newton_steps_have_no_shuffle(spark):
+    x, y = data()
+    feats, labels = tables(spark, x, y)
+    blocks = rowblocks.build(feats, labels, rowblocks.feature_ids(feats), block_rows=4)
+    plans = []
+    w = np.array([0.5, -1.0, 0.2, 0.1])
+    assert np.allclose(blocks.total(lambda rows: rows.back(rows.dot(w)), M), x.T @ (x @ w))
+    sums = blocks.table.mapInArrow(lambda batches: batches, rowblocks.BLOCK_SCHEMA)
+    plans.append(sums._jdf.queryExecution().executedPlan().toString())
+    assert "InMemoryTableScan" in plans[0]
+    assert plans[0].split("InMemoryRelation")[0].count("Exchange") == 0
+    blocks.close()
 
+
+def test_vectors_are_added_up_by_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(rowblocks, "FAN", 2)
+    monkeypatch.setattr(rowblocks, "PIECE", 3)
+    x, y = data()
+    feats, labels = tables(spark, x, y)
+    blocks = rowblocks.build(feats, labels, rowblocks.feature_ids(feats), block_rows=2)
+    w = np.array([0.5, -1.0, 0.2, 0.1])
+    assert np.allclose(blocks.total(lambda rows: rows.back(rows.dot(w)), M), x.T @ (x @ w))
+    blocks.close()
+
+
+def test_nothing_to_learn_from(spark):
+    feats, labels = tables(spark, *(v[:0] for v in data()))
+    assert svm.svm_sgd(feats, labels, 7.0, epochs=1).weights.count() == 0
+    assert svm.svm_newton(feats, labels, 7.0, epochs=1).weights.count() == 0
+
+
+def test_pegasos_takes_one_batch_per_epoch(spark):
     order = sorted(range(N), key=lambda r: hashlib.md5(f"0:{r}".encode()).hexdigest())
     x, y = data()
     feats, labels = tables(spark, x, y)
