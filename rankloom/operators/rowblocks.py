@@ -72,6 +72,7 @@ class RowBlocks:
     ids: np.ndarray
     rows: int
     block_rows: int
+    tasks: int
 
     def total(self, part: Callable[[Rows], np.ndarray], size: int) -> np.ndarray:
         """Sum of ``part`` over all blocks, vectors of ``size``."""
@@ -88,7 +89,7 @@ class RowBlocks:
                     yield _piece(a, task, mine[a : a + PIECE])
 
         sums = self.table.mapInArrow(run, "start long, task int, part binary")
-        width = self.table.rdd.getNumPartitions()
+        width = self.tasks
         while width > FAN:
             sums = sums.withColumn("task", (F.col("task") / FAN).cast("int"))
             sums = sums.groupBy("start", "task").applyInArrow(_added, "start long, task int, part binary")
@@ -171,4 +172,4 @@ def build(
     tasks = max(1, min(-(-rows // block_rows), 2 * features.sparkSession.sparkContext.defaultParallelism))
     table = stored.table.repartition(tasks, "block").persist()
     table.count()
-    return RowBlocks(table, stored, ids, rows, block_rows)
+    return RowBlocks(table, stored, ids, rows, block_rows, tasks)

@@ -152,14 +152,56 @@ EMBEDDING_SKIP = compose(
 )
 W2V_WORDS = compose(["binary_tokens"], VOCAB, "SELECT word FROM wc WHERE cnt >= 3")
 EMBEDDING = compose(["binary_tokens", "dense_rows"], VECTORS, f"SELECT word, idx, {_texts('v')} FROM tab")
+POOL_STEPS = {
+    **VECTORS,
+    "words": "SELECT doc_id, word, count(*) AS tf FROM binary_tokens GROUP BY 1, 2",
+    "cells": """SELECT doc_id, tf, unnest(v) AS x, unnest(range(len(v))) AS i FROM words JOIN tab USING (word)""",
+    "dims": "SELECT doc_id, i, sum(tf * x) / sum(tf) AS m, max(x) AS p FROM cells GROUP BY 1, 2",
+}
 POOLED = compose(
     ["binary_tokens", "dense_rows"],
     {
-        **VECTORS,
-        "words": "SELECT doc_id, word, count(*) AS tf FROM binary_tokens GROUP BY 1, 2",
-        "cells": """SELECT doc_id, tf, unnest(v) AS x, unnest(range(len(v))) AS i FROM words JOIN tab USING (word)""",
-        "dims": "SELECT doc_id, i, sum(tf * x) / sum(tf) AS m, max(x) AS p FROM cells GROUP BY 1, 2",
+        **POOL_STEPS,
         "docs": "SELECT doc_id, list(m ORDER BY i) AS mean, list(p ORDER BY i) AS peak FROM dims GROUP BY 1",
     },
     f"SELECT doc_id, {_texts('mean')}, {_texts('peak')} FROM docs",
 )
+
+
+def classifier(result: str, epochs: int = 20, reg: float = 0.01) -> str:
+    """Logistic regression by full gradient steps; feature ``2 * DIM`` is the bias."""
+    steps = {
+        **POOL_STEPS,
+        "given": """SELECT doc_id, CAST(y > 0 AS INT) AS label,
+                      CASE WHEN CAST('0x' || substr(md5('0:' || doc_id), 1, 6) AS BIGINT) < 3355443 THEN 'valid' ELSE 'train' END AS split
+                    FROM binary_text WHERE doc_id IN (SELECT doc_id FROM dims)""",
+        "feats": f"""SELECT doc_id, i, m AS x FROM dims UNION ALL SELECT doc_id, i + {DIM}, p FROM dims
+                     UNION ALL SELECT doc_id, {2 * DIM}, 1 FROM given""",
+        "fitted": "SELECT doc_id, i, x, label FROM feats JOIN given USING (doc_id) WHERE split = 'train'",
+        "rate": f"""SELECT n, 1 / (s / n / 4 + {reg}) AS rate FROM (
+                      SELECT sum(x * x) AS s, count(DISTINCT doc_id) AS n FROM fitted) t""",
+        "w(it, i, w)": f"""
+          SELECT 0, i, CAST(0 AS DOUBLE) FROM (SELECT DISTINCT i FROM feats) t
+          UNION ALL
+          SELECT w.it + 1, w.i, w.w - rate * (g.s / n + CASE WHEN w.i = {2 * DIM} THEN 0 ELSE {reg} END * w.w)
+          FROM w CROSS JOIN rate JOIN (
+            SELECT f.i, sum(f.x * (p.p - f.label)) AS s FROM fitted f JOIN (
+              SELECT doc_id, 1 / (1 + exp(-sum(x * w))) AS p FROM fitted JOIN w USING (i) GROUP BY 1) p USING (doc_id)
+            GROUP BY 1) g ON g.i = w.i
+          WHERE w.it < {epochs}""",
+        "guess": """SELECT it, doc_id, split, label, CAST(m > 0 AS INT) AS prediction,
+                      CASE WHEN label = 1 THEN 1 / (1 + exp(-m)) ELSE 1 - 1 / (1 + exp(-m)) END AS p_true
+                    FROM (SELECT it, doc_id, sum(x * w) AS m FROM feats JOIN w USING (i) WHERE it > 0 GROUP BY 1, 2) t
+                    JOIN given USING (doc_id)""",
+        "history": """SELECT CAST(it AS INT) AS epoch, split, count(*) AS rows, sum(-ln(p_true)) / count(*) AS loss,
+                        avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS accuracy FROM guess GROUP BY 1, 2""",
+        "best": "SELECT epoch FROM history WHERE split = 'valid' ORDER BY loss, epoch LIMIT 1",
+    }
+    finals = {
+        "trace": "SELECT epoch, split, rows, round(loss, 7) + 0.0 AS loss, round(accuracy, 7) + 0.0 AS accuracy FROM history",
+        "quality": """SELECT split, rows, round(loss, 7) + 0.0 AS loss, round(accuracy, 7) + 0.0 AS accuracy
+                      FROM history WHERE epoch = (SELECT epoch FROM best)""",
+        "predictions": """SELECT doc_id, split, label, prediction, round(p_true, 7) + 0.0 AS p_true
+                          FROM guess WHERE it = (SELECT epoch FROM best)""",
+    }
+    return compose(["binary_tokens", "dense_rows"], steps, finals[result])

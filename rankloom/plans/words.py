@@ -80,12 +80,15 @@ def classified(v: Views) -> embedding.TextFit:
 
 
 def _quality(v: Views) -> DataFrame:
-    """Loss and accuracy of the text classifier per split."""
+    """Loss and accuracy of the text classifier per split, by the epoch of least loss on ``valid``."""
     guess = classified(v).predictions
-    return guess.groupBy("split").agg(
-        F.count(F.lit(1)).alias("rows"),
-        (F.sum(-F.ln("p_true")) / F.count(F.lit(1))).alias("loss"),
-        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
+    return rounded(
+        guess.groupBy("split").agg(
+            F.count(F.lit(1)).alias("rows"),
+            (F.sum(-F.ln("p_true")) / F.count(F.lit(1))).alias("loss"),
+            F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
+        ),
+        7,
     )
 
 
@@ -178,7 +181,9 @@ QUERIES: dict[str, Query] = {
     "pooled_documents": Query(
         lambda v: _vector_text(embedding.pooled_documents(line_words(v), table(v), DIM), "mean", "peak"), sql.POOLED
     ),
-    "text_classify": Query(_quality),
+    "text_classify": Query(_quality, sql.classifier("quality")),
+    "text_classify_predictions": Query(lambda v: rounded(classified(v).predictions, 7), sql.classifier("predictions")),
+    "text_classify_trace": Query(lambda v: rounded(classified(v).trace, 7), sql.classifier("trace")),
     "word2vec_train": Query(_word2vec),
     "word2vec_loss": Query(lambda v: rounded(cbow.cbow_train(_token_lists(v)).trace, 6)),
     "word2vec_skipgram": Query(lambda v: embedding.word2vec_train(_token_lists(v), method="skipgram")),

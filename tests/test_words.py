@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,8 +98,35 @@ def test_classifier_separates_clear_classes(spark):
     fit = embedding.text_classify(pooled, labels)
     assert fit.predictions.filter("label <> prediction").count() == 0
     assert fit.predictions.filter("p_true <= 0.5").count() == 0
-    losses = [r.loss for r in fit.trace.orderBy("iter").collect()]
-    assert losses[-1] < losses[0]
+    losses = [r.loss for r in fit.trace.filter("split = 'train'").orderBy("epoch").collect()]
+    assert len(losses) == 20 and all(b < a for a, b in zip(losses, losses[1:]))
+
+
+def test_classifier_steps_by_hand(spark):
+    rng = np.random.default_rng(4)
+    mean, peak = rng.normal(size=(30, 2)), rng.normal(size=(30, 2))
+    y = (mean[:, 0] + 0.5 * rng.normal(size=30) > 0).astype(int)
+    split = np.array(["train", "train", "valid", "test", "train"] * 6)
+    pooled = spark.createDataFrame([(i, mean[i].tolist(), peak[i].tolist()) for i in range(30)], "doc_id long, mean array<double>, peak array<double>")
+    rows = [(i, int(y[i]), str(split[i])) for i in range(30)] + [(99, 1, "train")]  # the last one has no vector
+    fit = embedding.text_classify(pooled, spark.createDataFrame(rows, "doc_id long, label int, split string"), epochs=6, reg=0.1, learning_rate=3.0)
+    x = np.hstack([mean, peak, np.ones((30, 1))])
+    w, on, weights, want = np.zeros(5), split == "train", [], {}
+    for epoch in range(1, 7):
+        p = 1 / (1 + np.exp(-x[on] @ w))
+        w = w - 3.0 * (x[on].T @ (p - y[on]) / on.sum() + 0.1 * w * [1, 1, 1, 1, 0])
+        weights.append(w)
+        p_true = np.where(y == 1, 1 / (1 + np.exp(-x @ w)), 1 - 1 / (1 + np.exp(-x @ w)))
+        for s in ("train", "valid", "test"):
+            own = split == s
+            want[epoch, s] = (own.sum(), -np.log(p_true[own]).mean(), ((x[own] @ w > 0) == (y[own] == 1)).mean())
+    got = {(r.epoch, r.split): (r.rows, r.loss, r.accuracy) for r in fit.trace.collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want)
+    best = weights[int(np.argmin([want[e, "valid"][1] for e in range(1, 7)]))]
+    for r in fit.predictions.collect():
+        chance = 1 / (1 + np.exp(-x[r.doc_id] @ best))
+        assert abs(r.p_true - (chance if r.label else 1 - chance)) < 1e-9 and r.prediction == (chance > 0.5)
+    assert fit.predictions.count() == 30
 
 
 def test_word2vec_keeps_frequent_words(spark):
