@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,18 +171,35 @@ def _merged(keys: list[tuple[np.ndarray, ...]], most: int) -> tuple[np.ndarray,
     return low, high, length, n
 
 
-def frequent_pretokens(df: DataFrame, content: bytes, size: int, text: str = "text", per_task: int = 16_384) -> DataFrame:
-    """The ``size`` most frequent pre-tokens of up to 16 bytes: (low, high, length, n).
+Counted = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # (low, high, length, n)
+SUMMARY = "task int, low binary, high binary, length binary, n binary"
+FAN = 16  # Summaries merged at once, in a task of the tree and by the driver at its root.
 
-    Each task reads all its texts and keeps a summary of ``per_task`` keys; only
-    the summaries are added up. A key that a summary let go costs time later, never a count.
+
+def _summary(task: int, counted: Counted) -> pa.RecordBatch:
+    arrays = [pa.array([task], pa.int32()), *[pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in counted]]
+    return pa.RecordBatch.from_arrays(arrays, ["task", "low", "high", "length", "n"])
+
+
+def _joined(summaries: pa.Table, most: int) -> Counted:
+    kinds = {"low": np.uint64, "high": np.uint64, "length": np.int64, "n": np.int64}
+    parts = [np.frombuffer(b"".join(summaries[c].to_pylist()), kind) for c, kind in kinds.items()]
+    return _merged([tuple(parts)], most)
+
+
+def frequent_pretokens(df: DataFrame, content: bytes, size: int, text: str = "text", per_task: int = 16_384) -> Counted:
+    """The ``size`` most frequent pre-tokens of up to 16 bytes, those of most tokens first.
+
+    Each task reads all its texts and keeps a summary of ``per_task`` keys, one packed
+    row. No pre-token is shuffled: summaries are merged whole, ``FAN`` at a time, into
+    summaries of bounded size. A key that a summary let go costs time later, never a count.
     """
     sc = df.sparkSession.sparkContext
     held, table = sc.broadcast(content), sc.broadcast(library_symbols())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         special = _special(_library(held.value))
-        kept: list[tuple[np.ndarray, ...]] = []
+        kept: list[Counted] = []
         for batch in batches:
             for _, _, texts in text_slices(batch.column(0)):
                 low, high, length = packed_keys(Slices(_plain(texts, special)[0], table.value))
@@ -190,22 +208,22 @@ def frequent_pretokens(df: DataFrame, content: bytes, size: int, text: str = "te
                 chunk = _merged([(low[short], high[short], length[short], ones)], 4 * per_task)
                 kept = [_merged([*kept, chunk], 4 * per_task)]
         if kept:
-            low, high, length, n = _merged(kept, per_task)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), pa.array(length), pa.array(n)],
-                ["low", "high", "length", "n"],
-            )
+            yield _summary(TaskContext.get().partitionId(), _merged(kept, per_task))
+
+    def merge(summaries: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_summary(summaries["task"][0].as_py(), _joined(summaries, max(size, per_task)))])
 
     rows = df.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = rows.mapInArrow(run, "low long, high long, length long, n long")
-    total = found.groupBy("low", "high", "length").agg(F.sum("n").alias("n"))
-    return total.orderBy(F.desc("n"), "length", "low", "high").limit(size)
+    found, width = rows.mapInArrow(run, SUMMARY), rows.rdd.getNumPartitions()
+    while width > FAN:
+        found = found.withColumn("task", (F.col("task") / FAN).cast("int")).groupBy("task").applyInArrow(merge, SUMMARY)
+        width = -(-width // FAN)
+    low, high, length, n = _joined(found.toArrow(), size)
+    order = np.lexsort((high, low, length, -n))
+    return low[order], high[order], length[order], n[order]
 
 
-def length_table(rows: list, library) -> LengthTable:
-    low = np.array([r["low"] for r in rows], np.int64).view(np.uint64)
-    high = np.array([r["high"] for r in rows], np.int64).view(np.uint64)
-    length = np.array([r["length"] for r in rows], np.int64)
+def length_table(low: np.ndarray, high: np.ndarray, length: np.ndarray, library) -> LengthTable:
     pieces = [(a.tobytes() + b.tobytes())[:n].decode() for a, b, n in zip(low, high, length)]
     tokens = np.array([len(x.ids) for x in library.encode_batch(pieces, add_special_tokens=False)], np.int64)
     return LengthTable.build(low, high, length, tokens)
@@ -229,8 +247,8 @@ def count_tokens(
     """
     sc = df.sparkSession.sparkContext
     content = file_content(tokenizer_path)
-    rows = frequent_pretokens(df, content, table_size, text).collect()  # at most table_size rows
-    tier = sc.broadcast(length_table(rows, _library(content)))
+    low, high, length, _ = frequent_pretokens(df, content, table_size, text)
+    tier = sc.broadcast(length_table(low, high, length, _library(content)))
     held, table = sc.broadcast(content), sc.broadcast(library_symbols())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,6 +38,21 @@ def test_small_tiers_change_no_count(spark, library):
     check(spark, library, rows, table_size=3, cache_entries=2)
 
 
+def test_frequent_pretokens_are_merged_by_a_tree(spark):
+    """More tasks than one merge takes: the table is that of all texts counted at once, and no row of it is a pre-token."""
+    rows = [(i, "the cat " + f"w{i % 9} " * (i % 9 + 1), "en") for i in range(400)]
+    df = documents(spark, rows).repartition(40)
+    content = tokencount.file_content(FILE)
+    low, high, length, n = tokencount.frequent_pretokens(df, content, 5, per_task=1000)
+    got = {(a.tobytes() + b.tobytes())[:k].decode(): int(c) for a, b, k, c in zip(low, high, length, n)}
+    split = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+    want = {}
+    for _, t, _ in rows:
+        for _, (a, b) in split.pre_tokenize_str(t):
+            want[t[a:b]] = want.get(t[a:b], 0) + 1
+    assert got == {k: want[k] for k in got} and sorted(got.values()) == sorted(want.values())[-5:]
+
+
 def test_empty_table(spark):
     assert tokencount.count_tokens(documents(spark, []), FILE).count() == 0
 
