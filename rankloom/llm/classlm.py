@@ -1,40 +1,40 @@
 """Class-based bigram scores of whole texts (Brown's model with exchange clustering).
 
-Every word belongs to a unit: a frequent word is its own unit, any other word, seen or
-not, shares one with words of the same ending. Exchange clustering moves units
-between classes while that raises the likelihood of the class bigrams. A word after
-another has the probability
+Every word belongs to a unit: a word of at least ``min_count`` training tokens is its own
+unit, any other word, seen or not, shares one with words of the same ending. Exchange
+clustering moves units between classes while that raises the likelihood of the class
+bigrams. A word after another has the probability
 
     (n(w) + 0.5) * G(class before, class of w),
 
 where ``n`` is its training count and ``G`` holds the class transition, the class's
-emission total and the share of the unigram model, all of bounded size. So a task
-scores classes by itself, and only the counts of words outside a broadcast table of
-frequent words are looked up by a join.
-
-With ``min_count`` every word of so many tokens is a unit. The exchange of the most
-frequent words and the endings on the driver is then the start only: further sweeps
-are joins and aggregations over the table of unit pairs, in which each unit moves by
-its own counts of neighbouring classes, and only the class table reaches the driver.
+emission total and the share of the unigram model, all of bounded size.
+
+Words are told apart by 64-bit hashes. Neighbouring units are counted once: a task adds up
+its own tokens, and each unit's lists of neighbours after and before it end up in one of
+many packed blocks. A step of the exchange then shuffles no pairs: the classes of all
+units, an array of bounded size, go to the tasks, and the units of an eighth of the blocks
+move at once to the classes that are best for them. A step that lowers the likelihood is
+tried again with fewer of its moves, or undone.
 """
 
 from __future__ import annotations
 
-import hashlib
-import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import broadcast_if_small, text_slices
+from rankloom.llm.common import text_slices, tidy_task
+from rankloom.llm.words import hashes_and_endings, mix
 from rankloom.session import stash
 
 END = b"\n"  # the token that ends each text; no word holds white space
+END_KEY = -1
+SUFFIX = 3  # bytes of a word that make its ending
 
 
 def words_of(text: str) -> list[bytes]:
@@ -42,180 +42,226 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-class Units(dict):
-    """Unit numbers of words: the frequent ones first, then one for each hashed ending, the end of texts last."""
+def add_up(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different keys and the sums of their counts."""
+    key, count = np.concatenate(keys), np.concatenate(n)
+    order = np.argsort(key)
+    key, count = key[order], count[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(count, first) if len(first) else count
 
-    def __init__(self, frequent: list[bytes], endings: int, most: int = 200_000):
-        super().__init__((w, i) for i, w in enumerate(frequent))
-        self.frequent, self.endings, self.most = frequent, endings, most
-        self.size = len(frequent) + endings + 1
-        self[END] = self.size - 1
 
-    def __missing__(self, word: bytes) -> int:
-        unit = len(self.frequent) + zlib.crc32(word[-3:]) % self.endings
-        if len(word) <= 64:
-            if len(self) > self.size + self.most:
-                self.clear()
-                self.update((w, i) for i, w in enumerate(self.frequent))
-                self[END] = self.size - 1
-            self[word] = unit
-        return unit
+class Adder:
+    """Counts by key, added up whenever more than ``most`` entries, or twice what was left last, are held."""
 
+    def __init__(self, most: int):
+        self.most = most
+        self.clear()
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, n) of all tokens, ends of texts included; ``rows`` has ``text``. Tasks add up before the shuffle."""
+    def clear(self) -> None:
+        self.keys, self.n, self.held, self.limit = [], [], 0, self.most
 
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.n.append(n)
+        self.held += len(keys)
+        if self.held > self.limit:
+            self.total()
+            self.limit = max(self.most, 2 * self.held)
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.keys) != 1:
+            keys, n = add_up([np.zeros(0, np.int64), *self.keys], [np.zeros(0, np.int64), *self.n])
+            self.keys, self.n, self.held = [keys], [n], len(keys)
+        return self.keys[0], self.n[0]
+
+
+def word_counts(rows: DataFrame, endings: int = 512) -> DataFrame:
+    """(key, ending, n) of all tokens, ends of texts included (key -1); ``rows`` has ``text``. Tasks add up before the shuffle."""
+
+    @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def packed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"]
-            )
+        keys, ends, n, held = [], [], [], 0
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            key, ending, count = (np.concatenate(x) for x in (keys, ends, n))
+            order = np.argsort(key)
+            key, ending, count = key[order], ending[order], count[order]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            columns = [key[first], ending[first], np.add.reduceat(count, first)]
+            for a in range(0, len(first), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 100_000]) for x in columns], ["key", "ending", "n"])
 
-        held: Counter[bytes] = Counter()
         for batch in batches:
             for _, _, texts in text_slices(batch.column(0)):
-                for text in texts:
-                    held.update(words_of(text))
-                held[END] += len(texts)
-                if len(held) > 400_000:
-                    yield packed()
-                    held.clear()
-        if held:
-            yield packed()
+                hashes, _, last = hashes_and_endings(texts, SUFFIX)
+                key, at, count = np.unique(hashes.view(np.int64), return_index=True, return_counts=True)
+                keys += [key, np.array([END_KEY])]
+                ends += [(last[at] % np.uint64(endings)).astype(np.int16), np.zeros(1, np.int16)]
+                n += [count, np.array([len(texts)])]
+                held += len(key)
+                if held > 1_500_000:
+                    yield from packed()
+                    keys, ends, n, held = [], [], [], 0
+        if n:
+            yield from packed()
 
-    counted = rows.select("text").mapInArrow(run, "word binary, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+    counted = rows.select("text").mapInArrow(run, "key long, ending short, n long")
+    return counted.groupBy("key", "ending").agg(F.sum("n").alias("n"))
 
 
-def unit_bigrams(rows: DataFrame, frequent: list[bytes], endings: int) -> DataFrame:
-    """(pair, n) of neighbouring units; ``rows`` has ``text`` and ``fold`` (0 or 1).
+@dataclass
+class Lexicon:
+    """Units: words by falling frequency, then the endings, then the end of texts."""
 
-    A pair is ``(first * units + second) * 2 + fold``.
-    """
-    sc = rows.sparkSession.sparkContext
-    held_words = sc.broadcast(frequent)
-    size = len(frequent) + endings + 1
+    keys: np.ndarray  # sorted hashes of the words that are units
+    places: np.ndarray  # their units
+    counts: np.ndarray  # training tokens by unit
+    endings: int
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(held_words.value, endings)
-        find = units.__getitem__
-        sums = np.zeros(2 * size * size, np.int64)
-        for batch in batches:
-            folds = batch.column(1).to_numpy(zero_copy_only=False)
-            for a, b, texts in text_slices(batch.column(0)):
-                parts = []
-                for text, fold in zip(texts, folds[a:b].tolist()):
-                    unit = np.array([size - 1, *map(find, words_of(text)), size - 1], np.int64)
-                    parts.append((unit[:-1] * size + unit[1:]) * 2 + fold)
-                sums += np.bincount(np.concatenate(parts), minlength=len(sums))
-        full = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(sums[full])], ["pair", "n"])
+    @property
+    def size(self) -> int:
+        return len(self.keys) + self.endings + 1
+
+    def sequence(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(unit, key, place of the end) of all tokens of all texts, each text with its end."""
+        hashes, counts, last = hashes_and_endings(texts, SUFFIX)
+        words = len(self.keys)
+        different, back = np.unique(hashes.view(np.int64), return_inverse=True)
+        place = np.full(len(different), -1, np.int64)
+        if words:
+            at = np.minimum(np.searchsorted(self.keys, different), words - 1)
+            same = self.keys[at] == different
+            place[same] = self.places[at[same]]
+        ends = np.cumsum(counts + 1) - 1
+        inside = np.ones(len(hashes) + len(texts), bool)
+        inside[ends] = False
+        unit = np.full(len(inside), self.size - 1)
+        unit[inside] = np.where(place[back] >= 0, place[back], words + (last % np.uint64(self.endings)).astype(np.int64))
+        key = np.full(len(inside), END_KEY)
+        key[inside] = hashes.view(np.int64)
+        return unit, key, ends
+
+
+def previous(unit: np.ndarray) -> np.ndarray:
+    """The unit before each one; the one before a text's first token is the end of texts, which stands last."""
+    return np.append(unit[-1:], unit[:-1])
+
+
+def lexicon_of(counts: DataFrame, endings: int, min_count: int, most_units: int) -> tuple[Lexicon, int]:
+    """Units of all words of ``min_count`` tokens, and the count from which words are units.
+
+    If there are more than ``most_units`` such words, the count is the smallest power of
+    2 ** (1 / 8) that leaves no more; the others are classed by their endings.
+    """
+    words = counts.filter((F.col("key") != END_KEY) & (F.col("n") >= min_count))
+    step = F.floor(F.log2("n") * 8)
+    steps = sorted(((r["s"], r["m"]) for r in words.groupBy(step.alias("s")).agg(F.count("n").alias("m")).collect()), reverse=True)
+    total, lowest = 0, min_count
+    for s, m in steps:
+        total += m
+        if total > most_units:
+            lowest = max(min_count, int(np.ceil(2 ** ((s + 1) / 8))))
+            break
+    found = words.filter(F.col("n") >= lowest).select("key", "n").toArrow()
+    key, n = (found[c].to_numpy().astype(np.int64) for c in ("key", "n"))
+    order = np.lexsort((key, -n))
+    key, n = key[order], n[order]
+    order = np.argsort(key)
+    return Lexicon(key[order], order.astype(np.int32), n, endings), lowest
 
-    counted = rows.select("text", "fold").mapInArrow(run, "pair long, n long")
-    return counted.groupBy("pair").agg(F.sum("n").alias("n"))
 
+def pack(keys: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted keys as differences, and counts, byte by byte of each number, compressed."""
+    both = np.stack([np.diff(keys, prepend=0), n])
+    planes = np.ascontiguousarray(both.view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1))
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-class Keys(dict):
-    """Numbers of words for joins: 62 bits of the md5, moved so that ``key % endings`` is the ending. The end of texts is -1."""
 
-    def __init__(self, endings: int, most: int = 200_000):
-        super().__init__()
-        self.endings, self.most = endings, most
-        self[END] = -1
+def unpack(data: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(pa.decompress(data, 16 * size, codec="zstd", asbytes=True), np.uint8).reshape(2, 8, size)
+    both = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int64).reshape(2, size)
+    return np.cumsum(both[0]), both[1]
 
-    def __missing__(self, word: bytes) -> int:
-        high = int.from_bytes(hashlib.md5(word, usedforsecurity=False).digest()[:8], "little") >> 2
-        key = high // self.endings * self.endings + zlib.crc32(word[-3:]) % self.endings
-        if len(word) <= 64:
-            if len(self) > self.most:
-                self.clear()
-                self[END] = -1
-            self[word] = key
-        return key
 
+LISTS = "block int, part int, size int, data binary"
 
-def keyed(counts: DataFrame, endings: int) -> DataFrame:
-    """(word, n, key) of all counted words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Keys(endings).__getitem__
-        for batch in batches:
-            keys = pa.array(list(map(find, batch.column(0).to_pylist())), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], ["word", "n", "key"])
+def _lists(block: int, part: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int32()), pa.array([part], pa.int32()), pa.array([len(keys)], pa.int32()), pa.array([pack(keys, n)], pa.binary())],
+        ["block", "part", "size", "data"],
+    )
 
-    return counts.select("word", "n").mapInArrow(run, "word binary, n long, key long")
 
+def neighbour_lists(rows: DataFrame, lexicon: Lexicon, tokens: int, flush: int = 2_500_000, fan_in: int = 256) -> DataFrame:
+    """(block, group, size, data): packed counts of the units after and before the units of each block.
 
-def key_bigrams(rows: DataFrame, endings: int, most: int = 2_000_000) -> DataFrame:
-    """(first, second, fold, n) of neighbouring words by their keys, added up inside runs of ``most`` tokens of a task."""
+    A key is ``(unit * 2 + side) * units + other``, side 1 for the units before; a unit
+    after itself is on side 0 only. Parts of a block are merged at most about ``fan_in``
+    at a time, so that a frequent unit of a large corpus is merged by many tasks.
+    """
+    spark = rows.sparkSession
+    held, size = spark.sparkContext.broadcast(lexicon), lexicon.size
+    blocks = max(16, min(4096, -(-tokens // 4_000_000)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = Keys(endings)
-        numbers: dict[bytes, int] = {}
-        parts, held = [], 0
+    @tidy_task
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held.value
+        draw = np.random.default_rng()
+        parts, sums = [], 0
 
         def packed() -> Iterator[pa.RecordBatch]:
-            pair, n = np.unique(np.concatenate(parts), return_counts=True)
-            key = np.fromiter(map(keys.__getitem__, numbers), np.int64, len(numbers))
-            columns = [key[pair >> 32], key[(pair >> 1) & 0x7FFFFFFF], pair & 1, n]
-            for a in range(0, len(pair), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 100_000]) for x in columns], ["first", "second", "fold", "n"])
-
-        def number(word: bytes) -> int:
-            return numbers.setdefault(word, len(numbers))
+            pair = np.sort(np.concatenate(parts))
+            first_of = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+            n = np.diff(np.append(first_of, len(pair)))
+            first, second = np.divmod(pair[first_of], size)
+            other = first != second
+            unit = np.concatenate([first, second[other]])
+            key = np.concatenate([(first * 2) * size + second, (second[other] * 2 + 1) * size + first[other]])
+            n = np.concatenate([n, n[other]])
+            block = (mix(unit.astype(np.uint64)) % np.uint64(blocks)).astype(np.int16)
+            order = np.lexsort((key, block))
+            ends = np.searchsorted(block[order], np.arange(blocks + 1))
+            part = int(draw.integers(0, 1 << 30))
+            for b in np.flatnonzero(np.diff(ends)).tolist():
+                own = order[ends[b] : ends[b + 1]]
+                yield _lists(b, part, key[own], n[own])
 
         for batch in batches:
-            folds = batch.column(1).to_numpy(zero_copy_only=False)
-            for a, b, texts in text_slices(batch.column(0)):
-                for text, fold in zip(texts, folds[a:b].tolist()):
-                    own = np.array([number(END), *map(number, words_of(text)), number(END)], np.int64)
-                    parts.append((own[:-1] << 32) | (own[1:] << 1) | fold)
-                    held += len(own)
-                if held > most:
+            for _, _, texts in text_slices(batch.column(0)):
+                unit, _, _ = known.sequence(texts)
+                parts.append(previous(unit) * size + unit)
+                sums += len(unit)
+                if sums > flush:
                     yield from packed()
-                    parts, held = [], 0
-                    if len(numbers) > 200_000:
-                        numbers.clear()
+                    parts, sums = [], 0
         if parts:
             yield from packed()
 
-    return rows.select("text", "fold").mapInArrow(run, "first long, second long, fold long, n long")
-
-
-def unit_pairs(rows: DataFrame, units: DataFrame, endings: int) -> DataFrame:
-    """(first, second, n0, n) of neighbouring units, in fold 0 and in all; a word that is no unit stands as -2 less its ending."""
-    pairs = key_bigrams(rows, endings)
-    for side in ("first", "second"):
-        own = units.select(F.col("key").alias(side), F.lit(True).alias(f"{side}_is"))
-        pairs = pairs.join(broadcast_if_small(own, 2_000_000), side, "left")
-        ending = F.when(F.col(side) < 0, F.col(side)).otherwise(-2 - F.col(side) % endings)
-        pairs = pairs.withColumn(side, F.when(F.col(f"{side}_is"), F.col(side)).otherwise(ending)).drop(f"{side}_is")
-    first_fold = F.sum(F.when(F.col("fold") == 0, F.col("n")).otherwise(0)).alias("n0")
-    return pairs.groupBy("first", "second").agg(first_fold, F.sum("n").alias("n"))
-
-
-def contexts(pairs: DataFrame, of: DataFrame, classes: int) -> DataFrame:
-    """(unit, c, cells): each unit's class and counts of the classes after it, before it (from ``classes`` on) and of itself after itself (the last cell)."""
-    known = broadcast_if_small(of, 2_000_000)
-    after = pairs.filter("first != second").join(known.select(F.col("unit").alias("second"), F.col("c").alias("cell")), "second")
-    before = pairs.filter("first != second").join(known.select(F.col("unit").alias("first"), (F.col("c") + classes).alias("cell")), "first")
-    loops = pairs.filter("first = second").select(F.col("first").alias("unit"), F.lit(2 * classes).cast("long").alias("cell"), "n")
-    cells = after.select(F.col("first").alias("unit"), "cell", "n")
-    cells = cells.unionByName(before.select(F.col("second").alias("unit"), "cell", "n")).unionByName(loops)
-    cells = cells.groupBy("unit", "cell").agg(F.sum("n").alias("n"))
-    lists = cells.groupBy("unit").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
-    return lists.join(known, "unit").select("unit", "c", "cells")
-
-
-def class_table(found: DataFrame, classes: int) -> np.ndarray:
-    """Counts of neighbouring classes from ``contexts``: what comes after the units of each class."""
-    cells = found.select("c", F.explode("cells").alias("x")).select("c", "x.cell", "x.n")
-    to = F.when(F.col("cell") == 2 * classes, F.col("c")).otherwise(F.col("cell")).alias("to")
-    sums = cells.filter((F.col("cell") < classes) | (F.col("cell") == 2 * classes)).groupBy("c", to).agg(F.sum("n").alias("n"))
-    table = np.zeros((classes, classes))
-    for r in sums.collect():
-        table[r["c"], r["to"]] = r["n"]
-    return table
+    @tidy_task
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, lists = None, Adder(6_000_000)
+        for batch in batches:
+            for r in range(batch.num_rows):
+                at = (batch.column(0)[r].as_py(), batch.column(1)[r].as_py())
+                if current is not None and at != current:
+                    yield _lists(*current, *lists.total())
+                    lists.clear()
+                current = at
+                lists.add(*unpack(batch.column(3)[r].as_buffer(), batch.column(2)[r].as_py()))
+        if current is not None:
+            yield _lists(*current, *lists.total())
+
+    found = rows.select("text").mapInArrow(count, LISTS)
+    parts = -(-tokens // flush)
+    while True:
+        parts = -(-parts // fan_in)
+        found = found.withColumn("part", (F.col("part") % parts).cast("int"))
+        found = found.repartition(blocks * min(parts, 64), "block", "part").sortWithinPartitions("block", "part").mapInArrow(merge, LISTS)
+        if parts <= 1:
+            break
+    return found.select("block", (F.col("block") % 8).cast("int").alias("group"), "size", "data")
 
 
 def _h(x: np.ndarray) -> np.ndarray:
@@ -226,132 +272,135 @@ def likelihood(table: np.ndarray) -> float:
     return float(_h(table).sum() - _h(table.sum(axis=0)).sum() - _h(table.sum(axis=1)).sum())
 
 
-def best_class(table: np.ndarray, own: int, right: np.ndarray, left: np.ndarray, loop: float) -> int:
-    """Class that raises the likelihood most for one unit, all others staying; the last class takes no unit."""
-    table = table.copy()
-    table[own] -= right
-    table[:, own] -= left
-    table[own, own] -= loop
-    rows, columns = table.sum(axis=1) + left, table.sum(axis=0) + right
-    to, of = np.flatnonzero(right), np.flatnonzero(left)
-    gain = (_h(table[:, to] + right[to]) - _h(table[:, to])).sum(axis=1)
-    gain += (_h(table[of] + left[of, None]) - _h(table[of])).sum(axis=0)
-    cells = table.diagonal()
-    gain += _h(cells + right + left + loop) - _h(cells + right) - _h(cells + left) + _h(cells)
-    gain -= _h(rows + right.sum() + loop) - _h(rows) + _h(columns + left.sum() + loop) - _h(columns)
-    gain[-1] = -np.inf
-    best = int(np.argmax(gain))
-    return best if gain[best] > gain[own] + 1e-9 else own
-
-
-def moved(found: DataFrame, table: np.ndarray, half: int) -> DataFrame:
-    """(unit, c): the units of one half go to their best classes, the others and the end of texts stay."""
-    held = found.sparkSession.sparkContext.broadcast(table)
+def best_classes(table: np.ndarray, own: np.ndarray, right: np.ndarray, left: np.ndarray, loop: np.ndarray) -> np.ndarray:
+    """For each of several units the class that raises the likelihood most, all others staying; the last class takes no unit.
+
+    ``right`` and ``left`` (units x classes) count the classes of other units after and before
+    each unit, ``loop`` the unit after itself.
+    """
+    each = np.arange(len(own))
+    gain = np.zeros(right.shape)
+    for cells, mine, other in ((table.T, right, left), (table, left, right)):
+        at, d = np.nonzero(mine)
+        if not len(at):
+            continue
+        x = mine[at, d]
+        base = cells[d]  # the counts of d with every class, without the unit
+        base[np.arange(len(at)), own[at]] -= x
+        hit = np.flatnonzero(d == own[at])
+        base[hit] -= other[at[hit]]
+        base[hit, d[hit]] -= loop[at[hit]]
+        part = _h(base + x[:, None]) - _h(base)
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        gain[at[first]] += np.add.reduceat(part, first)
+    rows, columns, cells = (np.repeat(v[None], len(own), 0) for v in (table.sum(axis=1), table.sum(axis=0), table.diagonal()))
+    rights, lefts = right.sum(axis=1) + loop, left.sum(axis=1) + loop
+    rows[each, own] -= rights
+    columns[each, own] -= lefts
+    cells[each, own] -= right[each, own] + left[each, own] + loop
+    gain += _h(cells + right + left + loop[:, None]) - _h(cells + right) - _h(cells + left) + _h(cells)
+    gain -= _h(rows + rights[:, None]) - _h(rows) + _h(columns + lefts[:, None]) - _h(columns)
+    gain[:, -1] = -np.inf
+    best = np.argmax(gain, axis=1)
+    return np.where(gain[each, best] > gain[each, own] + 1e-9, best, own)
+
+
+def class_table(lists: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
+    """Counts of neighbouring classes, from the lists of the units after each unit."""
+    size = len(of)
+    held = lists.sparkSession.sparkContext.broadcast(of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = held.value
-        classes = len(table)
+        of = held.value
+        sums = np.zeros(classes * classes)
         for batch in batches:
-            out = batch.column(1).to_numpy().copy()
-            lists = batch.column(2)
-            ends = lists.offsets.to_numpy()
-            cell, n = (lists.values.field(i).to_numpy() for i in (0, 1))
-            for i, unit in enumerate(batch.column(0).to_pylist()):
-                if unit != -1 and (unit ^ (unit >> 20)) & 1 == half:
-                    sums = np.bincount(cell[ends[i] : ends[i + 1]], n[ends[i] : ends[i + 1]], 2 * classes + 1)
-                    out[i] = best_class(table, int(out[i]), sums[:classes], sums[classes:-1], sums[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], ["unit", "c"])
-
-    return found.mapInArrow(run, "unit long, c long")
-
-
-def spread_exchange(pairs: DataFrame, of: DataFrame, classes: int, sweeps: int) -> DataFrame:
-    """(unit, c) after sweeps in which each half of the units moves at once; one that lowers the likelihood is undone and ends it."""
-    best, value = of, -np.inf
-    for step in range(2 * sweeps + 1):
-        found = stash(contexts(pairs, of, classes), "lm-contexts")
-        table = class_table(found, classes)
-        if likelihood(table) < value:
-            break
-        best, value = of, likelihood(table)
-        if step < 2 * sweeps:
-            of = stash(moved(found, table, step % 2), "lm-classes")
-    return best
+            for r in range(batch.num_rows):
+                key, n = unpack(batch.column(1)[r].as_buffer(), batch.column(0)[r].as_py())
+                after = key // size % 2 == 0
+                key, n = key[after], n[after]
+                sums += np.bincount(of[key // (2 * size)].astype(np.int64) * classes + of[key % size], n, classes * classes)
+        full = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(sums[full].astype(np.int64))], ["cell", "n"])
+
+    cells = lists.select("size", "data").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    held.unpersist()
+    table = np.zeros(classes * classes)
+    table[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    return table.reshape(classes, classes)
 
 
-def exchange(first: np.ndarray, second: np.ndarray, n: np.ndarray, size: int, classes: int, sweeps: int) -> np.ndarray:
-    """Class of each unit; the last unit (the end of texts) is a class of its own, the last class.
+def moves(lists: DataFrame, of: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit, class) of the units of ``lists`` that another class is best for, the others staying."""
+    size, classes = len(of), len(table)
+    held = lists.sparkSession.sparkContext.broadcast((of, table))
 
-    Starts from units dealt out by frequency. A move is made if it raises
-    sum N(c,d) log N(c,d) - sum N(c,.) log N(c,.) - sum N(.,d) log N(.,d); a sweep
-    without a move ends it.
+    @tidy_task
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, table = held.value
+        for batch in batches:
+            for r in range(batch.num_rows):
+                key, n = unpack(batch.column(1)[r].as_buffer(), batch.column(0)[r].as_py())
+                start = np.flatnonzero(np.append(True, np.diff(key // (2 * size)) != 0))
+                ends = np.append(start, len(key))
+                for a in range(0, len(start), 512):
+                    part = slice(ends[a], ends[min(a + 512, len(start))])
+                    k, count = key[part], n[part]
+                    unit, other = k // (2 * size), k % size
+                    units = unit[ends[a : min(a + 512, len(start))] - ends[a]]
+                    cell = np.where(unit == other, 2 * classes, k // size % 2 * classes + of[other])
+                    width = 2 * classes + 1
+                    sums = np.bincount(np.searchsorted(units, unit) * width + cell, count, len(units) * width).reshape(-1, width)
+                    own = of[units].astype(np.int64)
+                    best = best_classes(table, own, sums[:, :classes], sums[:, classes:-1], sums[:, -1])
+                    new = (best != own) & (units != size - 1)
+                    yield pa.RecordBatch.from_arrays([pa.array(units[new]), pa.array(best[new])], ["unit", "c"])
+
+    found = lists.select("size", "data").mapInArrow(run, "unit long, c long").toArrow()
+    held.unpersist()
+    return found["unit"].to_numpy(), found["c"].to_numpy()
+
+
+def exchange(lists: DataFrame, size: int, classes: int, sweeps: int, settled: float = 0.02) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """(class of each unit, class table, likelihood after each sweep); the end of texts is a class of its own, the last.
+
+    Starts from units dealt out by frequency, so that each of the most frequent words stands
+    for a class. Ends after ``sweeps``, or when a sweep has gained less than ``settled`` of
+    what all have.
     """
-    totals = np.bincount(first, n, size) + np.bincount(second, n, size)
-    order = np.argsort(-totals, kind="stable")
-    order = order[order != size - 1]
-    out = np.empty(size, np.int64)
-    out[order] = np.arange(size - 1) % (classes - 1)
-    out[size - 1] = classes - 1
-    table = np.zeros((classes, classes))
-    np.add.at(table, (out[first], out[second]), n)
-
-    def neighbours(key: np.ndarray, other: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        at = np.argsort(key, kind="stable")
-        ends = np.searchsorted(key[at], np.arange(size + 1))
-        return [(other[at[a:b]], n[at[a:b]]) for a, b in zip(ends, ends[1:])]
-
-    after, before = neighbours(first, second), neighbours(second, first)
-
-    def h(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1.0))
-
-    for _ in range(sweeps):
-        moves = 0
-        for unit in order[totals[order] > 0]:
-            own = out[unit]
-            (next_unit, next_n), (last_unit, last_n) = after[unit], before[unit]
-            loop = float(next_n[next_unit == unit].sum())
-            right = np.bincount(out[next_unit], np.where(next_unit == unit, 0, next_n), classes)
-            left = np.bincount(out[last_unit], np.where(last_unit == unit, 0, last_n), classes)
-            # the table without the unit
-            table[own] -= right
-            table[:, own] -= left
-            table[own, own] -= loop
-            # what comes before the unit is in its own rows whatever its class, what comes after it in its columns
-            rows, columns = table.sum(axis=1) + left, table.sum(axis=0) + right
-            gain = (h(table + right) - h(table)).sum(axis=1) + (h(table + left[:, None]) - h(table)).sum(axis=0)
-            # the cell of a class with itself takes both sides and the unit's own pairs
-            own_cells = table.diagonal()
-            gain += h(own_cells + right + left + loop) - h(own_cells + right) - h(own_cells + left) + h(own_cells)
-            gain -= h(rows + right.sum() + loop) - h(rows) + h(columns + left.sum() + loop) - h(columns)
-            gain[classes - 1] = -np.inf
-            best = int(np.argmax(gain))
-            if gain[best] <= gain[own] + 1e-9:
-                best = own
-            table[best] += right
-            table[:, best] += left
-            table[best, best] += loop
-            moves += best != own
-            out[unit] = best
-        if not moves:
+    of = np.append(np.arange(size - 1) % (classes - 1), classes - 1).astype(np.int16)
+    table = class_table(lists, of, classes)
+    values = [likelihood(table)]
+    for sweep in range(sweeps):
+        value = values[-1]
+        for group in range(8):
+            unit, c = moves(lists.filter(F.col("group") == group), of, table)
+            order = mix(unit.astype(np.uint64) + np.uint64(sweep << 40))
+            for parts in (1, 4, 16):  # units that move to the same class at once may do too much together
+                some = order % np.uint64(parts) == 0
+                if not some.any():
+                    break
+                trial = of.copy()
+                trial[unit[some]] = c[some]
+                tried = class_table(lists, trial, classes)
+                if likelihood(tried) > value:
+                    of, table, value = trial, tried, likelihood(tried)
+                    break
+        values.append(value)
+        if value - values[-2] <= settled * (value - values[0]):
             break
-    return out
+    return of, table, values
 
 
 @dataclass
 class ClassModel:
-    """What a task needs to score: unit classes, counts of the frequent words, and the class table."""
+    """What a task needs to score: units with their counts and classes, and the class table."""
 
-    unit_words: list[bytes]
-    endings: int
+    lexicon: Lexicon
     classes: np.ndarray
-    table_words: list[bytes]
-    table_counts: np.ndarray
     log_g: np.ndarray
+    end_count: int
     tokens: int
     kinds: int
-    table_classes: np.ndarray | None = None  # with ``min_count``: of the frequent words,
-    word_classes: DataFrame | None = None  # and (unit, c) of every unit, -2 less an ending among them
 
 
 def _share(transition: np.ndarray, emission: np.ndarray, unigram: float, held: np.ndarray) -> float:
@@ -366,73 +415,6 @@ def _share(transition: np.ndarray, emission: np.ndarray, unigram: float, held: n
     return min(max(weight, 0.001), 0.999)
 
 
-def train(
-    rows: DataFrame,
-    counts: DataFrame,
-    unit_words: int = 3000,
-    endings: int = 512,
-    classes: int = 64,
-    sweeps: int = 5,
-    table_words: int = 100_000,
-    min_count: int | None = None,
-    spread_sweeps: int = 2,
-    start_words: int = 1200,
-) -> ClassModel:
-    """Fit on all ``rows`` (text, fold); ``counts`` are their stored word counts.
-
-    The parameters bound what reaches the driver: ``table_words`` words with counts,
-    ``2 * (unit_words + endings + 1)**2`` unit pairs and ``classes`` sums. They choose how
-    finely frequent words are told apart; every word has a unit, a class and its exact count.
-    With ``min_count`` every word of so many tokens is a unit; the ``start_words`` most
-    frequent ones and the endings are the start of ``spread_sweeps`` sweeps over all of them.
-    """
-    top = counts.orderBy(F.desc("n"), "word").limit(table_words).collect()
-    totals = counts.agg(F.sum("n").alias("tokens"), F.count("n").alias("kinds")).first()
-    tokens, kinds = totals["tokens"] or 0, totals["kinds"]
-    words = [bytes(r["word"]) for r in top]
-    frequent = [w for w in words if w != END][:unit_words]
-    if min_count is not None:
-        kept = {bytes(r["word"]) for r in top if r["n"] >= min_count}
-        frequent, most = [w for w in frequent[:start_words] if w in kept], len(top)
-        del top, words, kept
-        return _train_all(rows, counts, most, int(tokens), int(kinds), frequent, endings, classes, sweeps, min_count, spread_sweeps)
-    pairs = unit_bigrams(rows, frequent, endings).toArrow()
-    pair, n = (pairs[c].to_numpy().astype(np.int64) for c in ("pair", "n"))
-    order = np.argsort(pair)
-    pair, n = pair[order], n[order].astype(float)
-    size = len(frequent) + endings + 1
-    first, second, fold = pair // 2 // size, pair // 2 % size, pair % 2
-    classes_of = exchange(first, second, n, size, classes, sweeps)
-
-    # words and tokens of every class, from the counts themselves
-    units = counts.sparkSession.sparkContext.broadcast((frequent, classes_of))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, of = units.value
-        find = Units(known, endings).__getitem__
-        sums = np.zeros((2, classes), np.int64)
-        for batch in batches:
-            own = of[np.fromiter(map(find, batch.column(0).to_pylist()), np.int64, batch.num_rows)]
-            sums[0] += np.bincount(own, batch.column(1).to_numpy(), classes).astype(np.int64)
-            sums[1] += np.bincount(own, minlength=classes)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes)), pa.array(sums[0]), pa.array(sums[1])], ["c", "n", "v"])
-
-    sums = counts.select("word", "n").mapInArrow(run, "c long, n long, v long")
-    by_class = {r["c"]: r for r in sums.groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()}
-    class_n = np.array([by_class[c]["n"] if c in by_class else 0 for c in range(classes)], float)
-    class_v = np.array([by_class[c]["v"] if c in by_class else 0 for c in range(classes)], float)
-
-    def joint(where: np.ndarray) -> np.ndarray:
-        table = np.zeros((classes, classes))
-        np.add.at(table, (classes_of[first[where]], classes_of[second[where]]), n[where])
-        return table
-
-    log_g = _log_g(joint(fold == 0), joint(fold == 1), class_n, class_v, tokens, kinds)
-    return ClassModel(
-        frequent, endings, classes_of, words, np.array([r["n"] for r in top], np.int64), log_g, int(tokens), int(kinds)
-    )
-
-
 def _log_g(fold0: np.ndarray, fold1: np.ndarray, class_n: np.ndarray, class_v: np.ndarray, tokens: int, kinds: int) -> np.ndarray:
     """log10 of G from the class tables of both folds and the tokens and words of every class."""
     emission = 1.0 / (class_n + 0.5 * (class_v + 1))
@@ -446,80 +428,63 @@ def _log_g(fold0: np.ndarray, fold1: np.ndarray, class_n: np.ndarray, class_v: n
     return np.log10(weight * transitions(fold0 + fold1) * emission[None, :] + (1 - weight) * unigram)
 
 
-def _ending(key: Column, endings: int) -> Column:
-    """Unit of a word that is no unit itself, or of the end of texts."""
-    return F.when(key < 0, key).otherwise(-2 - key % endings)
-
-
-def _train_all(
-    rows: DataFrame, counts: DataFrame, most: int, tokens: int, kinds: int, frequent: list[bytes],
-    endings: int, classes: int, sweeps: int, min_count: int, spread_sweeps: int,
-) -> ClassModel:
-    """``train`` with a unit for every word of ``min_count`` tokens."""
-    spark = counts.sparkSession
-    words = stash(keyed(counts, endings), "lm-keys")
-    units = words.filter((F.col("n") >= min_count) & (F.col("key") >= 0)).select("key")
-    pairs = stash(unit_pairs(rows, units, endings), "lm-pairs")
-
-    # the start: the most frequent words and the endings, exchanged on the driver
-    find = Keys(endings)
-    size = len(frequent) + endings + 1
-    start = [(find[w], i) for i, w in enumerate(frequent)]
-    start += [(-2 - e, len(frequent) + e) for e in range(endings)] + [(-1, size - 1)]
-    start = F.broadcast(spark.createDataFrame(start, "unit long, place long"))
-    seeds = pairs
-    for side in ("first", "second"):
-        seeds = seeds.join(start.select(F.col("unit").alias(side), F.col("place").alias(f"{side}_place")), side, "left")
-        rest = len(frequent) + F.col(side) % endings
-        seeds = seeds.withColumn(f"{side}_place", F.coalesce(f"{side}_place", rest))
-    seeds = seeds.groupBy((F.col("first_place") * size + F.col("second_place")).alias("pair")).agg(F.sum("n").alias("n")).toArrow()
-    pair, n = (seeds[c].to_numpy().astype(np.int64) for c in ("pair", "n"))
-    order = np.argsort(pair)
-    pair, n = pair[order], n[order].astype(float)
-    classes_of = exchange(pair // size, pair % size, n, size, classes, sweeps)
-
-    of_place = F.broadcast(spark.createDataFrame(list(enumerate(classes_of.tolist())), "place long, c long"))
-    others = start.filter("unit < 0").select("unit")
-    of = units.select(F.col("key").alias("unit")).unionByName(others).join(start, "unit", "left")
-    of = of.withColumn("place", F.coalesce("place", len(frequent) + F.col("unit") % endings))
-    of = stash(of.join(of_place, "place").select("unit", "c"), "lm-classes")
-    moved_of = spread_exchange(pairs, of, classes, spread_sweeps)
-    # a unit without a pair keeps its first class
-    of = of.withColumnRenamed("c", "c0").join(moved_of, "unit", "left").select("unit", F.coalesce("c", "c0").alias("c"))
-    of = stash(of, "lm-classes")
-
-    known = broadcast_if_small(of, 2_000_000)
-    sides = pairs
-    for side, c in (("first", "a"), ("second", "b")):
-        sides = sides.join(known.select(F.col("unit").alias(side), F.col("c").alias(c)), side)
-    folds = np.zeros((2, classes, classes))
-    for r in sides.groupBy("a", "b").agg(F.sum("n0").alias("n0"), F.sum("n").alias("n")).collect():
-        folds[0, r["a"], r["b"]], folds[1, r["a"], r["b"]] = r["n0"], r["n"] - r["n0"]
-    unit = F.when(F.col("n") >= min_count, F.col("key")).otherwise(_ending(F.col("key"), endings))
-    placed = words.withColumn("unit", unit).join(known, "unit")
-    class_n, class_v = np.zeros(classes), np.zeros(classes)
-    for r in placed.groupBy("c").agg(F.sum("n").alias("n"), F.count("n").alias("v")).collect():
-        class_n[r["c"]], class_v[r["c"]] = r["n"], r["v"]
-
-    table_rows = placed.select("word", "n", "c").orderBy(F.desc("n"), "word").limit(most).toArrow()
-    table_words, table_n, table_c = (table_rows[c].to_pylist() for c in ("word", "n", "c"))
-    by_ending = {r["unit"]: r["c"] for r in of.filter("unit < 0").collect()}
-    ends = np.array([by_ending[-2 - e] for e in range(endings)] + [by_ending[-1]], np.int64)
-    log_g = _log_g(folds[0], folds[1], class_n, class_v, tokens, kinds)
-    return ClassModel(
-        [], endings, ends, table_words, np.array(table_n, np.int64), log_g, tokens, kinds, np.array(table_c, np.int64), of
-    )
+def fold_table(rows: DataFrame, lexicon: Lexicon, of: np.ndarray, classes: int) -> np.ndarray:
+    """Counts of neighbouring classes in the texts of ``rows``."""
+    held = rows.sparkSession.sparkContext.broadcast((lexicon, of))
 
+    @tidy_task
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, of = held.value
+        sums = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            for _, _, texts in text_slices(batch.column(0)):
+                c = of[known.sequence(texts)[0]].astype(np.int64)
+                sums += np.bincount(previous(c) * classes + c, minlength=classes * classes)
+        full = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(sums[full])], ["cell", "n"])
+
+    cells = rows.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(classes * classes)
+    table[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    return table.reshape(classes, classes)
 
-class _Table(dict):
-    """Place of a word in the broadcast table; others give minus one less their unit."""
 
-    def __init__(self, model: ClassModel):
-        super().__init__((w, i) for i, w in enumerate(model.table_words))
-        self.units = Units(model.unit_words, model.endings)
+def train(
+    rows: DataFrame,
+    counts: DataFrame,
+    endings: int = 512,
+    classes: int = 64,
+    min_count: int = 5,
+    most_units: int = 2_000_000,
+    sweeps: int = 8,
+    flush: int = 2_500_000,
+    fan_in: int = 256,
+) -> ClassModel:
+    """Fit on all ``rows`` (text, fold); ``counts`` are their stored ``word_counts`` with the same ``endings``.
 
-    def __missing__(self, word: bytes) -> int:
-        return -1 - self.units[word]
+    Every word of ``min_count`` tokens is a unit, up to ``most_units`` of them, which bounds
+    what is broadcast and what the driver holds (20 bytes a unit); every word has a unit, a class
+    and its exact count. The folds, 0 and 1, serve to weigh the class model against the
+    unigram model.
+    """
+    totals = counts.agg(
+        F.sum("n").alias("tokens"), F.count("n").alias("kinds"), F.sum(F.when(F.col("key") == END_KEY, F.col("n"))).alias("ends")
+    ).first()
+    tokens, kinds, end_count = totals["tokens"] or 0, totals["kinds"], totals["ends"] or 0
+    lexicon, lowest = lexicon_of(counts, endings, min_count, most_units)
+    words = len(lexicon.keys)
+    lists = stash(neighbour_lists(rows, lexicon, tokens, flush, fan_in), "lm-lists")
+    of, table, _ = exchange(lists, lexicon.size, classes, sweeps)
+
+    first_fold = fold_table(rows.filter("fold = 0"), lexicon, of, classes)
+    class_n = table.sum(axis=0)  # every token stands after one other
+    class_v = np.bincount(of[:words], minlength=classes).astype(float)
+    class_v[-1] = float(end_count > 0)
+    rare = counts.filter((F.col("n") < lowest) & (F.col("key") != END_KEY)).groupBy("ending").agg(F.count("n").alias("v"))
+    for r in rare.collect():  # at most one row for each ending
+        class_v[of[words + r["ending"]]] += r["v"]
+    log_g = _log_g(first_fold, table - first_fold, class_n, class_v, tokens, kinds)
+    return ClassModel(lexicon, of, log_g, end_count, tokens, kinds)
 
 
 def score(
@@ -529,116 +494,80 @@ def score(
 
     ``base_score`` is the smoothed unigram model's log10 probability, ``score`` the
     class model's. A null or empty text is its end alone. Repeated rows come out as
-    often as they went in; null ids stay; other columns are left out.
+    often as they went in; null ids stay; other columns are left out. Counts of words
+    that are no units are looked up by a join.
     """
-    sc = df.sparkSession.sparkContext
-    of, endings = model.word_classes, model.endings
-    held = sc.broadcast(replace(model, word_classes=None))
+    held = df.sparkSession.sparkContext.broadcast(model)
     rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
+    @tidy_task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        table = _Table(m)
-        find = table.__getitem__
-        end_unit = table.units[END]
-        end_place = table.get(END, -1 - end_unit)
-        unit_of = np.fromiter(map(table.units.__getitem__, m.table_words), np.int64, len(m.table_words))
-        class_of = m.classes[unit_of] if len(unit_of) else unit_of
-        spread = m.table_classes is not None
-        if spread:
-            class_of, key = m.table_classes, Keys(m.endings)
-        logs = np.log10(m.table_counts + 0.5)
-
-        def packed(out: list[tuple]) -> pa.RecordBatch:
-            ids, *columns = zip(*out)
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
-            arrays = [pa.array(x, k) for x, k in zip(columns, kinds)]
-            return pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), *arrays],
-                                              ["id", "doc", "word", "times", "known", "tokens", "sum_log", "sum_g", "a", "b"])
-
+        words, end_unit = len(m.lexicon.keys), m.lexicon.size - 1
+        logs = np.full(m.lexicon.size, np.nan)
+        logs[:words] = np.log10(m.lexicon.counts + 0.5)
+        logs[end_unit] = np.log10(m.end_count + 0.5)
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(1)):
-                ids, out = batch.column(0)[a:b].to_pylist(), []
-                docs = batch.column(2)[a:b].to_pylist()
-                for one, doc, text in zip(ids, docs, texts):
-                    words = words_of(text)
-                    place = np.array([*map(find, words), end_place], np.int64)
-                    seen = place >= 0
-                    classes = np.empty(len(place) + 1, np.int64)
-                    classes[0] = m.classes[end_unit]
-                    classes[1:][seen] = class_of[place[seen]]
-                    classes[1:][~seen] = m.classes[-1 - place[~seen]]
-                    links = m.log_g[classes[:-1], classes[1:]]
-                    if spread and not seen[:-1].all():
-                        # links of words outside the table wait for their classes; a known class is -1 less its number
-                        at = -1 - classes
-                        unseen = np.flatnonzero(~seen[:-1])
-                        at[unseen + 1] = [key[words[i]] for i in unseen.tolist()]
-                        wait = (at[:-1] >= 0) | (at[1:] >= 0)
-                        links = links[~wait]
-                        both = Counter(zip(at[:-1][wait].tolist(), at[1:][wait].tolist()))
-                        out += [(one, doc, None, k, 0, 0, 0.0, 0.0, x, y) for (x, y), k in both.items()]
-                    out.append((one, doc, None, 1, int(seen.sum()), len(place), float(logs[place[seen]].sum()), float(links.sum()), None, None))
-                    rare = Counter(words[i] for i in np.flatnonzero(~seen[:-1]).tolist())
-                    if not seen[-1]:
-                        rare[END] += 1
-                    out += [(one, doc, w, k, 0, 0, 0.0, 0.0, None, None) for w, k in rare.items()]
-                    if len(out) > 50_000:
-                        yield packed(out)
-                        out = []
-                if out:
-                    yield packed(out)
-
-    # the text's hash tells repeated ids with other texts apart
-    coded = rows.withColumn("doc", F.xxhash64("text")).mapInArrow(
-        run,
-        f"id {kind}, doc long, word binary, times long, known long, tokens long, sum_log double, sum_g double, a long, b long",
+            for a, b, texts in text_slices(batch.column(2)):
+                unit, key, ends = m.lexicon.sequence(texts)
+                starts = np.append(0, ends[:-1] + 1)
+                c = m.classes[unit].astype(np.int64)
+                sum_g = np.add.reduceat(m.log_g[previous(c), c], starts)
+                own = logs[unit]
+                out = np.isnan(own)
+                known = ~out
+                if not m.end_count:
+                    known[ends] = False
+                sum_log = np.add.reduceat(np.where(out, 0.0, own), starts)
+                text_of = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=-1))
+                at, word = text_of[out], key[out]
+                order = np.lexsort((word, at))
+                at, word = at[order], word[order]
+                first = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (word[1:] != word[:-1]))) if len(at) else at
+                times = np.diff(np.append(first, len(at)))
+                ids, docs = batch.column(0)[a:b], batch.column(1)[a:b]
+                whole = [ids, docs, pa.nulls(b - a, pa.int64()), pa.array(np.ones(b - a, np.int64)),
+                         pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.diff(ends, prepend=-1)),
+                         pa.array(sum_log), pa.array(sum_g)]
+                yield pa.RecordBatch.from_arrays(whole, NAMES)
+                for s in range(0, len(first), 100_000):
+                    e = min(s + 100_000, len(first))
+                    none = pa.nulls(e - s, pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(e - s, ids.type), docs.take(pa.array(at[first[s:e]])), pa.array(word[first[s:e]]),
+                         pa.array(times[s:e]), none, none, none.cast(pa.float64()), none.cast(pa.float64())], NAMES
+                    )
+
+    NAMES = ["id", "doc", "word", "times", "known", "tokens", "sum_log", "sum_g"]
+    # rows of one id and text are added up; ids whose hash is the same as another's are told apart by themselves
+    coded = rows.select("id", F.xxhash64("id", "text").alias("doc"), "text").mapInArrow(
+        run, f"id {kind}, doc long, word long, times long, known long, tokens long, sum_log double, sum_g double"
     )
     coded = stash(coded, "lm-parts")
-    rare = coded.filter("word IS NOT NULL").select("id", "doc", "word", "times")
-    looked = rare.join(counts.select("word", "n"), "word", "left").select(
-        "id", "doc", F.lit(0).cast("long").alias("rows"),
-        F.when(F.col("n").isNull(), 0).otherwise(F.col("times")).alias("known"), F.lit(0).cast("long").alias("tokens"),
-        (F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("sum_log"), F.lit(0.0).alias("sum_g"),
-    )
-    whole = coded.filter("word IS NULL AND a IS NULL").select("id", "doc", F.col("times").alias("rows"), "known", "tokens", "sum_log", "sum_g")
-    if of is not None:
-        whole = whole.unionByName(_waiting_links(coded, of, endings, model.log_g))
-    sums = whole.unionByName(looked).groupBy("id", "doc").agg(
-        *[F.sum(c).alias(c) for c in ("rows", "known", "tokens", "sum_log", "sum_g")]
+    # a word outside the units has few tokens; what its documents need is their sum
+    looked = coded.filter("word IS NOT NULL").select("doc", F.col("word").alias("key"), "times").join(
+        counts.select("key", F.col("n").alias("c")), "key", "left"
+    )
+    looked = looked.groupBy("doc").agg(
+        F.sum(F.when(F.col("c").isNull(), 0).otherwise(F.col("times"))).alias("rare_known"),
+        F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_log"),
     )
+    whole = coded.filter("word IS NULL").groupBy("id", "doc").agg(
+        F.sum("times").alias("rows"), *[F.sum(c).alias(c) for c in ("known", "tokens", "sum_log", "sum_g")]
+    )
+    sums = whole.join(looked, "doc", "left")
     # equal rows were added up; each comes out with its part
     each = sums.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     tokens = (F.col("tokens") / F.col("rows")).cast("long")
-    log, g = F.col("sum_log") / F.col("rows"), F.col("sum_g") / F.col("rows")
+    log = (F.col("sum_log") + F.coalesce("rare_log", F.lit(0.0))) / F.col("rows")
+    g = F.col("sum_g") / F.col("rows")
     unigram = float(np.log10(model.tokens + 0.5 * (model.kinds + 1)))
     return each.select(
         F.col("id").alias(id),
         tokens.alias("n_tokens"),
-        (F.col("known") / F.col("rows")).cast("long").alias("n_known"),
+        ((F.col("known") + F.coalesce("rare_known", F.lit(0))) / F.col("rows")).cast("long").alias("n_known"),
         (log - tokens * F.lit(unigram)).alias("base_score"),
         (log + g).alias("score"),
         F.pow(F.lit(10.0), -(log + g) / tokens).alias("perplexity"),
     )
-
-
-def _waiting_links(coded: DataFrame, of: DataFrame, endings: int, log_g: np.ndarray) -> DataFrame:
-    """Sums of the links whose words are outside the broadcast table, by joins with the classes of all units."""
-    spark = coded.sparkSession
-    links = coded.filter("a IS NOT NULL").select("id", "doc", "times", "a", "b")
-    ends = F.broadcast(of.filter("unit < -1"))
-    known = broadcast_if_small(of.filter("unit >= 0"), 2_000_000)
-    for side in ("a", "b"):
-        own = known.select(F.col("unit").alias(side), F.col("c").alias("own"))
-        rest = ends.select(F.col("unit").alias("end"), F.col("c").alias("rest"))
-        links = links.join(own, side, "left").withColumn("end", -2 - F.col(side) % endings).join(rest, "end", "left")
-        number = F.when(F.col(side) < 0, -1 - F.col(side)).otherwise(F.coalesce("own", "rest"))
-        links = links.withColumn(side, number).drop("own", "rest", "end")
-    cells = [(int(i), int(j), float(log_g[i, j])) for i, j in np.ndindex(*log_g.shape)]
-    links = links.join(F.broadcast(spark.createDataFrame(cells, "a long, b long, g double")), ["a", "b"])
-    zero = F.lit(0).cast("long")
-    return links.select(
-        "id", "doc", zero.alias("rows"), zero.alias("known"), zero.alias("tokens"),
-        F.lit(0.0).alias("sum_log"), (F.col("times") * F.col("g")).alias("sum_g"),
-    )

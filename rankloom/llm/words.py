@@ -37,6 +37,11 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word of all texts in order, words of each text)."""
+    return hashes_and_endings(texts, 0)[:2]
+
+
+def hashes_and_endings(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``word_hashes`` and a hash of the last ``length`` bytes of every word, or of a shorter word whole."""
     parts = [t.encode() for t in texts]
     raw = np.frombuffer((b"\n".join(parts) + b"\n").lower(), np.uint8)
     ends = np.cumsum(np.fromiter((len(p) + 1 for p in parts), np.int64, len(parts)))
@@ -49,7 +54,10 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
     hashes = mix((sums[stops] - sums[starts]) * down[starts])
     counts = np.diff(np.searchsorted(starts, ends), prepend=0)
-    return hashes, counts
+    last = np.zeros(len(stops), np.uint64)
+    for i in range(1, length + 1):
+        last = last * np.uint64(257) + np.where(stops - i >= starts, raw[stops - i] + np.uint64(1), np.uint64(0))
+    return hashes, counts, mix(last)
 
 
 def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.llm import classlm, plans
+from rankloom.llm.words import hashes_and_endings
 from rankloom.session import stash
 
 from .helpers import ascii_words, documents, odd_rows
@@ -18,11 +19,25 @@ def corpus():
     return [*rows, *odd_rows()]
 
 
-def fitted(spark, rows, **parameters):
+def fitted(spark, rows, endings=4, **parameters):
     df = documents(spark, rows).select(F.coalesce("text", F.lit("")).alias("text"), (F.length("lang") % 2).cast("long").alias("fold"))
     df = df.withColumn("fold", F.coalesce("fold", F.lit(0)))
-    counts = stash(classlm.word_counts(df), "test-counts")
-    return classlm.train(df, counts, **parameters), counts
+    counts = stash(classlm.word_counts(df, endings), "test-counts")
+    return classlm.train(df, counts, endings=endings, **parameters), counts
+
+
+def units_and_counts(model, words):
+    """(unit, training count) of each word and of the end of texts, one word at a time."""
+    known = dict(zip(model.lexicon.keys.tolist(), model.lexicon.places.tolist()))
+    out = {}
+    for w in {*words}:
+        key, _, last = hashes_and_endings([w.decode()], classlm.SUFFIX)
+        out[w] = known.get(int(key.view(np.int64)[0]), len(known) + int(last[0]) % model.lexicon.endings)
+    return {**out, classlm.END: model.lexicon.size - 1}
+
+
+def tokens_of(text):
+    return [*classlm.words_of(text or ""), classlm.END]
 
 
 def test_query_base_scores_by_brute_force(spark, tmp_path):
@@ -45,58 +60,98 @@ def test_query_base_scores_by_brute_force(spark, tmp_path):
     assert sum(r["score"] for r in out if r["held_out"]) > sum(r["base_score"] for r in out if r["held_out"])
 
 
-def test_scores_by_the_formula(spark):
-    rows = corpus()
-    model, counts = fitted(spark, rows, unit_words=8, endings=4, classes=6, table_words=10)
-    n_of = {bytes(r["word"]): r["n"] for r in counts.collect()}
-    units = classlm.Units(model.unit_words, model.endings)
+def check_scores(spark, rows, model, counts, trained):
+    n_of = Counter(w for _, t, _ in trained for w in tokens_of(t))
+    assert Counter(n_of.values()) == Counter(r["n"] for r in counts.collect())
+    units = units_and_counts(model, [w for _, t, _ in rows for w in classlm.words_of(t or "")])
+    got = {}
     for r in classlm.score(documents(spark, rows), model, counts).collect():
-        texts = [t for i, t, _ in rows if i == r["doc_id"]]
-        tokens = [*classlm.words_of(texts[0] or ""), classlm.END]
+        got.setdefault(r["doc_id"], []).append(r)
+    assert Counter({i: len(r) for i, r in got.items()}) == Counter(i for i, _, _ in rows)
+    for i, text, _ in rows:
+        tokens = tokens_of(text)
         classes = [model.classes[units[w]] for w in [classlm.END, *tokens]]
-        want = sum(math.log10(n_of.get(w, 0) + 0.5) for w in tokens) + sum(model.log_g[a, b] for a, b in zip(classes, classes[1:]))
-        assert r["score"] == pytest.approx(want, abs=1e-6)
-        assert r["perplexity"] == pytest.approx(10 ** (-want / len(tokens)), rel=1e-6)
+        want = sum(math.log10(n_of[w] + 0.5) for w in tokens) + sum(model.log_g[a, b] for a, b in zip(classes, classes[1:]))
+        found = [r for r in got[i] if r["n_tokens"] == len(tokens) and abs(r["score"] - want) < 1e-6]
+        assert found, (i, text, want, got[i])
+        assert found[0]["n_known"] == sum(n_of[w] > 0 for w in tokens)
+        assert found[0]["perplexity"] == pytest.approx(10 ** (-want / len(tokens)), rel=1e-6)
+
+
+def test_scores_by_the_formula(spark):
+    rows = corpus()
+    model, counts = fitted(spark, rows, classes=6, min_count=20)
+    assert len(model.lexicon.keys) < 20
+    other = [(5, "the red cat of another text", "en"), (5, "the red cat of another text", "en"), (3000, "new newer the", "en")]
+    check_scores(spark, [*rows, *other], model, counts, rows)
+
+
+def test_units_beyond_the_bound_share_their_endings(spark):
+    rows = corpus()
+    model, counts = fitted(spark, rows, classes=6, min_count=2, most_units=5)
+    assert 0 < len(model.lexicon.keys) <= 5 and min(model.lexicon.counts) > 20
+    check_scores(spark, rows, model, counts, rows)
 
 
 def test_probabilities_add_up(spark):
     """After any class, known words and one unseen word of each class and of all have probability 1."""
-    model, counts = fitted(spark, corpus(), unit_words=8, endings=4, classes=6)
-    units = classlm.Units(model.unit_words, model.endings)
+    rows = corpus()
+    model, _ = fitted(spark, rows, classes=6, min_count=20)
+    n_of = Counter(w for _, t, _ in rows for w in tokens_of(t))
+    units = units_and_counts(model, [w for w in n_of if w != classlm.END])
     sums = np.zeros((6, 6))
-    n_class, v_class = np.zeros(6), np.zeros(6)
-    for r in counts.collect():
-        c = model.classes[units[bytes(r["word"])]]
-        sums[:, c] += (r["n"] + 0.5) * 10 ** model.log_g[:, c]
-        n_class[c] += r["n"]
-        v_class[c] += 1
+    for w, n in n_of.items():
+        c = model.classes[units[w]]
+        sums[:, c] += (n + 0.5) * 10 ** model.log_g[:, c]
     total = sums.sum(axis=1)
     # the rest is what unseen words have: half a count in each class, and half of one in the unigram model
     assert ((total > 0.85) & (total < 1)).all()
 
 
-def test_exchange_never_lowers_the_likelihood():
-    draw = np.random.default_rng(2)
-    size, classes = 30, 5
-    first, second = draw.integers(0, size, 400), draw.integers(0, size, 400)
-    key, n = np.unique(first * size + second, return_counts=True)
-    first, second, n = key // size, key % size, n.astype(float)
-
-    def value(of):
-        table = np.zeros((classes, classes))
-        np.add.at(table, (of[first], of[second]), n)
-        h = lambda x: (x * np.log(np.maximum(x, 1))).sum()
-        return h(table) - h(table.sum(0)) - h(table.sum(1))
-
-    values = [value(classlm.exchange(first, second, n, size, classes, sweeps)) for sweeps in range(6)]
-    assert all(b >= a - 1e-6 for a, b in zip(values, values[1:]))
-    final = classlm.exchange(first, second, n, size, classes, 100)
-    for unit in range(size - 1):  # no single move is better
-        for c in range(classes - 1):
-            moved = final.copy()
-            moved[unit] = c
-            assert value(moved) <= value(final) + 1e-6
-    assert final[size - 1] == classes - 1 and (final[: size - 1] < classes - 1).all()
+def test_neighbour_lists_by_brute_force(spark):
+    """Flushes of few tokens and merges of two parts at a time give the same lists; the last text is longer than a flush."""
+    rows = corpus()
+    df = documents(spark, rows).select(F.coalesce("text", F.lit("")).alias("text"), F.lit(0).alias("fold"))
+    counts = stash(classlm.word_counts(df, 4), "test-counts")
+    lexicon, _ = classlm.lexicon_of(counts, 4, 3, 1000)
+    model = classlm.ClassModel(lexicon, None, None, 0, 0, 0)
+    units = units_and_counts(model, [w for _, t, _ in rows for w in classlm.words_of(t or "")])
+    want = Counter()
+    for _, text, _ in rows:
+        own = [units[w] for w in [classlm.END, *tokens_of(text)]]
+        want.update((a, 0, b) for a, b in zip(own, own[1:]))
+        want.update((b, 1, a) for a, b in zip(own, own[1:]) if a != b)
+    tokens = sum(len(tokens_of(t)) for _, t, _ in rows)
+    for flush, fan_in in ((2_500_000, 256), (300, 2)):
+        got = Counter()
+        blocks = classlm.neighbour_lists(df, lexicon, tokens, flush, fan_in).collect()
+        assert len({r["block"] for r in blocks}) == len(blocks)
+        for r in blocks:
+            keys, n = classlm.unpack(r["data"], r["size"])
+            assert (np.diff(keys) > 0).all()
+            for k, m in zip(keys.tolist(), n.tolist()):
+                got[k // lexicon.size // 2, k // lexicon.size % 2, k % lexicon.size] += m
+        assert got == want
+
+
+def test_exchange_raises_the_likelihood_to_planted_classes(spark):
+    """Nouns and verbs of one ending are told apart by their contexts, no sweep lowers the likelihood."""
+    rows = []
+    for i in range(1200):
+        rows.append((i, f"the n{i % 40}zzz runs", "en") if i % 2 else (i, f"they v{i % 40}zzz it", "en"))
+    df = documents(spark, rows).select("text", F.lit(0).alias("fold"))
+    counts = stash(classlm.word_counts(df, 4), "test-counts")
+    lexicon, _ = classlm.lexicon_of(counts, 4, 5, 1000)
+    lists = stash(classlm.neighbour_lists(df, lexicon, 4800), "test-lists")
+    of, table, values = classlm.exchange(lists, lexicon.size, 12, 8)
+    assert len(values) > 2 and all(b >= a for a, b in zip(values, values[1:]))
+    assert (table == classlm.class_table(lists, of, 12)).all() and values[-1] == pytest.approx(classlm.likelihood(table))
+    model = classlm.ClassModel(lexicon, of, None, 0, 0, 0)
+    units = units_and_counts(model, [w for _, t, _ in rows for w in classlm.words_of(t)])
+    nouns = {of[u] for w, u in units.items() if w.startswith(b"n")}
+    verbs = {of[u] for w, u in units.items() if w.startswith(b"v")}
+    assert nouns.isdisjoint(verbs), (nouns, verbs)
+    assert of[-1] == 11 and (of[:-1] < 11).all()
 
 
 def test_nothing_to_learn(spark):
@@ -106,35 +161,10 @@ def test_nothing_to_learn(spark):
     assert classlm.score(documents(spark, []), model, counts).count() == 0
 
 
-def test_every_counted_word_has_its_own_class(spark):
-    """Words below the most frequent ones, with one ending among them, are classed by their contexts."""
-    rows = []
-    for i in range(400):
-        rows.append((i, f"the n{i % 40}zzz runs", "en") if i % 2 else (i, f"they v{i % 40}zzz it", "en"))
-    rows += [(400 + i, f"the n{i % 3}yyy runs" if i % 2 else f"they v{i % 3}yyy it", "en") for i in range(120)]
-    parameters = dict(unit_words=10, endings=4, classes=12, table_words=10, min_count=5, spread_sweeps=3)
-    model, counts = fitted(spark, rows, **parameters)
-    of = {r["unit"]: r["c"] for r in model.word_classes.collect()}
-    key = classlm.Keys(4)
-    nouns = {of[key[f"n{i}zzz".encode()]] for i in range(1, 40, 2)}
-    verbs = {of[key[f"v{i}zzz".encode()]] for i in range(0, 40, 2)}
-    assert nouns.isdisjoint(verbs), (nouns, verbs)
-    # scores by the formula, with words inside and outside the broadcast table, and unseen ones
-    n_of = {bytes(r["word"]): r["n"] for r in counts.collect()}
-    more = [*rows, (900, "the n1zzz v2zzz new newer the n3zzz", "en"), *odd_rows()]
-    for r in classlm.score(documents(spark, more), model, counts).collect():
-        text = [t for i, t, _ in more if i == r["doc_id"]][0]
-        tokens = [*classlm.words_of(text or ""), classlm.END]
-        keys = [key[w] for w in [classlm.END, *tokens]]
-        classes = [of[k] if k in of else of[-2 - k % 4] for k in keys]
-        want = sum(math.log10(n_of.get(w, 0) + 0.5) for w in tokens) + sum(model.log_g[a, b] for a, b in zip(classes, classes[1:]))
-        assert r["score"] == pytest.approx(want, abs=1e-6)
-
-
-def test_best_class_by_the_likelihood():
+def test_best_classes_by_the_likelihood():
     draw = np.random.default_rng(3)
-    size, classes = 12, 4
-    counts = draw.integers(0, 6, (size, size)).astype(float)
+    size, classes = 30, 5
+    counts = draw.integers(0, 6, (size, size)).astype(float) * (draw.random((size, size)) < 0.5)
     of = np.append(draw.integers(0, classes - 1, size - 1), classes - 1)
 
     def table(of):
@@ -142,10 +172,14 @@ def test_best_class_by_the_likelihood():
         np.add.at(out, (of[:, None].repeat(size, 1), of[None].repeat(size, 0)), counts)
         return out
 
-    for unit in range(size - 1):
+    units = np.arange(size - 1)
+    loop = counts.diagonal()[:-1]
+    right, left = np.zeros((size - 1, classes)), np.zeros((size - 1, classes))
+    for unit in units:
         others = np.arange(size) != unit
-        right = np.bincount(of[others], counts[unit, others], classes)
-        left = np.bincount(of[others], counts[others, unit], classes)
-        got = classlm.best_class(table(of), of[unit], right, left, counts[unit, unit])
+        right[unit] = np.bincount(of[others], counts[unit, others], classes)
+        left[unit] = np.bincount(of[others], counts[others, unit], classes)
+    got = classlm.best_classes(table(of), of[:-1], right, left, loop)
+    for unit in units:
         values = [classlm.likelihood(table(np.where(np.arange(size) == unit, c, of))) for c in range(classes - 1)]
-        assert values[got] == pytest.approx(max(values))
+        assert values[got[unit]] == pytest.approx(max(values))
