@@ -254,7 +254,7 @@ def neighbour_lists(rows: DataFrame, lexicon: Lexicon, tokens: int, flush: int =
             yield _lists(*current, *lists.total())
 
     found = rows.select("text").mapInArrow(count, LISTS)
-    parts = -(-tokens // flush)
+    parts = max(1, -(-tokens // flush))
     while True:
         parts = -(-parts // fan_in)
         found = found.withColumn("part", (F.col("part") % parts).cast("int"))
@@ -374,11 +374,9 @@ def exchange(lists: DataFrame, size: int, classes: int, sweeps: int, settled: fl
         value = values[-1]
         for group in range(8):
             unit, c = moves(lists.filter(F.col("group") == group), of, table)
-            order = mix(unit.astype(np.uint64) + np.uint64(sweep << 40))
-            for parts in (1, 4, 16):  # units that move to the same class at once may do too much together
-                some = order % np.uint64(parts) == 0
-                if not some.any():
-                    break
+            order = np.argsort(mix(unit.astype(np.uint64) + np.uint64(sweep << 40)))
+            for parts in (1, 4, 16) if len(unit) else ():  # units that move to the same class at once may do too much together
+                some = order[: -(-len(unit) // parts)]
                 trial = of.copy()
                 trial[unit[some]] = c[some]
                 tried = class_table(lists, trial, classes)

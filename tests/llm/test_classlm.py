@@ -136,13 +136,17 @@ def test_neighbour_lists_by_brute_force(spark):
 
 def test_exchange_raises_the_likelihood_to_planted_classes(spark):
     """Nouns and verbs of one ending are told apart by their contexts, no sweep lowers the likelihood."""
+    draw = np.random.default_rng(4)
+    some = lambda words: words[min(int(draw.exponential(len(words) / 3)), len(words) - 1)]
+    nouns, verbs = [f"n{i}zzz" for i in range(20)], [f"v{i}zzz" for i in range(20)]
     rows = []
-    for i in range(1200):
-        rows.append((i, f"the n{i % 40}zzz runs", "en") if i % 2 else (i, f"they v{i % 40}zzz it", "en"))
+    for i in range(1500):
+        a, b = (["the", "a", "this"], ["runs", "falls", "sleeps"]) if i % 5 < 3 else (["they", "we", "you"], ["it", "them", "us"])
+        rows.append((i, f"{some(a)} {some(nouns if i % 5 < 3 else verbs)} {some(b)}", "en"))
     df = documents(spark, rows).select("text", F.lit(0).alias("fold"))
     counts = stash(classlm.word_counts(df, 4), "test-counts")
     lexicon, _ = classlm.lexicon_of(counts, 4, 5, 1000)
-    lists = stash(classlm.neighbour_lists(df, lexicon, 4800), "test-lists")
+    lists = stash(classlm.neighbour_lists(df, lexicon, 6000), "test-lists")
     of, table, values = classlm.exchange(lists, lexicon.size, 12, 8)
     assert len(values) > 2 and all(b >= a for a, b in zip(values, values[1:]))
     assert (table == classlm.class_table(lists, of, 12)).all() and values[-1] == pytest.approx(classlm.likelihood(table))
