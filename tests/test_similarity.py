@@ -122,6 +122,63 @@ def test_no_pairs_are_stored(spark, monkeypatch):
     assert len(stored) == 2  # packs of queries and of entities
 
 
+def searched(spark, m, k, self_mode="drop_top", measure="dot", centred=False, **limits):
+    n, cells = m.shape
+    limits = {"block_queries": 20, "pack_entities": 2, "pack_ratings": 40, **limits}
+    return similarity.nearest(
+        long(spark, m), long(spark, m), ids(spark, range(n)), ids(spark, range(n)), "user", measure, centred, k, cells,
+        self_mode=self_mode, **limits,
+    )
+
+
+@pytest.mark.parametrize("kind", similarity.MEASURES)
+@pytest.mark.parametrize("centred", [False, True])
+@pytest.mark.parametrize("room", [1, 6, 40])
+@pytest.mark.parametrize("self_mode", ["drop_top", "exclude"])
+def test_blocks_that_get_their_own_cells_only(spark, kind, centred, room, self_mode):
+    """Sparse and common cells, negative and equal sums; entities without a common cell are among the nearest."""
+    rng = np.random.default_rng(5)
+    m = rng.integers(-2, 3, (120, 60)) * (rng.random((120, 60)) < 0.06).astype(float)
+    m[:, 0] = rng.integers(-1, 2, 120)
+    m[30:50] = np.eye(20, 60)  # many equal sums
+    m[50:54] = 0
+    m[54, 1:] = -1.0
+    got = collected(searched(spark, m, 5, self_mode, kind, centred, end_entities=room))
+    expected = brute(m, m, range(120), kind, centred, 5, 120, self_mode)
+    assert set(got) == set(expected)
+    for a in expected:
+        assert [b for b, _ in got[a]] == [b for b, _ in expected[a]], (a, got[a], expected[a])
+        assert np.allclose([s for _, s in got[a]], [s for _, s in expected[a]], atol=1e-9)
+
+
+def test_query_that_shares_cells_with_an_end_meets_everything(spark):
+    """All far entities that a block knows of are worse than one it does not know of: none is lost."""
+    m = np.zeros((100, 30))
+    m[80:, 0] = -1.0  # the end by id shares a cell with query 7 and is below zero for it
+    m[7, 0] = 1.0
+    got = collected(searched(spark, m, 3, "exclude", end_entities=4))
+    assert [b for b, _ in got[7]] == [79, 78, 77]
+
+
+def test_ratings_go_to_the_blocks_that_share_their_cell(spark):
+    """What blocks receive does not grow with their number where cells are their own (before: every rating to every block)."""
+    m = np.kron(np.eye(40), np.ones((4, 3)))  # 40 groups of four users with three cells of their own
+    asked = spark.createDataFrame([(int(u) // 4, int(c)) for u, c in zip(*np.nonzero(m))], "block int, cell long")
+    postings = long(spark, m).selectExpr("cast(user_id % 3 as int) no", "user_id id", "item_id cell", "rating v")
+    rows = similarity._routed(asked, postings, 3, 5).collect()
+    sent = sorted((r.block, u, c, v, r["pack"]) for r in rows for u, c, v in zip(*similarity._unpressed((r.x, r.y, r.z))))
+    assert sent == sorted((u // 4, u, c, 1.0, u % 3) for u, c in zip(*np.nonzero(m)))
+
+
+@pytest.mark.parametrize("value", [[1.0, -2.0, 3.0], [0.5, 0.25, -1.0], [0.1, 1e300, -3.0], [300.0, 2.0, 1e9], [np.inf, np.nan, 1e-300]])
+def test_pressed_ratings_are_the_same(value):
+    ids, cell, value = np.array([2**40, -5, 7]), np.array([-(2**50), 3, 3]), np.array(value)
+    for got, put in zip(similarity._unpressed(similarity._pressed(ids, cell, value)), (ids, cell, value)):
+        assert np.array_equal(got, put, equal_nan=put.dtype.kind == "f") and got.dtype == put.dtype
+    one = similarity._unpressed(similarity._pressed(ids[:1], cell[:1], value[:1]))
+    assert [len(x) for x in one] == [1, 1, 1]
+
+
 def test_ids_must_be_numbers(spark):
     text = spark.createDataFrame([("a", 1, 1.0)], "user_id string, item_id long, rating double")
     with pytest.raises(TypeError):
