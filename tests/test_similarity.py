@@ -226,6 +226,31 @@ def test_prediction_by_hand(spark, by, mean):
         assert got[u, i] == pytest.approx(score + 3, abs=1e-9)
 
 
+@pytest.mark.parametrize("mean", neighbours.MEANS)
+@pytest.mark.parametrize("by", ["user", "item"])
+def test_prediction_with_more_neighbours_than_raters(spark, by, mean):
+    """Targets with few and many raters, none, null and repeated ratings, and an entity without neighbours."""
+    entity, other = ("user_id", "item_id") if by == "user" else ("item_id", "user_id")
+    near = spark.createDataFrame(
+        [(1, b, s) for b, s in ((1, 0.5), (2, -0.25), (3, 0.75), (4, 1.0))] + [(2, 3, 0.5), (2, 1, -0.5)], "a long, b long, sim double"
+    )
+    known = [(1, 10, 2.0), (3, 10, -1.0), (3, 10, 1.0), (4, 11, None), (9, 11, 2.0)] + [(b, 12, float(b)) for b in range(1, 8)]
+    train = spark.createDataFrame(known, f"{entity} long, {other} long, rating double")
+    pairs = [(a, o) for a in (1, 2, 5) for o in (10, 11, 12, 13, None)]
+    targets = spark.createDataFrame(pairs + pairs, f"{entity} long, {other} long")
+    got = neighbours.knn_predict(targets, near, train, by, mean).collect()
+    got = {(r[entity], r[other]): r.score for r in got}
+    lists = {1: [(1, 0.5), (2, -0.25), (3, 0.75), (4, 1.0)], 2: [(3, 0.5), (1, -0.5)]}
+    expected = {}
+    for a, o in pairs:
+        rows = [(s, r or 0.0) for b, s in lists.get(a, []) for r in [k[2] for k in known if k[:2] == (b, o)] or [0.0]]
+        if rows:
+            weight = sum(s for s, _ in rows) or 1.0
+            score = sum(r for _, r in rows) / len(rows) if mean == "mean" else sum(s * r for s, r in rows) / weight
+            expected[a, o] = pytest.approx(score + 3, abs=1e-12)
+    assert got == expected
+
+
 def test_rescale_and_order(spark):
     pred = spark.createDataFrame([(1, 1, -1.0), (2, 1, 0.0), (3, 1, 3.0)], "item_id long, user_id long, score double")
     scaled = {r.item_id: r.score for r in neighbours.rescale_predictions(pred).collect()}
