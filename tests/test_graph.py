@@ -96,3 +96,45 @@ def test_bad_weights(spark, alpha, beta):
     nodes, edges = tables(spark)
     with pytest.raises(ValueError):
         graph.pagerank_topic(nodes, edges, nodes, alpha=alpha, beta=beta)
+
+
+def test_repeated_and_null_nodes_and_foreign_links(spark):
+    nodes = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "id long")
+    edges = spark.createDataFrame([(1, 2, 2.0), (2, 3, 1.0), (2, 9, 3.0), (9, 1, 1.0), (3, 1, None), (None, 1, 1.0)], "src long, dst long, weight double")
+    got = graph.pagerank_global(nodes, edges, iterations=3).collect()
+    one = two = three = none = 1.0
+    for _ in range(3):  # a copy of a node sends its own rank and gets what its id gets; node 3 and the null are dangling
+        leak = 0.8 * (three + none) / 5
+        one, two, three, none = 0.04, 0.8 * one + 0.04, 0.8 * 2 * two / 4 + leak + 0.04, leak + 0.04
+    total = one + 2 * two + three + none
+    assert sorted((r.id or 0, round(r["rank"], 12)) for r in got) == [
+        (i, round(v / total, 12)) for i, v in ((0, none), (1, one), (2, two), (2, two), (3, three))
+    ]
+
+
+def test_text_ids(spark):
+    nodes, edges = tables(spark)
+    text = nodes.select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("id"))
+    links = edges.select(*[F.concat(F.lit("n"), F.col(c).cast("string")).alias(c) for c in ("src", "dst")], "weight")
+    got = graph.pagerank_global(text, links, iterations=4)
+    assert np.allclose(as_array(got), dense(EDGES, 6, 4), atol=1e-12)
+
+
+def test_a_step_moves_one_number_a_node_and_block(spark, tmp_path):
+    """The links of many blocks meet in few numbers: the grid's rows are bounded by nodes times blocks, not by links."""
+    rng = np.random.default_rng(5)
+    edges = list({(int(s), int(d)): 1.0 for s, d in rng.integers(1, 301, (6000, 2))})
+    edges = [(s, d, float((s + d) % 300 + 0.5 * (s % 2))) for s, d in edges]
+    nodes, table = tables(spark, edges, 301)
+    from rankloom.operators import linkgrid
+
+    grid = linkgrid.build(nodes, table, graph.out_weights(table), [], row_links=50, cell_links=400)
+    assert grid.blocks >= 4 and grid.cells.count() > grid.blocks**2
+    state = linkgrid.start(grid, 1, 1.0).table
+    step = linkgrid.step(grid, state, 1, {0: (0.0, 0.2 / 301, 0.0)}, 0.8, True).table
+    got = as_array(linkgrid.unpack(grid, step, ["rank"]))
+    grid.close()
+    want = dense(edges, 301, 1) * 1.0
+    loose = np.ones(301, bool)
+    loose[[s - 1 for s, _, w in edges if w]] = False
+    assert np.allclose(got[~loose] / got[~loose].sum(), want[~loose] / want[~loose].sum(), atol=1e-12)
