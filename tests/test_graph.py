@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankloom.operators import graph
+from rankloom.operators import graph, linkgrid
 
 EDGES = [(1, 2, 1.0), (2, 3, 2.0), (2, 4, 1.0), (4, 1, 3.0), (4, 2, 1.0), (5, 5, 1.0)]
 
@@ -120,14 +120,11 @@ def test_text_ids(spark):
     assert np.allclose(as_array(got), dense(EDGES, 6, 4), atol=1e-12)
 
 
-def test_a_step_moves_one_number_a_node_and_block(spark, tmp_path):
-    """The links of many blocks meet in few numbers: the grid's rows are bounded by nodes times blocks, not by links."""
+def test_cells_of_many_packed_rows_add_up(spark):
     rng = np.random.default_rng(5)
     edges = list({(int(s), int(d)): 1.0 for s, d in rng.integers(1, 301, (6000, 2))})
     edges = [(s, d, float((s + d) % 300 + 0.5 * (s % 2))) for s, d in edges]
     nodes, table = tables(spark, edges, 301)
-    from rankloom.operators import linkgrid
-
     grid = linkgrid.build(nodes, table, graph.out_weights(table), [], row_links=50, cell_links=400)
     assert grid.blocks >= 4 and grid.cells.count() > grid.blocks**2
     state = linkgrid.start(grid, 1, 1.0).table
