@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rankloom.llm import bpe, decontaminate, language, neardup, plans, quality
 from rankloom.llm.common import broadcast_if_small, id_remainder, table
-from rankloom.session import scratch, stash
+from rankloom.session import arrow_rows, scratch, stash
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 QUALITY_FLOOR = 0.5
@@ -73,14 +73,18 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, n_tokens, ids, decoded_equal): token ids, proven by decoding them."""
+    """(doc_id, lang, source, n_tokens, ids, decoded_equal): token ids, proven by decoding them.
+
+    Ids and offsets take several times the texts' bytes, so rows go to Python in small
+    batches, and ids are stored before they are decoded: a core has one Python task at a time.
+    """
     ranks = plans.vocabulary_path("byte_bpe_50k.tiktoken")
     digest = F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("digest")
-    coded = bpe.encode(docs, ranks, keep=(F.col("lang"), F.col("source"), digest), cache_entries=200_000)
-    decoded = bpe.decode(coded, ranks, keep=("lang", "source", "digest"))
-    return decoded.select(
-        "doc_id", "lang", "source", "n_tokens", "ids", (F.md5("decoded") == F.col("digest")).alias("decoded_equal")
-    )
+    with scratch(spark) as own, arrow_rows(spark, 1_000):
+        coded = bpe.encode(docs, ranks, keep=(F.col("lang"), F.col("source"), digest), cache_entries=200_000)
+        decoded = bpe.decode(stash(coded, "pipeline-ids"), ranks, keep=("lang", "source", "digest"))
+        equal = (F.md5("decoded") == F.col("digest")).alias("decoded_equal")
+        return own.keep(decoded.select("doc_id", "lang", "source", "n_tokens", "ids", equal))
 
 
 STAGES = [
@@ -101,4 +105,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         for _, stage in STAGES[:-1]:
             with scratch(spark) as own:
                 docs = own.keep(stage(spark, docs, sf_dir))
-        return whole.keep(STAGES[-1][1](spark, docs, sf_dir))
+        with whole.outside():
+            return STAGES[-1][1](spark, docs, sf_dir)

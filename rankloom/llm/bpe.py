@@ -7,17 +7,20 @@ import heapq
 import struct
 from array import array
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import file_content, text_slices, tidy_task
+from rankloom.llm.common import file_content, text_slices, tidy_task, worker_cache
 from rankloom.llm.prescan import Slices, library_symbols
 
 
+SLICE = 250_000  # bytes of texts or ids at a time; what is made of them takes many times as much
+
+
 class Vocabulary:
     """Tokens by rank, and the rank of every pair of tokens that makes a token."""
 
@@ -200,12 +203,12 @@ class Encoder:
         return packed
 
 
-@lru_cache(maxsize=2)
+@worker_cache(2)
 def _vocabulary(content: bytes) -> Vocabulary:
     return Vocabulary(content)
 
 
-@lru_cache(maxsize=2)
+@worker_cache(2)
 def _encoder(content: bytes, most: int) -> Encoder:
     """Kept by a worker for all of its tasks."""
     return Encoder(_vocabulary(content), most)
@@ -258,7 +261,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value, cache_entries)
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(1)):
+            for a, b, texts in text_slices(batch.column(1), SLICE):
                 packed = encode_texts(texts, encoder, table.value)
                 starts = [
                     token_starts(np.frombuffer(x, "<u4"), encoder.vocabulary).astype("<u4").tobytes() for x in packed
@@ -287,7 +290,7 @@ def decode(df: DataFrame, ranks_path: str, id: str = "doc_id", keep: tuple[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(content.value)
         for batch in batches:
-            for a, b, ids in text_slices(batch.column(2)):
+            for a, b, ids in text_slices(batch.column(2), SLICE):
                 starts = batch.column(3)[a:b].to_pylist()
                 out = [
                     decode_ids(np.frombuffer(x or b"", "<u4"), np.frombuffer(s or b"", "<u4"), vocabulary)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator, Sequence
-from functools import wraps
+from functools import lru_cache, wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,8 +15,25 @@ from pyspark.sql import functions as F
 CHUNK_CHARS = 1_000_000
 
 
-def fresh_worker() -> None:
-    """Free what earlier tasks have left in a reused Python worker: caches of other operators and unused Arrow memory."""
+_CACHES: list = []
+
+
+def worker_cache(maxsize: int) -> Callable:
+    """``lru_cache`` that a reused Python worker drops once it runs a tidy task of another module."""
+
+    def cached(function: Callable) -> Callable:
+        kept = lru_cache(maxsize=maxsize)(function)
+        _CACHES.append(kept)
+        return kept
+
+    return cached
+
+
+def fresh_worker(module: str | None = None) -> None:
+    """Free what earlier tasks have left in a reused Python worker: caches of modules but ``module``, if named, and unused memory."""
+    for kept in _CACHES:
+        if module and kept.__module__ != module:
+            kept.cache_clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -30,7 +47,7 @@ def tidy_task(run: Callable) -> Callable:
 
     @wraps(run)
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_worker()
+        fresh_worker(run.__module__)
         yield from run(batches)
         fresh_worker()
 

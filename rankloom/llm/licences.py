@@ -11,13 +11,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import text_slices
+from rankloom.llm.common import text_slices, worker_cache
 
 # Phrases with their labels, and the wording of public licences and their usual notices.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -202,7 +201,7 @@ class Automaton:
         return sorted(out)
 
 
-@lru_cache(maxsize=4)
+@worker_cache(4)
 def _automaton(templates: tuple[tuple[str, str], ...]) -> Automaton:
     return Automaton.of(dict(templates))
 

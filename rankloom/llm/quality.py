@@ -11,7 +11,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import text_slices, tidy_task
+from rankloom.llm.common import text_slices, tidy_task, worker_cache
 from rankloom.session import stash
 
 PARTS = 3  # a word's letters, signs and shape
@@ -48,7 +47,7 @@ class WordParts(dict):
         return found
 
 
-@lru_cache(maxsize=2)
+@worker_cache(2)
 def _parts(buckets: int) -> WordParts:
     return WordParts(buckets)
 

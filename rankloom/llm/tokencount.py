@@ -11,7 +11,6 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import file_content, text_slices
+from rankloom.llm.common import file_content, text_slices, worker_cache
 from rankloom.llm.prescan import Slices, library_symbols
 
 _MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
@@ -91,7 +90,7 @@ class LengthTable:
         return out
 
 
-@lru_cache(maxsize=2)
+@worker_cache(2)
 def _library(content: bytes):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -121,7 +120,7 @@ class Counter(dict):
         return out
 
 
-@lru_cache(maxsize=2)
+@worker_cache(2)
 def _counter(content: bytes, most: int) -> Counter:
     return Counter(_library(content), most)
 

@@ -5,10 +5,11 @@ Words are runs of anything but the six ASCII white space characters, A-Z lower-c
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 import numpy as np
 
+from rankloom.llm.common import worker_cache
+
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -24,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@lru_cache(maxsize=1)
+@worker_cache(1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2**64."""
     out = []

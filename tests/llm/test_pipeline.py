@@ -50,6 +50,31 @@ def test_odd_documents(spark, tmp_path):
     assert None in ids
 
 
+def test_encoder_gets_rows_in_small_batches(spark, tmp_path, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, kept = spark.conf.get(name), corpus_pipeline.stash
+
+    def stash(df, label):
+        seen.append(int(spark.conf.get(name)))
+        return kept(df, label)
+
+    monkeypatch.setattr(corpus_pipeline, "stash", stash)
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "'s' AS source", "1 AS n_chars")
+    out = corpus_pipeline.encode(spark, docs, str(tmp_path))
+    assert seen and max(seen) <= 1000 and spark.conf.get(name) == before
+    assert out.count() == 3000 and out.filter("NOT decoded_equal").count() == 0
+
+
+def test_workers_drop_the_caches_of_other_operators():
+    from rankloom.llm import common, quality
+
+    parts = quality._parts(64)
+    common.fresh_worker("rankloom.llm.quality")
+    assert quality._parts(64) is parts
+    common.fresh_worker("rankloom.llm.language")
+    assert quality._parts(64) is not parts
+
+
 def test_empty_tables(spark, tmp_path):
     for name, schema in (
         ("documents", "doc_id long, text string, lang string, source string, n_chars long"),
