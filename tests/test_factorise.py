@@ -191,3 +191,31 @@ def test_no_ratings(spark):
     start = mf.start_factors(spark.range(3).toDF("id"), spark.range(2).toDF("id"), 2, 0.5)
     kept = {(r[0], r[1]): tuple(r[2:]) for r in mf.mf_gradient(none, start, lmd=0.0).collect()}
     assert kept == {(r[0], r[1]): tuple(r[2:]) for r in start.collect()}
+
+
+def test_grid_blocks_follow_the_ratings_not_the_ids(spark):
+    """Factors move once a block of the other side, so many ids alone must not make many blocks; a cell gives one sum."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from rankloom.operators import grid
+
+    ids = spark.range(150_000).select("id")
+    factors = ids.select(F.lit(grid.USER).alias("kind"), "id", F.lit(0.5).alias("f0")).unionByName(
+        ids.select(F.lit(grid.ITEM).alias("kind"), "id", F.lit(2.0).alias("f0"))
+    )
+    ratings = spark.range(20_000).select((F.col("id") % 7).alias("user_id"), F.col("id").alias("item_id"), F.lit(3.0).alias("rating"))
+    made = grid.build(ratings, factors, row_ratings=100)
+    tasks = spark.sparkContext.defaultParallelism
+    assert made.blocks[0] == made.blocks[1] and made.blocks[0] ** 2 <= 4 * tasks
+    state = grid.pack(factors, ["f0"], made.blocks)
+
+    def slopes(score, rating):
+        return rating - score, (rating - score) ** 2
+
+    sums = grid.cell_sums(made, state, 1, 1, slopes).collect()
+    made.close()
+    cells = {(r["kind"], r["block"], r["other"]) for r in sums}
+    assert len(cells) == len(sums) <= 2 * made.blocks[0] * made.blocks[1]
+    assert sum(r["loss"] for r in sums) == pytest.approx(20_000 * 4.0)
+    assert sum(np.frombuffer(r["g"]).sum() for r in sums if r["kind"] == grid.USER) == pytest.approx(20_000 * 2.0 * 2.0)
