@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rankloom.llm import bpe, decontaminate, language, neardup, plans, quality
 from rankloom.llm.common import broadcast_if_small, id_remainder, table
-from rankloom.session import arrow_rows, scratch, stash
+from rankloom.session import arrow_rows, dense_tables, scratch, stash
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 QUALITY_FLOOR = 0.5
@@ -77,10 +77,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Ids and offsets take several times the texts' bytes, so rows go to Python in small
     batches, and ids are stored before they are decoded: a core has one Python task at a time.
+    Four bytes a token and a place are mostly zeros or alike, so what is stored is packed well.
     """
     ranks = plans.vocabulary_path("byte_bpe_50k.tiktoken")
     digest = F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("digest")
-    with scratch(spark) as own, arrow_rows(spark, 1_000):
+    with scratch(spark) as own, arrow_rows(spark, 1_000), dense_tables(spark):
         coded = bpe.encode(docs, ranks, keep=(F.col("lang"), F.col("source"), digest), cache_entries=200_000)
         decoded = bpe.decode(stash(coded, "pipeline-ids"), ranks, keep=("lang", "source", "digest"))
         equal = (F.md5("decoded") == F.col("digest")).alias("decoded_equal")

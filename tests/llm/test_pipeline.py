@@ -65,6 +65,28 @@ def test_encoder_gets_rows_in_small_batches(spark, tmp_path, monkeypatch):
     assert out.count() == 3000 and out.filter("NOT decoded_equal").count() == 0
 
 
+def test_stored_ids_take_little_more_than_the_texts(spark, tmp_path, monkeypatch):
+    import random
+
+    name, sizes = "spark.sql.parquet.compression.codec", []
+    before, kept = spark.conf.get(name), corpus_pipeline.stash
+
+    def stash(df, label):
+        out = kept(df, label)
+        sizes.append(sum(Path(f.removeprefix("file://")).stat().st_size for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(corpus_pipeline, "stash", stash)
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=draw.randint(2, 9))) for _ in range(3000)]
+    rows = [(i, " ".join(draw.choices(words, k=300)), "en", "s", 1) for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    out = corpus_pipeline.encode(spark, docs, str(tmp_path))
+    assert out.count() == 400 and out.filter("NOT decoded_equal").count() == 0
+    assert sum(sizes) < 1.6 * sum(len(r[1]) for r in rows)
+    assert spark.conf.get(name) == before
+
+
 def test_workers_drop_the_caches_of_other_operators():
     from rankloom.llm import common, quality
 
