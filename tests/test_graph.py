@@ -135,3 +135,21 @@ def test_cells_of_many_packed_rows_add_up(spark):
     loose = np.ones(301, bool)
     loose[[s - 1 for s, _, w in edges if w]] = False
     assert np.allclose(got[~loose] / got[~loose].sum(), want[~loose] / want[~loose].sum(), atol=1e-12)
+
+
+def test_links_are_packed_before_they_move(spark):
+    """Every exchange on the way to the packed links carries cells, not single links, and no link is lost or doubled."""
+    draw = np.random.default_rng(11)
+    links = {(int(a), int(b)): float(w) for a, b, w in zip(draw.integers(0, 90, 4000), draw.integers(0, 90, 4000), draw.integers(1, 9, 4000))}
+    table = spark.createDataFrame([(a, b, w) for (a, b), w in links.items()], "src long, dst long, weight double")
+    packed = linkgrid._packed_links(table, 3, 100)
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RepartitionByExpression") :]
+    assert "MapInArrow" in below
+    got = []
+    for sb, db, x, y, w in packed.collect():
+        src, dst = linkgrid._ids(bytes(x), bytes(y))
+        assert len(src) <= 100
+        got += [(sb, db, a, b, v) for a, b, v in zip(src.tolist(), dst.tolist(), linkgrid._wide(bytes(w)).tolist())]
+    place = {r["id"]: r["block"] for r in spark.range(90).select("id", linkgrid._block("id", 3).alias("block")).collect()}
+    assert sorted(got) == sorted((place[a], place[b], a, b, w) for (a, b), w in links.items())
