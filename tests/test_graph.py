@@ -153,3 +153,21 @@ def test_links_are_packed_before_they_move(spark):
         got += [(sb, db, a, b, v) for a, b, v in zip(src.tolist(), dst.tolist(), linkgrid._wide(bytes(w)).tolist())]
     place = {r["id"]: r["block"] for r in spark.range(90).select("id", linkgrid._block("id", 3).alias("block")).collect()}
     assert sorted(got) == sorted((place[a], place[b], a, b, w) for (a, b), w in links.items())
+
+
+def test_a_step_stores_the_ranks_of_moving_columns_alone(spark):
+    nodes, table = tables(spark)
+    grid = linkgrid.build(nodes, table, graph.out_weights(table), [])
+    state = linkgrid.start(grid, 2, 1.0).table
+    step = linkgrid.step(grid, state, 2, {1: (0.0, 0.2 / 6, 0.0)}, 0.8, True).table
+    grid.close()
+    assert step.columns == ["block", "col", "f", "mass", "gap", "total"]
+    assert [r["col"] for r in step.select("col").distinct().collect()] == [1]
+
+
+def test_few_mixtures_do_not_move_the_scored_rows(spark):
+    ranks = spark.createDataFrame([(1, 0.5)], "id long, t1 double")
+    wanted = spark.range(1000).selectExpr("cast(id % 7 as int) user_id", "1 query_id", "id % 2 doc")
+    mix = spark.range(1_000_000).selectExpr("cast(id % 7 as int) user_id", "1 query_id", "1 topic", "1e-6 p").repartition(4)
+    plan = graph.mixture_scores(wanted, ranks, mix)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 1 and "hashpartitioning(user_id" not in plan
