@@ -70,3 +70,34 @@ def test_metrics(spark):
     assert metrics.cross_entropy(df, "p").first()[0] == pytest.approx((np.log(2) + np.log(4)) / 3)
     trace = spark.createDataFrame([(0, 3.0), (1, 1.0), (2, 1.0)], "iter int, loss double")
     assert metrics.best_epoch(trace).first().iter == 1
+
+
+@pytest.mark.parametrize("check_every,tol", [(1, 1e-8), (2, 1e-8), (1, 0.2)])
+def test_blocks_and_joins_take_the_same_steps(spark, check_every, tol):
+    """Repeated labels and rows without a class, id or feature count alike in both."""
+    _, _, feats, labels = data(spark)
+    feats = feats.unionByName(spark.createDataFrame([(3, None, 1.0), (None, 1, 2.0), (4, 1, None)], "row_id long, idx int, val double"))
+    labels = labels.unionByName(spark.createDataFrame([(0, 1), (0, 2), (5, None), (None, 1), (7, 9)], "row_id long, cls int"))
+    settings = (K, 2, 0.1, 0.0001, 0.01, tol, 0, check_every)
+    tables = (feats, labels, feats, labels)
+    ids = np.array(sorted(r.idx for r in feats.filter("idx IS NOT NULL").select("idx").distinct().collect()))
+    fits = softmax._train_by_blocks(tables, ids, *settings), softmax._train_by_joins(tables, *settings)
+    one, two = ([[v if v is None else round(v, 10) for v in r] for r in f.weights.orderBy("idx").collect()] for f in fits)
+    assert one == two and one[0][0] is None
+    one, two = ([[round(v, 8) for v in r] for r in f.trace.orderBy("iter").collect()] for f in fits)
+    assert one == two and one
+
+
+def test_many_steps_are_a_few_jobs(spark):
+    """The jobs of a pass do not grow with its batches."""
+    rng = np.random.default_rng(6)
+    feats = spark.createDataFrame([(r, int(c), 1.0) for r in range(120) for c in set(rng.integers(0, 8, 3))], "row_id long, idx int, val double").persist()
+    labels = spark.createDataFrame([(r, r % 2 + 1) for r in range(120)], "row_id long, cls int").persist()
+    context, seen = spark.sparkContext, []
+    for batch_size in (60, 3):
+        context.setJobGroup(f"steps-{batch_size}", "softmax")
+        fit = softmax.softmax_train(feats, labels, feats, labels, classes=2, batch_size=batch_size, alpha=0.1, tol=0.0)
+        seen.append(len(context.statusTracker().getJobIdsForGroup(f"steps-{batch_size}")))
+        assert fit.trace.count() == 120 // batch_size
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert seen[1] <= seen[0] + 6
