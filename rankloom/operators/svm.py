@@ -258,7 +258,7 @@ def svm_sgd(
     Rows are dealt once, by hash, into blocks of ``block_batches`` batches. An epoch
     permutes the blocks (:func:`epoch_order`) and the rows inside each block (by the md5
     of ``seed:epoch:row_id``), so no row is written after the start. The batches of a
-    block follow one another in one task. A short last batch comes twice; when
+    block follow one another in one task, and so do the blocks of about ``TURN_CELLS`` cells. A short last batch comes twice; when
     ``batch_size`` divides the rows there is an empty one.
     """
     ids = rowblocks.feature_ids(features)
@@ -267,14 +267,16 @@ def svm_sgd(
     if ids is None:
         return _sgd_by_joins(tables, epochs, batch_size, learning_rate, seed, repeat_tail, block_rows)
     run = _BlockRun("sgd", *tables, ids, block_rows, seed)
+    held = run.blocks.stored.table.agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.length("at") / 4).alias("cells")).first()
+    some = max(1, int(TURN_CELLS * held["blocks"] / max(1, held["cells"] or 1)))
     w = np.zeros(run.size)
     for epoch in range(epochs):
         rate = learning_rate / (1 + learning_rate / 100 * epoch)
         order = epoch_order(seed, epoch, run.rows, block_rows)
         norm = loss = 0.0
-        for turn, block in enumerate(order):
-            again = repeat_tail and turn == len(order) - 1
-            w, some_norm, some_loss = _block_steps(run, w, block, f"{seed}:{epoch}", batch_size, rate, again)
+        for turn in range(0, len(order), some):
+            again = repeat_tail and turn + some >= len(order)
+            w, some_norm, some_loss = _block_steps(run, w, order[turn : turn + some], f"{seed}:{epoch}", batch_size, rate, again)
             norm, loss = norm + some_norm, loss + some_loss
         if repeat_tail and run.rows % batch_size == 0:
             grad = w / batch_size  # the empty batch
@@ -283,19 +285,26 @@ def svm_sgd(
     return run.finish(w)
 
 
+TURN_CELLS = 8_000_000  # Fixed value: packed cells that a task of SGD holds, 96 MB.
+
+
 def _block_steps(
-    run: _BlockRun, w: np.ndarray, block: int, shuffle: str, batch_size: int, rate: float, again: bool
+    run: _BlockRun, w: np.ndarray, blocks: list[int], shuffle: str, batch_size: int, rate: float, again: bool
 ) -> tuple[np.ndarray, float, float]:
-    """New weights, and sums of gradient norms and losses, after the batches of one block; ``again`` repeats a short one."""
+    """New weights, and sums of gradient norms and losses, after the batches of some blocks, in this order; ``again`` repeats a short last one."""
     total, size, lam = run.rows, run.size, run.lam
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in rowblocks.unpacked(batches, size):
-            now, norm, loss = w, 0.0, 0.0
+        packed = {}  # as they come, which is another order
+        for batch in batches:
+            packed.update((block, batch.slice(i, 1)) for i, block in enumerate(batch.column(0).to_pylist()))
+        now, norm, loss = w, 0.0, 0.0
+        for block in blocks:
+            rows = next(rowblocks.unpacked(iter([packed.pop(block)]), size))
             keys = [(md5(f"{shuffle}:{name}".encode()).hexdigest(), name) for name in rows.names]
             order = np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
             cuts = [order[a : a + batch_size] for a in range(0, len(order), batch_size)]
-            if again and len(cuts[-1]) < batch_size:
+            if again and block == blocks[-1] and len(cuts[-1]) < batch_size:
                 cuts.append(cuts[-1])
             for cut in cuts:
                 part = rows.take(cut)
@@ -304,12 +313,10 @@ def _block_steps(
                 now = now - rate * grad
                 norm += float(np.sqrt(grad @ grad))
                 loss += _pull(part, part.dot(now))[1] / total
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([now.tobytes()], pa.binary()), pa.array([norm]), pa.array([loss])], ["w", "norm", "loss"]
-            )
+        yield pa.RecordBatch.from_arrays([pa.array([now.tobytes()], pa.binary()), pa.array([norm]), pa.array([loss])], ["w", "norm", "loss"])
 
-    one = run.blocks.stored.table.filter(F.col("block") == block)
-    found = one.mapInArrow(steps, "w binary, norm double, loss double").first()
+    some = run.blocks.stored.table.filter(F.col("block").isin(blocks)).coalesce(1)
+    found = some.mapInArrow(steps, "w binary, norm double, loss double").first()
     return np.frombuffer(found["w"]), found["norm"], found["loss"]
 
 

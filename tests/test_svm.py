@@ -189,3 +189,26 @@ def test_balanced_one_vs_rest_reaches_the_optimum(spark):
         assert np.allclose([got[0], got[1], got[2], got[-1]], w, atol=1e-3)
     guess = svm.multiclass_predict(feats, labels, weights).join(labels, "row_id")
     assert guess.filter("prediction = cls").count() >= 34
+
+
+@pytest.mark.parametrize("turn_cells", [1, 40, 10**6])
+def test_blocks_of_an_epoch_share_tasks(spark, monkeypatch, turn_cells):
+    """An epoch is a few jobs, however many blocks it has, and gives the same weights and sums for every share."""
+    rng = np.random.default_rng(8)
+    feats = spark.createDataFrame([(r, c, float(x)) for r in range(60) for c, x in enumerate(rng.normal(size=3))], "row_id long, idx int, val double")
+    labels = spark.createDataFrame([(r, 1 if r % 3 else -1) for r in range(60)], "row_id long, y int")
+    turns = []
+    steps = svm._block_steps
+    monkeypatch.setattr(svm, "_block_steps", lambda run, w, blocks, *more: turns.append(blocks) or steps(run, w, blocks, *more))
+    settings = {"epochs": 2, "batch_size": 4, "block_batches": 1, "seed": 5}
+    monkeypatch.setattr(svm, "TURN_CELLS", 10**6)
+    want = svm.svm_sgd(feats, labels, 7.0, **settings)
+    assert [len(t) for t in turns] == [15, 15]
+    turns.clear()
+    monkeypatch.setattr(svm, "TURN_CELLS", turn_cells)
+    got = svm.svm_sgd(feats, labels, 7.0, **settings)
+    assert sum(turns, []) == [b for e in (0, 1) for b in svm.epoch_order(5, e, 60, 4)]
+    one, two = ([r.w for r in f.weights.orderBy("idx").collect()] for f in (want, got))
+    assert one == pytest.approx(two, abs=1e-12)
+    one, two = ([(r.grad_norm, r.loss) for r in f.trace.orderBy("iter").collect()] for f in (want, got))
+    assert np.allclose(one, two)
